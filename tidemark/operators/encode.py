@@ -74,15 +74,15 @@ def top1_pivot(
     by ``order`` (ascending; NULLs first like Spark's ``orderBy``), as columns
     ``<value>_<attr>`` with spaces turned to ``_``.
 
-    One ``min_by`` per value inside one aggregate: no window, no join, one
-    shuffle. Rows of other pivot values have a NULL ordering key and are
-    skipped by ``min_by``. Keys whose rows are all of other values come out
+    One ``min`` of a (ordering…, attributes…) struct per value inside one
+    aggregate: no window, no join, one shuffle. Rows of other pivot values
+    give a NULL struct and are skipped by ``min``. Keys whose rows are all of other values come out
     with all-NULL columns, as the reference's distinct-key left join does.
     """
     p = F.col(pivot_col)
-    payload = F.struct(*[F.col(a) for a in attrs])
-    ordering = F.struct(*order)
-    aggs = [F.min_by(payload, F.when(p == F.lit(v), ordering)).alias(f"__p{i}") for i, v in enumerate(values)]
+    # Ordering fields first, so the struct's own order is the requested one.
+    ranked = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(a) for a in attrs])
+    aggs = [F.min(F.when(p == F.lit(v), ranked)).alias(f"__p{i}") for i, v in enumerate(values)]
     grouped = df.groupBy(*keys).agg(*aggs)
     flat = [F.col(k) for k in keys]
     for i, v in enumerate(values):

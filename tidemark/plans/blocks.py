@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import ACCOUNT, WEEK
 from tidemark.functions.calendar import AS_OF, map_to_week
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank, valid_key
+from tidemark.functions.shape import clean_name as _clean
 from tidemark.functions.shape import normalise_values
 from tidemark.operators.asof import latest_as_of
 from tidemark.operators.dedupe import first_per_key
@@ -57,6 +58,14 @@ def spine(
     return out.select(ACCOUNT, WEEK, *[c for c in out.columns if c not in (ACCOUNT, WEEK)])
 
 
+def line_speed_aggs(measures: list[str], status_col: str, vocab: list[str] = RAG_STATUSES) -> list[Column]:
+    """H2: min and max of each measure, count per status (fixed vocabulary, Q4)."""
+    aggs: list[Column] = []
+    for m in measures:
+        aggs += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
+    return aggs + category_counts(status_col, vocab, status_col)
+
+
 def line_speed_block(
     df: DataFrame,
     calendar: DataFrame,
@@ -65,12 +74,7 @@ def line_speed_block(
     status_col: str,
     vocab: list[str] = RAG_STATUSES,
 ) -> DataFrame:
-    """H2: min and max of each measure, count per status (fixed vocabulary, Q4)."""
-    aggs: list[Column] = []
-    for m in measures:
-        aggs += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
-    aggs += category_counts(status_col, vocab, status_col)
-    return weekly_aggregate(df, calendar, F.col(date_col), aggs)
+    return weekly_aggregate(df, calendar, F.col(date_col), line_speed_aggs(measures, status_col, vocab))
 
 
 def counts_block(
@@ -80,16 +84,25 @@ def counts_block(
     categories: dict[str, tuple[str, list[str]]],
 ) -> DataFrame:
     """H3: one count per observed value of each category column (F1+D-7)."""
+    return weekly_aggregate(df, calendar, F.col(date_col), counts_aggs(categories))
+
+
+def counts_aggs(categories: dict[str, tuple[str | Column, list[str]]]) -> list[Column]:
+    """Category counts; the dict key names the output prefix source column,
+    the tuple gives (prefix, values). A Column may stand in for the key."""
     aggs: list[Column] = []
     for col, (prefix, values) in categories.items():
         aggs += category_counts(col, values, prefix)
-    return weekly_aggregate(df, calendar, F.col(date_col), aggs)
+    return aggs
 
 
 def survey_block(df: DataFrame, calendar: DataFrame, date_col: str, scores: dict[str, str]) -> DataFrame:
     """Cast each score to FLOAT (bad text → NULL) and average it."""
-    aggs = [F.avg(F.col(src).try_cast("float")).alias(dst) for src, dst in scores.items()]
-    return weekly_aggregate(df, calendar, F.col(date_col), aggs)
+    return weekly_aggregate(df, calendar, F.col(date_col), survey_aggs(scores))
+
+
+def survey_aggs(scores: dict[str, str]) -> list[Column]:
+    return [F.avg(F.col(src).try_cast("float")).alias(dst) for src, dst in scores.items()]
 
 
 def calls_block(
@@ -102,11 +115,15 @@ def calls_block(
 ) -> DataFrame:
     """H5: INT-cast measures summed, one INT-cast measure averaged, counts per
     channel/direction value — all in one aggregate (D-10)."""
+    return weekly_aggregate(df, calendar, F.col(date_col), calls_aggs(int_measures, mean_of, categories))
+
+
+def calls_aggs(
+    int_measures: dict[str, str], mean_of: tuple[str, str], categories: dict[str, tuple[str, list[str]]]
+) -> list[Column]:
     aggs = [F.sum(F.col(src).try_cast("int")).alias(dst) for src, dst in int_measures.items()]
     aggs.append(F.avg(F.col(mean_of[0]).try_cast("int")).alias(mean_of[1]))
-    for col, (prefix, values) in categories.items():
-        aggs += category_counts(col, values, prefix)
-    return weekly_aggregate(df, calendar, F.col(date_col), aggs)
+    return aggs + counts_aggs(categories)
 
 
 def pipeline_block(
@@ -154,12 +171,50 @@ def download_counts(
     return src.groupBy(ACCOUNT, WEEK, genre_col).agg(F.count(F.lit(1)).alias("total_downloads"))
 
 
-def downloads_block(counts: DataFrame, genre_col: str, vocab: list[str], prefix: str) -> DataFrame:
-    """Download counts pivoted by lower-case genre, 0 where absent."""
+def pivot_download_counts(counts: DataFrame, genre_col: str, vocab: list[str], prefix: str) -> DataFrame:
+    """H7/F2/G9 as the reference does it: per-genre counts summed into one
+    column per lower-case genre, 0 where absent (a second shuffle)."""
     g = F.lower(F.col(genre_col))
     return counts.groupBy(*KEYS).agg(*weighted_counts(g, vocab, "total_downloads", prefix))
 
 
+def downloads_aggs(genre_col: str, referer_col: str, patterns: list[str], vocab: list[str], prefix: str,
+                   match: str = "any", extra_filter: Column | None = None) -> list[Column]:
+    """H7 fused into one aggregate: count of kept downloads per lower-case genre.
+
+    Kept = the referer filter (B8) and ``extra_filter``. When an (account,
+    week) has no kept download the columns are NULL, not 0 (Q24), so the
+    aggregate can share a pass with other blocks over the same rows."""
+    keep = not_like(referer_col, patterns, match)
+    if extra_filter is not None:
+        keep = keep & extra_filter
+    keep = F.coalesce(keep, F.lit(False))
+    has_rows = F.count_if(keep) > 0
+    g = F.lower(F.col(genre_col))
+    return [F.when(has_rows, F.count_if(keep & (g == F.lit(v)))).alias(_clean(f"{prefix}_{v}")) for v in vocab]
+
+
+def downloads_block(
+    df: DataFrame,
+    calendar: DataFrame,
+    date_col: str,
+    genre_col: str,
+    referer_col: str,
+    patterns: list[str],
+    vocab: list[str],
+    prefix: str,
+    match: str = "any",
+    extra_filter: Column | None = None,
+) -> DataFrame:
+    """H7 in one aggregate (one shuffle instead of count-then-pivot)."""
+    keep = not_like(referer_col, patterns, match)
+    if extra_filter is not None:
+        keep = keep & extra_filter
+    g = F.lower(F.col(genre_col))
+    aggs = [F.count_if(g == F.lit(v)).alias(_clean(f"{prefix}_{v}")) for v in vocab]
+    return weekly_aggregate(df.filter(keep), calendar, F.col(date_col), aggs)
+
+
 def eligibility_block(
     df: DataFrame,
     asof: DataFrame,

@@ -21,7 +21,7 @@ from tidemark.operators.encode import discover_vocabulary
 from tidemark.operators.quality import continuous_profile, discrete_profile
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble
-from tidemark.session import scratch_path
+from tidemark.session import cut_lineage, scratch_path
 from tidemark.sources.catalog import read_json
 from tidemark.sources.sinks import read_mart, write_json, write_weeks
 
@@ -47,6 +47,7 @@ class Star:
         self.sf_dir = sf_dir
         self.calendar = generate_calendar(spark)
         self.week_dim = week_dimension(self.calendar)
+        self._part_types: list[str] | None = None
 
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
@@ -72,8 +73,8 @@ class Star:
             where=(F.col("c_acctbal") > 0) & F.col("c_mktsegment").isNotNull(),
         )
 
-    def asof(self) -> DataFrame:
-        return as_of_frame(self.spine())
+    def asof(self, spine: DataFrame | None = None) -> DataFrame:
+        return as_of_frame(self.spine() if spine is None else spine)
 
     # -- role frames ---------------------------------------------------------
     def line_speed_src(self) -> DataFrame:
@@ -193,13 +194,10 @@ class Star:
         )
 
     def reward_claims(self) -> DataFrame:
-        vocab = {
-            **discover_vocabulary(self.t("lineitem"), ["l_linestatus"]),
-            **discover_vocabulary(self.t("part").filter(F.col("p_type").isin(*CLAIM_TYPES)), ["p_type"]),
-        }
+        status = discover_vocabulary(self.t("lineitem"), ["l_linestatus"])["l_linestatus"]
         return blocks.counts_block(
             self.claims_src(), self.calendar, "l_shipdate",
-            {"status": ("status", vocab["l_linestatus"]), "type_code": ("type_code", vocab["p_type"])},
+            {"status": ("status", status), "type_code": ("type_code", self.claim_types())},
         )
 
     def survey(self) -> DataFrame:
@@ -224,30 +222,46 @@ class Star:
     def download_counts(self) -> DataFrame:
         return blocks.download_counts(self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", REFERER_PATTERNS)
 
+    def part_types(self) -> list[str]:
+        """p_type vocabulary, discovered once from the part dimension."""
+        if self._part_types is None:
+            self._part_types = discover_vocabulary(self.t("part"), ["p_type"])["p_type"]
+        return self._part_types
+
+    def genres(self) -> list[str]:
+        return sorted({t.lower() for t in self.part_types()})
+
+    def claim_types(self) -> list[str]:
+        return [t for t in self.part_types() if t in CLAIM_TYPES]
+
     def downloads(self) -> DataFrame:
-        genres = discover_vocabulary(self.t("part").select(F.lower("p_type").alias("g")), ["g"])["g"]
-        return blocks.downloads_block(self.download_counts(), "genre", genres, "genre")
+        return blocks.downloads_block(
+            self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", REFERER_PATTERNS, self.genres(), "genre"
+        )
 
-    def eligibility(self) -> DataFrame:
-        return blocks.eligibility_block(self.eligibility_src(), self.asof(), "tenure_start_date", ["eligibility"], "o_orderkey")
+    def eligibility(self, spine: DataFrame | None = None) -> DataFrame:
+        return blocks.eligibility_block(
+            self.eligibility_src(), self.asof(spine), "tenure_start_date", ["eligibility"], "o_orderkey"
+        )
 
     def billing(self) -> DataFrame:
         return blocks.billing_block(
             self.bills_src(), self.calendar, "tax_date", ["bill_total", "amount_paid", "payment_delay_in_days"], "o_orderkey"
         )
 
-    def offers(self) -> DataFrame:
-        types = discover_vocabulary(self.t("part"), ["p_type"])["p_type"]
+    def offers(self, spine: DataFrame | None = None) -> DataFrame:
         return blocks.offers_block(
-            self.offers_src(), self.asof(), "offer_start_dt_actual", "offer_end_dt_actual", "p_type", types,
+            self.offers_src(), self.asof(spine), "offer_start_dt_actual", "offer_end_dt_actual", "p_type",
+            self.part_types(),
             "offer_amount",
             ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"],
             ["l_orderkey", "l_linenumber"],
         )
 
-    def set_top_box(self) -> DataFrame:
+    def set_top_box(self, spine: DataFrame | None = None) -> DataFrame:
+        sp = self.spine() if spine is None else spine
         return blocks.set_top_box_block(
-            self.boxes_src(), self.calendar, self.spine().select(ACCOUNT, WEEK),
+            self.boxes_src(), self.calendar, sp.select(ACCOUNT, WEEK),
             "installed_dt", "modified_dt", "box_type", "o_orderkey", EXCLUDED_BOX_TYPES,
         )
 
@@ -268,15 +282,50 @@ class Star:
             ["tier_name", "loyalty_status"], vocab, spellings=PRIORITY_SPELLINGS,
         )
 
-    def mart(self) -> DataFrame:
-        return assemble(
-            self.spine(),
-            [
-                self.line_speed(), self.reward_claims(), self.survey(), self.calls(), self.pipeline(),
-                self.downloads(), self.eligibility(), self.billing(), self.offers(), self.set_top_box(),
-                self.journey(),
-            ],
+    def lineitem_pass(self) -> DataFrame:
+        """Line speed, reward claims and downloads share their rows (lineitem
+        with its part and account), so they are one scan, one bridge join and
+        one aggregate instead of three."""
+        li = self.t("lineitem").select(
+            "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        )
+        p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_name")
+        rows = li.join(p, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
+        status = discover_vocabulary(self.t("lineitem"), ["l_linestatus"])["l_linestatus"]
+        claim_types = self.claim_types()
+        aggs = (
+            blocks.line_speed_aggs(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_returnflag", RETURN_FLAGS)
+            + blocks.counts_aggs({"l_linestatus": ("status", status)})
+            + blocks.counts_aggs({"p_type": ("type_code", claim_types)})
+            + blocks.downloads_aggs("p_type", "p_name", REFERER_PATTERNS, self.genres(), "genre",
+                                    extra_filter=F.col("p_type").isNotNull())
+        )
+        return blocks.weekly_aggregate(rows, self.calendar, F.col("l_shipdate"), aggs)
+
+    def events_pass(self) -> DataFrame:
+        """Survey scores and call counts read the same event rows: one aggregate."""
+        vocab = discover_vocabulary(self.t("events"), ["event_type"])["event_type"]
+        aggs = blocks.survey_aggs({"value": "score_1", "props_number": "score_2"}) + blocks.calls_aggs(
+            {"value": "duration_sec", "props_number": "props_total", "abandon_flag": "total_abandons"},
+            ("value", "mean_duration"),
+            {"channel": ("channel", vocab)},
         )
+        return blocks.weekly_aggregate(self.events_src(), self.calendar, F.col("ts"), aggs)
+
+    def mart(self, fused: bool = True) -> DataFrame:
+        """The spine feeds the assembly, two as-of frames and the box join; it is
+        computed once and checkpointed to the shared folder."""
+        sp = cut_lineage(self.spine())
+        if fused:
+            head = [self.lineitem_pass(), self.events_pass()]
+        else:
+            head = [self.line_speed(), self.reward_claims(), self.survey(), self.calls()]
+        rest = [self.pipeline()]
+        if not fused:
+            rest.append(self.downloads())
+        rest += [self.eligibility(sp), self.billing(), self.offers(sp), self.set_top_box(sp), self.journey()]
+        return assemble(sp, head + rest)
 
 
 def _round(df: DataFrame, cols: dict[str, int]) -> DataFrame:
