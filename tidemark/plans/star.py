@@ -42,10 +42,19 @@ WEEK_LO, WEEK_HI = 199501, 199552
 class Star:
     """Lazy readers of the driver tables plus the derived calendar and spine."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, weeks: list[int] | None = None):
+        """``weeks`` limits the run to those weeks: every weekly block maps
+        dates through the calendar, so restricting the calendar restricts them
+        all. The as-of join of the box block keeps the full calendar because it
+        needs history from earlier weeks."""
         self.spark = spark
         self.sf_dir = sf_dir
-        self.calendar = generate_calendar(spark)
+        self.weeks = sorted(weeks) if weeks else None
+        self.calendar_all = generate_calendar(spark)
+        cal = self.calendar_all
+        if self.weeks:
+            cal = cal.filter(F.col(WEEK).isin(*self.weeks))
+        self.calendar = cal
         self.week_dim = week_dimension(self.calendar)
         self._part_types: list[str] | None = None
 
@@ -261,7 +270,7 @@ class Star:
     def set_top_box(self, spine: DataFrame | None = None) -> DataFrame:
         sp = self.spine() if spine is None else spine
         return blocks.set_top_box_block(
-            self.boxes_src(), self.calendar, sp.select(ACCOUNT, WEEK),
+            self.boxes_src(), self.calendar_all, sp.select(ACCOUNT, WEEK),
             "installed_dt", "modified_dt", "box_type", "o_orderkey", EXCLUDED_BOX_TYPES,
         )
 
