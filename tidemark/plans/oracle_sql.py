@@ -27,6 +27,14 @@ spine AS (
   WHERE b.account IS NOT NULL AND cu.c_acctbal > 0 AND cu.c_mktsegment IS NOT NULL),
 week_asof AS (SELECT week, max(as_of) AS as_of FROM spine GROUP BY week)"""
 
+def rnd(expr: str, digits: int) -> str:
+    """Spark's ``round`` on DOUBLE: HALF_UP on the shortest decimal form of the
+    value. DuckDB's ``round(double)`` scales in binary and can land on the other
+    side of a tie (0.056249999999999994 → 0.0563), so the oracle rounds the
+    decimal text instead."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 PROPS = r"""regexp_extract(e.props, '"k":\s*(-?[0-9.]+)', 1)"""
 
 
@@ -61,8 +69,8 @@ JOIN calendar c ON CAST(l.l_shipdate AS DATE) = c.calendar_date
 GROUP BY o.o_custkey, c.week"""
 
 SURVEY = f"""SELECT e.user_id AS account, c.week,
-  round(avg(CAST(e.value AS FLOAT)), 6) AS score_1,
-  round(avg(TRY_CAST({PROPS} AS FLOAT)), 6) AS score_2
+  {rnd('avg(CAST(e.value AS FLOAT))', 6)} AS score_1,
+  {rnd(f'avg(TRY_CAST({PROPS} AS FLOAT))', 6)} AS score_2
 FROM events e JOIN calendar c ON CAST(e.ts AS DATE) = c.calendar_date
 GROUP BY e.user_id, c.week"""
 
@@ -70,7 +78,7 @@ CALLS = f"""SELECT e.user_id AS account, c.week,
   CAST(sum(CAST(trunc(e.value) AS INTEGER)) AS BIGINT) AS duration_sec,
   CAST(sum(TRY_CAST({PROPS} AS INTEGER)) AS BIGINT) AS props_total,
   CAST(sum(CASE WHEN e.event_type = 'error' THEN 1 ELSE 0 END) AS BIGINT) AS total_abandons,
-  round(avg(CAST(trunc(e.value) AS INTEGER)), 6) AS mean_duration,
+  {rnd('avg(CAST(trunc(e.value) AS INTEGER))', 6)} AS mean_duration,
   {_counts('e.event_type', ['click', 'error', 'purchase', 'signup', 'view'], 'channel')}
 FROM events e JOIN calendar c ON CAST(e.ts AS DATE) = c.calendar_date
 GROUP BY e.user_id, c.week"""
@@ -110,7 +118,7 @@ ELIGIBILITY = """SELECT account, week, eligibility, tenure_start_date FROM (
 WHERE rn = 1"""
 
 RATE = "(CAST(1.0 AS DOUBLE) + CAST(n.n_regionkey AS DOUBLE) / CAST(10.0 AS DOUBLE))"
-BILLING = f"""SELECT account, week, round(bill_total, 4) AS bill_total, round(amount_paid, 4) AS amount_paid,
+BILLING = f"""SELECT account, week, {rnd('bill_total', 4)} AS bill_total, {rnd('amount_paid', 4)} AS amount_paid,
        payment_delay_in_days FROM (
   SELECT cu.c_custkey AS account, c.week,
          {RATE} * o.o_totalprice AS bill_total,
@@ -252,7 +260,7 @@ DQ_CONTINUOUS = _with(CALENDAR, """src AS (
   SELECT c.week, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax
   FROM lineitem l JOIN calendar c ON CAST(l.l_shipdate AS DATE) = c.calendar_date)""") + "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS colname, week, max({c}) AS maximum_value, min({c}) AS minimum_value,
-  round(avg({c}), 4) AS mean_value, round(stddev_samp({c}), 2) AS standard_deviation
+  {rnd(f'avg({c})', 4)} AS mean_value, {rnd(f'stddev_samp({c})', 2)} AS standard_deviation
 FROM src GROUP BY week"""
     for c in _CONT
 )
