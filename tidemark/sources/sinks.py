@@ -14,8 +14,16 @@ from tidemark import WEEK
 
 
 def write_weeks(df: DataFrame, path: str, week: str = WEEK) -> None:
+    """Dynamic partition overwrite of the weeks present in ``df``.
+
+    The ``rebalance`` hint clusters rows by week before the write so each task
+    writes few week folders (no files × weeks explosion), and lets AQE split a
+    large week over several tasks and merge small ones, so one week holding
+    most of the rows does not become one task.
+    """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", week)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(week)
         .parquet(path)

@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The feature mart is a batch computation: its sources are warehouse tables read
+once per run, and its results are written per week with dynamic partition
+overwrite. It has no stream, watermark, event-time window or state, so no
+Structured Streaming operator is defined here.
+"""
