@@ -86,3 +86,13 @@ def test_pending_weeks_and_high_water(spark):
     empty = spark.createDataFrame([], runlog.LOG_SCHEMA)
     assert runlog.pending_after_high_water(requested, empty).count() == 4  # missing log: all pending (Q16)
     assert runlog.read_log(spark, "/nonexistent/tidemark/log").count() == 0
+
+
+def test_eligibility_as_of_form_equals_window_form_on_spine(spark):
+    s = Star(spark, SF_SMALL)
+    sp = s.spine()
+    keys = sp.select(ACCOUNT, WEEK)
+    window_form = s.eligibility(sp).join(keys, [ACCOUNT, WEEK], "left_semi")
+    asof_form = s.eligibility(sp, as_of_join=True)
+    assert asof_form.count() > 0
+    assert _rows(asof_form) == _rows(window_form)

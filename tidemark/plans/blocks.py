@@ -223,11 +223,29 @@ def eligibility_block(
     tie_col: str,
     before: int = 30,
     after: int = 30,
+    spine_keys: DataFrame | None = None,
+    calendar: DataFrame | None = None,
 ) -> DataFrame:
-    """H8: rows whose date lies within [as_of - before, as_of + after] of each
-    week (B3 as a bucketed range join, C11), then the latest per (account,
-    week) so the spine cannot fan out (Q11)."""
+    """H8: the latest row per (account, week) whose date lies within
+    [as_of - before, as_of + after] (B3), so the spine cannot fan out (Q11).
+
+    Without ``spine_keys``: a bucketed window join (C11) gives every (account,
+    week) with a row in the window; each row meets about (before+after)/7
+    weeks before the top-1 aggregate.
+
+    With ``spine_keys`` (the mart): no fan-out. The latest row in the window
+    is the latest row with ``date <= as_of + after``, kept if its date is
+    ``>= as_of - before``. Since ``date <= as_of(w) + after`` exactly when
+    ``week(date - after) <= w``, this is the bounded-state as-of join on the
+    shifted week, followed by one filter. ``calendar`` must be the full one.
+    """
     src = df.select(ACCOUNT, date_col, tie_col, *values)
+    if spine_keys is not None:
+        hist = map_to_week(src, F.date_sub(F.col(date_col), after), calendar)
+        latest = latest_as_of(hist, spine_keys, [F.col(date_col), F.col(tie_col)], [*values, date_col])
+        bounds = F.broadcast(asof.select(WEEK, AS_OF))
+        kept = latest.join(bounds, WEEK, "inner").filter(F.col(date_col) >= F.date_sub(F.col(AS_OF), before))
+        return kept.select(ACCOUNT, WEEK, *values, date_col)
     joined = window_join(src, date_col, asof.select(WEEK, AS_OF), AS_OF, before, after)
     top = first_per_key(
         joined.select(ACCOUNT, WEEK, date_col, tie_col, *values),

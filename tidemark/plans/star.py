@@ -21,7 +21,7 @@ from tidemark.operators.encode import discover_vocabulary
 from tidemark.operators.quality import continuous_profile, discrete_profile
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble
-from tidemark.session import cut_lineage, scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.catalog import read_json
 from tidemark.sources.sinks import read_mart, write_json, write_weeks
 
@@ -248,9 +248,13 @@ class Star:
             self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", REFERER_PATTERNS, self.genres(), "genre"
         )
 
-    def eligibility(self, spine: DataFrame | None = None) -> DataFrame:
+    def eligibility(self, spine: DataFrame | None = None, as_of_join: bool = False) -> DataFrame:
+        """Standalone: all (account, week) pairs with a row in the window.
+        ``as_of_join=True`` (the mart): only spine pairs, without fan-out."""
+        keys = spine.select(ACCOUNT, WEEK) if (as_of_join and spine is not None) else None
         return blocks.eligibility_block(
-            self.eligibility_src(), self.asof(spine), "tenure_start_date", ["eligibility"], "o_orderkey"
+            self.eligibility_src(), self.asof(spine), "tenure_start_date", ["eligibility"], "o_orderkey",
+            spine_keys=keys, calendar=self.calendar_all,
         )
 
     def billing(self) -> DataFrame:
@@ -324,8 +328,8 @@ class Star:
 
     def mart(self, fused: bool = True) -> DataFrame:
         """The spine feeds the assembly, two as-of frames and the box join; it is
-        computed once and checkpointed to the shared folder."""
-        sp = cut_lineage(self.spine())
+        computed once and written to the shared folder."""
+        sp = materialize(self.spine(), "spine")
         if fused:
             head = [self.lineitem_pass(), self.events_pass()]
         else:
@@ -333,7 +337,7 @@ class Star:
         rest = [self.pipeline()]
         if not fused:
             rest.append(self.downloads())
-        rest += [self.eligibility(sp), self.billing(), self.offers(sp), self.set_top_box(sp), self.journey()]
+        rest += [self.eligibility(sp, as_of_join=fused), self.billing(), self.offers(sp), self.set_top_box(sp), self.journey()]
         return assemble(sp, head + rest)
 
 

@@ -34,3 +34,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives lost executors)."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared folder and read it back.
+
+    Used for a frame several consumers share (the weekly spine). Unlike an
+    eager RDD checkpoint it is computed once, and each consumer's read is a
+    columnar scan with its own column pruning and filter pushdown. The files
+    live in shared storage, so a lost executor does not lose them.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
