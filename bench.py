@@ -33,6 +33,11 @@ def main() -> None:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
+        # Data tables are joined as at scale: no broadcast from file-size
+        # estimates; AQE may still broadcast a side whose measured shuffle
+        # output is small. Bounded dimensions carry explicit hints.
+        .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("BENCH_STATIC_BROADCAST_BYTES", "-1"))
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", os.environ.get("BENCH_AQE_BROADCAST_BYTES", "10485760"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
