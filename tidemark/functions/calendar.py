@@ -16,6 +16,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, TimestampNTZType
 
 from tidemark import WEEK
 
@@ -112,8 +113,23 @@ def iso_week_bounds(weeks: list[int]) -> tuple[dt.date, dt.date]:
     return min(days), max(days) + dt.timedelta(days=6)
 
 
-def date_range_filter(col: Column, weeks: list[int] | None) -> Column:
-    if not weeks:
-        return F.lit(True)
-    lo, hi = iso_week_bounds(weeks)
-    return (col >= F.lit(lo)) & (col < F.lit(hi + dt.timedelta(days=1)))
+def typed_day(day: dt.date, dtype: DataType) -> Column:
+    """A literal of the column's own type for ``day`` at midnight, so a
+    comparison stays on the raw column and can be pushed to the Parquet scan."""
+    if isinstance(dtype, DateType):
+        return F.lit(day)
+    text = F.lit(day.isoformat() + " 00:00:00")
+    if isinstance(dtype, TimestampNTZType):
+        return text.cast("timestamp_ntz")
+    return text.cast("timestamp")
+
+
+def day_range(df: DataFrame, col: str, lo: dt.date | None, hi: dt.date | None) -> Column:
+    """``lo <= col < hi + 1 day`` on the raw column (either bound optional)."""
+    dtype = df.schema[col].dataType
+    cond = F.lit(True)
+    if lo is not None:
+        cond = cond & (F.col(col) >= typed_day(lo, dtype))
+    if hi is not None:
+        cond = cond & (F.col(col) < typed_day(hi + dt.timedelta(days=1), dtype))
+    return cond

@@ -9,6 +9,8 @@ the shuffle, which is what keeps a hot key cheap.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,32 +20,46 @@ from tidemark.functions.shape import clean_name
 MAX_CATEGORIES = 5_000
 
 
-def discover_vocabulary(df: DataFrame, cols: list[str], max_values: int = MAX_CATEGORIES) -> dict[str, list[str]]:
-    """distinct non-NULL values of several columns in one distributed job.
+def discover_vocabularies(
+    sources: dict[str, tuple[DataFrame, list[str]]], max_values: int = MAX_CATEGORIES
+) -> dict[str, dict[str, list[str]]]:
+    """F4 for several sources in one job: ``{name: (frame, columns)}`` →
+    ``{name: {column: sorted distinct non-NULL values}}``.
 
-    The distinct runs on the executors (partial aggregation, one shuffle of
-    (column, value) pairs); only the distinct values reach the driver. A column
-    with more than ``max_values`` values raises instead of being encoded.
+    Each source is turned into (source, column, value) triples, the triples of
+    all sources are unioned and de-duplicated on the executors (partial
+    aggregation, one shuffle), and only the distinct values reach the driver.
+    A column with more than ``max_values`` values raises instead of being
+    one-hot encoded.
     """
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])
-    )
-    found = (
-        df.select(pairs.alias("p"))
-        .select("p.c", "p.v")
-        .where(F.col("v").isNotNull())
-        .distinct()
-        .limit(max_values * len(cols) + 1)
-        .collect()
-    )
-    vocab: dict[str, list[str]] = {c: [] for c in cols}
+    parts = []
+    for name, (df, cols) in sources.items():
+        triples = F.explode(
+            F.array(
+                *[
+                    F.struct(F.lit(name).alias("s"), F.lit(c).alias("c"), F.col(c).cast("string").alias("v"))
+                    for c in cols
+                ]
+            )
+        )
+        parts.append(df.select(triples.alias("p")).select("p.s", "p.c", "p.v"))
+    union = reduce(DataFrame.unionByName, parts)
+    n_cols = sum(len(cols) for _, cols in sources.values())
+    found = union.where(F.col("v").isNotNull()).distinct().limit(max_values * n_cols + 1).collect()
+    out: dict[str, dict[str, list[str]]] = {name: {c: [] for c in cols} for name, (_, cols) in sources.items()}
     for row in found:
-        vocab[row["c"]].append(row["v"])
-    for c, values in vocab.items():
-        if len(values) > max_values:
-            raise ValueError(f"column {c!r} has more than {max_values} categories")
-        values.sort()
-    return vocab
+        out[row["s"]][row["c"]].append(row["v"])
+    for name, cols in out.items():
+        for c, values in cols.items():
+            if len(values) > max_values:
+                raise ValueError(f"column {c!r} of {name!r} has more than {max_values} categories")
+            values.sort()
+    return out
+
+
+def discover_vocabulary(df: DataFrame, cols: list[str], max_values: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+    """F4 for one frame: ``{column: sorted distinct non-NULL values}`` in one job."""
+    return discover_vocabularies({"_": (df, cols)}, max_values)["_"]
 
 
 def category_counts(col: str | Column, values: list[str], prefix: str) -> list[Column]:

@@ -8,16 +8,18 @@ sf_dir) and returns a lazy DataFrame over the whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import ACCOUNT, WEEK
-from tidemark.functions.calendar import AS_OF, as_of_frame, generate_calendar, map_to_week, week_dimension, week_list
+from tidemark.functions.calendar import AS_OF, as_of_frame, day_range, iso_week_bounds, generate_calendar, map_to_week, week_dimension, week_list
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank
 from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, strip_cast
-from tidemark.operators.encode import discover_vocabulary
+from tidemark.functions.shape import normalise_values
+from tidemark.operators.encode import discover_vocabularies
 from tidemark.operators.quality import continuous_profile, discrete_profile
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble
@@ -56,18 +58,29 @@ class Star:
             cal = cal.filter(F.col(WEEK).isin(*self.weeks))
         self.calendar = cal
         self.week_dim = week_dimension(self.calendar)
-        self._part_types: list[str] | None = None
+        self._vocab: dict[str, dict[str, list[str]]] = {}
 
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
+    def dated(self, df: DataFrame, col: str, before: int = 0, after: int = 0, lower: bool = True) -> DataFrame:
+        """For a week-restricted run, a raw-date filter that Parquet can use to
+        skip row groups. It repeats what the inner calendar join already
+        enforces (widened by ``before``/``after`` days where a block looks
+        outside the week), so it only prunes I/O."""
+        if not self.weeks:
+            return df
+        lo, hi = iso_week_bounds(self.weeks)
+        lo_day = lo - dt.timedelta(days=before) if lower else None
+        return df.filter(day_range(df, col, lo_day, hi + dt.timedelta(days=after)))
+
     # -- bridge: order key → account -------------------------------------
     def bridge(self, key: str = "l_orderkey") -> DataFrame:
         return self.t("orders").select(F.col("o_orderkey").alias(key), F.col("o_custkey").alias(ACCOUNT))
 
     # -- H1 weekly base ----------------------------------------------------
     def base(self) -> DataFrame:
-        o = self.t("orders").select(F.col("o_custkey").alias(ACCOUNT), "o_orderdate")
+        o = self.dated(self.t("orders"), "o_orderdate").select(F.col("o_custkey").alias(ACCOUNT), "o_orderdate")
         pairs = map_to_week(o, F.col("o_orderdate"), self.calendar).select(ACCOUNT, WEEK).distinct()
         cust = self.t("customer").select(
             F.col("c_custkey").alias(ACCOUNT), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
@@ -87,20 +100,22 @@ class Star:
 
     # -- role frames ---------------------------------------------------------
     def line_speed_src(self) -> DataFrame:
-        li = self.t("lineitem").select(
+        li = self.dated(self.t("lineitem"), "l_shipdate").select(
             "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"
         )
         return li.join(self.bridge(), "l_orderkey", "inner")
 
     def claims_src(self) -> DataFrame:
-        li = self.t("lineitem").select("l_orderkey", "l_partkey", F.col("l_linestatus").alias("status"), "l_shipdate")
+        li = self.dated(self.t("lineitem"), "l_shipdate").select(
+            "l_orderkey", "l_partkey", F.col("l_linestatus").alias("status"), "l_shipdate"
+        )
         types = self.t("part").filter(F.col("p_type").isin(*CLAIM_TYPES)).select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("type_code")
         )
         return li.join(types, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
 
     def events_src(self) -> DataFrame:
-        e = self.t("events")
+        e = self.dated(self.t("events"), "ts")
         return e.select(
             F.col("user_id").alias(ACCOUNT),
             "ts",
@@ -111,7 +126,7 @@ class Star:
         )
 
     def pipeline_src(self) -> DataFrame:
-        o = self.t("orders")
+        o = self.dated(self.t("orders"), "o_orderdate")
         flag = lambda cond: F.when(cond, 1).otherwise(0)
         return o.select(
             F.col("o_custkey").alias(ACCOUNT),
@@ -123,14 +138,14 @@ class Star:
         )
 
     def downloads_src(self) -> DataFrame:
-        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
+        li = self.dated(self.t("lineitem"), "l_shipdate").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
         p = self.t("part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("genre"), F.col("p_name").alias("referer")
         )
         return li.join(p, "l_partkey", "inner").join(self.bridge(), "l_orderkey", "inner")
 
     def eligibility_src(self) -> DataFrame:
-        return self.t("orders").select(
+        return self.dated(self.t("orders"), "o_orderdate", before=30, after=30).select(
             F.col("o_custkey").alias(ACCOUNT),
             F.to_date("o_orderdate").alias("tenure_start_date"),
             F.col("o_orderstatus").alias("eligibility"),
@@ -138,7 +153,7 @@ class Star:
         )
 
     def bills_src(self) -> DataFrame:
-        bills = self.t("orders").filter(F.col("o_orderpriority").like("1%")).select(
+        bills = self.dated(self.t("orders"), "o_orderdate").filter(F.col("o_orderpriority").like("1%")).select(
             "o_orderkey", "o_custkey", F.col("o_orderdate").alias("tax_date"), "o_totalprice"
         )
         paid = self.t("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
@@ -158,7 +173,7 @@ class Star:
         )
 
     def offers_src(self) -> DataFrame:
-        li = self.t("lineitem").select(
+        li = self.dated(self.t("lineitem"), "l_shipdate", lower=False).select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate", "l_quantity"
         )
         p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
@@ -177,7 +192,7 @@ class Star:
 
     def boxes_src(self) -> DataFrame:
         d = F.to_date("o_orderdate")
-        return self.t("orders").select(
+        return self.dated(self.t("orders"), "o_orderdate", lower=False).select(
             F.col("o_custkey").alias(ACCOUNT),
             d.alias("installed_dt"),
             d.alias("modified_dt"),
@@ -186,7 +201,7 @@ class Star:
         )
 
     def journey_src(self) -> DataFrame:
-        return self.t("orders").select(
+        return self.dated(self.t("orders"), "o_orderdate").select(
             F.format_string(ACCOUNT_NAME_FORMAT, F.col("o_custkey")).alias("account_obf"),
             F.col("o_orderstatus").alias("event_type"),
             F.col("o_orderpriority").alias("event_sub_category"),
@@ -203,7 +218,7 @@ class Star:
         )
 
     def reward_claims(self) -> DataFrame:
-        status = discover_vocabulary(self.t("lineitem"), ["l_linestatus"])["l_linestatus"]
+        status = self.vocab("lineitem")["lineitem"]["l_linestatus"]
         return blocks.counts_block(
             self.claims_src(), self.calendar, "l_shipdate",
             {"status": ("status", status), "type_code": ("type_code", self.claim_types())},
@@ -214,7 +229,7 @@ class Star:
         return blocks.survey_block(e, self.calendar, "ts", {"value": "score_1", "props_number": "score_2"})
 
     def calls(self) -> DataFrame:
-        vocab = discover_vocabulary(self.t("events"), ["event_type"])["event_type"]
+        vocab = self.vocab("events")["events"]["event_type"]
         return blocks.calls_block(
             self.events_src(), self.calendar, "ts",
             {"value": "duration_sec", "props_number": "props_total", "abandon_flag": "total_abandons"},
@@ -231,11 +246,31 @@ class Star:
     def download_counts(self) -> DataFrame:
         return blocks.download_counts(self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", REFERER_PATTERNS)
 
+    def vocab(self, *names: str) -> dict[str, dict[str, list[str]]]:
+        """Category vocabularies (F4) of the named sources, discovered together
+        in one job and kept for the life of this object:
+        ``part`` (p_type), ``lineitem`` (l_linestatus), ``events`` (event_type),
+        ``journey`` (status and merged priority of orders)."""
+        o = self.t("orders")
+        sources = {
+            "part": lambda: (self.t("part"), ["p_type"]),
+            "lineitem": lambda: (self.t("lineitem"), ["l_linestatus"]),
+            "events": lambda: (self.t("events"), ["event_type"]),
+            "journey": lambda: (
+                o.select(
+                    F.col("o_orderstatus").alias("event_type"),
+                    normalise_values("o_orderpriority", PRIORITY_SPELLINGS).alias("event_sub_category"),
+                ),
+                ["event_type", "event_sub_category"],
+            ),
+        }
+        missing = [n for n in names if n not in self._vocab]
+        if missing:
+            self._vocab.update(discover_vocabularies({n: sources[n]() for n in missing}))
+        return {n: self._vocab[n] for n in names}
+
     def part_types(self) -> list[str]:
-        """p_type vocabulary, discovered once from the part dimension."""
-        if self._part_types is None:
-            self._part_types = discover_vocabulary(self.t("part"), ["p_type"])["p_type"]
-        return self._part_types
+        return self.vocab("part")["part"]["p_type"]
 
     def genres(self) -> list[str]:
         return sorted({t.lower() for t in self.part_types()})
@@ -279,33 +314,23 @@ class Star:
         )
 
     def journey(self) -> DataFrame:
-        o = self.t("orders")
-        from tidemark.functions.shape import normalise_values
-
-        vocab = discover_vocabulary(
-            o.select(
-                F.col("o_orderstatus").alias("event_type"),
-                normalise_values("o_orderpriority", PRIORITY_SPELLINGS).alias("event_sub_category"),
-            ),
-            ["event_type", "event_sub_category"],
-        )
         return blocks.journey_block(
             self.journey_src(), self.t("customer"), self.calendar,
             "account_obf", "c_name", "c_custkey", "event_start_date", "event_type", "event_sub_category",
-            ["tier_name", "loyalty_status"], vocab, spellings=PRIORITY_SPELLINGS,
+            ["tier_name", "loyalty_status"], self.vocab("journey")["journey"], spellings=PRIORITY_SPELLINGS,
         )
 
     def lineitem_pass(self) -> DataFrame:
         """Line speed, reward claims and downloads share their rows (lineitem
         with its part and account), so they are one scan, one bridge join and
         one aggregate instead of three."""
-        li = self.t("lineitem").select(
+        li = self.dated(self.t("lineitem"), "l_shipdate").select(
             "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus", "l_shipdate",
         )
         p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_name")
         rows = li.join(p, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
-        status = discover_vocabulary(self.t("lineitem"), ["l_linestatus"])["l_linestatus"]
+        status = self.vocab("lineitem")["lineitem"]["l_linestatus"]
         claim_types = self.claim_types()
         aggs = (
             blocks.line_speed_aggs(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_returnflag", RETURN_FLAGS)
@@ -318,7 +343,7 @@ class Star:
 
     def events_pass(self) -> DataFrame:
         """Survey scores and call counts read the same event rows: one aggregate."""
-        vocab = discover_vocabulary(self.t("events"), ["event_type"])["event_type"]
+        vocab = self.vocab("events")["events"]["event_type"]
         aggs = blocks.survey_aggs({"value": "score_1", "props_number": "score_2"}) + blocks.calls_aggs(
             {"value": "duration_sec", "props_number": "props_total", "abandon_flag": "total_abandons"},
             ("value", "mean_duration"),
@@ -329,6 +354,7 @@ class Star:
     def mart(self, fused: bool = True) -> DataFrame:
         """The spine feeds the assembly, two as-of frames and the box join; it is
         computed once and written to the shared folder."""
+        self.vocab("part", "lineitem", "events", "journey")  # one discovery job for the run
         sp = materialize(self.spine(), "spine")
         if fused:
             head = [self.lineitem_pass(), self.events_pass()]
