@@ -96,3 +96,11 @@ def test_eligibility_as_of_form_equals_window_form_on_spine(spark):
     asof_form = s.eligibility(sp, as_of_join=True)
     assert asof_form.count() > 0
     assert _rows(asof_form) == _rows(window_form)
+
+
+def test_week_restricted_run_equals_filtered_full_mart(spark):
+    weeks = [W1, W2, 199853]
+    part = Star(spark, SF_SMALL, weeks).mart()
+    full = Star(spark, SF_SMALL).mart().filter(F.col(WEEK).isin(*weeks))
+    assert part.count() > 0
+    assert _rows(part) == _rows(full)

@@ -126,3 +126,42 @@ def test_quality_profiles(spark):
     assert (c[1].maximum_value, c[1].minimum_value, c[1].mean_value) == (3.0, 1.0, 2.0)
     assert abs(c[1].standard_deviation - 2 ** 0.5) < 1e-12
     assert c[2].standard_deviation is None  # sample stddev of one value
+
+
+def test_download_counts_scalar_filter(spark):
+    from tidemark.functions.calendar import generate_calendar
+    from tidemark.plans.blocks import download_counts
+
+    cal = generate_calendar(spark, D(2000, 1, 1), D(2000, 12, 31))
+    df = spark.createDataFrame(
+        [("a", D(2000, 3, 1), "drama", "home", 188), ("a", D(2000, 3, 1), "drama", "home", 0),
+         ("a", D(2000, 3, 2), "drama", None, 188), ("a", D(2000, 3, 2), "news", "Trailer", 188)],
+        "account string, d date, genre string, referer string, bytes int",
+    )
+    out = download_counts(df, cal, "d", "genre", "referer", ["%Trailer%"], extra_filter=F.col("bytes") == 188)
+    assert sorted((r.genre, r.total_downloads) for r in out.collect()) == [("drama", 1)]
+
+
+def test_profile_append_and_json_schema(spark, scratch):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from tidemark.operators.quality import append_profile, stamp
+    from tidemark.sources.catalog import read_json
+    from tidemark.sources.sinks import write_json
+
+    df = spark.createDataFrame([(1, "x", 2.0), (2, "y", 3.0)], "week int, c string, v double")
+    prof = stamp(continuous_profile(df, ["v"]), "created_dt_check")
+    append_profile(prof, f"{scratch}/dq")
+    append_profile(prof, f"{scratch}/dq")
+    assert spark.read.parquet(f"{scratch}/dq").count() == 4
+    schema = StructType([StructField("id", LongType()), StructField("s", StringType())])
+    write_json(spark.createDataFrame([(1, "a"), (2, None)], schema), f"{scratch}/j")
+    back = read_json(spark, f"{scratch}/j", schema)
+    assert back.schema == schema and back.count() == 2
+
+
+def test_lookahead_columns(spark):
+    from tidemark.functions.shape import lookahead_columns
+
+    df = spark.createDataFrame([(1, 2, 3, 4)], "DTV_ABs_In_Next_7D int, Offers_Applied_Next_7D_BB int, DTV_ABs_Ever int, TAs_in_next_7d int")
+    assert lookahead_columns(df) == ["DTV_ABs_In_Next_7D", "Offers_Applied_Next_7D_BB", "TAs_in_next_7d"]

@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
+# Name parts of the base's look-ahead outcome columns (they
+# describe the 7 days after the week and are labels, not features).
+LOOKAHEAD_NAME_PARTS = ("_in_next_7d", "_next_7d_")
+
 # A column is a date candidate when its lower-case name holds one
 # of these substrings (F6), and gets a companion column with this suffix.
 DATE_NAME_PARTS = ("_dt_actual", "_date", "_modified_dt", "start_dt")
@@ -97,3 +101,9 @@ def normalise_values(col: str | Column, mapping: dict[str, str]) -> Column:
     for src, dst in mapping.items():
         expr = F.when(c == F.lit(src), F.lit(dst)) if expr is None else expr.when(c == F.lit(src), F.lit(dst))
     return c if expr is None else expr.otherwise(c)
+
+
+def lookahead_columns(df: DataFrame) -> list[str]:
+    """Names of look-ahead outcome columns; they pass through unchanged, and a
+    model trainer must treat them as labels."""
+    return [c for c in df.columns if any(p in c.lower() for p in LOOKAHEAD_NAME_PARTS)]
