@@ -165,3 +165,31 @@ def test_lookahead_columns(spark):
 
     df = spark.createDataFrame([(1, 2, 3, 4)], "DTV_ABs_In_Next_7D int, Offers_Applied_Next_7D_BB int, DTV_ABs_Ever int, TAs_in_next_7d int")
     assert lookahead_columns(df) == ["DTV_ABs_In_Next_7D", "Offers_Applied_Next_7D_BB", "TAs_in_next_7d"]
+
+
+def test_discrete_profile_wide_column_keeps_exact_count(spark):
+    df = spark.range(30).select(F.lit(1).alias("week"), F.col("id").cast("string").alias("c"), F.lit("k").alias("d"))
+    out = {r.colname: r for r in discrete_profile(df, ["c", "d"], max_listed=10).collect()}
+    assert out["c"].number_of_categories == 30 and out["c"].unique_values is None
+    assert out["d"].unique_values == ["k"] and out["d"].number_of_categories == 1
+
+
+def test_hot_account_results_match_brute_force(spark):
+    """One account holds a third of the rows; top-1 and counts stay exact."""
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        acct = "hot" if i % 3 == 0 else f"a{rnd.randrange(200)}"
+        rows.append((acct, rnd.randrange(4), rnd.choice(["T1", "T2"]), float(rnd.randrange(50)), i))
+    df = spark.createDataFrame(rows, "account string, week int, t string, amount double, tie int")
+    got = {(r.account, r.week): (r.t1_tie, r.t2_tie) for r in
+           top1_pivot(df, ["account", "week"], "t", ["T1", "T2"], [F.col("amount"), F.col("tie")], ["tie"]).collect()}
+    want = {}
+    for a, w, t, amt, tie in rows:
+        cur = want.setdefault((a, w), {})
+        if t not in cur or (amt, tie) < cur[t]:
+            cur[t] = (amt, tie)
+    want = {k: (v.get("T1", (None, None))[1], v.get("T2", (None, None))[1]) for k, v in want.items()}
+    assert got == want
