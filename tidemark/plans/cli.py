@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 from tidemark.functions.calendar import week_list
 from tidemark.plans.mart import run
 from tidemark.plans.star import Star
+from tidemark.session import apply_scale_conf
 
 PROCESS = "weekly_mart"
 
@@ -30,6 +31,7 @@ def main(argv: list[str] | None = None) -> list[int]:
     ap.add_argument("--table", default="mart", help="logical name of the mart in the log")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-weekly-mart").getOrCreate()
+    apply_scale_conf(spark)
     requested = week_list(Star(spark, a.data).spine(), a.lo, a.hi)
     done = run(spark, lambda weeks: Star(spark, a.data, weeks).mart(), requested, a.mart, a.log, PROCESS, a.table)
     print(f"weeks written: {done}")

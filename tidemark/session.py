@@ -48,3 +48,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+# Settings for a large cluster run (~100 TB of sources). AQE sizes shuffle
+# partitions from measured map output (start high, coalesce to ~256 MB), splits
+# skewed join partitions, and may broadcast a side whose measured size is
+# small; scan splits of 256 MB keep the task count in the hundreds of thousands.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "268435456",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "268435456",
+    "spark.sql.shuffle.partitions": "20000",
+}
+
+
+def apply_scale_conf(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
+    """Set ``SCALE_CONF`` keys the deployer has not set explicitly."""
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    for key, value in {**SCALE_CONF, **(overrides or {})}.items():
+        if key not in explicit:
+            spark.conf.set(key, value)
