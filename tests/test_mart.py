@@ -104,3 +104,11 @@ def test_week_restricted_run_equals_filtered_full_mart(spark):
     full = Star(spark, SF_SMALL).mart().filter(F.col(WEEK).isin(*weeks))
     assert part.count() > 0
     assert _rows(part) == _rows(full)
+
+
+def test_shared_dir_follows_session(spark):
+    from tidemark.session import scratch_path, shared_dir
+
+    base = shared_dir(spark)
+    assert base == (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    assert scratch_path(spark, "x").startswith(base.rstrip("/"))

@@ -15,13 +15,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set one only where it is unset."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
+
+    Only when the session names none (local tests) is a folder created and
+    registered with ``SparkContext.setCheckpointDir``; the config itself
+    cannot be changed at run time.
+    """
+    sc = spark.sparkContext
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir() or path
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
