@@ -112,3 +112,24 @@ def test_shared_dir_follows_session(spark):
     base = shared_dir(spark)
     assert base == (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
     assert scratch_path(spark, "x").startswith(base.rstrip("/"))
+
+
+def test_duplicate_eligibility_rows_do_not_fan_out(spark):
+    from tidemark.plans.blocks import eligibility_block
+
+    asof = spark.createDataFrame([(W1, dt.date(1996, 2, 11))], "week int, as_of date")
+    rows = spark.createDataFrame(
+        [(1, dt.date(1996, 2, 1), 10, "A"), (1, dt.date(1996, 2, 20), 11, "B"), (1, dt.date(1996, 2, 20), 12, "C"),
+         (1, dt.date(1995, 1, 1), 13, "old")],
+        "account bigint, tenure_start_date date, o_orderkey bigint, eligibility string",
+    )
+    spine = spark.createDataFrame([(1, W1, dt.date(1996, 2, 11)), (2, W1, dt.date(1996, 2, 11))], "account bigint, week int, as_of date")
+    block = eligibility_block(rows, asof, "tenure_start_date", ["eligibility"], "o_orderkey")
+    assert [(r.account, r.eligibility) for r in block.collect()] == [(1, "C")]  # latest date, highest tie
+    from tidemark.functions.calendar import generate_calendar
+
+    cal = generate_calendar(spark, dt.date(1994, 1, 1), dt.date(1997, 12, 31))
+    as_of_form = eligibility_block(rows, asof, "tenure_start_date", ["eligibility"], "o_orderkey",
+                                   spine_keys=spine.select("account", "week"), calendar=cal)
+    assert [(r.account, r.eligibility) for r in as_of_form.collect()] == [(1, "C")]
+    assert assemble(spine, [block]).count() == spine.count()
