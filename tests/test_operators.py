@@ -193,3 +193,21 @@ def test_hot_account_results_match_brute_force(spark):
             cur[t] = (amt, tie)
     want = {k: (v.get("T1", (None, None))[1], v.get("T2", (None, None))[1]) for k, v in want.items()}
     assert got == want
+
+
+def test_interval_join_clip_explodes_only_inside(spark):
+    from tidemark.operators import rangejoin
+
+    pts = spark.createDataFrame([(1, D(2000, 3, 5))], "week int, as_of date")
+    iv = spark.createDataFrame(
+        [("far", D(2030, 1, 1), D(2031, 1, 1)), ("inverted", D(2000, 3, 9), D(2000, 3, 1)), ("hit", D(1990, 1, 1), D(2040, 1, 1))],
+        "id string, s date, e date",
+    )
+    clip = (D(2000, 2, 28), D(2000, 3, 5))
+    got = interval_join(iv, "s", "e", pts, "as_of", clip=clip)
+    assert [r.id for r in got.collect()] == ["hit"]
+    # the explode feeding the join is bounded by the clip: at most 2 buckets for 'hit', none for the others
+    s = F.greatest(F.col("s"), F.lit(clip[0]))
+    e = F.least(F.col("e"), F.lit(clip[1]))
+    n = iv.select(F.size(F.when(s <= e, F.sequence(rangejoin._bucket(s, 7), rangejoin._bucket(e, 7)))).alias("n")).collect()
+    assert [r.n for r in n] == [None, None, 2]  # NULL array: no buckets

@@ -73,7 +73,10 @@ def interval_join(
     if clip is not None:
         s = F.greatest(s, F.lit(clip[0]))
         e = F.least(e, F.lit(clip[1]))
-    iv = intervals.withColumn(_B, F.explode(F.sequence(_bucket(s, bucket_days), _bucket(e, bucket_days))))
+    # An empty (or inverted) interval yields no buckets; ``sequence`` would
+    # otherwise count downwards from start to end.
+    buckets = F.when(s <= e, F.sequence(_bucket(s, bucket_days), _bucket(e, bucket_days)))
+    iv = intervals.withColumn(_B, F.explode(buckets))
     pts = points.withColumn(_B, _bucket(F.col(point_col), bucket_days))
     if broadcast_points:
         pts = F.broadcast(pts)

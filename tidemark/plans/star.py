@@ -304,6 +304,7 @@ class Star:
             "offer_amount",
             ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"],
             ["l_orderkey", "l_linenumber"],
+            clip=iso_week_bounds(self.weeks) if self.weeks else None,
         )
 
     def set_top_box(self, spine: DataFrame | None = None) -> DataFrame:
