@@ -40,7 +40,7 @@ def window_join(
     ``p - before <= date <= p + after`` (inclusive both ends)."""
     lo = _bucket(F.date_sub(F.col(point_col), before), bucket_days)
     hi = _bucket(F.date_add(F.col(point_col), after), bucket_days)
-    pts = points.withColumn(_B, F.explode(F.sequence(lo, hi)))
+    pts = points.withColumn(_B, F.explode(F.when(lo <= hi, F.sequence(lo, hi))))
     if broadcast_points:
         pts = F.broadcast(pts)
     ev = events.withColumn(_B, _bucket(F.col(date_col), bucket_days))
