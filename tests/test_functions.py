@@ -106,3 +106,14 @@ def test_spelling_merge(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     got = [r.s for r in df.select(normalise_values("s", SUB_CATEGORY_SPELLINGS).alias("s")).collect()]
     assert got == ["Recording / Playback Issue"] * 2 + ["Default/Vague"] * 2 + ["Other"]
+
+
+def test_fill_strings_and_run_sequences(spark):
+    from tidemark.functions.calendar import run_sequences
+    from tidemark.functions.shape import fill_strings
+
+    df = spark.createDataFrame([(None, None, 1.0)], "a string, b string, x double")
+    r = fill_strings(df).first()
+    assert (r.a, r.b, r.x) == ("None", "None", 1.0)
+    asof = spark.createDataFrame([(199602, dt.date(1996, 1, 14)), (199601, dt.date(1996, 1, 7)), (199701, dt.date(1997, 1, 5))], "week int, as_of date")
+    assert [tuple(x) for x in run_sequences(asof, 199601, 199652).collect()] == [("1996-01-07", "199601"), ("1996-01-14", "199602")]

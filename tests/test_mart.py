@@ -133,3 +133,12 @@ def test_duplicate_eligibility_rows_do_not_fan_out(spark):
                                    spine_keys=spine.select("account", "week"), calendar=cal)
     assert [(r.account, r.eligibility) for r in as_of_form.collect()] == [(1, "C")]
     assert assemble(spine, [block]).count() == spine.count()
+
+
+def test_cli_builds_pending_weeks_once(spark, scratch):
+    from tidemark.plans import cli
+
+    args = ["--data", SF_SMALL, "--mart", f"{scratch}/mart", "--log", f"{scratch}/log", "--from", "199601", "--to", "199603"]
+    assert cli.main(args) == [199601, 199602, 199603]
+    assert cli.main(args) == []
+    assert read_mart(spark, f"{scratch}/mart").select(WEEK).distinct().count() == 3

@@ -103,6 +103,16 @@ def week_list(df: DataFrame, lo: int | None = None, hi: int | None = None) -> Da
     return out.orderBy(WEEK)
 
 
+def run_sequences(asof: DataFrame, lo: int, hi: int) -> DataFrame:
+    """A10: (as-of date, week) pairs of weeks in [lo, hi], ascending, as text
+    (``yyyy-MM-dd`` and ``YYYYWW``), the form a launcher passes to each run."""
+    return (
+        asof.filter(F.col(WEEK).between(lo, hi))
+        .orderBy(WEEK)
+        .select(F.date_format(AS_OF, "yyyy-MM-dd").alias(AS_OF), F.col(WEEK).cast("string").alias(WEEK))
+    )
+
+
 def iso_week_bounds(weeks: list[int]) -> tuple[dt.date, dt.date]:
     """Driver-side date range of a list of ISO weeks, for a raw-date scan filter.
 

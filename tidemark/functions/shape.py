@@ -107,3 +107,10 @@ def lookahead_columns(df: DataFrame) -> list[str]:
     """Names of look-ahead outcome columns; they pass through unchanged, and a
     model trainer must treat them as labels."""
     return [c for c in df.columns if any(p in c.lower() for p in LOOKAHEAD_NAME_PARTS)]
+
+
+def fill_strings(df: DataFrame, value: str = "None") -> DataFrame:
+    """F8: NULL of every string column replaced by ``value`` (the reference's
+    ``na.fill('None')``; offered, not applied by any block)."""
+    cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    return df.na.fill(value, subset=cols) if cols else df

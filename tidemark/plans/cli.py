@@ -31,7 +31,8 @@ def main(argv: list[str] | None = None) -> list[int]:
     ap.add_argument("--table", default="mart", help="logical name of the mart in the log")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-weekly-mart").getOrCreate()
-    apply_scale_conf(spark)
+    if not spark.sparkContext.master.startswith("local"):
+        apply_scale_conf(spark)  # cluster sizing; local sessions keep their own
     requested = week_list(Star(spark, a.data).spine(), a.lo, a.hi)
     done = run(spark, lambda weeks: Star(spark, a.data, weeks).mart(), requested, a.mart, a.log, PROCESS, a.table)
     print(f"weeks written: {done}")

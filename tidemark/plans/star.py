@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import ACCOUNT, WEEK
-from tidemark.functions.calendar import AS_OF, as_of_frame, day_range, iso_week_bounds, generate_calendar, map_to_week, week_dimension, week_list
+from tidemark.functions.calendar import AS_OF, as_of_frame, day_range, iso_week_bounds, run_sequences, generate_calendar, map_to_week, week_dimension, week_list
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank
 from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, strip_cast
 from tidemark.functions.shape import normalise_values
@@ -391,6 +391,10 @@ def q_asof_per_week(spark, d):
     return Star(spark, d).asof()
 
 
+def q_run_sequences(spark, d):
+    return run_sequences(Star(spark, d).asof(), WEEK_LO + 100, WEEK_HI + 100)
+
+
 def q_weekly_base(spark, d):
     return Star(spark, d).spine()
 
@@ -591,6 +595,7 @@ QUERIES = {
     "week_calendar_map": q_week_calendar_map,
     "run_week_list": q_run_week_list,
     "asof_per_week": q_asof_per_week,
+    "run_sequences": q_run_sequences,
     "weekly_base": q_weekly_base,
     "strip_cast": q_strip_cast,
     "line_speed_block": q_line_speed_block,
