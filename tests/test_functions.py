@@ -117,3 +117,18 @@ def test_fill_strings_and_run_sequences(spark):
     assert (r.a, r.b, r.x) == ("None", "None", 1.0)
     asof = spark.createDataFrame([(199602, dt.date(1996, 1, 14)), (199601, dt.date(1996, 1, 7)), (199701, dt.date(1997, 1, 5))], "week int, as_of date")
     assert [tuple(x) for x in run_sequences(asof, 199601, 199652).collect()] == [("1996-01-07", "199601"), ("1996-01-14", "199602")]
+
+
+def test_stored_calendar_checked(spark):
+    from tidemark.functions import calendar as c
+
+    stored = spark.createDataFrame([("2000-01-03", "200001", "200001")], "d string, w string, m string")
+    out = c.normalise_calendar(stored, "d", "w", "m")
+    assert out.schema[c.WEEK].dataType.simpleString() == "int"
+    old = c.BROADCAST_MAX_ROWS
+    try:
+        c.BROADCAST_MAX_ROWS = 0
+        with pytest.raises(ValueError):
+            c.normalise_calendar(stored, "d", "w")
+    finally:
+        c.BROADCAST_MAX_ROWS = old

@@ -57,11 +57,20 @@ def generate_calendar(
 
 
 def normalise_calendar(df: DataFrame, date_col: str, week_col: str, month_col: str | None = None) -> DataFrame:
-    """Bring a stored calendar to the engine's types: DATE day, INT week (Q10)."""
+    """Bring a stored calendar to the engine's types: DATE day, INT week (Q10).
+
+    ``map_to_week`` broadcasts the calendar, so a stored one is counted once
+    here and refused if it exceeds ``BROADCAST_MAX_ROWS`` (a day-level
+    calendar of 270+ years means the wrong table was passed).
+    """
     cols = [F.to_date(F.col(date_col)).alias(CAL_DATE), F.col(week_col).try_cast("int").alias(WEEK)]
     if month_col:
         cols.append(F.col(month_col).try_cast("int").alias(MONTH))
-    return df.select(*cols)
+    out = df.select(*cols)
+    n = out.count()
+    if n > BROADCAST_MAX_ROWS:
+        raise ValueError(f"calendar has {n} rows, more than {BROADCAST_MAX_ROWS}; not broadcastable")
+    return out
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
@@ -74,7 +83,8 @@ def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame, keep_date
     """Inner join of events to the calendar on the event's day.
 
     Rows whose day is outside the calendar are dropped, as an inner join does.
-    The calendar must be a bounded dimension (generated or checked).
+    The calendar is broadcast: it must come from ``generate_calendar`` or
+    ``normalise_calendar`` (bounded by construction or by a checked count).
     """
     cal = F.broadcast(calendar.select(F.col(CAL_DATE).alias("__cal_d"), F.col(WEEK).alias("__cal_w")))
     out = df.withColumn("__ev_d", F.to_date(date_expr)).join(cal, F.col("__ev_d") == F.col("__cal_d"), "inner")

@@ -7,8 +7,10 @@ the buckets its window touches (window join), or the interval side to the
 buckets it covers (interval join); the join is then a hash join on the bucket
 followed by the exact range test, and the work is proportional to the matches.
 
-The as-of frame is one row per week, so its size is bounded by the calendar
-and broadcasting it is safe; ``broadcast_points=False`` leaves the choice to AQE.
+The point side is broadcast only when the caller says it is bounded
+(``broadcast_points=True``): the blocks do so for the per-week as-of frame,
+one row per week of the calendar. Otherwise the bucket equi-join is left to
+Spark and AQE (sort-merge, or a broadcast chosen from measured size).
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def window_join(
     before: int,
     after: int,
     bucket_days: int = 7,
-    broadcast_points: bool = True,
+    broadcast_points: bool = False,
 ) -> DataFrame:
     """Rows of ``events`` paired with every point p where
     ``p - before <= date <= p + after`` (inclusive both ends)."""
@@ -59,7 +61,7 @@ def interval_join(
     points: DataFrame,
     point_col: str,
     bucket_days: int = 7,
-    broadcast_points: bool = True,
+    broadcast_points: bool = False,
     clip: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Rows of ``intervals`` paired with every point p where

@@ -246,7 +246,8 @@ def eligibility_block(
         bounds = F.broadcast(asof.select(WEEK, AS_OF))
         kept = latest.join(bounds, WEEK, "inner").filter(F.col(date_col) >= F.date_sub(F.col(AS_OF), before))
         return kept.select(ACCOUNT, WEEK, *values, date_col)
-    joined = window_join(src, date_col, asof.select(WEEK, AS_OF), AS_OF, before, after)
+    # the as-of frame is one row per week: bounded, so broadcast
+    joined = window_join(src, date_col, asof.select(WEEK, AS_OF), AS_OF, before, after, broadcast_points=True)
     top = first_per_key(
         joined.select(ACCOUNT, WEEK, date_col, tie_col, *values),
         KEYS,
@@ -284,7 +285,8 @@ def offers_block(
     """Offers active at each week's as-of date (B4, interval join C11),
     then per (account, week) and type the cheapest offer's attributes as
     ``<type>_<attr>`` columns (F3, E3 fused into one aggregate)."""
-    active = interval_join(offers, start_col, end_col, asof.select(WEEK, AS_OF), AS_OF, clip=clip)
+    # the as-of frame is one row per week: bounded, so broadcast
+    active = interval_join(offers, start_col, end_col, asof.select(WEEK, AS_OF), AS_OF, clip=clip, broadcast_points=True)
     order = [F.col(amount_col)] + [F.col(c) for c in tie_cols]
     return top1_pivot(active, KEYS, type_col, vocab, order, attrs)
 

@@ -479,7 +479,9 @@ def q_offers_active(spark, d):
         start.alias("start_dt"),
         F.date_add(start, F.col("l_quantity").try_cast("int")).alias("end_dt"),
     )
-    return interval_join(li, "start_dt", "end_dt", s.asof(), AS_OF).select("l_orderkey", "l_linenumber", WEEK, AS_OF)
+    return interval_join(li, "start_dt", "end_dt", s.asof(), AS_OF, broadcast_points=True).select(
+        "l_orderkey", "l_linenumber", WEEK, AS_OF
+    )
 
 
 def q_offers_block(spark, d):
