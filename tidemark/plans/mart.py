@@ -14,7 +14,6 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark import ACCOUNT, WEEK
 from tidemark.functions.calendar import AS_OF
