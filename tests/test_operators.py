@@ -211,3 +211,17 @@ def test_interval_join_clip_explodes_only_inside(spark):
     e = F.least(F.col("e"), F.lit(clip[1]))
     n = iv.select(F.size(F.when(s <= e, F.sequence(rangejoin._bucket(s, 7), rangejoin._bucket(e, 7)))).alias("n")).collect()
     assert [r.n for r in n] == [None, None, 2]  # NULL array: no buckets
+
+
+def test_exact_profile_agrees_with_float_profile(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(w, round(rnd.uniform(-5e5, 5e5), 4)) for w in range(3) for _ in range(200)] + [(9, 1.5)]
+    df = spark.createDataFrame(rows, "week int, v double")
+    exact = {r.week: r for r in continuous_profile(df, ["v"], exact_mean_scale=6).collect()}
+    approx = {r.week: r for r in continuous_profile(df, ["v"]).collect()}
+    for w in (0, 1, 2):
+        assert abs(float(exact[w].mean_value) - approx[w].mean_value) < 1e-6
+        assert abs(exact[w].standard_deviation - approx[w].standard_deviation) < 1e-6 * approx[w].standard_deviation
+    assert exact[9].standard_deviation is None and float(exact[9].mean_value) == 1.5

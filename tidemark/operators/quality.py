@@ -62,16 +62,31 @@ def discrete_profile(df: DataFrame, cols: list[str], week: str = WEEK, max_liste
     return counts.join(lists, ["colname", week], "left").select("colname", week, "unique_values", "number_of_categories")
 
 
-def continuous_profile(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFrame:
-    """J3/D-13: max, min, mean and sample stddev per (column, week), long form."""
+def continuous_profile(
+    df: DataFrame, cols: list[str], week: str = WEEK, exact_mean_scale: int | None = None
+) -> DataFrame:
+    """J3/D-13: max, min, mean and sample stddev per (column, week), long form.
+
+    ``exact_mean_scale=s`` takes each value at ``s`` decimals as an integer
+    and computes the mean as an exact DECIMAL average and the sample standard
+    deviation from exact integer sums (n, Σx, Σx²): the result no longer
+    depends on the order in which executors add doubles, so a rounded profile
+    is reproducible run to run and across engines. Sums are partial
+    aggregates, so the cost is that of the double version.
+    """
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
+        if exact_mean_scale is None:
+            mean, sd = F.avg(x), F.stddev_samp(x)
+        else:
+            mean = F.avg(F.col(c).cast(f"decimal(38,{exact_mean_scale})"))
+            sd = _exact_stddev(x, exact_mean_scale)
         aggs += [
             F.max(x).alias(f"__mx{i}"),
             F.min(x).alias(f"__mn{i}"),
-            F.avg(x).alias(f"__av{i}"),
-            F.stddev_samp(x).alias(f"__sd{i}"),
+            mean.alias(f"__av{i}"),
+            sd.alias(f"__sd{i}"),
         ]
     wide = df.groupBy(week).agg(*aggs)
     rows = F.array(
@@ -89,6 +104,16 @@ def continuous_profile(df: DataFrame, cols: list[str], week: str = WEEK) -> Data
     return wide.select(week, F.explode(rows).alias("r")).select("r.colname", week, "r.maximum_value", "r.minimum_value", "r.mean_value", "r.standard_deviation")
 
 
+def _exact_stddev(x, scale: int):
+    """sqrt((nΣx² − (Σx)²) / (n(n−1))) / 10^scale over x = round(value·10^scale),
+    with exact DECIMAL(38,0) sums; NULL for fewer than two values."""
+    xi = F.round(x * F.lit(10.0**scale)).cast("decimal(38,0)")
+    n = F.count(xi)
+    num = n.cast("decimal(38,0)") * F.sum(xi * xi) - F.sum(xi) * F.sum(xi)
+    var = num.cast("double") / (n * (n - F.lit(1))).cast("double")
+    return F.when(n > 1, F.sqrt(var) / F.lit(10.0**scale))
+
+
 def stamp(df: DataFrame, column: str = "created_dt") -> DataFrame:
     """Run timestamp column as the reference's profiles carry it."""
     return df.withColumn(column, F.current_timestamp())

@@ -35,6 +35,27 @@ def rnd(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
+def exact_mean4(v: str) -> str:
+    """Mean of ``v`` taken at 6 decimals, computed in integers and rounded half
+    away from zero to 4 decimals (Spark's exact DECIMAL average + HALF_UP)."""
+    s = f"sum(CAST(round({v} * 1000000) AS HUGEINT))"
+    n = f"count({v})"
+    pos = f"CAST((2 * {s} + 100 * {n}) // (200 * {n}) AS DOUBLE) / 10000"
+    neg = f"-CAST((-2 * {s} + 100 * {n}) // (200 * {n}) AS DOUBLE) / 10000"
+    return f"(CASE WHEN {n} = 0 THEN NULL WHEN {s} >= 0 THEN {pos} ELSE {neg} END + 0.0)"
+
+
+def exact_stddev2(v: str) -> str:
+    """Sample stddev from exact integer sums of v at 6 decimals (same IEEE steps
+    as the Spark side), rounded like Spark to 2 decimals. HUGEINT goes through
+    text to DOUBLE so the conversion is correctly rounded."""
+    xi = f"CAST(round({v} * 1000000) AS HUGEINT)"
+    n = f"count({v})"
+    num = f"CAST(CAST({n} * sum({xi} * {xi}) - sum({xi}) * sum({xi}) AS VARCHAR) AS DOUBLE)"
+    sd = f"sqrt({num} / CAST({n} * ({n} - 1) AS DOUBLE)) / 1000000.0"
+    return rnd(f"(CASE WHEN {n} > 1 THEN {sd} END)", 2)
+
+
 PROPS = r"""regexp_extract(e.props, '"k":\s*(-?[0-9.]+)', 1)"""
 
 
@@ -231,13 +252,56 @@ def _block_query(name: str) -> str:
     return _with(CALENDAR, SPINE, *_block_ctes()) + f"SELECT * FROM {name}"
 
 
-def _mart() -> str:
+MART_DATE_COLS = ["tenure_start_date"] + [
+    f"{t.lower()}_{a}" for t in TYPES for a in ("offer_start_dt_actual", "offer_end_dt_actual")
+]
+
+
+def _mart_select() -> str:
     joins = "\n".join(f"LEFT JOIN {b} USING (account, week)" for b in MART_BLOCKS)
-    date_cols = ["tenure_start_date"] + [
-        f"{t.lower()}_{a}" for t in TYPES for a in ("offer_start_dt_actual", "offer_end_dt_actual")
-    ]
-    durs = ",\n  ".join(_dur(c) for c in date_cols)
-    return _with(CALENDAR, SPINE, *_block_ctes()) + f"SELECT *,\n  {durs}\nFROM spine\n{joins}"
+    durs = ",\n  ".join(_dur(c) for c in MART_DATE_COLS)
+    return f"SELECT *,\n  {durs}\nFROM spine\n{joins}"
+
+
+def _mart() -> str:
+    return _with(CALENDAR, SPINE, *_block_ctes()) + _mart_select()
+
+
+# Column classes of the mart (J1): text columns except the account, numeric
+# columns except the week. Dates are neither.
+MART_DISCRETE = ["c_mktsegment", "eligibility", "box_type", "tier_name", "loyalty_status"] + [
+    f"{t.lower()}_offer_status" for t in TYPES
+]
+MART_CONTINUOUS = (
+    ["c_nationkey", "c_acctbal", "name_number", "month_of_year"]
+    + [f"{m}_{c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") for m in ("min", "max")]
+    + [f"l_returnflag_{v}" for v in "anrx"]
+    + ["status_f", "status_o", "type_code_promo", "type_code_standard"]
+    + ["score_1", "score_2", "duration_sec", "props_total", "total_abandons", "mean_duration"]
+    + [f"channel_{v}" for v in ("click", "error", "purchase", "signup", "view")]
+    + ["finished_flag", "pending_flag", "urgent_flag", "low_flag"]
+    + [f"genre_{g}" for g in GENRES]
+    + ["bill_total", "amount_paid", "payment_delay_in_days"]
+    + [f"{t.lower()}_{a}" for t in TYPES for a in ("offer_amount", "percent_value")]
+    + [f"event_type_{v}" for v in "fop"]
+    + ["event_sub_category_3medium", "event_sub_category_high", "event_sub_category_low"]
+    + [f"{c}_duration_days" for c in MART_DATE_COLS]
+)
+
+
+def _mart_profile(kind: str) -> str:
+    cols = MART_DISCRETE if kind == "discrete" else MART_CONTINUOUS
+    cast = "VARCHAR" if kind == "discrete" else "DOUBLE"
+    long = "\n  UNION ALL ".join(f"SELECT week, '{c}' AS colname, CAST({c} AS {cast}) AS v FROM mart" for c in cols)
+    head = _with(CALENDAR, SPINE, *_block_ctes(), f"mart AS (\n{_mart_select()})", f"long AS (\n  {long})")
+    if kind == "discrete":
+        return head + """SELECT colname, week,
+  COALESCE(string_agg(DISTINCT v, ',' ORDER BY v), '') AS unique_values,
+  count(DISTINCT v) + max(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS number_of_categories
+FROM long GROUP BY colname, week"""
+    return head + f"""SELECT colname, week, max(v) AS maximum_value, min(v) AS minimum_value,
+  {exact_mean4('v')} AS mean_value, {exact_stddev2('v')} AS standard_deviation
+FROM long GROUP BY colname, week"""
 
 
 REQUESTED_AND_LOG = """requested AS (SELECT DISTINCT week FROM spine),
@@ -260,7 +324,7 @@ DQ_CONTINUOUS = _with(CALENDAR, """src AS (
   SELECT c.week, l.l_quantity, l.l_extendedprice, l.l_discount, l.l_tax
   FROM lineitem l JOIN calendar c ON CAST(l.l_shipdate AS DATE) = c.calendar_date)""") + "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS colname, week, max({c}) AS maximum_value, min({c}) AS minimum_value,
-  {rnd(f'avg({c})', 4)} AS mean_value, {rnd(f'stddev_samp({c})', 2)} AS standard_deviation
+  {exact_mean4(c)} AS mean_value, {exact_stddev2(c)} AS standard_deviation
 FROM src GROUP BY week"""
     for c in _CONT
 )
@@ -308,6 +372,8 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE o
     + "SELECT week FROM requested WHERE week > COALESCE((SELECT max(week) FROM run_log), -2147483648)",
     "dq_discrete": DQ_DISCRETE,
     "dq_continuous": DQ_CONTINUOUS,
+    "dq_mart_discrete": _mart_profile("discrete"),
+    "dq_mart_continuous": _mart_profile("continuous"),
     "mart_roundtrip": _with(CALENDAR, SPINE, *_block_ctes()) + """SELECT s.*, b.bill_total, b.amount_paid, b.payment_delay_in_days,
   CASE WHEN s.week = (SELECT max(week) FROM spine) THEN 1 END AS rerun_flag
 FROM spine s LEFT JOIN billing b ON b.account = s.account AND b.week = s.week""",

@@ -29,7 +29,7 @@ from tidemark.functions.calendar import (
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank
 from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, normalise_values, strip_cast
 from tidemark.operators.encode import discover_vocabularies
-from tidemark.operators.quality import continuous_profile, discrete_profile
+from tidemark.operators.quality import classify_columns, continuous_profile, discrete_profile
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble
 from tidemark.session import materialize, scratch_path
@@ -579,8 +579,36 @@ def q_dq_discrete(spark, d):
 def q_dq_continuous(spark, d):
     s = Star(spark, d)
     li = map_to_week(s.t("lineitem").select("l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax"), F.col("l_shipdate"), s.calendar)
-    prof = continuous_profile(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
-    return _round(prof, {"mean_value": 4, "standard_deviation": 2})
+    prof = continuous_profile(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], exact_mean_scale=6)
+    return _profile_out(prof)
+
+
+def _profile_out(prof: DataFrame) -> DataFrame:
+    """Exact decimal mean rounded half-up to 4 places; stddev to 2 places."""
+    return prof.select(
+        "colname", WEEK, "maximum_value", "minimum_value",
+        F.round("mean_value", 4).cast("double").alias("mean_value"),
+        F.round("standard_deviation", 2).alias("standard_deviation"),
+    )
+
+
+def _mart_profiles(spark, d):
+    m = q_customer_week_mart(spark, d)
+    discrete, continuous = classify_columns(m)
+    return m, discrete, continuous
+
+
+def q_dq_mart_discrete(spark, d):
+    """J1+J2 on the mart itself: text columns except the account, per week."""
+    m, discrete, _ = _mart_profiles(spark, d)
+    prof = discrete_profile(m, discrete)
+    return prof.select("colname", WEEK, F.array_join("unique_values", ",").alias("unique_values"), "number_of_categories")
+
+
+def q_dq_mart_continuous(spark, d):
+    """J1+J3 on the mart itself: numeric columns except the week, per week."""
+    m, _, continuous = _mart_profiles(spark, d)
+    return _profile_out(continuous_profile(m, continuous, exact_mean_scale=6))
 
 
 def q_mart_roundtrip(spark, d):
@@ -637,6 +665,8 @@ QUERIES = {
     "pending_after_hwm": q_pending_after_hwm,
     "dq_discrete": q_dq_discrete,
     "dq_continuous": q_dq_continuous,
+    "dq_mart_discrete": q_dq_mart_discrete,
+    "dq_mart_continuous": q_dq_mart_continuous,
     "mart_roundtrip": q_mart_roundtrip,
     "json_roundtrip": q_json_roundtrip,
 }
