@@ -225,3 +225,18 @@ def test_exact_profile_agrees_with_float_profile(spark):
         assert abs(float(exact[w].mean_value) - approx[w].mean_value) < 1e-6
         assert abs(exact[w].standard_deviation - approx[w].standard_deviation) < 1e-6 * approx[w].standard_deviation
     assert exact[9].standard_deviation is None and float(exact[9].mean_value) == 1.5
+
+
+def test_pipeline_block_text_measure_and_own_week(spark):
+    from tidemark.functions.calendar import generate_calendar
+    from tidemark.plans.blocks import pipeline_block
+
+    cal = generate_calendar(spark, D(2000, 1, 1), D(2000, 12, 31))
+    df = spark.createDataFrame(
+        [("a", D(2000, 3, 1), "200009", 1, "2"), ("a", D(2000, 3, 2), "200009", 1, "x"),
+         ("a", D(2000, 3, 3), "200010", 1, "5")],
+        "account string, event_dt date, own_week string, flag int, code string",
+    )
+    out = pipeline_block(df, cal, "event_dt", ["flag", "code"], own_week="own_week").collect()
+    # the third row's own week disagrees with its calendar week (Q19); 'x' sums as NULL (Q3)
+    assert [(r.account, r.week, r.flag, r.code) for r in out] == [("a", 200009, 2, 2.0)]

@@ -593,7 +593,9 @@ def _profile_out(prof: DataFrame) -> DataFrame:
 
 
 def _mart_profiles(spark, d):
-    m = q_customer_week_mart(spark, d)
+    """Profiles read the mart as written (as the reference profiles its loaded
+    table): one write to the shared folder, then a columnar scan."""
+    m = materialize(q_customer_week_mart(spark, d), "mart-profile")
     discrete, continuous = classify_columns(m)
     return m, discrete, continuous
 
