@@ -332,10 +332,10 @@ FROM src GROUP BY week"""
 ORACLE_SQL = {
     "week_calendar_map": _with(CALENDAR) + """SELECT c.week, count(*) AS n_orders
 FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date GROUP BY c.week""",
-    "run_week_list": _with(CALENDAR, SPINE) + "SELECT DISTINCT week FROM spine WHERE week BETWEEN 199501 AND 199552 ORDER BY week",
+    "run_week_list": _with(CALENDAR, SPINE) + "SELECT DISTINCT week FROM spine WHERE week BETWEEN 199401 AND 200252 ORDER BY week",
     "asof_per_week": _with(CALENDAR, SPINE) + "SELECT week, as_of FROM week_asof",
     "run_sequences": _with(CALENDAR, SPINE) + """SELECT strftime(as_of, '%Y-%m-%d') AS as_of, CAST(week AS VARCHAR) AS week
-FROM week_asof WHERE week BETWEEN 199601 AND 199652 ORDER BY week""",
+FROM week_asof WHERE week BETWEEN 199401 AND 200252 ORDER BY week""",
     "weekly_base": _with(CALENDAR, SPINE) + "SELECT * FROM spine",
     "strip_cast": """SELECT p_partkey, p_brand,
   TRY_CAST(regexp_replace(p_brand, 'Brand#', '', 'g') AS BIGINT) AS brand_number,

@@ -47,7 +47,7 @@ ACCOUNT_NAME_FORMAT = "Customer#%09d"
 PROPS_NUMBER = r'"k":\s*(-?[0-9.]+)'
 LOGGED_MONTHS = [1, 2, 3, 7, 8, 9]
 LOGGED_UNTIL_YEAR = 2000
-WEEK_LO, WEEK_HI = 199501, 199552
+WEEK_LO, WEEK_HI = 199401, 200252  # covers every week of the order dates
 
 
 class Star:
@@ -405,7 +405,7 @@ def q_asof_per_week(spark, d):
 
 
 def q_run_sequences(spark, d):
-    return run_sequences(Star(spark, d).asof(), WEEK_LO + 100, WEEK_HI + 100)
+    return run_sequences(Star(spark, d).asof(), WEEK_LO, WEEK_HI)
 
 
 def q_weekly_base(spark, d):
