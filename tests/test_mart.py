@@ -136,9 +136,18 @@ def test_duplicate_eligibility_rows_do_not_fan_out(spark):
 
 
 def test_cli_builds_pending_weeks_once(spark, scratch):
+    import json
+    import os
+
     from tidemark.plans import cli
 
-    args = ["--data", SF_SMALL, "--mart", f"{scratch}/mart", "--log", f"{scratch}/log", "--from", "199601", "--to", "199603"]
+    vocab = f"{scratch}/vocab.json"
+    args = ["--data", SF_SMALL, "--mart", f"{scratch}/mart", "--log", f"{scratch}/log", "--from", "199601", "--to", "199603",
+            "--vocab", vocab]
     assert cli.main(args) == [199601, 199602, 199603]
+    assert os.path.exists(vocab) and json.load(open(vocab))["part"]["p_type"]
     assert cli.main(args) == []
-    assert read_mart(spark, f"{scratch}/mart").select(WEEK).distinct().count() == 3
+    more = args[:9] + ["199605"] + args[10:]
+    assert cli.main(more) == [199604, 199605]  # stored vocabulary reused
+    mart = read_mart(spark, f"{scratch}/mart")
+    assert mart.select(WEEK).distinct().count() == 5

@@ -10,6 +10,8 @@ overwrite, and logged after the write succeeds. A re-run is a no-op.
 from __future__ import annotations
 
 import argparse
+import json
+import os
 
 from pyspark.sql import SparkSession
 
@@ -29,15 +31,38 @@ def main(argv: list[str] | None = None) -> list[int]:
     ap.add_argument("--from", dest="lo", type=int, required=True, help="first week YYYYWW")
     ap.add_argument("--to", dest="hi", type=int, required=True, help="last week YYYYWW")
     ap.add_argument("--table", default="mart", help="logical name of the mart in the log")
+    ap.add_argument("--vocab", help="JSON file of stored category vocabularies; written on first use")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-weekly-mart").getOrCreate()
     if not spark.sparkContext.master.startswith("local"):
         apply_scale_conf(spark)  # cluster sizing; local sessions keep their own
+    vocab = _load_vocab(a.vocab)
     requested = week_list(Star(spark, a.data).spine(), a.lo, a.hi)
-    done = run(spark, lambda weeks: Star(spark, a.data, weeks).mart(), requested, a.mart, a.log, PROCESS, a.table)
+
+    def build(weeks: list[int]):
+        star = Star(spark, a.data, weeks, vocab)
+        mart = star.mart()
+        if a.vocab and vocab is None:
+            _save_vocab(a.vocab, star.vocab("part", "lineitem", "events", "journey"))
+        return mart
+
+    done = run(spark, build, requested, a.mart, a.log, PROCESS, a.table)
     print(f"weeks written: {done}")
     return done
 
 
+def _load_vocab(path: str | None):
+    """Stored vocabularies keep every run's schema the same (driver-side metadata)."""
+    if not path or not os.path.exists(path):
+        return None
+    with open(path) as fh:
+        return json.load(fh)
+
+
+def _save_vocab(path: str, vocab: dict) -> None:
+    with open(path, "w") as fh:
+        json.dump(vocab, fh, indent=1, sort_keys=True)
+
+
 if __name__ == "__main__":
     main()

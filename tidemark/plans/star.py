@@ -53,11 +53,19 @@ WEEK_LO, WEEK_HI = 199401, 200252  # covers every week of the order dates
 class Star:
     """Lazy readers of the driver tables plus the derived calendar and spine."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, weeks: list[int] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        weeks: list[int] | None = None,
+        vocab: dict[str, dict[str, list[str]]] | None = None,
+    ):
         """``weeks`` limits the run to those weeks: every weekly block maps
         dates through the calendar, so restricting the calendar restricts them
         all. The as-of join of the box block keeps the full calendar because it
-        needs history from earlier weeks."""
+        needs history from earlier weeks. ``vocab`` supplies stored category
+        vocabularies (same shape as ``vocab()`` returns), so a run's schema is
+        fixed and no discovery scan is needed."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.weeks = sorted(weeks) if weeks else None
@@ -67,7 +75,7 @@ class Star:
             cal = cal.filter(F.col(WEEK).isin(*self.weeks))
         self.calendar = cal
         self.week_dim = week_dimension(self.calendar)
-        self._vocab: dict[str, dict[str, list[str]]] = {}
+        self._vocab: dict[str, dict[str, list[str]]] = dict(vocab or {})
 
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
