@@ -240,3 +240,11 @@ def test_pipeline_block_text_measure_and_own_week(spark):
     out = pipeline_block(df, cal, "event_dt", ["flag", "code"], own_week="own_week").collect()
     # the third row's own week disagrees with its calendar week (Q19); 'x' sums as NULL (Q3)
     assert [(r.account, r.week, r.flag, r.code) for r in out] == [("a", 200009, 2, 2.0)]
+
+
+def test_exact_profile_falls_back_on_overflow(spark):
+    big = 9.0e17  # at 6 decimals, x² no longer fits 38 digits
+    df = spark.createDataFrame([(1, big), (1, -big), (1, 1.0)], "week int, v double")
+    r = continuous_profile(df, ["v"], exact_mean_scale=6).first()
+    assert r.standard_deviation is not None and abs(r.standard_deviation - 9.0e17) / 9.0e17 < 1e-9
+    assert abs(r.mean_value - 1 / 3) < 1e-6

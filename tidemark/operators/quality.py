@@ -80,7 +80,7 @@ def continuous_profile(
         if exact_mean_scale is None:
             mean, sd = F.avg(x), F.stddev_samp(x)
         else:
-            mean = F.avg(F.col(c).cast(f"decimal(38,{exact_mean_scale})"))
+            mean = _exact_mean(c, exact_mean_scale)
             sd = _exact_stddev(x, exact_mean_scale)
         aggs += [
             F.max(x).alias(f"__mx{i}"),
@@ -106,12 +106,30 @@ def continuous_profile(
 
 def _exact_stddev(x, scale: int):
     """sqrt((nΣx² − (Σx)²) / (n(n−1))) / 10^scale over x = round(value·10^scale),
-    with exact DECIMAL(38,0) sums; NULL for fewer than two values."""
-    xi = F.round(x * F.lit(10.0**scale)).cast("decimal(38,0)")
+    with exact DECIMAL(38,0) sums; NULL for fewer than two values.
+
+    Casts, products and sums use ``try_`` forms. If any value, square, sum or
+    product does not fit 38 digits, the group falls back to the floating
+    ``stddev_samp`` instead of failing or silently skipping values."""
+    xi = F.round(x * F.lit(10.0**scale)).try_cast("decimal(38,0)")
+    xx = F.try_multiply(xi, xi)
+    lost = F.count_if(x.isNotNull() & (xi.isNull() | xx.isNull()))
     n = F.count(xi)
-    num = n.cast("decimal(38,0)") * F.sum(xi * xi) - F.sum(xi) * F.sum(xi)
+    sx = F.try_sum(xi)
+    num = F.try_subtract(F.try_multiply(n.cast("decimal(38,0)"), F.try_sum(xx)), F.try_multiply(sx, sx))
     var = num.cast("double") / (n * (n - F.lit(1))).cast("double")
-    return F.when(n > 1, F.sqrt(var) / F.lit(10.0**scale))
+    exact = F.when(lost == 0, F.sqrt(var) / F.lit(10.0**scale))
+    return F.when(F.count(x) > 1, F.coalesce(exact, F.stddev_samp(x)))
+
+
+def _exact_mean(col: str, scale: int):
+    """Exact DECIMAL average at ``scale`` decimals, or the floating mean when a
+    value or the sum does not fit DECIMAL(38, scale)."""
+    x = F.col(col).cast("double")
+    dec = F.col(col).try_cast(f"decimal(38,{scale})")
+    lost = F.count_if(x.isNotNull() & dec.isNull())
+    exact = F.when(lost == 0, F.try_avg(dec).cast("double"))
+    return F.coalesce(exact, F.avg(x))
 
 
 def stamp(df: DataFrame, column: str = "created_dt") -> DataFrame:

@@ -592,10 +592,10 @@ def q_dq_continuous(spark, d):
 
 
 def _profile_out(prof: DataFrame) -> DataFrame:
-    """Exact decimal mean rounded half-up to 4 places; stddev to 2 places."""
+    """Mean rounded half-up to 4 places; stddev to 2 places."""
     return prof.select(
         "colname", WEEK, "maximum_value", "minimum_value",
-        F.round("mean_value", 4).cast("double").alias("mean_value"),
+        F.round("mean_value", 4).alias("mean_value"),
         F.round("standard_deviation", 2).alias("standard_deviation"),
     )
 
