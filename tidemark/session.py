@@ -19,9 +19,16 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only when the session names none (local tests) is a folder created and
     registered with ``SparkContext.setCheckpointDir``; the config itself
-    cannot be changed at run time.
+    cannot be changed at run time. Sessions without a SparkContext (Spark
+    Connect) read the setting from the session conf.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder for this session")
+        return path
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         current = sc.getCheckpointDir()
