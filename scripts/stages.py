@@ -8,6 +8,7 @@ fresh scratch folder, then prints the second run's stages longer than 150 ms
 """
 
 import glob
+import io
 import json
 import os
 import sys
@@ -53,7 +54,9 @@ def main() -> None:
     for f in files:
         with open(f, "rb") as fh:
             data = fh.read()
-        raw += zstandard.ZstdDecompressor().decompressobj().decompress(data) if f.endswith(".zstd") else data
+        if f.endswith(".zstd"):  # several zstd frames: read across all of them
+            data = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(data), read_across_frames=True).read()
+        raw += data
     stages = {}
     for line in raw.decode().splitlines():
         e = json.loads(line)
