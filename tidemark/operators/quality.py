@@ -7,6 +7,8 @@ long, discrete columns through one unpivot and two aggregations.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -63,7 +65,11 @@ def discrete_profile(df: DataFrame, cols: list[str], week: str = WEEK, max_liste
 
 
 def continuous_profile(
-    df: DataFrame, cols: list[str], week: str = WEEK, exact_mean_scale: int | None = None
+    df: DataFrame,
+    cols: list[str],
+    week: str = WEEK,
+    exact_mean_scale: int | None = None,
+    batch_size: int | None = None,
 ) -> DataFrame:
     """J3/D-13: max, min, mean and sample stddev per (column, week), long form.
 
@@ -72,8 +78,19 @@ def continuous_profile(
     deviation from exact integer sums (n, Σx, Σx²): the result no longer
     depends on the order in which executors add doubles, so a rounded profile
     is reproducible run to run and across engines. Sums are partial
-    aggregates, so the cost is that of the double version.
+    aggregates.
+
+    ``batch_size=k`` aggregates k columns at a time and unions the results (one
+    job). Several hundred aggregate expressions in one ``agg`` exceed the size
+    of generated code Spark compiles, so one very wide aggregate runs slower than
+    a few narrower ones. On a written table each batch scans only its own columns.
     """
+    if batch_size and len(cols) > batch_size:
+        parts = [
+            continuous_profile(df, cols[i : i + batch_size], week, exact_mean_scale)
+            for i in range(0, len(cols), batch_size)
+        ]
+        return reduce(DataFrame.unionByName, parts)
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -108,15 +125,16 @@ def _exact_stddev(x, scale: int):
     """sqrt((nΣx² − (Σx)²) / (n(n−1))) / 10^scale over x = round(value·10^scale),
     with exact DECIMAL(38,0) sums; NULL for fewer than two values.
 
-    Casts, products and sums use ``try_`` forms. If any value, square, sum or
-    product does not fit 38 digits, the group falls back to the floating
-    ``stddev_samp`` instead of failing or silently skipping values."""
-    xi = F.round(x * F.lit(10.0**scale)).try_cast("decimal(38,0)")
-    xx = F.try_multiply(xi, xi)
-    lost = F.count_if(x.isNotNull() & (xi.isNull() | xx.isNull()))
+    Per row, values with |value|·10^scale ≥ 10^18 are not scaled (so x² always
+    fits 38 digits) and count as lost; sums and the per-group products use
+    ``try_`` forms. A group with a lost value or an overflow falls back to the
+    floating ``stddev_samp``: the result never fails and never skips values."""
+    limit = 10.0 ** (18 - scale)
+    xi = F.when(F.abs(x) < F.lit(limit), F.round(x * F.lit(10.0**scale))).cast("decimal(38,0)")
+    lost = F.count_if(x.isNotNull() & xi.isNull())
     n = F.count(xi)
     sx = F.try_sum(xi)
-    num = F.try_subtract(F.try_multiply(n.cast("decimal(38,0)"), F.try_sum(xx)), F.try_multiply(sx, sx))
+    num = F.try_subtract(F.try_multiply(n.cast("decimal(38,0)"), F.try_sum(xi * xi)), F.try_multiply(sx, sx))
     var = num.cast("double") / (n * (n - F.lit(1))).cast("double")
     exact = F.when(lost == 0, F.sqrt(var) / F.lit(10.0**scale))
     return F.when(F.count(x) > 1, F.coalesce(exact, F.stddev_samp(x)))
@@ -124,9 +142,9 @@ def _exact_stddev(x, scale: int):
 
 def _exact_mean(col: str, scale: int):
     """Exact DECIMAL average at ``scale`` decimals, or the floating mean when a
-    value or the sum does not fit DECIMAL(38, scale)."""
+    value (|value| ≥ 10^20) or the sum does not fit DECIMAL(38, scale)."""
     x = F.col(col).cast("double")
-    dec = F.col(col).try_cast(f"decimal(38,{scale})")
+    dec = F.when(F.abs(x) < F.lit(1e20), F.col(col)).cast(f"decimal(38,{scale})")
     lost = F.count_if(x.isNotNull() & dec.isNull())
     exact = F.when(lost == 0, F.try_avg(dec).cast("double"))
     return F.coalesce(exact, F.avg(x))

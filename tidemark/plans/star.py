@@ -618,7 +618,7 @@ def q_dq_mart_discrete(spark, d):
 def q_dq_mart_continuous(spark, d):
     """J1+J3 on the mart itself: numeric columns except the week, per week."""
     m, _, continuous = _mart_profiles(spark, d)
-    return _profile_out(continuous_profile(m, continuous, exact_mean_scale=6))
+    return _profile_out(continuous_profile(m, continuous, exact_mean_scale=6, batch_size=20))
 
 
 def q_mart_roundtrip(spark, d):
