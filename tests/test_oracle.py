@@ -55,3 +55,17 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["account", "week"]
+
+
+def test_oracle_mart_column_classes_match_spark(spark):
+    from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
+
+    from tidemark.operators.quality import classify_columns
+    from tidemark.plans import oracle_sql
+
+    mart = entry.queries()["customer_week_mart"](spark, SF_SMALL)
+    discrete, continuous = classify_columns(mart)
+    assert sorted(discrete) == sorted(oracle_sql.MART_DISCRETE)
+    assert sorted(continuous) == sorted(oracle_sql.MART_CONTINUOUS)
+    ints = [f.name for f in mart.schema.fields if isinstance(f.dataType, (ByteType, ShortType, IntegerType, LongType))]
+    assert sorted(c for c in ints if c in continuous) == sorted(oracle_sql.MART_INTEGRAL)

@@ -97,8 +97,9 @@ def continuous_profile(
         if exact_mean_scale is None:
             mean, sd = F.avg(x), F.stddev_samp(x)
         else:
-            mean = _exact_mean(c, exact_mean_scale)
-            sd = _exact_stddev(x, exact_mean_scale)
+            integral = isinstance(df.schema[c].dataType, (ByteType, ShortType, IntegerType, LongType))
+            mean = _exact_mean(c, exact_mean_scale, integral)
+            sd = _exact_stddev(x, exact_mean_scale, integral)
         aggs += [
             F.max(x).alias(f"__mx{i}"),
             F.min(x).alias(f"__mn{i}"),
@@ -121,29 +122,42 @@ def continuous_profile(
     return wide.select(week, F.explode(rows).alias("r")).select("r.colname", week, "r.maximum_value", "r.minimum_value", "r.mean_value", "r.standard_deviation")
 
 
-def _exact_stddev(x, scale: int):
+def _exact_stddev(x, scale: int, integral: bool = False):
     """sqrt((nΣx² − (Σx)²) / (n(n−1))) / 10^scale over x = round(value·10^scale),
-    with exact DECIMAL(38,0) sums; NULL for fewer than two values.
-
-    Per row, values with |value|·10^scale ≥ 10^18 are not scaled (so x² always
-    fits 38 digits) and count as lost; sums and the per-group products use
-    ``try_`` forms. A group with a lost value or an overflow falls back to the
-    floating ``stddev_samp``: the result never fails and never skips values."""
-    limit = 10.0 ** (18 - scale)
-    xi = F.when(F.abs(x) < F.lit(limit), F.round(x * F.lit(10.0**scale))).cast("decimal(38,0)")
+    from exact sums; NULL for fewer than two values.
+
+    Integer columns are summed as 64-bit integers (x itself, unscaled; values
+    guarded below 2^31 so squares stay below 2^62) with ``try_sum`` overflow
+    detection; other columns as DECIMAL(38,0)
+    after a per-row magnitude guard (so x² always fits 38 digits). The
+    per-group products use ``try_`` forms. A group with a value outside the
+    guard or an overflowing sum falls back to the floating ``stddev_samp``: the
+    result never fails and never skips values."""
+    if integral:
+        unit = 1.0
+        xi = F.when(F.abs(x) < F.lit(2.0**31), x).cast("long")
+        sq = xi * xi
+    else:
+        unit = 10.0**scale
+        xi = F.when(F.abs(x) < F.lit(10.0 ** (18 - scale)), F.round(x * F.lit(unit))).cast("decimal(38,0)")
+        sq = xi * xi
     lost = F.count_if(x.isNotNull() & xi.isNull())
     n = F.count(xi)
-    sx = F.try_sum(xi)
-    num = F.try_subtract(F.try_multiply(n.cast("decimal(38,0)"), F.try_sum(xi * xi)), F.try_multiply(sx, sx))
+    sx = F.try_sum(xi).cast("decimal(38,0)")
+    sxx = F.try_sum(sq).cast("decimal(38,0)")
+    num = F.try_subtract(F.try_multiply(n.cast("decimal(38,0)"), sxx), F.try_multiply(sx, sx))
     var = num.cast("double") / (n * (n - F.lit(1))).cast("double")
-    exact = F.when(lost == 0, F.sqrt(var) / F.lit(10.0**scale))
+    exact = F.when(lost == 0, F.sqrt(var) / F.lit(unit))
     return F.when(F.count(x) > 1, F.coalesce(exact, F.stddev_samp(x)))
 
 
-def _exact_mean(col: str, scale: int):
-    """Exact DECIMAL average at ``scale`` decimals, or the floating mean when a
-    value (|value| ≥ 10^20) or the sum does not fit DECIMAL(38, scale)."""
+def _exact_mean(col: str, scale: int, integral: bool = False):
+    """Exact average (64-bit integer sum for integer columns, DECIMAL(38,scale)
+    otherwise), or the floating mean when a value or the sum does not fit."""
     x = F.col(col).cast("double")
+    if integral:
+        exact = F.try_sum(F.col(col).cast("long")).cast("decimal(38,0)") / F.count(F.col(col))
+        return F.coalesce(exact.cast("double"), F.avg(x))
     dec = F.when(F.abs(x) < F.lit(1e20), F.col(col)).cast(f"decimal(38,{scale})")
     lost = F.count_if(x.isNotNull() & dec.isNull())
     exact = F.when(lost == 0, F.try_avg(dec).cast("double"))

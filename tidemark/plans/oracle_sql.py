@@ -35,24 +35,27 @@ def rnd(expr: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
 
 
-def exact_mean4(v: str) -> str:
-    """Mean of ``v`` taken at 6 decimals, computed in integers and rounded half
-    away from zero to 4 decimals (Spark's exact DECIMAL average + HALF_UP)."""
-    s = f"sum(CAST(round({v} * 1000000) AS HUGEINT))"
+def exact_mean4(v: str, scale: int = 6) -> str:
+    """Mean of ``v`` taken at ``scale`` decimals, computed in integers and
+    rounded half away from zero to 4 decimals (Spark's exact average + HALF_UP)."""
+    u = 10**scale
+    s = f"sum(CAST(round({v} * {u}) AS HUGEINT))"
     n = f"count({v})"
-    pos = f"CAST((2 * {s} + 100 * {n}) // (200 * {n}) AS DOUBLE) / 10000"
-    neg = f"-CAST((-2 * {s} + 100 * {n}) // (200 * {n}) AS DOUBLE) / 10000"
+    pos = f"CAST((2 * {s} * 10000 + {n} * {u}) // (2 * {n} * {u}) AS DOUBLE) / 10000"
+    neg = f"-CAST((-2 * {s} * 10000 + {n} * {u}) // (2 * {n} * {u}) AS DOUBLE) / 10000"
     return f"(CASE WHEN {n} = 0 THEN NULL WHEN {s} >= 0 THEN {pos} ELSE {neg} END + 0.0)"
 
 
-def exact_stddev2(v: str) -> str:
-    """Sample stddev from exact integer sums of v at 6 decimals (same IEEE steps
-    as the Spark side), rounded like Spark to 2 decimals. HUGEINT goes through
-    text to DOUBLE so the conversion is correctly rounded."""
-    xi = f"CAST(round({v} * 1000000) AS HUGEINT)"
+def exact_stddev2(v: str, scale: int = 6) -> str:
+    """Sample stddev from exact integer sums of v at ``scale`` decimals (the same
+    IEEE steps as the Spark side: integer columns unscaled, others at 6),
+    rounded like Spark to 2 decimals. HUGEINT goes through text to DOUBLE so
+    the conversion is correctly rounded."""
+    u = 10**scale
+    xi = f"CAST(round({v} * {u}) AS HUGEINT)"
     n = f"count({v})"
     num = f"CAST(CAST({n} * sum({xi} * {xi}) - sum({xi}) * sum({xi}) AS VARCHAR) AS DOUBLE)"
-    sd = f"sqrt({num} / CAST({n} * ({n} - 1) AS DOUBLE)) / 1000000.0"
+    sd = f"sqrt({num} / CAST({n} * ({n} - 1) AS DOUBLE)) / {float(u)}"
     return rnd(f"(CASE WHEN {n} > 1 THEN {sd} END)", 2)
 
 
@@ -289,6 +292,16 @@ MART_CONTINUOUS = (
 )
 
 
+# Mart columns of DOUBLE type; every other continuous column is an integer type.
+MART_DOUBLES = (
+    ["c_acctbal"]
+    + [f"{m}_{c}" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") for m in ("min", "max")]
+    + ["score_1", "score_2", "mean_duration", "bill_total", "amount_paid"]
+    + [f"{t.lower()}_{a}" for t in TYPES for a in ("offer_amount", "percent_value")]
+)
+MART_INTEGRAL = [c for c in MART_CONTINUOUS if c not in MART_DOUBLES]
+
+
 def _mart_profile(kind: str) -> str:
     cols = MART_DISCRETE if kind == "discrete" else MART_CONTINUOUS
     cast = "VARCHAR" if kind == "discrete" else "DOUBLE"
@@ -299,8 +312,10 @@ def _mart_profile(kind: str) -> str:
   COALESCE(string_agg(DISTINCT v, ',' ORDER BY v), '') AS unique_values,
   count(DISTINCT v) + max(CASE WHEN v IS NULL THEN 1 ELSE 0 END) AS number_of_categories
 FROM long GROUP BY colname, week"""
+    ints = ", ".join(f"'{c}'" for c in MART_INTEGRAL)
     return head + f"""SELECT colname, week, max(v) AS maximum_value, min(v) AS minimum_value,
-  {exact_mean4('v')} AS mean_value, {exact_stddev2('v')} AS standard_deviation
+  CASE WHEN colname IN ({ints}) THEN {exact_mean4('v', 0)} ELSE {exact_mean4('v')} END AS mean_value,
+  CASE WHEN colname IN ({ints}) THEN {exact_stddev2('v', 0)} ELSE {exact_stddev2('v')} END AS standard_deviation
 FROM long GROUP BY colname, week"""
 
 
