@@ -132,3 +132,18 @@ def test_stored_calendar_checked(spark):
             c.normalise_calendar(stored, "d", "w")
     finally:
         c.BROADCAST_MAX_ROWS = old
+
+
+def test_catalog_roles(spark, scratch):
+    from tests.conftest import SF_SMALL
+    from tidemark.sources.catalog import Catalog, has_rows, schema_of, star_catalog
+
+    cat = star_catalog(spark, SF_SMALL)
+    assert cat.exists("orders") and not cat.exists("nope")
+    orders = cat.table("orders")
+    assert has_rows(orders)
+    assert ("o_orderkey", "bigint") in schema_of(orders)
+    spark.createDataFrame([(1, "a")], "id long, s string").write.json(f"{scratch}/j")
+    js = Catalog(spark, {"events_json": f"{scratch}/j", "missing": f"{scratch}/none"}, fmt="json")
+    assert js.table("events_json").count() == 1
+    assert not js.exists("missing")
