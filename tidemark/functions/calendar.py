@@ -87,10 +87,10 @@ def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame, keep_date
     ``normalise_calendar`` (bounded by construction or by a checked count).
     """
     cal = F.broadcast(calendar.select(F.col(CAL_DATE).alias("__cal_d"), F.col(WEEK).alias("__cal_w")))
-    out = df.withColumn("__ev_d", F.to_date(date_expr)).join(cal, F.col("__ev_d") == F.col("__cal_d"), "inner")
-    if keep_date:
-        out = out.withColumn(keep_date, F.col("__ev_d"))
-    return out.withColumnRenamed("__cal_w", WEEK).drop("__ev_d", "__cal_d")
+    # One join on the computed day and one projection (few analysed steps).
+    out = df.join(cal, F.to_date(date_expr) == F.col("__cal_d"), "inner")
+    extra = [F.col("__cal_d").alias(keep_date)] if keep_date else []
+    return out.select(*[F.col(c) for c in df.columns if c != WEEK], F.col("__cal_w").alias(WEEK), *extra)
 
 
 def week_dimension(calendar: DataFrame) -> DataFrame:
