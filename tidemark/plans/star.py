@@ -555,10 +555,13 @@ def q_customer_week_mart(spark, d):
 
 
 def _requested_and_log(s: Star):
-    sp = s.spine()
-    requested = sp.select(WEEK).distinct()
+    """The weeks of the spine (one row per week, bounded by the calendar) are
+    computed once and written, so the requested list, the log and the
+    high-water subquery do not each recompute the spine from orders."""
+    weeks = materialize(s.spine().select(WEEK, AS_OF).distinct(), "spine-weeks")
+    requested = weeks.select(WEEK)
     log = (
-        sp.select(WEEK, AS_OF).distinct()
+        weeks
         .filter(F.month(AS_OF).isin(*LOGGED_MONTHS) & (F.year(AS_OF) <= LOGGED_UNTIL_YEAR))
         .select(WEEK, F.lit("weekly_mart").alias("process_name"), F.lit("mart").alias("table_name"))
     )
