@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a folder created and
-    registered with ``SparkContext.setCheckpointDir``; the config itself
-    cannot be changed at run time. Sessions without a SparkContext (Spark
+    Only when the session names none and runs in local mode (tests) is a
+    folder created and registered with ``SparkContext.setCheckpointDir``; a
+    cluster session without the setting is refused rather than given a
+    machine-local folder. The config itself cannot be changed at run time. Sessions without a SparkContext (Spark
     Connect) read the setting from the session conf.
     """
     try:
@@ -34,6 +35,9 @@ def shared_dir(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            # A machine-local folder is invisible to executors and lost with the driver.
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for cluster runs")
         path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(path)
         return sc.getCheckpointDir() or path
