@@ -248,3 +248,18 @@ def test_exact_profile_falls_back_on_overflow(spark):
     r = continuous_profile(df, ["v"], exact_mean_scale=6).first()
     assert r.standard_deviation is not None and abs(r.standard_deviation - 9.0e17) / 9.0e17 < 1e-9
     assert abs(r.mean_value - 1 / 3) < 1e-6
+
+
+def test_reference_download_filter_values(spark):
+    from tidemark.functions.calendar import generate_calendar
+    from tidemark.plans.blocks import COUNTED_REQUESTED_BYTES, REFERER_PATTERNS, download_counts
+
+    cal = generate_calendar(spark, D(2017, 1, 1), D(2017, 12, 31))
+    df = spark.createDataFrame(
+        [("a", D(2017, 7, 25), "Drama", "Home > Watch Next", 188), ("a", D(2017, 7, 25), "Drama", "Home", 0)],
+        "account string, d date, genre string, referer string, bytes int",
+    )
+    out = download_counts(df, cal, "d", "genre", "referer", REFERER_PATTERNS,
+                          extra_filter=F.col("bytes") == COUNTED_REQUESTED_BYTES).collect()
+    # 'any' mode as coded keeps a referer holding one pattern; the byte filter drops the second row
+    assert [(r.genre, r.total_downloads) for r in out] == [("Drama", 1)]

@@ -34,6 +34,18 @@ SUB_CATEGORY_SPELLINGS = {
 }
 SUB_CATEGORY_BLANKS = ["Blank", ""]
 SUB_CATEGORY_DEFAULT_PATTERN = "%Default%"
+# Referer patterns of the download filter (B8) and the
+# requested-bytes value of a counted download.
+REFERER_PATTERNS = [
+    "%Watch Next%",
+    "%Download Next%",
+    "%DownloadNext%",
+    "%WatchNext%",
+    "%Personalised Recommendation%",
+    "%Trailer%",
+    "%Mosaic Tile%",
+]
+COUNTED_REQUESTED_BYTES = 188
 
 
 def weekly_aggregate(df: DataFrame, calendar: DataFrame, date_expr: Column, aggs: list[Column]) -> DataFrame:
