@@ -37,7 +37,7 @@ from tidemark.sources.catalog import read_json
 from tidemark.sources.sinks import read_mart, write_json, write_weeks
 
 # Fixed values of the role mapping (shared with the SQL oracles).
-REFERER_PATTERNS = ["%ring%", "%widget%", "%bolt%"]
+STAR_REFERER_PATTERNS = ["%ring%", "%widget%", "%bolt%"]
 NAME_PATTERNS = ["%ring%", "%bolt%"]
 RETURN_FLAGS = ["A", "N", "R", "X"]
 CLAIM_TYPES = ["PROMO", "STANDARD"]
@@ -265,7 +265,7 @@ class Star:
         )
 
     def download_counts(self) -> DataFrame:
-        return blocks.download_counts(self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", REFERER_PATTERNS)
+        return blocks.download_counts(self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", STAR_REFERER_PATTERNS)
 
     def vocab(self, *names: str) -> dict[str, dict[str, list[str]]]:
         """Category vocabularies (F4) of the named sources, discovered together
@@ -301,7 +301,7 @@ class Star:
 
     def downloads(self) -> DataFrame:
         return blocks.downloads_block(
-            self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", REFERER_PATTERNS, self.genres(), "genre"
+            self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", STAR_REFERER_PATTERNS, self.genres(), "genre"
         )
 
     def eligibility(self, spine: DataFrame | None = None, as_of_join: bool = False) -> DataFrame:
@@ -358,7 +358,7 @@ class Star:
             blocks.line_speed_aggs(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_returnflag", RETURN_FLAGS)
             + blocks.counts_aggs({"l_linestatus": ("status", status)})
             + blocks.counts_aggs({"p_type": ("type_code", claim_types)})
-            + blocks.downloads_aggs("p_type", "p_name", REFERER_PATTERNS, self.genres(), "genre",
+            + blocks.downloads_aggs("p_type", "p_name", STAR_REFERER_PATTERNS, self.genres(), "genre",
                                     extra_filter=F.col("p_type").isNotNull())
         )
         return blocks.weekly_aggregate(rows, self.calendar, F.col("l_shipdate"), aggs)
