@@ -62,9 +62,12 @@ def discover_vocabulary(df: DataFrame, cols: list[str], max_values: int = MAX_CA
     return discover_vocabularies({"_": (df, cols)}, max_values)["_"]
 
 
-def category_counts(col: str | Column, values: list[str], prefix: str) -> list[Column]:
-    """F1+D-7: one BIGINT count per value; NULL matches no value (Q5)."""
+def category_counts(col: str | Column, values: list[str], prefix: str, where: Column | None = None) -> list[Column]:
+    """F1+D-7: one BIGINT count per value; NULL matches no value (Q5).
+    ``where`` limits the rows counted (for an aggregate shared by several blocks)."""
     c = F.col(col) if isinstance(col, str) else col
+    if where is not None:
+        c = F.when(where, c)
     return [F.count_if(c == F.lit(v)).alias(clean_name(f"{prefix}_{v}")) for v in values]
 
 
@@ -78,6 +81,31 @@ def weighted_counts(col: str | Column, values: list[str], weight: str | Column,
     ]
 
 
+def top1_pivot_aggs(
+    pivot_col: str | Column,
+    values: list[str],
+    order: list[Column],
+    attrs: list[str],
+    tag: str = "__p",
+    exprs: dict[str, Column] | None = None,
+) -> tuple[list[Column], list[Column]]:
+    """Aggregate expressions of ``top1_pivot`` and the projection that
+    flattens them, for use inside a larger aggregate. ``exprs`` may give an
+    expression for an attribute instead of a column of that name."""
+    p = F.col(pivot_col) if isinstance(pivot_col, str) else pivot_col
+    exprs = exprs or {}
+    # Ordering fields first, so the struct's own order is the requested one.
+    ranked = F.struct(
+        *[o.alias(f"__o{i}") for i, o in enumerate(order)], *[exprs.get(a, F.col(a)).alias(a) for a in attrs]
+    )
+    aggs = [F.min(F.when(p == F.lit(v), ranked)).alias(f"{tag}{i}") for i, v in enumerate(values)]
+    flat = []
+    for i, v in enumerate(values):
+        stem = v.replace(" ", "_")
+        flat += [F.col(f"{tag}{i}.{a}").alias(clean_name(f"{stem}_{a}")) for a in attrs]
+    return aggs, flat
+
+
 def top1_pivot(
     df: DataFrame,
     keys: list[str],
@@ -92,16 +120,9 @@ def top1_pivot(
 
     One ``min`` of a (ordering…, attributes…) struct per value inside one
     aggregate: no window, no join, one shuffle. Rows of other pivot values
-    give a NULL struct and are skipped by ``min``. Keys whose rows are all of other values come out
-    with all-NULL columns, as the reference's distinct-key left join does.
+    give a NULL struct and are skipped by ``min``. Keys whose rows are all of
+    other values come out with all-NULL columns, as the reference's
+    distinct-key left join does.
     """
-    p = F.col(pivot_col)
-    # Ordering fields first, so the struct's own order is the requested one.
-    ranked = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(a) for a in attrs])
-    aggs = [F.min(F.when(p == F.lit(v), ranked)).alias(f"__p{i}") for i, v in enumerate(values)]
-    grouped = df.groupBy(*keys).agg(*aggs)
-    flat = [F.col(k) for k in keys]
-    for i, v in enumerate(values):
-        stem = v.replace(" ", "_")
-        flat += [F.col(f"__p{i}.{a}").alias(clean_name(f"{stem}_{a}")) for a in attrs]
-    return grouped.select(*flat)
+    aggs, flat = top1_pivot_aggs(pivot_col, values, order, attrs)
+    return df.groupBy(*keys).agg(*aggs).select(*[F.col(k) for k in keys], *flat)

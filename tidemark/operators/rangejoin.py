@@ -24,10 +24,14 @@ _EPOCH = dt.date(1970, 1, 1)
 _B = "__bucket"
 
 
-def _bucket(d: Column, days: int) -> Column:
+def bucket_index(d: Column, days: int = 7) -> Column:
+    """Index of the fixed ``days``-wide bucket holding day ``d``."""
     return F.floor(F.datediff(d, F.lit(_EPOCH)) / F.lit(days)).cast("int")
 
 
+_bucket = bucket_index
+
+
 def window_join(
     events: DataFrame,
     date_col: str,

@@ -70,12 +70,16 @@ def spine(
     return out.select(ACCOUNT, WEEK, *[c for c in out.columns if c not in (ACCOUNT, WEEK)])
 
 
-def line_speed_aggs(measures: list[str], status_col: str, vocab: list[str] = RAG_STATUSES) -> list[Column]:
-    """H2: min and max of each measure, count per status (fixed vocabulary, Q4)."""
+def line_speed_aggs(
+    measures: list[str], status_col: str, vocab: list[str] = RAG_STATUSES, where: Column | None = None
+) -> list[Column]:
+    """H2: min and max of each measure, count per status (fixed vocabulary, Q4).
+    ``where`` limits the rows used (for an aggregate shared with other blocks)."""
     aggs: list[Column] = []
     for m in measures:
-        aggs += [F.min(m).alias(f"min_{m}"), F.max(m).alias(f"max_{m}")]
-    return aggs + category_counts(status_col, vocab, status_col)
+        x = F.col(m) if where is None else F.when(where, F.col(m))
+        aggs += [F.min(x).alias(f"min_{m}"), F.max(x).alias(f"max_{m}")]
+    return aggs + category_counts(status_col, vocab, status_col, where)
 
 
 def line_speed_block(
@@ -99,12 +103,12 @@ def counts_block(
     return weekly_aggregate(df, calendar, F.col(date_col), counts_aggs(categories))
 
 
-def counts_aggs(categories: dict[str, tuple[str | Column, list[str]]]) -> list[Column]:
-    """Category counts; the dict key names the output prefix source column,
-    the tuple gives (prefix, values). A Column may stand in for the key."""
+def counts_aggs(categories: dict[str, tuple[str | Column, list[str]]], where: Column | None = None) -> list[Column]:
+    """Category counts; the dict key names the source column, the tuple gives
+    (prefix, values). ``where`` limits the rows counted."""
     aggs: list[Column] = []
     for col, (prefix, values) in categories.items():
-        aggs += category_counts(col, values, prefix)
+        aggs += category_counts(col, values, prefix, where)
     return aggs
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark import ACCOUNT, WEEK
 from tidemark.functions.calendar import (
     AS_OF,
+    CAL_DATE,
     as_of_frame,
     day_range,
     generate_calendar,
@@ -28,7 +29,8 @@ from tidemark.functions.calendar import (
 )
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank
 from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, normalise_values, strip_cast
-from tidemark.operators.encode import discover_vocabularies
+from tidemark.operators.encode import discover_vocabularies, top1_pivot_aggs
+from tidemark.operators.rangejoin import bucket_index
 from tidemark.operators.quality import classify_columns, continuous_profile, discrete_profile
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble
@@ -363,6 +365,73 @@ class Star:
         )
         return blocks.weekly_aggregate(rows, self.calendar, F.col("l_shipdate"), aggs)
 
+    def lineitem_offers_pass(self, spine: DataFrame) -> DataFrame:
+        """Line speed, reward claims, downloads and offers in one pass over one
+        lineitem ⋈ part ⋈ orders join (one branch, so lineitem is joined once).
+
+        Each joined line becomes one ship-day row (kind 0) plus one row per
+        7-day bucket its offer interval covers (kind 1). A single broadcast
+        lookup, bounded by calendar days plus as-of weeks, maps kind-0 rows to
+        their ship week and kind-1 rows to the as-of week of their bucket; the
+        exact ``as_of BETWEEN start AND end`` test keeps the active offers. One
+        aggregate on (account, week) computes all four blocks with
+        kind-conditioned expressions. Fused columns are NULL for pairs with
+        only offer rows and offer columns NULL for pairs without an active
+        offer, as four separate left joins would give.
+        """
+        epoch = F.lit(dt.date(1970, 1, 1))
+        li = self.dated(self.t("lineitem"), "l_shipdate", lower=False).select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus", "l_shipdate",
+        )
+        p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_name")
+        j = li.join(p, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
+        day = F.to_date("l_shipdate")
+        end = F.date_add(day, F.col("l_quantity").try_cast("int"))
+        s_c, e_c = day, end
+        if self.weeks:
+            lo, hi = iso_week_bounds(self.weeks)
+            s_c, e_c = F.greatest(day, F.lit(lo)), F.least(end, F.lit(hi))
+        buckets = F.when(s_c <= e_c, F.sequence(bucket_index(s_c), bucket_index(e_c)))
+        keys = F.concat(
+            F.array(F.struct(F.lit(0).alias("kind"), F.datediff(day, epoch).alias("key"))),
+            F.transform(F.coalesce(buckets, F.array().cast("array<int>")),
+                        lambda b: F.struct(F.lit(1).alias("kind"), b.alias("key"))),
+        )
+        x = j.select(*j.columns, day.alias("__start"), end.alias("__end"), F.explode(keys).alias("__k"))
+        x = x.select(*[c for c in x.columns if c != "__k"], F.col("__k.kind").alias("__kind"), F.col("__k.key").alias("__key"))
+        days = self.calendar.select(
+            F.lit(0).alias("__lkind"), F.datediff(CAL_DATE, epoch).alias("__lkey"), WEEK, F.lit(None).cast("date").alias(AS_OF)
+        )
+        weeks = self.asof(spine).select(F.lit(1).alias("__lkind"), bucket_index(F.col(AS_OF)).alias("__lkey"), WEEK, AS_OF)
+        lookup = F.broadcast(days.unionByName(weeks))  # bounded: calendar days + as-of weeks
+        rows = x.join(lookup, (x["__kind"] == lookup["__lkind"]) & (x["__key"] == lookup["__lkey"]), "inner").filter(
+            (F.col("__kind") == 0) | ((F.col(AS_OF) >= F.col("__start")) & (F.col(AS_OF) <= F.col("__end")))
+        )
+        t0, t1 = F.col("__kind") == 0, F.col("__kind") == 1
+        status = self.vocab("lineitem")["lineitem"]["l_linestatus"]
+        fused = (
+            blocks.line_speed_aggs(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_returnflag", RETURN_FLAGS, t0)
+            + blocks.counts_aggs({"l_linestatus": ("status", status)}, t0)
+            + blocks.counts_aggs({"p_type": ("type_code", self.claim_types())}, t0)
+            + blocks.downloads_aggs("p_type", "p_name", STAR_REFERER_PATTERNS, self.genres(), "genre",
+                                    extra_filter=t0 & F.col("p_type").isNotNull())
+        )
+        attrs = ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"]
+        exprs = {
+            "offer_amount": F.col("l_extendedprice"), "percent_value": F.col("l_discount"),
+            "offer_status": F.col("l_linestatus"), "offer_start_dt_actual": F.col("__start"),
+            "offer_end_dt_actual": F.col("__end"),
+        }
+        offer_aggs, offer_cols = top1_pivot_aggs(
+            F.when(t1, F.col("p_type")), self.part_types(),
+            [F.col("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], attrs, exprs=exprs,
+        )
+        g = rows.groupBy(ACCOUNT, WEEK).agg(*fused, *offer_aggs, F.count_if(t0).alias("__n0"))
+        fused_names = [c for c in g.columns if c not in (ACCOUNT, WEEK, "__n0") and not c.startswith("__p")]
+        has_lines = F.col("__n0") > 0
+        return g.select(ACCOUNT, WEEK, *[F.when(has_lines, F.col(c)).alias(c) for c in fused_names], *offer_cols)
+
     def events_pass(self) -> DataFrame:
         """Survey scores and call counts read the same event rows: one aggregate."""
         vocab = self.vocab("events")["events"]["event_type"]
@@ -379,14 +448,13 @@ class Star:
         self.vocab("part", "lineitem", "events", "journey")  # one discovery job for the run
         sp = materialize(self.spine(), "spine")
         if fused:
-            head = [self.lineitem_pass(), self.events_pass()]
+            parts = [self.lineitem_offers_pass(sp), self.events_pass(), self.pipeline(),
+                     self.eligibility(sp, as_of_join=True), self.billing(), self.set_top_box(sp), self.journey()]
         else:
-            head = [self.line_speed(), self.reward_claims(), self.survey(), self.calls()]
-        rest = [self.pipeline()]
-        if not fused:
-            rest.append(self.downloads())
-        rest += [self.eligibility(sp, as_of_join=fused), self.billing(), self.offers(sp), self.set_top_box(sp), self.journey()]
-        return assemble(sp, head + rest)
+            parts = [self.line_speed(), self.reward_claims(), self.survey(), self.calls(), self.pipeline(),
+                     self.downloads(), self.eligibility(sp), self.billing(), self.offers(sp), self.set_top_box(sp),
+                     self.journey()]
+        return assemble(sp, parts)
 
 
 def _round(df: DataFrame, cols: dict[str, int]) -> DataFrame:
