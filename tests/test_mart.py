@@ -40,7 +40,9 @@ def test_blocks_unique_on_keys(spark):
 
 def test_fused_equals_separate_blocks(spark):
     s = Star(spark, SF_SMALL, [W1, W2, 199801])
-    assert _rows(s.mart(fused=True)) == _rows(s.mart(fused=False))
+    separate = _rows(s.mart(fused=False))
+    assert _rows(s.mart(fused=True)) == separate
+    assert _rows(s.mart(share_lineitem=True)) == separate
 
 
 def test_multi_week_equals_union_of_single_weeks(spark):

@@ -34,14 +34,16 @@ def main(argv: list[str] | None = None) -> list[int]:
     ap.add_argument("--vocab", help="JSON file of stored category vocabularies; written on first use")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-weekly-mart").getOrCreate()
-    if not spark.sparkContext.master.startswith("local"):
+    on_cluster = not spark.sparkContext.master.startswith("local")
+    if on_cluster:
         apply_scale_conf(spark)  # cluster sizing; local sessions keep their own
     vocab = _load_vocab(a.vocab)
     requested = week_list(Star(spark, a.data).spine(), a.lo, a.hi)
 
     def build(weeks: list[int]):
         star = Star(spark, a.data, weeks, vocab)
-        mart = star.mart()
+        # On a cluster shuffle volume dominates: share one lineitem join.
+        mart = star.mart(share_lineitem=on_cluster)
         if a.vocab and vocab is None:
             _save_vocab(a.vocab, star.vocab("part", "lineitem", "events", "journey"))
         return mart

@@ -442,14 +442,20 @@ class Star:
         )
         return blocks.weekly_aggregate(self.events_src(), self.calendar, F.col("ts"), aggs)
 
-    def mart(self, fused: bool = True) -> DataFrame:
+    def mart(self, fused: bool = True, share_lineitem: bool = False) -> DataFrame:
         """The spine feeds the assembly, two as-of frames and the box join; it is
         computed once and written to the shared folder."""
         self.vocab("part", "lineitem", "events", "journey")  # one discovery job for the run
         sp = materialize(self.spine(), "spine")
-        if fused:
+        if fused and share_lineitem:
+            # Cluster form: one lineitem join for four blocks (half the
+            # lineitem-sized shuffles; a sort-based shared aggregate).
             parts = [self.lineitem_offers_pass(sp), self.events_pass(), self.pipeline(),
                      self.eligibility(sp, as_of_join=True), self.billing(), self.set_top_box(sp), self.journey()]
+        elif fused:
+            parts = [self.lineitem_pass(), self.events_pass(), self.pipeline(),
+                     self.eligibility(sp, as_of_join=True), self.billing(), self.offers(sp), self.set_top_box(sp),
+                     self.journey()]
         else:
             parts = [self.line_speed(), self.reward_claims(), self.survey(), self.calls(), self.pipeline(),
                      self.downloads(), self.eligibility(sp), self.billing(), self.offers(sp), self.set_top_box(sp),
