@@ -153,3 +153,9 @@ def test_cli_builds_pending_weeks_once(spark, scratch):
     assert cli.main(more) == [199604, 199605]  # stored vocabulary reused
     mart = read_mart(spark, f"{scratch}/mart")
     assert mart.select(WEEK).distinct().count() == 5
+
+
+def test_shared_lineitem_pass_unique_on_keys(spark):
+    s = Star(spark, SF_SMALL)
+    df = s.lineitem_offers_pass(s.spine())
+    assert df.count() == df.select(ACCOUNT, WEEK).distinct().count()
