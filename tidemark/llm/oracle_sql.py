@@ -24,7 +24,20 @@ drawn AS (
 copies AS (SELECT doc_id, source, text, n_copies, unnest(range(1, n_copies + 1))::INT AS copy FROM drawn WHERE n_copies > 0)
 """
 
+# Matches of a backslash or a control string of the chat template: each costs one escape character.
+_ESCAPED = r"(\\|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>)"
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_chat": f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + len(regexp_extract_all(role, '{_ESCAPED}')) + len(regexp_extract_all(role, chr(10))) + 1
+    + length(text) + len(regexp_extract_all(text, '{_ESCAPED}')) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id""",
     "op4_mixing": f"""
 WITH {_MIX_SIZES}
 SELECT doc_id, source, text, n_copies, copy,

@@ -1,7 +1,7 @@
 """Registered queries of the training-data operators, each over its whole table.
 
 Every query derives its contract's columns from the operator's own output.
-``BRUTE`` names the queries that SQL cannot express; tests/llm holds their brute-force versions.
+Those that SQL cannot express have no oracle; tests/llm holds their brute-force versions.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, mixing, quality, sharding, simhash, toxicity
+from tidemark.llm import chat, decontaminate, gru, htmltext, mixing, perplexity, quality, sharding, simhash, toxicity
 from tidemark.llm.common import read
 
 
@@ -29,6 +29,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "source", "text", "n_copies", "copy", "shuffle_key")
 
@@ -42,6 +46,23 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.judge(read(spark, sf_dir, "documents"))
+
+
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru.score_texts(read(spark, sf_dir, "documents"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text")
+    )
+    done = chat.format_records(chat.records_of_turns(turns.unionByName(probe)))
+    return done.select("conv_id", chat.read_back(F.col("formatted"), F.col("loss")).alias("d")).select("conv_id", "d.*")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -49,8 +70,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
+    "op3_html_text": op3_html_text,
     "op4_mixing": op4_mixing,
     "op5_simhash": op5_simhash,
     "op6_toxicity": op6_toxicity,
+    "op7_perplexity": op7_perplexity,
+    "op8_lm_scoring": op8_lm_scoring,
+    "op9_chat": op9_chat,
     "op10_quality": op10_quality,
 }
