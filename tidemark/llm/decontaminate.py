@@ -72,7 +72,7 @@ def winnow(words: np.ndarray, row: np.ndarray, span: int) -> tuple[np.ndarray, n
     return pos, grams[pos]
 
 
-def bloom_places(h: np.ndarray, bits: int = BLOOM_BITS) -> tuple[np.ndarray, np.ndarray]:
+def bloom_places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     m = np.uint64(bits - 1)
     return (h & m).astype(np.int64), (mix(h * _SECOND) & m).astype(np.int64)
 
@@ -137,24 +137,25 @@ def _grams_of(buf: np.ndarray, offs: np.ndarray, spans: list[int], held: np.ndar
     return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), hit)], fields=list(_TYPE))
 
 
-def _bloom(item_grams: DataFrame) -> bytes:
-    """Bits of the items' grams, reduced in Spark to at most BLOOM_BITS / 64 rows."""
+def _bloom(item_grams: DataFrame, size: int) -> bytes:
+    """Filter of ``size`` bits (a power of two from 64) of the items' grams, reduced in Spark to at most size / 64 rows."""
 
     @F.arrow_udf("array<bigint>")
     def places(h: pa.Array) -> pa.Array:
-        a, b = bloom_places(np.asarray(h).view(np.uint64))
+        a, b = bloom_places(np.asarray(h).view(np.uint64), size)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(a) + 1, 2, dtype=np.int32)), pa.array(np.stack([a, b], 1).ravel()))
 
     bit = item_grams.select("h").distinct().select(F.explode(places("h")).alias("bit"))
     rows = bit.groupBy(F.expr("bit div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("v")).collect()
-    bits = np.zeros(BLOOM_BITS // 64, np.int64)
+    bits = np.zeros(size // 64, np.int64)
     for r in rows:
         bits[r["w"]] = r["v"]
     return bits.tobytes()
 
 
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", span_words: int = SPAN_WORDS
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
+    span_words: int = SPAN_WORDS, bloom_bits: int = BLOOM_BITS, broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Per row of ``docs``: id, ``text_hash``, n_words, n_hit, items (sorted array of ids as strings), contaminated.
 
@@ -168,9 +169,9 @@ def contamination(
     items = items.select("item", F.least(F.col("g.n_words"), F.lit(span_words)).alias("span"), F.explode("g.hits").alias("x"))
     items = materialize(items.where("x.cls = span").select("item", F.col("x.cls").alias("cls"), F.col("x.h").alias("h"), F.col("x.ctx").alias("ictx")).distinct(), "winnow-items")
     spans = sorted(r["cls"] for r in items.select("cls").distinct().collect())  # at most span_words values
-    found = base.select("id", "text_hash", grams(F.col("t"), spans, _bloom(items) if spans else b"\0" * 8).alias("g"))
+    found = base.select("id", "text_hash", grams(F.col("t"), spans, _bloom(items, bloom_bits) if spans else b"\0" * 8).alias("g"))
     found = materialize(found.select("id", "text_hash", "g.n_words", "g.hits"), "winnow-docs")
-    if items.count() <= BROADCAST_ROWS:
+    if items.count() <= broadcast_rows:
         items = F.broadcast(items)
     hits = found.where(F.size("hits") > 0).select("id", "text_hash", F.explode("hits").alias("x")).select("id", "text_hash", F.col("x.cls").alias("cls"), F.col("x.h").alias("h"), F.col("x.pos").alias("pos"), F.col("x.ctx").alias("ctx"))
     hits = hits.join(items, ["cls", "h"])

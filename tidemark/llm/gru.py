@@ -27,12 +27,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import ASCII_SPACE, LOWER, fold, quoted, span_hashes, text_slices, word_spans
 from tidemark.session import materialize
 
-HIDDEN = 24
+HIDDEN = 16
 WORDS = 512
 CLASS_WORDS = 16
 BINS = 7
 HEAD_WORDS = 1 << 18
-SHARE = 32  # each round trains on one document in SHARE
+SHARE = 64  # each round trains on one document in SHARE
 ROUNDS = 2
 RATE = 0.01
 WINDOW = 32
@@ -158,10 +158,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
-    return x
+def _log_total(x: np.ndarray) -> np.ndarray:
+    """log of the sum of exponentials of each row."""
+    top = max(0.0, float(x.max()) - 60.0) if x.size else 0.0  # of use only for weights that have run away
+    return np.log(np.exp(x - top if top else x) @ np.ones(x.shape[1], x.dtype)) + top
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    return np.exp(x - _log_total(x)[:, None])
 
 
 class Texts:
@@ -170,6 +174,7 @@ class Texts:
     def __init__(self, ranks: np.ndarray, sizes: np.ndarray, vocab: Vocabulary):
         self.order = np.argsort(-sizes, kind="stable")
         self.size = sizes[self.order]
+        self.falling = -self.size
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.begin = begin[self.order]
         known = ranks >= 0
@@ -184,14 +189,18 @@ class Texts:
         self.inp[begin] = START
 
     def running(self, t: int) -> int:
-        return int(np.searchsorted(-self.size, -t, side="left"))
+        return int(np.searchsorted(self.falling, -t, side="left"))
 
 
 def token_log_probs(p: dict[str, np.ndarray], h: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """log p(class | state), plus log p(word | class, state) for words with a softmax of their own."""
-    out = _log_softmax(h @ p["wc"] + p["bc"])[np.arange(len(cls)), cls].astype(np.float64)
+    x = h @ p["wc"]
+    x += p["bc"]
+    out = (x[np.arange(len(cls)), cls] - _log_total(x)).astype(np.float64)
     for at, lo, own in _by_class(cls, word):
-        out[at] += _log_softmax(h[at] @ p["ww"][:, lo : lo + CLASS_WORDS] + p["bw"][lo : lo + CLASS_WORDS])[np.arange(len(at)), own]
+        x = h[at] @ p["ww"][:, lo : lo + CLASS_WORDS]
+        x += p["bw"][lo : lo + CLASS_WORDS]
+        out[at] += x[np.arange(len(at)), own] - _log_total(x)
     return out
 
 
@@ -221,7 +230,7 @@ def log_likelihoods(flat: np.ndarray, texts: Texts) -> np.ndarray:
             k = texts.running(t)
             i = texts.begin[:k] + t
             hk = h[:k]
-            xt = x[texts.inp[i]]
+            xt = x.take(texts.inp.take(i), axis=0)
             g = hk @ u
             gate = np.tanh(xt[:, :n2] + g[:, :n2])
             gate *= 0.5
@@ -274,7 +283,7 @@ class Trainer:
         n = len(at)
         cls, word = texts.cls[at], texts.word[at]
         # Output factors: gradient of the mean log loss.
-        dc = np.exp(_log_softmax(hs @ p["wc"] + p["bc"]))
+        dc = _softmax(hs @ p["wc"] + p["bc"])
         dc[np.arange(n), cls] -= 1
         dc /= n
         g_["wc"] += hs.T @ dc
@@ -282,7 +291,7 @@ class Trainer:
         dh_all = dc @ p["wc"].T
         for own, lo, place in _by_class(cls, word):
             w = slice(lo, lo + CLASS_WORDS)
-            dw = np.exp(_log_softmax(hs[own] @ p["ww"][:, w] + p["bw"][w]))
+            dw = _softmax(hs[own] @ p["ww"][:, w] + p["bw"][w])
             dw[np.arange(len(own)), place] -= 1
             dw /= n
             g_["ww"][:, w] += hs[own].T @ dw
