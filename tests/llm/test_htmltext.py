@@ -1,0 +1,47 @@
+import html
+import re
+
+import pytest
+
+from tidemark.llm import htmltext
+
+PROSE = "The river walks under the bright morning cloud and the house of stone is quiet for as long as it is green. "
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<html><body><nav><a href=/>Home</a></nav><article><h1>A title</h1><p>" + PROSE + "</p><p>Short.</p></article><footer>&copy; me</footer></body></html>", "A title " + PROSE.strip() + " Short."),
+    ("<article><p>one &amp; two &#233;&eacute;&nbsp;x<br>next <b>bold<p>open</article>", "one & two éé x next bold open"),
+    ("<div class='ad'>buy now</div><main><p>" + PROSE + "<div id=comments><p>I say so too</p></div></main>", PROSE.strip()),
+    ("<article><header><h1>Head line</h1></header><p>" + PROSE + "</p><form><label>Name</label><input></form><aside>" + PROSE + "</aside></article>", "Head line " + PROSE.strip()),
+    ("<script>var a = '<p>no</p>';</script><style>p{}</style><!-- <p>no</p> --><article>yes<script>no</script></article>", "yes"),
+    ("<article><p>x < y and 3 > 2</p></article>", "x < y and 3 > 2"),
+    ("", ""), (None, ""), ("no markup at all", ""), ("<<<>>>&&&;", ""), ("<article>", ""), ("<article><p>left open <b>x", "left open x"),
+])
+def test_pages(page, want):
+    assert htmltext.main_text(page or "") == want
+
+
+def test_without_article_blocks_are_judged_by_text_and_links():
+    long = PROSE * 3
+    page = f"<div><a href=/a>Home</a> <a href=/b>News</a></div><h2>A heading</h2><p>{long}</p><p>Yes.</p><p>{long}</p><div class=cookie-notice>{long}</div><p>Tail</p><div><a href=x>{PROSE}</a></div>"
+    assert htmltext.main_text(page) == " ".join(f"A heading {long} Yes. {long}".split())
+
+
+def gold(page):
+    inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    return " ".join(html.unescape(re.sub(r"<[a-zA-Z/!][^>]*>", " ", inner)).split())
+
+
+def test_whole_table_matches_brute_force(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = {r["page_id"]: r["text"] for r in htmltext.extract(pages).collect()}
+    want = {r["page_id"]: gold(r["html"]) for r in pages.collect()}
+    assert got == want
+
+
+def test_nulls_clashes_and_empty_table(spark):
+    df = spark.createDataFrame([(1, None, "t"), (1, None, "t"), (None, "<article>a</article>", None), (2, "", "x"), (3, "<article>" + "word " * 200_000 + "</article>", "x")], "page_id bigint, html string, TEXT string")
+    got = htmltext.extract(df)
+    assert got.columns == ["page_id", "text"]
+    assert sorted((str(r["page_id"]), len(r["text"])) for r in got.collect()) == [("1", 0), ("1", 0), ("2", 0), ("3", 999_999), ("None", 1)]
+    assert htmltext.extract(df.limit(0)).count() == 0

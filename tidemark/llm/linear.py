@@ -198,10 +198,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     An id labelled twice has its larger label; a null id or label is left out; an id that several rows share brings each of them.
     """
     ids = labels.where(keep & F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
-    order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
-    sample = ids.where("y = 1").orderBy(*order).limit(per_class).unionByName(ids.where("y = 0").orderBy(*order).limit(per_class))
-    sample = sample.select(F.col(id_col).alias("sample_id"), "y")
     totals = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    hashed = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 52))
+
+    def smallest(y: int) -> DataFrame:
+        # Hashes above this bound are far from the smallest ones; without them tasks sort and send only their share of the sample.
+        bound = int((1 << 52) * min(1.0, (1.25 * per_class + 200) / max(1, totals.get(y, 0))))
+        return ids.where((F.col("y") == y) & (hashed < bound)).orderBy(hashed, id_col).limit(per_class)
+
+    sample = smallest(1).unionByName(smallest(0)).select(F.col(id_col).alias("sample_id"), "y")
 
     @F.arrow_udf("binary")
     def encode(col: pa.Array) -> pa.Array:
