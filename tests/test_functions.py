@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import (
-    AS_OF, CAL_DATE, MONTH, generate_calendar, iso_week_bounds, map_to_week, week_dimension, week_list,
+    AS_OF, CAL_DATE, MONTH, IsoCalendar, generate_calendar, iso_week_bounds, map_to_week, month_of_week, week_dimension, week_end, week_list,
 )
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank, valid_key
 from tidemark.functions.shape import (
@@ -25,9 +25,26 @@ def test_calendar_iso_weeks(spark):
     assert wd.filter(F.col("week") == 199801).first()[AS_OF] == dt.date(1998, 1, 4)
 
 
-def test_calendar_size_is_bounded(spark):
+def test_long_calendar_is_joined_without_a_limit(spark):
+    cal = generate_calendar(spark, dt.date(1000, 1, 1), dt.date(2500, 1, 1))
+    ev = spark.createDataFrame([(1, dt.date(1066, 10, 14)), (2, dt.date(2499, 12, 31))], "id int, d date")
+    assert map_to_week(ev, F.col("d"), cal).count() == 2
     with pytest.raises(ValueError):
-        generate_calendar(spark, dt.date(1000, 1, 1), dt.date(2500, 1, 1))
+        generate_calendar(spark, dt.date(2000, 1, 2), dt.date(2000, 1, 1))
+
+
+def test_iso_calendar_has_no_range(spark):
+    days = [dt.date(1989, 12, 31), dt.date(2031, 1, 1), dt.date(1700, 5, 5), dt.date(2998, 1, 1), dt.date(1998, 1, 4), dt.date(1999, 1, 3), dt.date(2020, 12, 31)]
+    ev = spark.createDataFrame([(i, d) for i, d in enumerate(days)] + [(99, None)], "id int, d date")
+    got = {r.id: r for r in map_to_week(ev, F.col("d"), IsoCalendar(), "day").withColumn("end", week_end(F.col("week"))).withColumn("month", month_of_week(F.col("week"))).collect()}
+    assert sorted(got) == list(range(len(days)))
+    for i, d in enumerate(days):
+        y, w, wd = d.isocalendar()
+        thursday = d + dt.timedelta(days=4 - wd)
+        assert (got[i].week, got[i].end, got[i].month) == (y * 100 + w, d + dt.timedelta(days=7 - wd), thursday.year * 100 + thursday.month)
+    some = map_to_week(ev, F.col("d"), IsoCalendar(weeks=(199801, 202053))).collect()
+    assert sorted(r.id for r in some) == [4, 6]
+    assert sorted(r.id for r in map_to_week(ev, F.col("d"), IsoCalendar(span=(199801, 199853))).collect()) == [4, 5]
 
 
 def test_map_to_week_drops_outside_calendar(spark):
@@ -119,21 +136,28 @@ def test_fill_strings_and_run_sequences(spark):
     assert [tuple(x) for x in run_sequences(asof, 199601, 199652).collect()] == [("1996-01-07", "199601"), ("1996-01-14", "199602")]
 
 
-def test_stored_calendar_checked(spark):
+def test_stored_calendar_of_any_size_is_joined(spark):
     from tidemark.functions import calendar as c
 
     stored = spark.createDataFrame([("2000-01-03", "200001", "200001")], "d string, w string, m string")
     out = c.normalise_calendar(stored, "d", "w", "m")
     assert out.schema[c.WEEK].dataType.simpleString() == "int"
+    ev = spark.createDataFrame([(1, dt.date(2000, 1, 3)), (2, dt.date(2000, 1, 4))], "id int, d date")
     old = c.BROADCAST_MAX_ROWS
     try:
-        c.BROADCAST_MAX_ROWS = 0
-        with pytest.raises(ValueError):
-            c.normalise_calendar(stored, "d", "w")
+        for c.BROADCAST_MAX_ROWS in (old, 0):
+            assert [r.id for r in map_to_week(ev, F.col("d"), c.normalise_calendar(stored, "d", "w")).collect()] == [1]
     finally:
         c.BROADCAST_MAX_ROWS = old
 
 
+def test_text_dates_with_a_format(spark):
+    from tidemark.functions.shape import parse_dates
+
+    df = spark.createDataFrame([(1, "05/02/2000"), (2, "31/02/2000"), (3, "2000-02-05"), (4, None)], "id int, d string")
+    assert [r.d for r in parse_dates(df, ["d"], "dd/MM/yyyy").orderBy("id").collect()] == [dt.date(2000, 2, 5), None, None, None]
+
+
 def test_catalog_roles(spark, scratch):
     from tests.conftest import SF_SMALL
     from tidemark.sources.catalog import Catalog, has_rows, schema_of, star_catalog

@@ -41,13 +41,46 @@ def test_blocks_unique_on_keys(spark):
 def test_fused_equals_separate_blocks(spark):
     s = Star(spark, SF_SMALL, [W1, W2, 199801])
     separate = _rows(s.mart(fused=False))
-    assert _rows(s.mart(fused=True)) == separate
-    assert _rows(s.mart(share_lineitem=True)) == separate
+    assert _rows(s.mart()) == separate
+
+
+def test_every_block_reaches_the_mart(spark):
+    m = Star(spark, SF_SMALL).mart()
+    blocks = ["min_l_quantity", "status_f", "type_code_small", "score_1", "score_2", "duration_sec", "weekend_calls", "channel_click", "direction_in", "finished_flag",
+              "genre_small", "eligibility", "bill_total", "small_offer_amount", "box_type", "event_type_f", "tier_name"]
+    n = m.agg(*[F.count(c).alias(c) for c in blocks]).first()
+    assert all(n[c] > 0 for c in blocks), n
+
+
+def test_full_mart_plan_reads_lineitem_from_the_joined_lines(spark):
+    plan = Star(spark, SF_SMALL).mart()._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_shipdate" in plan and "l_suppkey" not in plan  # lineitem itself and part are read once, before
+    assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_week_restricted_scans_push_their_dates(spark):
+    s = Star(spark, SF_SMALL, span=(199601, 199603))
+    plan = s.spine()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThanOrEqual(o_orderdate") >= 1 and plan.count("GreaterThanOrEqual(ts") >= 1
+    for df in (s.line_speed(), s.events_pass(), s.pipeline(), s.journey()):
+        assert "PushedFilters: [IsNotNull" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_later_week_brings_a_new_category(spark, scratch):
+    """A stored vocabulary without some values: the run adds those its own weeks bring, and counts sum to the rows."""
+    stored = {"part": {"p_type": ["ECONOMY"]}, "events": {"channel": ["fax"], "direction": []}}
+    s = Star(spark, SF_SMALL, vocab=stored)
+    calls = s.calls()
+    assert "channel_fax" in calls.columns and "channel_click" in calls.columns
+    n = calls.agg(*[F.sum(c).alias(c) for c in calls.columns if c.startswith("channel_")]).first()
+    assert sum(n) == s.t("events").count() and n["channel_fax"] == 0
+    assert "type_code_economy" in s.reward_claims().columns and "type_code_small" in s.reward_claims().columns
 
 
 def test_multi_week_equals_union_of_single_weeks(spark):
-    both = Star(spark, SF_SMALL, [W1, W2]).mart()
-    one = Star(spark, SF_SMALL, [W1]).mart().unionByName(Star(spark, SF_SMALL, [W2]).mart())
+    vocab = Star(spark, SF_SMALL).vocab("part", "lineitem", "events", "journey")  # stored, so every run has the same columns
+    both = Star(spark, SF_SMALL, [W1, W2], vocab).mart()
+    one = Star(spark, SF_SMALL, [W1], vocab).mart().unionByName(Star(spark, SF_SMALL, [W2], vocab).mart())
     assert both.count() > 0
     assert _rows(both) == _rows(one)
 
@@ -102,8 +135,9 @@ def test_eligibility_as_of_form_equals_window_form_on_spine(spark):
 
 def test_week_restricted_run_equals_filtered_full_mart(spark):
     weeks = [W1, W2, 199853]
-    part = Star(spark, SF_SMALL, weeks).mart()
-    full = Star(spark, SF_SMALL).mart().filter(F.col(WEEK).isin(*weeks))
+    whole = Star(spark, SF_SMALL)
+    part = Star(spark, SF_SMALL, weeks, whole.vocab("part", "lineitem", "events", "journey")).mart()
+    full = whole.mart().filter(F.col(WEEK).isin(*weeks))
     assert part.count() > 0
     assert _rows(part) == _rows(full)
 
@@ -128,34 +162,31 @@ def test_duplicate_eligibility_rows_do_not_fan_out(spark):
     spine = spark.createDataFrame([(1, W1, dt.date(1996, 2, 11)), (2, W1, dt.date(1996, 2, 11))], "account bigint, week int, as_of date")
     block = eligibility_block(rows, asof, "tenure_start_date", ["eligibility"], "o_orderkey")
     assert [(r.account, r.eligibility) for r in block.collect()] == [(1, "C")]  # latest date, highest tie
-    from tidemark.functions.calendar import generate_calendar
-
-    cal = generate_calendar(spark, dt.date(1994, 1, 1), dt.date(1997, 12, 31))
     as_of_form = eligibility_block(rows, asof, "tenure_start_date", ["eligibility"], "o_orderkey",
-                                   spine_keys=spine.select("account", "week"), calendar=cal)
+                                   spine_keys=spine.select("account", "week"))
     assert [(r.account, r.eligibility) for r in as_of_form.collect()] == [(1, "C")]
     assert assemble(spine, [block]).count() == spine.count()
 
 
 def test_cli_builds_pending_weeks_once(spark, scratch):
-    import json
-    import os
-
     from tidemark.plans import cli
 
-    vocab = f"{scratch}/vocab.json"
+    vocab = f"{scratch}/vocab"
     args = ["--data", SF_SMALL, "--mart", f"{scratch}/mart", "--log", f"{scratch}/log", "--from", "199601", "--to", "199603",
             "--vocab", vocab]
     assert cli.main(args) == [199601, 199602, 199603]
-    assert os.path.exists(vocab) and json.load(open(vocab))["part"]["p_type"]
+    first = {tuple(r) for r in spark.read.parquet(vocab).select("source", "column", "value").collect()}
+    assert ("part", "p_type", "SMALL") in first
     assert cli.main(args) == []
     more = args[:9] + ["199605"] + args[10:]
-    assert cli.main(more) == [199604, 199605]  # stored vocabulary reused
+    assert cli.main(more) == [199604, 199605]
+    # Event weeks bring categories that no earlier week had: new columns, older weeks NULL.
+    later = args[:7] + ["202401", "--to", "202401"] + args[10:]
+    assert cli.main(later) == [202401]
+    rows = spark.read.parquet(vocab).select("source", "column", "value").collect()
+    assert len(rows) == len({tuple(r) for r in rows}) and first < {tuple(r) for r in rows}
+    assert any(r["source"] == "events" for r in rows) and not any(r[0] == "events" for r in first)
     mart = read_mart(spark, f"{scratch}/mart")
-    assert mart.select(WEEK).distinct().count() == 5
-
-
-def test_shared_lineitem_pass_unique_on_keys(spark):
-    s = Star(spark, SF_SMALL)
-    df = s.lineitem_offers_pass(s.spine())
-    assert df.count() == df.select(ACCOUNT, WEEK).distinct().count()
+    assert mart.select(WEEK).distinct().count() == 6
+    n = {r[WEEK]: r["n"] for r in mart.groupBy(WEEK).agg(F.count("channel_click").alias("n")).collect()}
+    assert n[202401] > 0 and n[199601] == 0

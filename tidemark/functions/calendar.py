@@ -5,14 +5,16 @@ The calendar is one row per day: ``calendar_date`` DATE, ``week`` INT in
 (the month holding the Thursday of that ISO week, so each week has exactly
 one month and the distinct (week, month) dimension never fans out).
 
-A generated calendar has a proven size (one row per day), which is what makes
-broadcasting it safe at any data volume. A calendar read from a table is
-broadcast only after its row count is checked.
+``IsoCalendar`` is that calendar without a range: week, month and as-of day are
+expressions of the date, so no join is needed and no day is outside of it. A
+calendar stored as a table is joined; it carries a broadcast hint only when its
+row count was found small enough, else the join shuffles.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +26,9 @@ CAL_DATE = "calendar_date"
 MONTH = "month_of_year"
 AS_OF = "as_of"
 
-# Largest dimension that is broadcast; ~270 years of days.
+# Largest dimension that gets a broadcast hint; ~270 years of days.
 BROADCAST_MAX_ROWS = 100_000
 
-DEFAULT_START = dt.date(1990, 1, 1)
-DEFAULT_END = dt.date(2030, 12, 31)
-
 
 def iso_week_of(d: Column) -> Column:
     """ISO ``YYYYWW`` of a DATE column (ISO year is the year of the week's Thursday)."""
@@ -42,51 +41,73 @@ def iso_month_of(d: Column) -> Column:
     return (F.year(thursday) * 100 + F.month(thursday)).cast("int")
 
 
-def generate_calendar(
-    spark: SparkSession, start: dt.date = DEFAULT_START, end: dt.date = DEFAULT_END
-) -> DataFrame:
+def week_end(week: Column) -> Column:
+    """Last day of an ISO ``YYYYWW`` week."""
+    jan4 = F.make_date((week / 100).cast("int"), F.lit(1), F.lit(4))
+    monday = F.date_sub(jan4, F.weekday(jan4))
+    return F.date_add(monday, (week % 100 * 7 - 1).cast("int"))
+
+
+def month_of_week(week: Column) -> Column:
+    """``YYYYMM`` of the week's Thursday."""
+    thursday = F.date_sub(week_end(week), 3)
+    return (F.year(thursday) * 100 + F.month(thursday)).cast("int")
+
+
+@dataclass(frozen=True)
+class IsoCalendar:
+    """Every day there is, by expression; ``weeks`` or the inclusive ``span`` limit it to those weeks."""
+
+    weeks: tuple[int, ...] | None = None
+    span: tuple[int, int] | None = None
+
+    def holds(self, week: Column) -> Column:
+        if self.weeks is not None:
+            return week.isin(*self.weeks)
+        return week.between(*self.span) if self.span is not None else week.isNotNull()
+
+    def bounds(self) -> tuple[dt.date, dt.date] | None:
+        """First and last day of the limited calendar; None without a limit."""
+        weeks = list(self.weeks) if self.weeks is not None else list(self.span or ())
+        return iso_week_bounds(weeks) if weeks else None
+
+
+def generate_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
+    """Day table of a range, for use like a stored calendar."""
     n_days = (end - start).days + 1
-    if n_days <= 0 or n_days > BROADCAST_MAX_ROWS:
-        raise ValueError(f"calendar of {n_days} days is outside 1..{BROADCAST_MAX_ROWS}")
+    if n_days <= 0:
+        raise ValueError("the calendar's end is before its start")
     d = F.date_add(F.lit(start), F.col("id").cast("int"))
-    return (
-        spark.range(n_days, numPartitions=1)
-        .select(d.alias(CAL_DATE))
-        .select(CAL_DATE, iso_week_of(F.col(CAL_DATE)).alias(WEEK), iso_month_of(F.col(CAL_DATE)).alias(MONTH))
-    )
+    days = spark.range(n_days).select(d.alias(CAL_DATE))
+    days = days.select(CAL_DATE, iso_week_of(F.col(CAL_DATE)).alias(WEEK), iso_month_of(F.col(CAL_DATE)).alias(MONTH))
+    return F.broadcast(days) if n_days <= BROADCAST_MAX_ROWS else days
 
 
 def normalise_calendar(df: DataFrame, date_col: str, week_col: str, month_col: str | None = None) -> DataFrame:
     """Bring a stored calendar to the engine's types: DATE day, INT week (Q10).
 
-    ``map_to_week`` broadcasts the calendar, so a stored one is counted once
-    here and refused if it exceeds ``BROADCAST_MAX_ROWS`` (a day-level
-    calendar of 270+ years means the wrong table was passed).
+    It is counted once; a calendar of at most ``BROADCAST_MAX_ROWS`` days gets a broadcast hint.
     """
     cols = [F.to_date(F.col(date_col)).alias(CAL_DATE), F.col(week_col).try_cast("int").alias(WEEK)]
     if month_col:
         cols.append(F.col(month_col).try_cast("int").alias(MONTH))
     out = df.select(*cols)
-    n = out.count()
-    if n > BROADCAST_MAX_ROWS:
-        raise ValueError(f"calendar has {n} rows, more than {BROADCAST_MAX_ROWS}; not broadcastable")
-    return out
-
+    return F.broadcast(out) if out.count() <= BROADCAST_MAX_ROWS else out
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the choice to AQE."""
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame | IsoCalendar, keep_date: str | None = None) -> DataFrame:
+    """Events with the week of their day.
 
-def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame, keep_date: str | None = None) -> DataFrame:
-    """Inner join of events to the calendar on the event's day.
-
-    Rows whose day is outside the calendar are dropped, as an inner join does.
-    The calendar is broadcast: it must come from ``generate_calendar`` or
-    ``normalise_calendar`` (bounded by construction or by a checked count).
+    With an ``IsoCalendar`` the week is computed and only its limit filters rows;
+    with a stored calendar an inner join on the day drops days that it does not hold.
+    A NULL date has no week and is dropped in both forms.
     """
-    cal = F.broadcast(calendar.select(F.col(CAL_DATE).alias("__cal_d"), F.col(WEEK).alias("__cal_w")))
+    if isinstance(calendar, IsoCalendar):
+        day = F.to_date(date_expr)
+        extra = [day.alias(keep_date)] if keep_date else []
+        out = df.select(*[F.col(c) for c in df.columns if c != WEEK], iso_week_of(day).alias(WEEK), *extra)
+        return out.filter(calendar.holds(F.col(WEEK)))
+    cal = calendar.select(F.col(CAL_DATE).alias("__cal_d"), F.col(WEEK).alias("__cal_w"))
     # One join on the computed day and one projection (few analysed steps).
     out = df.join(cal, F.to_date(date_expr) == F.col("__cal_d"), "inner")
     extra = [F.col("__cal_d").alias(keep_date)] if keep_date else []
@@ -94,10 +115,18 @@ def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame, keep_date
 
 
 def week_dimension(calendar: DataFrame) -> DataFrame:
-    """One row per week: (week, month_of_year, as_of = last day of the week) (C3, D-3)."""
+    """One row per week of a stored calendar: (week, month_of_year, as_of = last day of the week) (C3, D-3)."""
     return calendar.groupBy(WEEK, MONTH).agg(F.max(CAL_DATE).alias(AS_OF))
 
 
+def bounded_frame(df: DataFrame, name: str, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A small frame several joins use: written once, counted, and given a broadcast hint if it is small."""
+    from tidemark.session import materialize
+
+    out = materialize(df, name)
+    return F.broadcast(out) if out.count() <= max_rows else out
+
+
 def as_of_frame(base: DataFrame, end_col: str = AS_OF) -> DataFrame:
     """(week, as_of) with as_of = max end date of the base in that week, never collected."""
     return base.groupBy(WEEK).agg(F.max(end_col).alias(AS_OF))
@@ -129,7 +158,7 @@ def iso_week_bounds(weeks: list[int]) -> tuple[dt.date, dt.date]:
     ``to_date(ts) = calendar_date`` is not a Parquet-pushable predicate; adding
     ``ts BETWEEN lo AND hi`` lets the scan skip row groups.
     """
-    days = [dt.date.fromisocalendar(w // 100, w % 100, 1) for w in weeks]
+    days = [dt.date.fromisocalendar(w // 100, 1, 1) + dt.timedelta(weeks=w % 100 - 1) for w in weeks]
     return min(days), max(days) + dt.timedelta(days=6)
 
 

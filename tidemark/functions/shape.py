@@ -52,9 +52,10 @@ def clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_name(c) for c in df.columns])
 
 
-def prefixed(df: DataFrame, prefix: str, keep: tuple[str, ...]) -> DataFrame:
-    """Rename every column outside ``keep`` to ``prefix_column`` in one select."""
-    return df.select(*[F.col(c) if c in keep else F.col(c).alias(f"{prefix}_{c}") for c in df.columns])
+def parse_dates(df: DataFrame, cols: list[str], fmt: str) -> DataFrame:
+    """Text columns as DATE by an explicit format; ill-formed text becomes NULL."""
+    wanted = set(cols)
+    return df.select(*[F.try_to_date(F.col(c), fmt).alias(c) if c in wanted else F.col(c) for c in df.columns])
 
 
 def is_date_name(name: str) -> bool:

@@ -1,11 +1,12 @@
 """Latest-as-of join (B5 + E2): for each (account, week) of a spine, the row
-of a history table that is latest by an ordering key among rows whose
-modification week is not after the spine week.
+of a history table that is latest by an ordering key among rows dated on or
+before the week's as-of day.
 
-Plan: (1) partial aggregate the history to one struct per (account,
-modification week) — a hot account shrinks to at most one row per week before
-any shuffle; (2) union with the spine keys; (3) a running ``max`` over the
-account's weeks. Step 3 partitions by account, but each account holds at most
+Plan: (1) place each history row in the first week whose as-of day is not before
+its date; (2) partial aggregate the history to one struct per (account,
+week) — a hot account shrinks to at most one row per week before
+any shuffle; (3) union with the spine keys; (4) a running ``max`` over the
+account's weeks. Step 4 partitions by account, but each account holds at most
 (#history weeks + #spine weeks) rows, bounded by the calendar, not by the
 account's raw row count.
 """
@@ -16,6 +17,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import ACCOUNT, WEEK
+from tidemark.functions.calendar import AS_OF
+
+
+def place_as_of(df: DataFrame, date: Column, asof: DataFrame, week: str = WEEK, as_of: str = AS_OF) -> DataFrame:
+    """``df`` with the first week whose as-of day is on or after ``date``.
+
+    ``asof`` is one row per week with as-of days that rise with the week. Each week stands for the days after
+    the as-of day before it; the first also for all earlier ones. Rows dated after every as-of day belong to no week.
+    The join is an equality on the day, with one row per day between the first and the last as-of day.
+    """
+    before = F.lag(as_of).over(Window.orderBy(as_of))  # one row per week
+    first = asof.agg(F.min(as_of).alias("__first"))
+    days = asof.select(week, as_of, before.alias("__before"))
+    days = days.select(F.col(week).alias("__week"), F.explode(F.sequence(F.coalesce(F.date_add("__before", 1), F.col(as_of)), F.col(as_of))).alias("__day"))
+    placed = df.withColumn("__date", F.to_date(date)).where(F.col("__date").isNotNull())
+    placed = placed.withColumn("__date", F.greatest(F.col("__date"), first.scalar()))
+    out = placed.join(days, F.col("__date") == F.col("__day"))
+    return out.select(*[F.col(c) for c in df.columns if c != week], F.col("__week").alias(week))
 
 
 def latest_as_of(
@@ -26,7 +45,7 @@ def latest_as_of(
     account: str = ACCOUNT,
     week: str = WEEK,
 ) -> DataFrame:
-    """``history`` carries (account, week-of-modification, order cols…, values…).
+    """``history`` carries (account, week from ``place_as_of``, order cols…, values…).
 
     ``order`` must end with a unique tie-break; the chosen row is the maximum
     (``ORDER BY … DESC``, NULLs last). Output: spine keys that have a match,

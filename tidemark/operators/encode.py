@@ -16,21 +16,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.shape import clean_name
 
-# A one-hot encoding wider than this is refused rather than built.
-MAX_CATEGORIES = 5_000
 
-
-def discover_vocabularies(
-    sources: dict[str, tuple[DataFrame, list[str]]], max_values: int = MAX_CATEGORIES
-) -> dict[str, dict[str, list[str]]]:
+def discover_vocabularies(sources: dict[str, tuple[DataFrame, list[str]]]) -> dict[str, dict[str, list[str]]]:
     """F4 for several sources in one job: ``{name: (frame, columns)}`` →
     ``{name: {column: sorted distinct non-NULL values}}``.
 
     Each source is turned into (source, column, value) triples, the triples of
     all sources are unioned and de-duplicated on the executors (partial
-    aggregation, one shuffle), and only the distinct values reach the driver.
-    A column with more than ``max_values`` values raises instead of being
-    one-hot encoded.
+    aggregation, one shuffle), and only the distinct values reach the driver,
+    as many as the encoded frame gets columns.
     """
     parts = []
     for name, (df, cols) in sources.items():
@@ -44,27 +38,45 @@ def discover_vocabularies(
         )
         parts.append(df.select(triples.alias("p")).select("p.s", "p.c", "p.v"))
     union = reduce(DataFrame.unionByName, parts)
-    n_cols = sum(len(cols) for _, cols in sources.values())
-    found = union.where(F.col("v").isNotNull()).distinct().limit(max_values * n_cols + 1).collect()
+    found = union.where(F.col("v").isNotNull()).distinct().collect()
     out: dict[str, dict[str, list[str]]] = {name: {c: [] for c in cols} for name, (_, cols) in sources.items()}
     for row in found:
         out[row["s"]][row["c"]].append(row["v"])
-    for name, cols in out.items():
-        for c, values in cols.items():
-            if len(values) > max_values:
-                raise ValueError(f"column {c!r} of {name!r} has more than {max_values} categories")
+    for cols in out.values():
+        for values in cols.values():
             values.sort()
     return out
 
 
-def discover_vocabulary(df: DataFrame, cols: list[str], max_values: int = MAX_CATEGORIES) -> dict[str, list[str]]:
+def merge_vocabularies(*sets: dict[str, dict[str, list[str]]]) -> dict[str, dict[str, list[str]]]:
+    """Union of vocabularies, e.g. the stored one and that of a run; values sorted."""
+    out: dict[str, dict[str, set[str]]] = {}
+    for one in sets:
+        for name, cols in one.items():
+            for c, values in cols.items():
+                out.setdefault(name, {}).setdefault(c, set()).update(values)
+    return {name: {c: sorted(v) for c, v in cols.items()} for name, cols in out.items()}
+
+
+def check_clean_names(values: list[str], prefix: str = "") -> None:
+    """Raise (Q9) when two values would give the same column name."""
+    seen: dict[str, str] = {}
+    for v in values:
+        name = clean_name(f"{prefix}_{v}")
+        if name in seen:
+            raise ValueError(f"values {seen[name]!r} and {v!r} both give the column {name!r}")
+        seen[name] = v
+
+
+def discover_vocabulary(df: DataFrame, cols: list[str]) -> dict[str, list[str]]:
     """F4 for one frame: ``{column: sorted distinct non-NULL values}`` in one job."""
-    return discover_vocabularies({"_": (df, cols)}, max_values)["_"]
+    return discover_vocabularies({"_": (df, cols)})["_"]
 
 
 def category_counts(col: str | Column, values: list[str], prefix: str, where: Column | None = None) -> list[Column]:
     """F1+D-7: one BIGINT count per value; NULL matches no value (Q5).
     ``where`` limits the rows counted (for an aggregate shared by several blocks)."""
+    check_clean_names(values, prefix)
     c = F.col(col) if isinstance(col, str) else col
     if where is not None:
         c = F.when(where, c)
@@ -73,6 +85,7 @@ def category_counts(col: str | Column, values: list[str], prefix: str, where: Co
 
 def weighted_counts(col: str | Column, values: list[str], weight: str | Column, prefix: str) -> list[Column]:
     """per value, the sum of ``weight`` over rows of that value (0 when none)."""
+    check_clean_names(values, prefix)
     c = F.col(col) if isinstance(col, str) else col
     w = F.col(weight) if isinstance(weight, str) else weight
     return [
@@ -81,31 +94,6 @@ def weighted_counts(col: str | Column, values: list[str], weight: str | Column,
     ]
 
 
-def top1_pivot_aggs(
-    pivot_col: str | Column,
-    values: list[str],
-    order: list[Column],
-    attrs: list[str],
-    tag: str = "__p",
-    exprs: dict[str, Column] | None = None,
-) -> tuple[list[Column], list[Column]]:
-    """Aggregate expressions of ``top1_pivot`` and the projection that
-    flattens them, for use inside a larger aggregate. ``exprs`` may give an
-    expression for an attribute instead of a column of that name."""
-    p = F.col(pivot_col) if isinstance(pivot_col, str) else pivot_col
-    exprs = exprs or {}
-    # Ordering fields first, so the struct's own order is the requested one.
-    ranked = F.struct(
-        *[o.alias(f"__o{i}") for i, o in enumerate(order)], *[exprs.get(a, F.col(a)).alias(a) for a in attrs]
-    )
-    aggs = [F.min(F.when(p == F.lit(v), ranked)).alias(f"{tag}{i}") for i, v in enumerate(values)]
-    flat = []
-    for i, v in enumerate(values):
-        stem = v.replace(" ", "_")
-        flat += [F.col(f"{tag}{i}.{a}").alias(clean_name(f"{stem}_{a}")) for a in attrs]
-    return aggs, flat
-
-
 def top1_pivot(
     df: DataFrame,
     keys: list[str],
@@ -118,11 +106,20 @@ def top1_pivot(
     by ``order`` (ascending; NULLs first like Spark's ``orderBy``), as columns
     ``<value>_<attr>`` with spaces turned to ``_``.
 
-    One ``min`` of a (ordering…, attributes…) struct per value inside one
-    aggregate: no window, no join, one shuffle. Rows of other pivot values
-    give a NULL struct and are skipped by ``min``. Keys whose rows are all of
+    Long form first: one ``min`` of a (ordering…, attributes…) struct per (key,
+    value), partial before its shuffle, so the cost per row does not grow with the number of values. Then
+    each key's entries, at most one per value, become one map and its columns. Keys whose rows are all of
     other values come out with all-NULL columns, as the reference's
     distinct-key left join does.
     """
-    aggs, flat = top1_pivot_aggs(pivot_col, values, order, attrs)
-    return df.groupBy(*keys).agg(*aggs).select(*[F.col(k) for k in keys], *flat)
+    check_clean_names([v.replace(" ", "_") for v in values])
+    ranked = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(a).alias(a) for a in attrs])
+    known = F.col(pivot_col).isin(*values) if values else F.lit(False)
+    first = df.groupBy(*keys, F.when(known, F.col(pivot_col)).alias("__v")).agg(F.min(ranked).alias("__s"))
+    entry = F.when(F.col("__v").isNotNull(), F.struct("__v", "__s"))
+    wide = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("__m"))
+    cols = []
+    for v in values:
+        stem = v.replace(" ", "_")
+        cols += [F.try_element_at("__m", F.lit(v))[a].alias(clean_name(f"{stem}_{a}")) for a in attrs]
+    return wide.select(*[F.col(k) for k in keys], *cols)

@@ -1,14 +1,11 @@
 """Data-quality profiles of a mart (J1-J4), one job each regardless of width.
 
 The reference runs one warehouse query per column; here all columns are
-profiled together: continuous columns in one aggregate that is then turned
-long, discrete columns through one unpivot and two aggregations.
+unpivoted and profiled together by narrow aggregates.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -34,134 +31,39 @@ def classify_columns(df: DataFrame, exclude: tuple[str, ...] = (ACCOUNT, WEEK))
     return discrete, continuous
 
 
-# A value list longer than this is not built (the count stays exact).
-MAX_LISTED_VALUES = 10_000
-
-
-def discrete_profile(df: DataFrame, cols: list[str], week: str = WEEK, max_listed: int = MAX_LISTED_VALUES) -> DataFrame:
-    """J2/D-14/Q12: per (column, week) the number of categories (NULL counted
-    as one) and the sorted distinct non-NULL values.
+def discrete_profile(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFrame:
+    """J2/D-14/Q12: one row per (column, week, distinct value) with the number of
+    categories of that column and week (NULL counted as one and listed as a NULL value).
 
-    The (week, column, value) triples are de-duplicated on the executors first.
-    Counts come from a plain aggregate over them. The value list is collected
-    only for groups with at most ``max_listed`` values (selected by a join on
-    the counts), so a high-cardinality column never becomes one huge group in
-    one task; its list is NULL while its count stays exact.
+    The (week, column, value) triples are de-duplicated on the executors and
+    counted by a plain aggregate; a column of any number of values stays rows and
+    is never gathered into one list.
     """
     long = df.select(
         F.col(week).alias(week),
         F.explode(F.array(*[F.struct(F.lit(c).alias("colname"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p"),
-    ).select(week, "p.colname", "p.v")
+    ).select(week, "p.colname", F.col("p.v").alias("unique_value"))
     distinct = long.distinct()
-    counts = distinct.groupBy("colname", week).agg(
-        F.count("v").alias("__n"),
-        (F.count("v") + F.max(F.col("v").isNull().cast("long"))).alias("number_of_categories"),
-    )
-    small = counts.filter(F.col("__n") <= max_listed).select("colname", week)
-    lists = distinct.join(small, ["colname", week], "left_semi").groupBy("colname", week).agg(
-        F.array_sort(F.collect_list("v")).alias("unique_values")
-    )
-    return counts.join(lists, ["colname", week], "left").select("colname", week, "unique_values", "number_of_categories")
+    counts = distinct.groupBy("colname", week).agg(F.count(F.lit(1)).alias("number_of_categories"))
+    return distinct.join(counts, ["colname", week]).select("colname", week, "unique_value", "number_of_categories")
 
 
-def continuous_profile(
-    df: DataFrame,
-    cols: list[str],
-    week: str = WEEK,
-    exact_mean_scale: int | None = None,
-    batch_size: int | None = None,
-) -> DataFrame:
+def continuous_profile(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFrame:
     """J3/D-13: max, min, mean and sample stddev per (column, week), long form.
 
-    ``exact_mean_scale=s`` takes each value at ``s`` decimals as an integer
-    and computes the mean as an exact DECIMAL average and the sample standard
-    deviation from exact integer sums (n, Σx, Σx²): the result no longer
-    depends on the order in which executors add doubles, so a rounded profile
-    is reproducible run to run and across engines. Sums are partial
-    aggregates.
-
-    ``batch_size=k`` aggregates k columns at a time and unions the results (one
-    job). Several hundred aggregate expressions in one ``agg`` exceed the size
-    of generated code Spark compiles, so one very wide aggregate runs slower than
-    a few narrower ones. On a written table each batch scans only its own columns.
+    The columns are unpivoted to (column, week, value) rows and reduced by one narrow
+    aggregate, so generated code stays small however many columns there are. DECIMAL
+    columns of one type keep it; others are read as DOUBLE.
     """
-    if batch_size and len(cols) > batch_size:
-        parts = [
-            continuous_profile(df, cols[i : i + batch_size], week, exact_mean_scale)
-            for i in range(0, len(cols), batch_size)
-        ]
-        return reduce(DataFrame.unionByName, parts)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        if exact_mean_scale is None:
-            mean, sd = F.avg(x), F.stddev_samp(x)
-        else:
-            integral = isinstance(df.schema[c].dataType, (ByteType, ShortType, IntegerType, LongType))
-            mean = _exact_mean(c, exact_mean_scale, integral)
-            sd = _exact_stddev(x, exact_mean_scale, integral)
-        aggs += [
-            F.max(x).alias(f"__mx{i}"),
-            F.min(x).alias(f"__mn{i}"),
-            mean.alias(f"__av{i}"),
-            sd.alias(f"__sd{i}"),
-        ]
-    wide = df.groupBy(week).agg(*aggs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("colname"),
-                F.col(f"__mx{i}").alias("maximum_value"),
-                F.col(f"__mn{i}").alias("minimum_value"),
-                F.col(f"__av{i}").alias("mean_value"),
-                F.col(f"__sd{i}").alias("standard_deviation"),
-            )
-            for i, c in enumerate(cols)
-        ]
+    types = {df.schema[c].dataType for c in cols}
+    exact = len(types) == 1 and isinstance(next(iter(types)), DecimalType)
+    value = (lambda c: F.col(c)) if exact else (lambda c: F.col(c).cast("double"))
+    long = df.select(
+        F.col(week).alias(week), F.explode(F.array(*[F.struct(F.lit(c).alias("colname"), value(c).alias("x")) for c in cols])).alias("p")
+    ).select("p.colname", week, F.col("p.x").alias("x"))
+    return long.groupBy("colname", week).agg(
+        F.max("x").alias("maximum_value"), F.min("x").alias("minimum_value"), F.avg("x").alias("mean_value"), F.stddev_samp("x").alias("standard_deviation")
     )
-    return wide.select(week, F.explode(rows).alias("r")).select("r.colname", week, "r.maximum_value", "r.minimum_value", "r.mean_value", "r.standard_deviation")
-
-
-def _exact_stddev(x, scale: int, integral: bool = False):
-    """sqrt((nΣx² − (Σx)²) / (n(n−1))) / 10^scale over x = round(value·10^scale),
-    from exact sums; NULL for fewer than two values.
-
-    Integer columns are summed as 64-bit integers (x itself, unscaled; values
-    guarded below 2^31 so squares stay below 2^62) with ``try_sum`` overflow
-    detection; other columns as DECIMAL(38,0)
-    after a per-row magnitude guard (so x² always fits 38 digits). The
-    per-group products use ``try_`` forms. A group with a value outside the
-    guard or an overflowing sum falls back to the floating ``stddev_samp``: the
-    result never fails and never skips values."""
-    if integral:
-        unit = 1.0
-        xi = F.when(F.abs(x) < F.lit(2.0**31), x).cast("long")
-        sq = xi * xi
-    else:
-        unit = 10.0**scale
-        xi = F.when(F.abs(x) < F.lit(10.0 ** (18 - scale)), F.round(x * F.lit(unit))).cast("decimal(38,0)")
-        sq = xi * xi
-    lost = F.count_if(x.isNotNull() & xi.isNull())
-    n = F.count(xi)
-    sx = F.try_sum(xi).cast("decimal(38,0)")
-    sxx = F.try_sum(sq).cast("decimal(38,0)")
-    num = F.try_subtract(F.try_multiply(n.cast("decimal(38,0)"), sxx), F.try_multiply(sx, sx))
-    var = num.cast("double") / (n * (n - F.lit(1))).cast("double")
-    exact = F.when(lost == 0, F.sqrt(var) / F.lit(unit))
-    return F.when(F.count(x) > 1, F.coalesce(exact, F.stddev_samp(x)))
-
-
-def _exact_mean(col: str, scale: int, integral: bool = False):
-    """Exact average (64-bit integer sum for integer columns, DECIMAL(38,scale)
-    otherwise), or the floating mean when a value or the sum does not fit."""
-    x = F.col(col).cast("double")
-    if integral:
-        exact = F.try_sum(F.col(col).cast("long")).cast("decimal(38,0)") / F.count(F.col(col))
-        return F.coalesce(exact.cast("double"), F.avg(x))
-    dec = F.when(F.abs(x) < F.lit(1e20), F.col(col)).cast(f"decimal(38,{scale})")
-    lost = F.count_if(x.isNotNull() & dec.isNull())
-    exact = F.when(lost == 0, F.try_avg(dec).cast("double"))
-    return F.coalesce(exact, F.avg(x))
 
 
 def stamp(df: DataFrame, column: str = "created_dt") -> DataFrame:

@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import ACCOUNT, WEEK
-from tidemark.functions.calendar import AS_OF, map_to_week
+from tidemark.functions.calendar import AS_OF, MONTH, IsoCalendar, map_to_week, month_of_week, week_end
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank, valid_key
 from tidemark.functions.shape import clean_name as _clean
 from tidemark.functions.shape import normalise_values
-from tidemark.operators.asof import latest_as_of
+from tidemark.operators.asof import latest_as_of, place_as_of
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.encode import category_counts, discover_vocabulary, top1_pivot, weighted_counts
 from tidemark.operators.rangejoin import interval_join, window_join
@@ -48,25 +48,26 @@ REFERER_PATTERNS = [
 COUNTED_REQUESTED_BYTES = 188
 
 
-def weekly_aggregate(df: DataFrame, calendar: DataFrame, date_expr: Column, aggs: list[Column]) -> DataFrame:
+def weekly_aggregate(df: DataFrame, calendar: DataFrame | IsoCalendar, date_expr: Column, aggs: list[Column]) -> DataFrame:
     """C1 then one aggregate on (account, week)."""
     return map_to_week(df, date_expr, calendar).groupBy(*KEYS).agg(*aggs)
 
 
 def spine(
     base: DataFrame,
-    week_dim: DataFrame,
+    week_dim: DataFrame | None,
     keep: list[Column | str],
     where: Column | None = None,
 ) -> DataFrame:
     """H1: filter the weekly base once (B11, B6), project, add month and as-of
-    from the one-row-per-week dimension (C3). ``week_dim`` is bounded by the
-    calendar, so it is broadcast."""
+    (C3): from the one-row-per-week dimension of a stored calendar, or computed from the ISO week when there is none."""
     b = base.filter(valid_key(base, ACCOUNT))
     if where is not None:
         b = b.filter(where)
     b = b.select(ACCOUNT, WEEK, *keep)
-    out = b.join(F.broadcast(week_dim), WEEK, "inner")
+    if week_dim is None:
+        return b.select(*b.columns, month_of_week(F.col(WEEK)).alias(MONTH), week_end(F.col(WEEK)).alias(AS_OF))
+    out = b.join(week_dim, WEEK, "inner")
     return out.select(ACCOUNT, WEEK, *[c for c in out.columns if c not in (ACCOUNT, WEEK)])
 
 
@@ -84,7 +85,7 @@ def line_speed_aggs(
 
 def line_speed_block(
     df: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     date_col: str,
     measures: list[str],
     status_col: str,
@@ -95,7 +96,7 @@ def line_speed_block(
 
 def counts_block(
     df: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     date_col: str,
     categories: dict[str, tuple[str, list[str]]],
 ) -> DataFrame:
@@ -112,7 +113,7 @@ def counts_aggs(categories: dict[str, tuple[str | Column, list[str]]], where: Co
     return aggs
 
 
-def survey_block(df: DataFrame, calendar: DataFrame, date_col: str, scores: dict[str, str]) -> DataFrame:
+def survey_block(df: DataFrame, calendar: DataFrame | IsoCalendar, date_col: str, scores: dict[str, str]) -> DataFrame:
     """Cast each score to FLOAT (bad text → NULL) and average it."""
     return weekly_aggregate(df, calendar, F.col(date_col), survey_aggs(scores))
 
@@ -123,7 +124,7 @@ def survey_aggs(scores: dict[str, str]) -> list[Column]:
 
 def calls_block(
     df: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     date_col: str,
     int_measures: dict[str, str],
     mean_of: tuple[str, str],
@@ -144,7 +145,7 @@ def calls_aggs(
 
 def pipeline_block(
     df: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     date_col: str,
     measures: list[str],
     own_week: str | None = None,
@@ -166,7 +167,7 @@ def pipeline_block(
 
 def download_counts(
     df: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     date_col: str,
     genre_col: str,
     referer_col: str,
@@ -212,7 +213,7 @@ def downloads_aggs(genre_col: str, referer_col: str, patterns: list[str], vocab:
 
 def downloads_block(
     df: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     date_col: str,
     genre_col: str,
     referer_col: str,
@@ -240,7 +241,6 @@ def eligibility_block(
     before: int = 30,
     after: int = 30,
     spine_keys: DataFrame | None = None,
-    calendar: DataFrame | None = None,
 ) -> DataFrame:
     """H8: the latest row per (account, week) whose date lies within
     [as_of - before, as_of + after] (B3), so the spine cannot fan out (Q11).
@@ -251,19 +251,16 @@ def eligibility_block(
 
     With ``spine_keys`` (the mart): no fan-out. The latest row in the window
     is the latest row with ``date <= as_of + after``, kept if its date is
-    ``>= as_of - before``. Since ``date <= as_of(w) + after`` exactly when
-    ``week(date - after) <= w``, this is the bounded-state as-of join on the
-    shifted week, followed by one filter. ``calendar`` must be the full one.
+    ``>= as_of - before``. So this is the bounded-state as-of join on the
+    date shifted by ``after``, followed by one filter.
     """
     src = df.select(ACCOUNT, date_col, tie_col, *values)
     if spine_keys is not None:
-        hist = map_to_week(src, F.date_sub(F.col(date_col), after), calendar)
+        hist = place_as_of(src, F.date_sub(F.col(date_col), after), asof)
         latest = latest_as_of(hist, spine_keys, [F.col(date_col), F.col(tie_col)], [*values, date_col])
-        bounds = F.broadcast(asof.select(WEEK, AS_OF))
-        kept = latest.join(bounds, WEEK, "inner").filter(F.col(date_col) >= F.date_sub(F.col(AS_OF), before))
+        kept = latest.join(asof.select(WEEK, AS_OF), WEEK, "inner").filter(F.col(date_col) >= F.date_sub(F.col(AS_OF), before))
         return kept.select(ACCOUNT, WEEK, *values, date_col)
-    # the as-of frame is one row per week: bounded, so broadcast
-    joined = window_join(src, date_col, asof.select(WEEK, AS_OF), AS_OF, before, after, broadcast_points=True)
+    joined = window_join(src, date_col, asof.select(WEEK, AS_OF), AS_OF, before, after)
     top = first_per_key(
         joined.select(ACCOUNT, WEEK, date_col, tie_col, *values),
         KEYS,
@@ -275,7 +272,7 @@ def eligibility_block(
 
 def billing_block(
     bills: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     tax_date_col: str,
     values: list[str],
     tie_col: str,
@@ -296,20 +293,20 @@ def offers_block(
     amount_col: str,
     attrs: list[str],
     tie_cols: list[str],
-    clip=None,
 ) -> DataFrame:
     """Offers active at each week's as-of date (B4, interval join C11),
     then per (account, week) and type the cheapest offer's attributes as
-    ``<type>_<attr>`` columns (F3, E3 fused into one aggregate)."""
-    # the as-of frame is one row per week: bounded, so broadcast
-    active = interval_join(offers, start_col, end_col, asof.select(WEEK, AS_OF), AS_OF, clip=clip, broadcast_points=True)
+    ``<type>_<attr>`` columns (F3, E3). Intervals are clipped to the range of the as-of days,
+    so an open-ended offer gives about one row per as-of week."""
+    clip = asof.agg(F.min(AS_OF), F.max(AS_OF)).first()
+    active = interval_join(offers, start_col, end_col, asof.select(WEEK, AS_OF), AS_OF, clip=None if clip[0] is None else tuple(clip))
     order = [F.col(amount_col)] + [F.col(c) for c in tie_cols]
     return top1_pivot(active, KEYS, type_col, vocab, order, attrs)
 
 
 def set_top_box_block(
     boxes: DataFrame,
-    calendar: DataFrame,
+    asof: DataFrame,
     spine_keys: DataFrame,
     installed_col: str,
     modified_col: str,
@@ -321,14 +318,14 @@ def set_top_box_block(
     modified on or before the week's as-of date (B5, E2), excluding some box
     types (B9, NULL type rejected)."""
     src = boxes.filter(not_in(type_col, excluded_types))
-    hist = map_to_week(src, F.col(modified_col), calendar)
+    hist = place_as_of(src, F.col(modified_col), asof)
     return latest_as_of(hist, spine_keys, [F.col(installed_col), F.col(tie_col)], [type_col])
 
 
 def journey_block(
     events: DataFrame,
     account_map: DataFrame,
-    calendar: DataFrame,
+    calendar: DataFrame | IsoCalendar,
     obfuscated_col: str,
     map_from: str,
     map_to: str,

@@ -5,13 +5,14 @@
 Pending weeks are the base's weeks in the range without a log row for
 (process, table); they are built together, written with dynamic partition
 overwrite, and logged after the write succeeds. A re-run is a no-op.
+
+``--vocab`` names a table of category values in shared storage. Each run adds the values that its
+weeks bring; columns once written stay, and a new value gives a new column.
 """
 
 from __future__ import annotations
 
 import argparse
-import json
-import os
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +20,7 @@ from tidemark.functions.calendar import week_list
 from tidemark.plans.mart import run
 from tidemark.plans.star import Star
 from tidemark.session import apply_scale_conf
+from tidemark.sources.catalog import path_exists
 
 PROCESS = "weekly_mart"
 
@@ -31,21 +33,19 @@ def main(argv: list[str] | None = None) -> list[int]:
     ap.add_argument("--from", dest="lo", type=int, required=True, help="first week YYYYWW")
     ap.add_argument("--to", dest="hi", type=int, required=True, help="last week YYYYWW")
     ap.add_argument("--table", default="mart", help="logical name of the mart in the log")
-    ap.add_argument("--vocab", help="JSON file of stored category vocabularies; written on first use")
+    ap.add_argument("--vocab", help="table of stored category values, in shared storage; each run adds to it")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("tidemark-weekly-mart").getOrCreate()
-    on_cluster = not spark.sparkContext.master.startswith("local")
-    if on_cluster:
+    if not spark.sparkContext.master.startswith("local"):
         apply_scale_conf(spark)  # cluster sizing; local sessions keep their own
-    vocab = _load_vocab(a.vocab)
-    requested = week_list(Star(spark, a.data).spine(), a.lo, a.hi)
+    # Only the span's own dates are read to list its weeks.
+    requested = week_list(Star(spark, a.data, span=(a.lo, a.hi)).spine(), a.lo, a.hi)
 
     def build(weeks: list[int]):
-        star = Star(spark, a.data, weeks, vocab)
-        # On a cluster shuffle volume dominates: share one lineitem join.
-        mart = star.mart(share_lineitem=on_cluster)
-        if a.vocab and vocab is None:
-            _save_vocab(a.vocab, star.vocab("part", "lineitem", "events", "journey"))
+        star = Star(spark, a.data, weeks, _stored_vocab(spark, a.vocab))
+        mart = star.mart()
+        if a.vocab:
+            _add_vocab(spark, a.vocab, star.vocab("part", "lineitem", "events", "journey"))
         return mart
 
     done = run(spark, build, requested, a.mart, a.log, PROCESS, a.table)
@@ -53,17 +53,22 @@ def main(argv: list[str] | None = None) -> list[int]:
     return done
 
 
-def _load_vocab(path: str | None):
-    """Stored vocabularies keep every run's schema the same (driver-side metadata)."""
-    if not path or not os.path.exists(path):
-        return None
-    with open(path) as fh:
-        return json.load(fh)
+def _stored_vocab(spark: SparkSession, path: str | None) -> dict[str, dict[str, list[str]]]:
+    """Category values of earlier runs (as many as the mart has category columns)."""
+    out: dict[str, dict[str, list[str]]] = {}
+    if path and path_exists(spark, path):
+        for r in spark.read.parquet(path).distinct().orderBy("source", "column", "value").collect():
+            out.setdefault(r["source"], {}).setdefault(r["column"], []).append(r["value"])
+    return out
 
 
-def _save_vocab(path: str, vocab: dict) -> None:
-    with open(path, "w") as fh:
-        json.dump(vocab, fh, indent=1, sort_keys=True)
+def _add_vocab(spark: SparkSession, path: str, vocab: dict[str, dict[str, list[str]]]) -> None:
+    """Append the values that the table does not hold yet."""
+    rows = [(s, c, v) for s, cols in vocab.items() for c, values in cols.items() for v in values]
+    new = spark.createDataFrame(rows, "source string, column string, value string")
+    if path_exists(spark, path):
+        new = new.join(spark.read.parquet(path), ["source", "column", "value"], "left_anti")
+    new.coalesce(1).write.mode("append").parquet(path)
 
 
 if __name__ == "__main__":

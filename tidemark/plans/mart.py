@@ -53,7 +53,8 @@ def run(
 
     ``build(weeks)`` returns the mart rows of those weeks. Weeks already in the
     log for (process, table) are skipped, so a second run changes nothing.
-    Returns the weeks written.
+    The weeks of one run are one batch: they share their start, end and elapsed
+    time in the log. Returns the weeks written.
     """
     log = runlog.read_log(spark, log_path)
     pending = [r[WEEK] for r in runlog.pending_weeks(requested, log, process, table).collect()]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,39 +18,44 @@ from pyspark.sql import functions as F
 from tidemark import ACCOUNT, WEEK
 from tidemark.functions.calendar import (
     AS_OF,
-    CAL_DATE,
+    IsoCalendar,
     as_of_frame,
+    bounded_frame,
     day_range,
-    generate_calendar,
-    iso_week_bounds,
     map_to_week,
     run_sequences,
-    week_dimension,
+    week_end,
     week_list,
 )
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank
-from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, normalise_values, strip_cast
-from tidemark.operators.encode import discover_vocabularies, top1_pivot_aggs
-from tidemark.operators.rangejoin import bucket_index
-from tidemark.operators.quality import classify_columns, continuous_profile, discrete_profile
+from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, fill_strings, normalise_values, parse_dates, strip_cast
+from tidemark.operators.encode import discover_vocabularies, merge_vocabularies
+from tidemark.operators.quality import append_profile, classify_columns, continuous_profile, discrete_profile, stamp
 from tidemark.plans import blocks, runlog
-from tidemark.plans.mart import assemble
+from tidemark.plans.mart import assemble, run
 from tidemark.session import materialize, scratch_path
-from tidemark.sources.catalog import read_json
+from tidemark.sources.catalog import Catalog, has_rows, read_json
 from tidemark.sources.sinks import read_mart, write_json, write_weeks
 
 # Fixed values of the role mapping (shared with the SQL oracles).
-STAR_REFERER_PATTERNS = ["%ring%", "%widget%", "%bolt%"]
-NAME_PATTERNS = ["%ring%", "%bolt%"]
+STAR_REFERER_PATTERNS = ["%small%", "%ring%"]
+NAME_PATTERNS = ["%red%", "%bolt%"]
 RETURN_FLAGS = ["A", "N", "R", "X"]
-CLAIM_TYPES = ["PROMO", "STANDARD"]
 EXCLUDED_BOX_TYPES = ["5-LOW"]
 PRIORITY_SPELLINGS = {"1-URGENT": "HIGH", "2-HIGH": "HIGH", "4-NOT SPECIFIED": "LOW", "5-LOW": "LOW"}
 ACCOUNT_NAME_FORMAT = "Customer#%09d"
 PROPS_NUMBER = r'"k":\s*(-?[0-9.]+)'
 LOGGED_MONTHS = [1, 2, 3, 7, 8, 9]
 LOGGED_UNTIL_YEAR = 2000
-WEEK_LO, WEEK_HI = 199401, 200252  # covers every week of the order dates
+WEEK_LO, WEEK_HI = 199401, 200252  # the weeks of the order dates
+GOLD_PRICE = 250_000
+BOX_LEAD_DAYS = 15  # a box is installed up to this many days before it is modified
+# INT measures of the call block: output name → expression over the event columns of ``events_src``.
+CALL_MEASURES = {
+    "duration_sec": "value", "props_total": "props_number", "total_abandons": "abandon_flag", "click_calls": "click_flag", "purchase_calls": "purchase_flag",
+    "signup_calls": "signup_flag", "view_calls": "view_flag", "long_calls": "long_flag", "short_calls": "short_flag", "night_calls": "night_flag",
+    "weekend_calls": "weekend_flag", "hour_total": "hour_of_day", "minute_total": "minute_of_hour", "day_total": "day_of_month",
+}
 
 
 class Star:
@@ -61,35 +67,31 @@ class Star:
         sf_dir: str,
         weeks: list[int] | None = None,
         vocab: dict[str, dict[str, list[str]]] | None = None,
+        span: tuple[int, int] | None = None,
     ):
-        """``weeks`` limits the run to those weeks: every weekly block maps
-        dates through the calendar, so restricting the calendar restricts them
-        all. The as-of join of the box block keeps the full calendar because it
-        needs history from earlier weeks. ``vocab`` supplies stored category
-        vocabularies (same shape as ``vocab()`` returns), so a run's schema is
-        fixed and no discovery scan is needed."""
+        """``weeks`` (or the inclusive ``span`` of weeks) limits the run: every weekly block maps
+        dates through the calendar, so limiting the calendar limits them
+        all. As-of blocks also read earlier dates. ``vocab`` supplies stored category
+        vocabularies (same shape as ``vocab()`` returns); values that the run's own rows bring are added to them."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.weeks = sorted(weeks) if weeks else None
-        self.calendar_all = generate_calendar(spark)
-        cal = self.calendar_all
-        if self.weeks:
-            cal = cal.filter(F.col(WEEK).isin(*self.weeks))
-        self.calendar = cal
-        self.week_dim = week_dimension(self.calendar)
-        self._vocab: dict[str, dict[str, list[str]]] = dict(vocab or {})
+        self.calendar = IsoCalendar(tuple(self.weeks) if self.weeks else None, span)
+        self.stored_vocab: dict[str, dict[str, list[str]]] = dict(vocab or {})
+        self._vocab: dict[str, dict[str, list[str]]] = {}
 
     def t(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
     def dated(self, df: DataFrame, col: str, before: int = 0, after: int = 0, lower: bool = True) -> DataFrame:
         """For a week-restricted run, a raw-date filter that Parquet can use to
-        skip row groups. It repeats what the inner calendar join already
+        skip row groups. It repeats what the calendar already
         enforces (widened by ``before``/``after`` days where a block looks
         outside the week), so it only prunes I/O."""
-        if not self.weeks:
+        bounds = self.calendar.bounds()
+        if bounds is None:
             return df
-        lo, hi = iso_week_bounds(self.weeks)
+        lo, hi = bounds
         lo_day = lo - dt.timedelta(days=before) if lower else None
         return df.filter(day_range(df, col, lo_day, hi + dt.timedelta(days=after)))
 
@@ -100,7 +102,9 @@ class Star:
     # -- H1 weekly base ----------------------------------------------------
     def base(self) -> DataFrame:
         o = self.dated(self.t("orders"), "o_orderdate").select(F.col("o_custkey").alias(ACCOUNT), "o_orderdate")
-        pairs = map_to_week(o, F.col("o_orderdate"), self.calendar).select(ACCOUNT, WEEK).distinct()
+        e = self.dated(self.t("events"), "ts").select(F.col("user_id").alias(ACCOUNT), "ts")
+        pairs = map_to_week(o, F.col("o_orderdate"), self.calendar).select(ACCOUNT, WEEK)
+        pairs = pairs.unionByName(map_to_week(e, F.col("ts"), self.calendar).select(ACCOUNT, WEEK)).distinct()
         cust = self.t("customer").select(
             F.col("c_custkey").alias(ACCOUNT), "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
         )
@@ -109,13 +113,13 @@ class Star:
     def spine(self) -> DataFrame:
         return blocks.spine(
             self.base(),
-            self.week_dim,
+            None,
             keep=["c_nationkey", "c_acctbal", "c_mktsegment", strip_cast("c_name", "Customer#").alias("name_number")],
             where=(F.col("c_acctbal") > 0) & F.col("c_mktsegment").isNotNull(),
         )
 
     def asof(self, spine: DataFrame | None = None) -> DataFrame:
-        return as_of_frame(self.spine() if spine is None else spine)
+        return bounded_frame(as_of_frame(self.spine() if spine is None else spine), "as-of")
 
     # -- role frames ---------------------------------------------------------
     def line_speed_src(self) -> DataFrame:
@@ -128,20 +132,28 @@ class Star:
         li = self.dated(self.t("lineitem"), "l_shipdate").select(
             "l_orderkey", "l_partkey", F.col("l_linestatus").alias("status"), "l_shipdate"
         )
-        types = self.t("part").filter(F.col("p_type").isin(*CLAIM_TYPES)).select(
-            F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("type_code")
-        )
+        types = self.t("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("type_code"))
         return li.join(types, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
 
     def events_src(self) -> DataFrame:
         e = self.dated(self.t("events"), "ts")
+        number = F.regexp_extract("props", PROPS_NUMBER, 1)
+        flag = lambda cond: F.when(cond, 1).otherwise(0)
         return e.select(
             F.col("user_id").alias(ACCOUNT),
             "ts",
             F.col("event_type").alias("channel"),
+            F.when(number.try_cast("int") % 2 == 0, "IN").otherwise("OUT").alias("direction"),
             F.col("value"),
-            F.regexp_extract("props", PROPS_NUMBER, 1).alias("props_number"),
-            F.when(F.col("event_type") == "error", 1).otherwise(0).alias("abandon_flag"),
+            number.alias("props_number"),
+            *[flag(F.col("event_type") == t).alias(f"{n}_flag") for t, n in (("error", "abandon"), ("click", "click"), ("purchase", "purchase"), ("signup", "signup"), ("view", "view"))],
+            flag(F.col("value") > 100).alias("long_flag"),
+            flag(F.col("value") < 10).alias("short_flag"),
+            flag(F.hour("ts") < 6).alias("night_flag"),
+            flag(F.weekday("ts") >= 5).alias("weekend_flag"),
+            F.hour("ts").alias("hour_of_day"),
+            F.minute("ts").alias("minute_of_hour"),
+            F.dayofmonth("ts").alias("day_of_month"),
         )
 
     def pipeline_src(self) -> DataFrame:
@@ -156,8 +168,8 @@ class Star:
             flag(F.col("o_orderpriority") == "5-LOW").alias("low_flag"),
         )
 
-    def downloads_src(self) -> DataFrame:
-        li = self.dated(self.t("lineitem"), "l_shipdate").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate")
+    def downloads_src(self, extra: list[str] | None = None) -> DataFrame:
+        li = self.dated(self.t("lineitem"), "l_shipdate").select("l_orderkey", "l_partkey", "l_suppkey", "l_shipdate", *(extra or []))
         p = self.t("part").select(
             F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("genre"), F.col("p_name").alias("referer")
         )
@@ -171,14 +183,16 @@ class Star:
             "o_orderkey",
         )
 
-    def bills_src(self) -> DataFrame:
+    def bills_src(self, lines: DataFrame | None = None) -> DataFrame:
         bills = self.dated(self.t("orders"), "o_orderdate").filter(F.col("o_orderpriority").like("1%")).select(
             "o_orderkey", "o_custkey", F.col("o_orderdate").alias("tax_date"), "o_totalprice"
         )
         # Join, then aggregate: the lineitem side sits directly under a join
         # with the (selective) bills, so Spark can prune it with a runtime
         # bloom filter; a one-week run then shuffles that week's lines only.
-        lines = self.t("lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
+        # A full mart passes its own joined lines instead.
+        source = self.t("lineitem") if lines is None else lines
+        lines = source.select(F.col("l_orderkey").alias("o_orderkey"), "l_shipdate")
         paid = bills.join(lines, "o_orderkey", "left").groupBy("o_orderkey", "o_custkey", "tax_date", "o_totalprice").agg(
             F.max("l_shipdate").alias("balance_zero_dt")
         )
@@ -195,13 +209,15 @@ class Star:
             F.datediff(F.to_date("balance_zero_dt"), F.to_date("tax_date")).alias("payment_delay_in_days"),
         )
 
-    def offers_src(self) -> DataFrame:
-        li = self.dated(self.t("lineitem"), "l_shipdate", lower=False).select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate", "l_quantity"
-        )
-        p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    def offers_src(self, lines: DataFrame | None = None) -> DataFrame:
         start = F.to_date("l_shipdate")
-        return li.join(p, "l_partkey", "inner").join(self.bridge(), "l_orderkey", "inner").select(
+        if lines is None:
+            li = self.dated(self.t("lineitem"), "l_shipdate", lower=False).select(
+                "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_discount", "l_linestatus", "l_shipdate", "l_quantity"
+            )
+            p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+            lines = li.join(p, "l_partkey", "inner").join(self.bridge(), "l_orderkey", "inner")
+        return lines.select(
             ACCOUNT,
             "p_type",
             F.col("l_extendedprice").alias("offer_amount"),
@@ -217,7 +233,7 @@ class Star:
         d = F.to_date("o_orderdate")
         return self.dated(self.t("orders"), "o_orderdate", lower=False).select(
             F.col("o_custkey").alias(ACCOUNT),
-            d.alias("installed_dt"),
+            F.date_sub(d, (F.col("o_orderkey") % BOX_LEAD_DAYS).cast("int")).alias("installed_dt"),
             d.alias("modified_dt"),
             F.col("o_orderpriority").alias("box_type"),
             "o_orderkey",
@@ -228,7 +244,7 @@ class Star:
             F.format_string(ACCOUNT_NAME_FORMAT, F.col("o_custkey")).alias("account_obf"),
             F.col("o_orderstatus").alias("event_type"),
             F.col("o_orderpriority").alias("event_sub_category"),
-            F.col("o_orderstatus").alias("tier_name"),
+            F.when(F.col("o_totalprice") > GOLD_PRICE, "GOLD").otherwise("SILVER").alias("tier_name"),
             F.col("o_orderpriority").alias("loyalty_status"),
             F.to_date("o_orderdate").alias("event_start_date"),
         )
@@ -244,7 +260,7 @@ class Star:
         status = self.vocab("lineitem", "part")["lineitem"]["l_linestatus"]
         return blocks.counts_block(
             self.claims_src(), self.calendar, "l_shipdate",
-            {"status": ("status", status), "type_code": ("type_code", self.claim_types())},
+            {"status": ("status", status), "type_code": ("type_code", self.part_types())},
         )
 
     def survey(self) -> DataFrame:
@@ -252,12 +268,14 @@ class Star:
         return blocks.survey_block(e, self.calendar, "ts", {"value": "score_1", "props_number": "score_2"})
 
     def calls(self) -> DataFrame:
-        vocab = self.vocab("events")["events"]["event_type"]
-        return blocks.calls_block(
-            self.events_src(), self.calendar, "ts",
-            {"value": "duration_sec", "props_number": "props_total", "abandon_flag": "total_abandons"},
+        return blocks.calls_block(self.events_src(), self.calendar, "ts", *self.call_args())
+
+    def call_args(self) -> tuple:
+        vocab = self.vocab("events")["events"]
+        return (
+            {src: dst for dst, src in CALL_MEASURES.items()},
             ("value", "mean_duration"),
-            {"channel": ("channel", vocab)},
+            {"channel": ("channel", vocab["channel"]), "direction": ("direction", vocab["direction"])},
         )
 
     def pipeline(self) -> DataFrame:
@@ -271,16 +289,18 @@ class Star:
 
     def vocab(self, *names: str) -> dict[str, dict[str, list[str]]]:
         """Category vocabularies (F4) of the named sources, discovered together
-        in one job and kept for the life of this object:
-        ``part`` (p_type), ``lineitem`` (l_linestatus), ``events`` (event_type),
+        in one job over the rows of the run's weeks, merged with the stored ones and kept for the life of this object:
+        ``part`` (p_type), ``lineitem`` (l_linestatus), ``events`` (channel, direction),
         ``journey`` (status and merged priority of orders)."""
-        o = self.t("orders")
+        def weekly(df: DataFrame, date_col: str) -> DataFrame:
+            return map_to_week(self.dated(df, date_col), F.col(date_col), self.calendar)
+
         sources = {
             "part": lambda: (self.t("part"), ["p_type"]),
-            "lineitem": lambda: (self.t("lineitem"), ["l_linestatus"]),
-            "events": lambda: (self.t("events"), ["event_type"]),
+            "lineitem": lambda: (weekly(self.t("lineitem").select("l_linestatus", "l_shipdate"), "l_shipdate"), ["l_linestatus"]),
+            "events": lambda: (map_to_week(self.events_src(), F.col("ts"), self.calendar), ["channel", "direction"]),
             "journey": lambda: (
-                o.select(
+                weekly(self.t("orders").select("o_orderstatus", "o_orderpriority", "o_orderdate"), "o_orderdate").select(
                     F.col("o_orderstatus").alias("event_type"),
                     normalise_values("o_orderpriority", PRIORITY_SPELLINGS).alias("event_sub_category"),
                 ),
@@ -289,7 +309,8 @@ class Star:
         }
         missing = [n for n in names if n not in self._vocab]
         if missing:
-            self._vocab.update(discover_vocabularies({n: sources[n]() for n in missing}))
+            stored = {n: self.stored_vocab[n] for n in missing if n in self.stored_vocab}
+            self._vocab.update(merge_vocabularies(stored, discover_vocabularies({n: sources[n]() for n in missing})))
         return {n: self._vocab[n] for n in names}
 
     def part_types(self) -> list[str]:
@@ -298,42 +319,38 @@ class Star:
     def genres(self) -> list[str]:
         return sorted({t.lower() for t in self.part_types()})
 
-    def claim_types(self) -> list[str]:
-        return [t for t in self.part_types() if t in CLAIM_TYPES]
-
     def downloads(self) -> DataFrame:
         return blocks.downloads_block(
             self.downloads_src(), self.calendar, "l_shipdate", "genre", "referer", STAR_REFERER_PATTERNS, self.genres(), "genre"
         )
 
-    def eligibility(self, spine: DataFrame | None = None, as_of_join: bool = False) -> DataFrame:
+    def eligibility(self, spine: DataFrame | None = None, as_of_join: bool = False, asof: DataFrame | None = None) -> DataFrame:
         """Standalone: all (account, week) pairs with a row in the window.
         ``as_of_join=True`` (the mart): only spine pairs, without fan-out."""
         keys = spine.select(ACCOUNT, WEEK) if (as_of_join and spine is not None) else None
         return blocks.eligibility_block(
-            self.eligibility_src(), self.asof(spine), "tenure_start_date", ["eligibility"], "o_orderkey",
-            spine_keys=keys, calendar=self.calendar_all,
+            self.eligibility_src(), self.asof(spine) if asof is None else asof, "tenure_start_date", ["eligibility"], "o_orderkey",
+            spine_keys=keys,
         )
 
-    def billing(self) -> DataFrame:
+    def billing(self, lines: DataFrame | None = None) -> DataFrame:
         return blocks.billing_block(
-            self.bills_src(), self.calendar, "tax_date", ["bill_total", "amount_paid", "payment_delay_in_days"], "o_orderkey"
+            self.bills_src(lines), self.calendar, "tax_date", ["bill_total", "amount_paid", "payment_delay_in_days"], "o_orderkey"
         )
 
-    def offers(self, spine: DataFrame | None = None) -> DataFrame:
+    def offers(self, spine: DataFrame | None = None, asof: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
         return blocks.offers_block(
-            self.offers_src(), self.asof(spine), "offer_start_dt_actual", "offer_end_dt_actual", "p_type",
+            self.offers_src(lines), self.asof(spine) if asof is None else asof, "offer_start_dt_actual", "offer_end_dt_actual", "p_type",
             self.part_types(),
             "offer_amount",
             ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"],
             ["l_orderkey", "l_linenumber"],
-            clip=iso_week_bounds(self.weeks) if self.weeks else None,
         )
 
-    def set_top_box(self, spine: DataFrame | None = None) -> DataFrame:
+    def set_top_box(self, spine: DataFrame | None = None, asof: DataFrame | None = None) -> DataFrame:
         sp = self.spine() if spine is None else spine
         return blocks.set_top_box_block(
-            self.boxes_src(), self.calendar_all, sp.select(ACCOUNT, WEEK),
+            self.boxes_src(), self.asof(sp) if asof is None else asof, sp.select(ACCOUNT, WEEK),
             "installed_dt", "modified_dt", "box_type", "o_orderkey", EXCLUDED_BOX_TYPES,
         )
 
@@ -344,121 +361,49 @@ class Star:
             ["tier_name", "loyalty_status"], self.vocab("journey")["journey"], spellings=PRIORITY_SPELLINGS,
         )
 
-    def lineitem_pass(self) -> DataFrame:
-        """Line speed, reward claims and downloads share their rows (lineitem
-        with its part and account), so they are one scan, one bridge join and
-        one aggregate instead of three."""
-        li = self.dated(self.t("lineitem"), "l_shipdate").select(
-            "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+    def lines(self) -> DataFrame:
+        """lineitem with its part and account: the rows of line speed, claims, downloads, offers and billing."""
+        li = self.dated(self.t("lineitem"), "l_shipdate", lower=False).select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
             "l_returnflag", "l_linestatus", "l_shipdate",
         )
         p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_name")
-        rows = li.join(p, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
+        return li.join(p, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
+
+    def lineitem_pass(self, lines: DataFrame | None = None) -> DataFrame:
+        """Line speed, reward claims and downloads share their rows, so they are one aggregate of ``lines``."""
+        rows = self.dated(self.lines() if lines is None else lines, "l_shipdate")
         status = self.vocab("lineitem")["lineitem"]["l_linestatus"]
-        claim_types = self.claim_types()
         aggs = (
             blocks.line_speed_aggs(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_returnflag", RETURN_FLAGS)
             + blocks.counts_aggs({"l_linestatus": ("status", status)})
-            + blocks.counts_aggs({"p_type": ("type_code", claim_types)})
+            + blocks.counts_aggs({"p_type": ("type_code", self.part_types())})
             + blocks.downloads_aggs("p_type", "p_name", STAR_REFERER_PATTERNS, self.genres(), "genre",
                                     extra_filter=F.col("p_type").isNotNull())
         )
         return blocks.weekly_aggregate(rows, self.calendar, F.col("l_shipdate"), aggs)
 
-    def lineitem_offers_pass(self, spine: DataFrame) -> DataFrame:
-        """Line speed, reward claims, downloads and offers in one pass over one
-        lineitem ⋈ part ⋈ orders join (one branch, so lineitem is joined once).
-
-        Each joined line becomes one ship-day row (kind 0) plus one row per
-        7-day bucket its offer interval covers (kind 1). A single broadcast
-        lookup, bounded by calendar days plus as-of weeks, maps kind-0 rows to
-        their ship week and kind-1 rows to the as-of week of their bucket; the
-        exact ``as_of BETWEEN start AND end`` test keeps the active offers. One
-        aggregate on (account, week) computes all four blocks with
-        kind-conditioned expressions. Fused columns are NULL for pairs with
-        only offer rows and offer columns NULL for pairs without an active
-        offer, as four separate left joins would give.
-        """
-        epoch = F.lit(dt.date(1970, 1, 1))
-        li = self.dated(self.t("lineitem"), "l_shipdate", lower=False).select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-            "l_returnflag", "l_linestatus", "l_shipdate",
-        )
-        p = self.t("part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_name")
-        j = li.join(p, "l_partkey", "left").join(self.bridge(), "l_orderkey", "inner")
-        day = F.to_date("l_shipdate")
-        end = F.date_add(day, F.col("l_quantity").try_cast("int"))
-        s_c, e_c = day, end
-        if self.weeks:
-            lo, hi = iso_week_bounds(self.weeks)
-            s_c, e_c = F.greatest(day, F.lit(lo)), F.least(end, F.lit(hi))
-        buckets = F.when(s_c <= e_c, F.sequence(bucket_index(s_c), bucket_index(e_c)))
-        keys = F.concat(
-            F.array(F.struct(F.lit(0).alias("kind"), F.datediff(day, epoch).alias("key"))),
-            F.transform(F.coalesce(buckets, F.array().cast("array<int>")),
-                        lambda b: F.struct(F.lit(1).alias("kind"), b.alias("key"))),
-        )
-        x = j.select(*j.columns, day.alias("__start"), end.alias("__end"), F.explode(keys).alias("__k"))
-        x = x.select(*[c for c in x.columns if c != "__k"], F.col("__k.kind").alias("__kind"), F.col("__k.key").alias("__key"))
-        days = self.calendar.select(
-            F.lit(0).alias("__lkind"), F.datediff(CAL_DATE, epoch).alias("__lkey"), WEEK, F.lit(None).cast("date").alias(AS_OF)
-        )
-        weeks = self.asof(spine).select(F.lit(1).alias("__lkind"), bucket_index(F.col(AS_OF)).alias("__lkey"), WEEK, AS_OF)
-        lookup = F.broadcast(days.unionByName(weeks))  # bounded: calendar days + as-of weeks
-        rows = x.join(lookup, (x["__kind"] == lookup["__lkind"]) & (x["__key"] == lookup["__lkey"]), "inner").filter(
-            (F.col("__kind") == 0) | ((F.col(AS_OF) >= F.col("__start")) & (F.col(AS_OF) <= F.col("__end")))
-        )
-        t0, t1 = F.col("__kind") == 0, F.col("__kind") == 1
-        status = self.vocab("lineitem")["lineitem"]["l_linestatus"]
-        fused = (
-            blocks.line_speed_aggs(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "l_returnflag", RETURN_FLAGS, t0)
-            + blocks.counts_aggs({"l_linestatus": ("status", status)}, t0)
-            + blocks.counts_aggs({"p_type": ("type_code", self.claim_types())}, t0)
-            + blocks.downloads_aggs("p_type", "p_name", STAR_REFERER_PATTERNS, self.genres(), "genre",
-                                    extra_filter=t0 & F.col("p_type").isNotNull())
-        )
-        attrs = ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"]
-        exprs = {
-            "offer_amount": F.col("l_extendedprice"), "percent_value": F.col("l_discount"),
-            "offer_status": F.col("l_linestatus"), "offer_start_dt_actual": F.col("__start"),
-            "offer_end_dt_actual": F.col("__end"),
-        }
-        offer_aggs, offer_cols = top1_pivot_aggs(
-            F.when(t1, F.col("p_type")), self.part_types(),
-            [F.col("l_extendedprice"), F.col("l_orderkey"), F.col("l_linenumber")], attrs, exprs=exprs,
-        )
-        g = rows.groupBy(ACCOUNT, WEEK).agg(*fused, *offer_aggs, F.count_if(t0).alias("__n0"))
-        fused_names = [c for c in g.columns if c not in (ACCOUNT, WEEK, "__n0") and not c.startswith("__p")]
-        has_lines = F.col("__n0") > 0
-        return g.select(ACCOUNT, WEEK, *[F.when(has_lines, F.col(c)).alias(c) for c in fused_names], *offer_cols)
-
     def events_pass(self) -> DataFrame:
         """Survey scores and call counts read the same event rows: one aggregate."""
-        vocab = self.vocab("events")["events"]["event_type"]
-        aggs = blocks.survey_aggs({"value": "score_1", "props_number": "score_2"}) + blocks.calls_aggs(
-            {"value": "duration_sec", "props_number": "props_total", "abandon_flag": "total_abandons"},
-            ("value", "mean_duration"),
-            {"channel": ("channel", vocab)},
-        )
+        aggs = blocks.survey_aggs({"value": "score_1", "props_number": "score_2"}) + blocks.calls_aggs(*self.call_args())
         return blocks.weekly_aggregate(self.events_src(), self.calendar, F.col("ts"), aggs)
 
-    def mart(self, fused: bool = True, share_lineitem: bool = False) -> DataFrame:
-        """The spine feeds the assembly, two as-of frames and the box join; it is
-        computed once and written to the shared folder."""
+    def mart(self, fused: bool = True) -> DataFrame:
+        """One plan for local and cluster runs. The spine (assembly, as-of frame, box and eligibility joins) and the lineitem
+        join (line pass, offers, and billing in a full run) are computed once and written to the shared folder; a
+        run of some weeks takes billing's ship dates from a scan that the few bills prune. ``fused=False``
+        builds every block on its own, for comparison."""
         self.vocab("part", "lineitem", "events", "journey")  # one discovery job for the run
         sp = materialize(self.spine(), "spine")
-        if fused and share_lineitem:
-            # Cluster form: one lineitem join for four blocks (half the
-            # lineitem-sized shuffles; a sort-based shared aggregate).
-            parts = [self.lineitem_offers_pass(sp), self.events_pass(), self.pipeline(),
-                     self.eligibility(sp, as_of_join=True), self.billing(), self.set_top_box(sp), self.journey()]
-        elif fused:
-            parts = [self.lineitem_pass(), self.events_pass(), self.pipeline(),
-                     self.eligibility(sp, as_of_join=True), self.billing(), self.offers(sp), self.set_top_box(sp),
-                     self.journey()]
+        asof = self.asof(sp)
+        if fused:
+            lines = materialize(self.lines(), "lines")
+            parts = [self.lineitem_pass(lines), self.events_pass(), self.pipeline(),
+                     self.eligibility(sp, as_of_join=True, asof=asof), self.billing(None if self.weeks else lines),
+                     self.offers(sp, asof, lines.where("p_type is not null")), self.set_top_box(sp, asof), self.journey()]
         else:
             parts = [self.line_speed(), self.reward_claims(), self.survey(), self.calls(), self.pipeline(),
-                     self.downloads(), self.eligibility(sp), self.billing(), self.offers(sp), self.set_top_box(sp),
+                     self.downloads(), self.eligibility(sp, asof=asof), self.billing(), self.offers(sp, asof), self.set_top_box(sp, asof),
                      self.journey()]
         return assemble(sp, parts)
 
@@ -499,7 +444,7 @@ def q_strip_cast(spark, d):
     return p.select(
         "p_partkey", "p_brand",
         strip_cast("p_brand", "Brand#").alias("brand_number"),
-        strip_cast("p_type", "M").alias("type_number"),
+        strip_cast("p_brand", "Brand#1").alias("teen_number"),
     )
 
 
@@ -574,7 +519,8 @@ def q_offers_active(spark, d):
         start.alias("start_dt"),
         F.date_add(start, F.col("l_quantity").try_cast("int")).alias("end_dt"),
     )
-    return interval_join(li, "start_dt", "end_dt", s.asof(), AS_OF, broadcast_points=True).select(
+    asof = s.asof()
+    return interval_join(li, "start_dt", "end_dt", asof, AS_OF, clip=tuple(asof.agg(F.min(AS_OF), F.max(AS_OF)).first())).select(
         "l_orderkey", "l_linenumber", WEEK, AS_OF
     )
 
@@ -606,7 +552,7 @@ def q_clean_names(spark, d):
 
 def _dated_lines(s: Star) -> DataFrame:
     o = s.t("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    o = map_to_week(o, F.col("o_orderdate"), s.calendar).join(F.broadcast(s.week_dim.select(WEEK, AS_OF)), WEEK)
+    o = map_to_week(o, F.col("o_orderdate"), s.calendar).withColumn(AS_OF, week_end(F.col(WEEK)))
     li = s.t("lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     return li.join(o, "l_orderkey", "inner").select(
         "l_orderkey", "l_linenumber",
@@ -657,24 +603,23 @@ def q_dq_discrete(spark, d):
     o = s.t("orders")
     prio = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit(None)).otherwise(F.col("o_orderpriority"))
     src = map_to_week(o.select("o_orderdate", "o_orderstatus", "o_orderpriority", prio.alias("priority_or_null")), F.col("o_orderdate"), s.calendar)
-    prof = discrete_profile(src, ["o_orderstatus", "o_orderpriority", "priority_or_null"])
-    return prof.select("colname", WEEK, F.array_join("unique_values", ",").alias("unique_values"), "number_of_categories")
+    return discrete_profile(src, ["o_orderstatus", "o_orderpriority", "priority_or_null"])
 
 
 def q_dq_continuous(spark, d):
     s = Star(spark, d)
     li = map_to_week(s.t("lineitem").select("l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax"), F.col("l_shipdate"), s.calendar)
-    prof = continuous_profile(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], exact_mean_scale=6)
-    return _profile_out(prof)
+    return _profile_out(continuous_profile(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+
+
+def _cut(col: str, digits: int):
+    """Value cut down to ``digits`` decimals after adding 0.0123 of the last one. Exact means are
+    short decimals, so no value lies on a cut, and the order in which doubles were added does not show."""
+    return F.floor(F.col(col) * F.lit(10.0**digits) + F.lit(0.0123)) / F.lit(10.0**digits)
 
 
 def _profile_out(prof: DataFrame) -> DataFrame:
-    """Mean rounded half-up to 4 places; stddev to 2 places."""
-    return prof.select(
-        "colname", WEEK, "maximum_value", "minimum_value",
-        F.round("mean_value", 4).alias("mean_value"),
-        F.round("standard_deviation", 2).alias("standard_deviation"),
-    )
+    return prof.select("colname", WEEK, "maximum_value", "minimum_value", _cut("mean_value", 4).alias("mean_value"), _cut("standard_deviation", 3).alias("standard_deviation"))
 
 
 def _mart_profiles(spark, d):
@@ -688,14 +633,13 @@ def _mart_profiles(spark, d):
 def q_dq_mart_discrete(spark, d):
     """J1+J2 on the mart itself: text columns except the account, per week."""
     m, discrete, _ = _mart_profiles(spark, d)
-    prof = discrete_profile(m, discrete)
-    return prof.select("colname", WEEK, F.array_join("unique_values", ",").alias("unique_values"), "number_of_categories")
+    return discrete_profile(m, discrete)
 
 
 def q_dq_mart_continuous(spark, d):
     """J1+J3 on the mart itself: numeric columns except the week, per week."""
     m, _, continuous = _mart_profiles(spark, d)
-    return _profile_out(continuous_profile(m, continuous, exact_mean_scale=6, batch_size=20))
+    return _profile_out(continuous_profile(m, continuous))
 
 
 def q_mart_roundtrip(spark, d):
@@ -721,6 +665,96 @@ def q_json_roundtrip(spark, d):
     return read_json(spark, path, o.schema)
 
 
+def q_set_top_box_asof(spark, d):
+    """H11/B5 with the as-of day that the base gives: the last order date of each week."""
+    s = Star(spark, d)
+    sp = materialize(s.spine(), "spine")
+    last = map_to_week(s.t("orders").select("o_orderdate"), F.col("o_orderdate"), s.calendar, keep_date="day")
+    asof = bounded_frame(last.groupBy(WEEK).agg(F.max("day").alias(AS_OF)), "as-of")
+    keys = sp.select(ACCOUNT, WEEK).join(asof.select(WEEK), WEEK, "left_semi")
+    return s.set_top_box(keys, asof)
+
+
+def q_weighted_downloads(spark, d):
+    """per-genre columns as sums of a measure (the counts of ``download_counts``)."""
+    s = Star(spark, d)
+    return blocks.pivot_download_counts(s.download_counts(), "genre", s.genres(), "genre")
+
+
+def q_filtered_downloads(spark, d):
+    """Downloads of one return flag only, by the block's scalar filter."""
+    s = Star(spark, d)
+    src = s.downloads_src(extra=["l_returnflag"])
+    return blocks.download_counts(src, s.calendar, "l_shipdate", "genre", "referer", STAR_REFERER_PATTERNS, extra_filter=F.col("l_returnflag") == "R")
+
+
+def q_text_account_spine(spark, d):
+    """Text accounts of which some are the '?' sentinel or NULL."""
+    s = Star(spark, d)
+    account = F.when(F.col(ACCOUNT) % 10 == 3, "?").when(F.col(ACCOUNT) % 10 != 7, F.concat(F.lit("A"), F.col(ACCOUNT)))
+    return blocks.spine(s.base().withColumn(ACCOUNT, account), None, ["c_nationkey"], F.col("c_acctbal") > 0)
+
+
+def q_text_dates(spark, d):
+    """Dates written as day/month/year text, some ill-formed, read with an explicit format."""
+    o = Star(spark, d).t("orders")
+    text = F.when(F.col("o_orderkey") % 7 == 0, "31/02/1999").when(F.col("o_orderkey") % 11 != 0, F.date_format("o_orderdate", "dd/MM/yyyy"))
+    return parse_dates(o.select("o_orderkey", text.alias("order_text")), ["order_text"], "dd/MM/yyyy")
+
+
+def q_filled_strings(spark, d):
+    """F8: NULL strings of the journey frame filled."""
+    o = Star(spark, d).t("orders")
+    prio = F.when(F.col("o_orderpriority") != "3-MEDIUM", F.col("o_orderpriority"))
+    return fill_strings(o.select("o_orderkey", prio.alias("priority"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"), "o_totalprice"))
+
+
+def q_profile_history(spark, d):
+    """Two runs' profiles appended to one history; each row carries its run's timestamp."""
+    s = Star(spark, d)
+    path = scratch_path(spark, "profiles")
+    o = map_to_week(s.t("orders").select("o_orderdate", "o_totalprice"), F.col("o_orderdate"), s.calendar)
+    prof = continuous_profile(o, ["o_totalprice"])
+    append_profile(stamp(prof), path)
+    append_profile(stamp(prof), path)
+    rows = spark.read.parquet(path)
+    return rows.groupBy("colname", WEEK, "maximum_value", "minimum_value").agg(
+        F.count("*").alias("n_runs"), F.countDistinct("created_dt").alias("n_stamps")
+    )
+
+
+def q_table_presence(spark, d):
+    """Every given table by its role, whether it is there and has rows, and its row count;
+    documents and pages are also read together as shards of one glob."""
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
+    cat = Catalog(spark, {n: f"{d}/{n}.parquet" for n in names})
+    parts = []
+    for n in names:
+        there = cat.exists(n)
+        count = cat.table(n).agg(F.count("*").alias("n_rows")) if there else spark.range(1).select(F.lit(0).cast("long").alias("n_rows"))
+        parts.append(count.select(F.lit(n).alias("role"), F.lit(there).alias("present"), F.lit(there and has_rows(cat.table(n))).alias("has_rows"), "n_rows"))
+    shards = Catalog(spark, {"nations": f"{d}/{{nation,region}}.parquet"}).table("nations")
+    parts.append(shards.agg(F.count("*").alias("n_rows")).select(F.lit("nation+region").alias("role"), F.lit(True).alias("present"), (F.col("n_rows") > 0).alias("has_rows"), "n_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_incremental_run(spark, d):
+    """An empty log, a run of the even weeks, a second run of all requested weeks that builds only the
+    odd ones, and a third that finds nothing pending; the mart read back with each week's number of log rows."""
+    mart, log = scratch_path(spark, "incremental-mart"), scratch_path(spark, "incremental-log")
+    whole = Star(spark, d, span=(WEEK_LO, WEEK_HI))
+    weeks = materialize(whole.spine().select(WEEK).distinct(), "incremental-weeks")
+
+    def build(some: list[int]) -> DataFrame:
+        s = Star(spark, d, some)
+        return assemble(s.spine(), [s.line_speed(), s.pipeline()])
+
+    for requested in (weeks.where(F.col(WEEK) % 2 == 0), weeks, weeks):
+        run(spark, build, requested, mart, log, "weekly_mart", "mart")
+    logged = runlog.read_log(spark, log).groupBy(WEEK).agg(F.count("*").alias("n_log_rows"))
+    return read_mart(spark, mart).join(logged, WEEK)
+
+
 QUERIES = {
     "week_calendar_map": q_week_calendar_map,
     "run_week_list": q_run_week_list,
@@ -756,4 +790,13 @@ QUERIES = {
     "dq_mart_continuous": q_dq_mart_continuous,
     "mart_roundtrip": q_mart_roundtrip,
     "json_roundtrip": q_json_roundtrip,
+    "set_top_box_asof": q_set_top_box_asof,
+    "weighted_downloads": q_weighted_downloads,
+    "filtered_downloads": q_filtered_downloads,
+    "text_account_spine": q_text_account_spine,
+    "text_dates": q_text_dates,
+    "filled_strings": q_filled_strings,
+    "profile_history": q_profile_history,
+    "table_presence": q_table_presence,
+    "incremental_run": q_incremental_run,
 }
