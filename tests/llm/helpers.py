@@ -2,7 +2,6 @@
 
 import random
 import re
-import unicodedata  # noqa: F401  (kept for tests that build odd characters)
 
 import pytest
 

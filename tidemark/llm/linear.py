@@ -46,23 +46,12 @@ class Used:
         return unique_pairs(self.hashed(buf, offs, self.used), self.bits)
 
 
-@dataclass
-class Sparse:
-    """Rows of feature numbers: the features of row i are idx[ptr[i]:ptr[i + 1]]."""
-
-    idx: np.ndarray
-    ptr: np.ndarray
-
-    def __len__(self) -> int:
-        return len(self.ptr) - 1
+#: Feature numbers of each row (uint32 views of the collected bytes; never joined into one array).
+Rows = list[np.ndarray]
 
-    def rows(self, which: np.ndarray) -> "Sparse":
-        parts = [self.idx[self.ptr[i] : self.ptr[i + 1]] for i in which]
-        return Sparse(np.concatenate(parts) if parts else self.idx[:0], np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64))
 
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0.0], np.cumsum(values[self.idx], dtype=np.float64)])
-        return total[self.ptr[1:]] - total[self.ptr[:-1]]
+def sums(rows: Rows, values: np.ndarray) -> np.ndarray:
+    return np.array([values[r].sum(dtype=np.float64) for r in rows])
 
 
 @dataclass
@@ -87,17 +76,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -500, 500)))
 
 
-def log_count_ratios(x: Sparse, y: np.ndarray, dims: int, min_rows: int = MIN_ROWS) -> np.ndarray:
+def log_count_ratios(rows: Rows, y: np.ndarray, dims: int, min_rows: int = MIN_ROWS) -> np.ndarray:
     """log(p / q) with p and q the shares of the texts of class 1 and 0 that have the n-gram (one text and one without added)."""
-    of = np.repeat(y, np.diff(x.ptr))
-    pos = np.bincount(x.idx[of == 1], minlength=dims).astype(np.float64)
-    neg = np.bincount(x.idx[of == 0], minlength=dims).astype(np.float64)
-    r = np.log((pos + 1) / ((y == 1).sum() + 2)) - np.log((neg + 1) / ((y == 0).sum() + 2))
-    r[pos + neg < min_rows] = 0.0
-    return r
+    counts = np.zeros((2, dims), np.int32)
+    for r, c in zip(rows, y):
+        counts[c][r] += 1  # a row has each feature once
+    neg, pos = counts
+    ratio = np.log((pos + 1.0) / ((y == 1).sum() + 2)) - np.log((neg + 1.0) / ((y == 0).sum() + 2))
+    ratio[pos + neg < min_rows] = 0.0
+    return ratio
 
 
-def dual_coordinate_descent(x: Sparse, y: np.ndarray, ratio: np.ndarray, unit: bool, cost: float, passes: int, seed: int = 1) -> tuple[np.ndarray, float]:
+def dual_coordinate_descent(x: Rows, y: np.ndarray, ratio: np.ndarray, unit: bool, cost: float, passes: int, seed: int = 1) -> tuple[np.ndarray, float]:
     """Hinge-loss linear model of the scaled rows; returns the weights of the scaled features and the bias.
 
     One dual variable per row, visited in random order; ``cost`` bounds them, divided evenly between the classes.
@@ -108,12 +98,12 @@ def dual_coordinate_descent(x: Sparse, y: np.ndarray, ratio: np.ndarray, unit: b
     top = cost * share
     dual = np.zeros(len(y))
     rows = []
-    for i in range(len(y)):
-        f = x.idx[x.ptr[i] : x.ptr[i + 1]]
+    for f in x:
         f = f[ratio[f] != 0]
-        v = ratio[f]
-        scale = 1.0 / np.sqrt(v @ v + 1.0) if unit else 1.0
-        rows.append((f, v * scale, scale, (v @ v + 1.0) * scale * scale))
+        v = ratio[f].astype(np.float32)
+        square = float(np.square(v, dtype=np.float64).sum()) + 1.0
+        scale = 1.0 / np.sqrt(square) if unit else 1.0
+        rows.append((f, v * np.float32(scale), scale, square * scale * scale))
     rng = np.random.default_rng(seed)
     for _ in range(passes):
         for i in rng.permutation(len(y)):
@@ -160,7 +150,7 @@ def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a), float(b)
 
 
-def fit(x: Sparse, y: np.ndarray, row_weight: np.ndarray, dims: int, unit: bool, cost: float, passes: int, min_ratio: float = 0.0, folds: int = 3) -> Model:
+def fit(x: Rows, y: np.ndarray, row_weight: np.ndarray, dims: int, unit: bool, cost: float, passes: int, min_ratio: float = 0.0, folds: int = 3) -> Model:
     """Model of the rows; the sigmoid is fitted on margins of rows that the model of their fold has not seen.
 
     Without rows of both classes the score is the share of class 1 for every text (one half without any row).
@@ -170,7 +160,7 @@ def fit(x: Sparse, y: np.ndarray, row_weight: np.ndarray, dims: int, unit: bool,
         return Model(np.zeros(dims, np.float32), np.zeros(dims, np.float32) if unit else None, 0.0, 0.0, float(np.log(share / (1 - share))))
 
     def train(rows: np.ndarray) -> Model:
-        part = x.rows(rows)
+        part = [x[i] for i in rows]
         r = log_count_ratios(part, y[rows], dims)
         r[np.abs(r) < min_ratio] = 0.0
         w, bias = dual_coordinate_descent(part, y[rows], r, unit, cost, passes)
@@ -185,14 +175,14 @@ def fit(x: Sparse, y: np.ndarray, row_weight: np.ndarray, dims: int, unit: bool,
         own = np.flatnonzero(part == k)
         rest = np.flatnonzero(part != k)
         if len(own) and len(set(y[rest])) == 2:
-            m, s = train(rest), x.rows(own)
-            margin[own] = m.margins(s.sums(m.weight), s.sums(m.square) if unit else 0.0)
+            m, s = train(rest), [x[i] for i in own]
+            margin[own] = m.margins(sums(s, m.weight), sums(s, m.square) if unit else 0.0)
     model = train(np.arange(len(y)))
     model.a, model.b = platt(margin, y, row_weight)
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, features: Features, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> tuple[Sparse, np.ndarray, np.ndarray]:
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, features: Features, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> tuple[Rows, np.ndarray, np.ndarray]:
     """Feature sets, classes and weights of the sample: of each class the ``per_class`` smallest hashed ids that ``keep`` admits.
 
     An id labelled twice has its larger label; a null id or label is left out; an id that several rows share brings each of them.
@@ -222,11 +212,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
     got = rows.select("sample_id", "y", encode("t").alias("f")).collect()
     got.sort(key=lambda r: (r["sample_id"], r["f"]))
     y = np.array([r["y"] for r in got], np.int64)
-    sets = [np.frombuffer(r["f"], np.uint32).astype(np.int64) for r in got]
-    ptr = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    sets = [np.frombuffer(r["f"], np.uint32) for r in got]
     seen = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weight = np.array([totals.get(int(c), 0) / seen[int(c)] for c in y])
-    return Sparse(np.concatenate(sets) if sets else np.zeros(0, np.int64), ptr), y, weight
+    return sets, y, weight
 
 
 def score(model: Model, features: Features, text: Column) -> Column:
