@@ -8,7 +8,7 @@ from tidemark.functions.calendar import (
 )
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank, valid_key
 from tidemark.functions.shape import (
-    add_durations, clean_name, clean_names, drop_raw_dates, normalise_values, strip_cast, try_cast_columns,
+    add_durations, clean_name, clean_names, drop_raw_dates, normalise_values, strip_cast,
 )
 from tidemark.plans.blocks import SUB_CATEGORY_SPELLINGS
 
@@ -90,8 +90,6 @@ def test_not_in_and_or_form_null_rules(spark):
 def test_strip_cast_malformed(spark):
     df = spark.createDataFrame([("12M",), ("",), ("xM",), (None,)], "s string")
     assert [r.v for r in df.select(strip_cast("s", "M").alias("v")).collect()] == [12, None, None, None]
-    t = try_cast_columns(spark.createDataFrame([("1.5", "a")], "x string, y string"), ["x"], "float")
-    assert t.schema["x"].dataType.simpleString() == "float"
 
 
 def test_clean_names_and_collision(spark):

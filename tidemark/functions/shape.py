@@ -30,12 +30,6 @@ def strip_cast(col: str | Column, pattern: str, to: str = "bigint") -> Column:
     return F.regexp_replace(c, pattern, "").try_cast(to)
 
 
-def try_cast_columns(df: DataFrame, cols: list[str], to: str) -> DataFrame:
-    """bulk cast in one projection; malformed values become NULL."""
-    wanted = set(cols)
-    return df.select(*[F.col(c).try_cast(to).alias(c) if c in wanted else F.col(c) for c in df.columns])
-
-
 def clean_name(name: str) -> str:
     """F5 rule: drop characters outside ``[\\w_]``, lower-case."""
     return _NOT_WORD.sub("", name).lower()

@@ -106,20 +106,21 @@ def top1_pivot(
     by ``order`` (ascending; NULLs first like Spark's ``orderBy``), as columns
     ``<value>_<attr>`` with spaces turned to ``_``.
 
-    Long form first: one ``min`` of a (ordering…, attributes…) struct per (key,
-    value), partial before its shuffle, so the cost per row does not grow with the number of values. Then
-    each key's entries, at most one per value, become one map and its columns. Keys whose rows are all of
+    One ``min`` of an (ordering…, attributes…) struct per value in one aggregate: a single exchange, partial
+    before it, so a hot key sends one row per task. The long form (one ``min`` per key and
+    value, then a pivot) needs a second exchange and was slower when measured. Rows of other values
+    give a NULL struct and are skipped; keys whose rows are all of
     other values come out with all-NULL columns, as the reference's
     distinct-key left join does.
     """
     check_clean_names([v.replace(" ", "_") for v in values])
+    # Ordering fields first, so the struct's own order is the requested one.
     ranked = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(a).alias(a) for a in attrs])
-    known = F.col(pivot_col).isin(*values) if values else F.lit(False)
-    first = df.groupBy(*keys, F.when(known, F.col(pivot_col)).alias("__v")).agg(F.min(ranked).alias("__s"))
-    entry = F.when(F.col("__v").isNotNull(), F.struct("__v", "__s"))
-    wide = first.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("__m"))
-    cols = []
-    for v in values:
+    aggs = [F.min(F.when(F.col(pivot_col) == F.lit(v), ranked)).alias(f"__p{i}") for i, v in enumerate(values)]
+    flat = []
+    for i, v in enumerate(values):
         stem = v.replace(" ", "_")
-        cols += [F.try_element_at("__m", F.lit(v))[a].alias(clean_name(f"{stem}_{a}")) for a in attrs]
-    return wide.select(*[F.col(k) for k in keys], *cols)
+        flat += [F.col(f"__p{i}.{a}").alias(clean_name(f"{stem}_{a}")) for a in attrs]
+    if not aggs:
+        return df.select(*keys).distinct()
+    return df.groupBy(*keys).agg(*aggs).select(*[F.col(k) for k in keys], *flat)

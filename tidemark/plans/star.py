@@ -34,7 +34,7 @@ from tidemark.operators.quality import append_profile, classify_columns, continu
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble, run
 from tidemark.session import materialize, scratch_path
-from tidemark.sources.catalog import Catalog, has_rows, read_json
+from tidemark.sources.catalog import Catalog, has_rows, read_json, star_catalog
 from tidemark.sources.sinks import read_mart, write_json, write_weeks
 
 # Fixed values of the role mapping (shared with the SQL oracles).
@@ -726,10 +726,9 @@ def q_profile_history(spark, d):
 def q_table_presence(spark, d):
     """Every given table by its role, whether it is there and has rows, and its row count;
     documents and pages are also read together as shards of one glob."""
-    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-    cat = Catalog(spark, {n: f"{d}/{n}.parquet" for n in names})
+    cat = star_catalog(spark, d)
     parts = []
-    for n in names:
+    for n in cat.paths:
         there = cat.exists(n)
         count = cat.table(n).agg(F.count("*").alias("n_rows")) if there else spark.range(1).select(F.lit(0).cast("long").alias("n_rows"))
         parts.append(count.select(F.lit(n).alias("role"), F.lit(there).alias("present"), F.lit(there and has_rows(cat.table(n))).alias("has_rows"), "n_rows"))

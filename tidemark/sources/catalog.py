@@ -7,9 +7,9 @@ filters and column pruning reach the Parquet reader.
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -41,16 +41,22 @@ class Catalog:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """The path has a file or folder, as Spark's own readers see it."""
+    try:
+        spark.read.format("binaryFile").load(path).schema
+        return True
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def star_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     names = [
         "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+        "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
     ]
-    return Catalog(spark, {n: os.path.join(sf_dir, f"{n}.parquet") for n in names})
+    return Catalog(spark, {n: f"{sf_dir}/{n}.parquet" for n in names})
 
 
 def read_json(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
