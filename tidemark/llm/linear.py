@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ class Used:
         return unique_pairs(self.hashed(buf, offs, self.used), self.bits)
 
 
-#: Feature numbers of each row (uint32 views of the collected bytes; never joined into one array).
+#: Feature numbers of each row (uint32 views of the collected Arrow buffers; never joined into one array).
 Rows = list[np.ndarray]
 
 
@@ -209,10 +210,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
         return pa.array(out, pa.binary())
 
     rows = docs.select(quoted(id_col).alias("sample_id"), quoted(text_col).cast("string").alias("t")).join(F.broadcast(sample), "sample_id")
-    got = rows.select("sample_id", "y", encode("t").alias("f")).collect()
-    got.sort(key=lambda r: (r["sample_id"], r["f"]))
-    y = np.array([r["y"] for r in got], np.int64)
-    sets = [np.frombuffer(r["f"], np.uint32) for r in got]
+    got = rows.select("sample_id", "y", encode("t").alias("f")).toArrow()
+    buffers = [f.as_buffer() for f in got["f"]]
+    ids = got["sample_id"].to_pylist()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], xxhash.xxh64_intdigest(buffers[i])))
+    y = np.array(got["y"].to_pylist(), np.int64)[order]
+    sets = [np.frombuffer(buffers[i], np.uint32) for i in order]
     seen = {c: max(1, int((y == c).sum())) for c in (0, 1)}
     weight = np.array([totals.get(int(c), 0) / seen[int(c)] for c in y])
     return sets, y, weight
