@@ -104,8 +104,8 @@ class Vocabulary:
         # Bins of growing rank ranges, each about twice the one before.
         edges = cut + np.round((k - cut) * (2.0 ** np.arange(BINS + 1) - 1) / (2.0**BINS - 1)).astype(np.int64)
         which = np.clip(np.searchsorted(edges, np.arange(cut, k), side="right") - 1, 0, BINS - 1)
-        self.classes = np.concatenate([np.arange(cut) // CLASS_WORDS, WORDS // CLASS_WORDS + which]).astype(np.int64)
-        self.inputs = np.concatenate([np.arange(cut), WORDS + which]).astype(np.int64)
+        self.classes = np.concatenate([np.arange(cut) // CLASS_WORDS, WORDS // CLASS_WORDS + which]).astype(np.uint8)
+        self.inputs = np.concatenate([np.arange(cut), WORDS + which]).astype(np.int16)
         self.rare_total, self.rare_distinct = total - counts.sum(), distinct - k
         mass = np.bincount(self.classes, weights=self.counts, minlength=CLASSES)
         kinds = np.bincount(self.classes, minlength=CLASSES)
@@ -115,14 +115,15 @@ class Vocabulary:
         own = np.arange(cut, k)
         c = self.classes[own]
         self.fixed[own] = np.log((self.counts[own] + 0.5) / (mass[c] + 0.5 * kinds[c]))
+        self.fixed = self.fixed.astype(np.float32)
 
     def ranks(self, h: np.ndarray) -> np.ndarray:
         """Rank of each hash, -1 beyond the head."""
         if not len(self.sorted):
-            return np.full(len(h), -1, np.int64)
+            return np.full(len(h), -1, np.int32)
         u, inv = np.unique(h, return_inverse=True)
         i = np.minimum(np.searchsorted(self.sorted, u), len(self.sorted) - 1)
-        return np.where(self.sorted[i] == u, self.rank[i], -1).astype(np.int64)[inv]
+        return np.where(self.sorted[i] == u, self.rank[i], np.int32(-1))[inv]
 
 
 SHAPES = {"x": (INPUTS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (HIDDEN, WORDS), "bw": (WORDS,)}
@@ -178,13 +179,14 @@ class Texts:
         begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.begin = begin[self.order]
         known = ranks >= 0
-        at = np.where(known, ranks, 0)
+        at = np.where(known, ranks, np.int32(0))
         empty = not len(vocab.classes)
-        self.cls = np.full(len(ranks), RARE) if empty else np.where(known, vocab.classes[at], RARE)
-        ids = np.full(len(ranks), WORDS + BINS) if empty else np.where(known, vocab.inputs[at], WORDS + BINS)
-        self.word = np.where(self.cls < WORDS // CLASS_WORDS, ids, -1)
-        self.fixed = np.zeros(len(ranks)) if empty else np.where(known, vocab.fixed[at], 0.0)
-        self.inp = np.empty(len(ranks), np.int64)
+        # Narrow types: a group holds up to GROUP_TOKENS tokens.
+        self.cls = np.full(len(ranks), RARE, np.uint8) if empty else np.where(known, vocab.classes[at], np.uint8(RARE))
+        ids = np.full(len(ranks), WORDS + BINS, np.int16) if empty else np.where(known, vocab.inputs[at], np.int16(WORDS + BINS))
+        self.word = np.where(self.cls < WORDS // CLASS_WORDS, ids, np.int16(-1))
+        self.fixed = np.zeros(len(ranks), np.float32) if empty else np.where(known, vocab.fixed[at], np.float32(0))
+        self.inp = np.empty(len(ranks), np.int16)
         self.inp[1:] = ids[:-1]
         self.inp[begin] = START
 
@@ -206,7 +208,7 @@ def token_log_probs(p: dict[str, np.ndarray], h: np.ndarray, cls: np.ndarray, wo
 
 def _by_class(cls: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
     """(token numbers, first word of the class, place of the word in it) for each softmax class that occurs."""
-    order = np.argsort(cls.astype(np.uint8), kind="stable")
+    order = np.argsort(cls, kind="stable")
     cuts = np.searchsorted(cls[order], np.arange(WORDS // CLASS_WORDS + 1))
     for c in np.flatnonzero(np.diff(cuts)):
         at = order[cuts[c] : cuts[c + 1]]
@@ -219,7 +221,7 @@ def log_likelihoods(flat: np.ndarray, texts: Texts) -> np.ndarray:
     n2 = 2 * HIDDEN
     half = np.concatenate([np.full(n2, 0.5), np.ones(HIDDEN)]).astype(np.float32)  # sigmoid(v) = 0.5 tanh(0.5 v) + 0.5
     x, u = p["x"] * half, p["u"] * half
-    out = texts.fixed.copy()
+    out = texts.fixed.astype(np.float64)
     h = np.zeros((len(texts.size), HIDDEN), np.float32)
     longest = int(texts.size[0]) if len(texts.size) else 0
     start = 0
@@ -310,7 +312,7 @@ class Trainer:
             dg = np.concatenate([dz, dr, dn * r], axis=1)
             g_["u"] += before.T @ dg
             carry[:k] = dh * z + dg @ p["u"].T
-        ids = texts.inp[at]
+        ids = texts.inp[at].astype(np.int64)
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         g_["x"][ids[order][first]] += np.add.reduceat(dx[order], first, axis=0)
