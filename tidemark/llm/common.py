@@ -7,6 +7,7 @@ their memory follows the slice, not the Arrow batch.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,13 @@ SLICE_BYTES = 1 << 18
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table. Python workers that see this checkout may import from it wherever the driver was started;
+    elsewhere the package is shipped with ``--py-files``."""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
