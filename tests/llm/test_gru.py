@@ -116,6 +116,22 @@ def test_training_beats_the_counts_on_held_out_texts(spark):
     assert r[0] > r[1]
 
 
+def test_rounds_cover_every_training_document_once(awkward, monkeypatch):  # noqa: F811
+    rounds = []
+
+    def spy(docs, vocab, flat, *_):
+        rounds.append([(r["id"], r["text"]) for r in docs.collect()])
+        return flat
+
+    monkeypatch.setattr(gru, "train_round", spy)
+    copies = awkward.sparkSession.createDataFrame([(1000 + i, "one text of many ids", "en", "s", 1) for i in range(60)], SCHEMA)
+    gru.score_texts(awkward.unionByName(copies))
+    want = [(r[0], r[1]) for r in awkward_rows()] + [(1000 + i, "one text of many ids") for i in range(60)]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(sum(rounds, []), key=key) == sorted([r for r in want if not held(r[0])], key=key)
+    assert all(any(t == "one text of many ids" for _, t in r) for r in rounds)
+
+
 def test_empty_tables_and_no_training_rows(spark):
     assert gru.score_texts(spark.createDataFrame([], SCHEMA)).count() == 0
     i = next(i for i in range(100) if held(i))

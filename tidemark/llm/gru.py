@@ -7,8 +7,8 @@ less frequent words lie in frequency bins, and all words beyond the ``HEAD_WORDS
 class, where the second factor is the word's share of the class's count (an unseen word counts as one half).
 
 Training is data-parallel: in every round each task runs truncated back-propagation in numpy over its partition's
-share of the training documents (``SHARE`` of them by hash, another share each round), and
-the parameters are averaged in Spark, weighted by tokens. Scoring runs all texts of a batch in step, longest first, in windows;
+training documents of the round, and the parameters are averaged in Spark, weighted by tokens. A hash of id and text deals
+the training documents to the ``ROUNDS`` rounds, so each is trained on once and copies are spread over the rounds. Scoring runs all texts of a batch in step, longest first, in windows;
 the state is carried from window to window, so the score is that of the complete text.
 
 Counts of rare words are joined by shuffle: each text sends its distinct words beyond the broadcast
@@ -32,8 +32,7 @@ WORDS = 512
 CLASS_WORDS = 16
 BINS = 7
 HEAD_WORDS = 1 << 18
-SHARE = 24  # each round trains on one document in SHARE
-ROUNDS = 3
+ROUNDS = 3  # together they train on every training document once
 RATE = 0.01
 WINDOW = 32
 BATCH = 96
@@ -416,8 +415,8 @@ def _scored(vocab: Vocabulary, flat: np.ndarray, text: Column) -> Column:
     return run(text.cast("string"))
 
 
-def fit(docs: DataFrame, counts: DataFrame, text_col: str = "text", head_words: int = HEAD_WORDS) -> tuple[Vocabulary, np.ndarray]:
-    """Vocabulary from the counts (h, n) and parameters trained on shares of ``docs``."""
+def fit(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS) -> tuple[Vocabulary, np.ndarray]:
+    """Vocabulary from the counts (h, n) and parameters trained on all rows of ``docs``, each in one round."""
     whole = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     # The head ends at the step of a sixteenth of a doubling where it still has at most head_words words, so no task sorts
     # or sends more than its share of them.
@@ -431,9 +430,9 @@ def fit(docs: DataFrame, counts: DataFrame, text_col: str = "text", head_words:
     head = counts.where(F.lit(False) if least is None else step >= least).toPandas().sort_values(["n", "h"], ascending=[False, True])
     vocab = Vocabulary(head["h"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64), int(whole["n"] or 0), int(whole["v"]))
     flat = initial(vocab)
-    share = F.pmod(F.xxhash64(quoted(text_col), F.lit("share")), F.lit(SHARE))
+    turn = F.pmod(F.xxhash64(quoted(id_col), quoted(text_col), F.lit("share")), F.lit(ROUNDS))
     for r in range(ROUNDS):
-        flat = train_round(docs.where(share == r), vocab, flat, RATE / (r + 1), text_col)
+        flat = train_round(docs.where(turn == r), vocab, flat, RATE / (r + 1), text_col)
     return vocab, flat
 
 
@@ -446,7 +445,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
     seen = rows.where(fold(F.col("id"), FOLDS) != HELD_OUT_FOLD)
     counts = materialize(count_tokens(seen), "gru-counts")
-    vocab, flat = fit(seen, counts, head_words=head_words)
+    vocab, flat = fit(seen, counts, "id", head_words=head_words)
     scored = rows.select("id", _scored(vocab, flat, F.col("text")).alias("s")).select("id", "s.*")
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "gru-scored")
     pairs = scored.select("row", F.explode(F.arrays_zip("tail", "tail_n")).alias("p")).select("row", F.col("p.tail").alias("h"), F.col("p.tail_n").alias("k"))
