@@ -27,6 +27,20 @@ def test_without_article_blocks_are_judged_by_text_and_links():
     assert htmltext.main_text(page) == " ".join(f"A heading {long} Yes. {long}".split())
 
 
+def test_paragraphs_of_middle_length_beside_one_good_block_stay():
+    first, last, long = PROSE, "And " + PROSE, PROSE * 4
+    page = f"<nav>Home</nav><div><p>{first}</p><p>{long}</p><p>{last}</p></div><footer>Imprint of the house</footer>"
+    assert htmltext.main_text(page) == " ".join(f"{first} {long} {last}".split())
+    # A link list is a neighbour, and the short block next to the opening paragraph follows it.
+    page = f"<div><a href=/a>Home and all of the news</a></div><p>{first}</p><p>Yes.</p><p>{long}</p><div><a href=/b>More</a></div><p>{first}</p><div><a href=/b>More</a></div>"
+    assert htmltext.main_text(page) == " ".join(f"{first} Yes. {long}".split())
+
+
+def test_other_languages_are_judged_by_length_and_links():
+    text = "Rzeka płynie pod mostem i miasto śpi spokojnie przed świtem. " * 5
+    assert htmltext.main_text(f"<nav>Start</nav><p>{text}</p><div><a href=/a>{text}</a></div>") == text.strip()
+
+
 def gold(page):
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
     return " ".join(html.unescape(re.sub(r"<[a-zA-Z/!][^>]*>", " ", inner)).split())

@@ -2,8 +2,10 @@
 
 A page is cut into blocks at block-level tags. The first pass classifies a block by its place
 (inside navigation, footers, asides, forms, adverts, notices, comments: out), its link density, its length
-and its density of stop words; short blocks without links stay undecided. The second pass gives undecided blocks the label of
-the nearest decided neighbours: of both if they agree; otherwise in the article that of the good one, elsewhere that of the bad one. Inside an ``article`` or ``main`` element
+and its density of stop words (its length alone where the page has hardly any stop word of the four languages). Short blocks without links and blocks
+of middle length with stop words stay undecided. The second pass gives undecided blocks the label of the nearest decided neighbours: middle ones are
+good beside one good block, then short ones if both agree; otherwise in the article that of the good one, elsewhere that of the bad one.
+Blocks that are out by their place are no neighbours. Inside an ``article`` or ``main`` element
 a block needs no stop words; where a page has such an element, blocks outside of it are out.
 """
 
@@ -31,7 +33,8 @@ STOP_WORDS = frozenset(
 LINK_DENSITY = 0.33
 SHORT_CHARS = 70
 LONG_CHARS = 200
-LOW_STOP, HIGH_STOP = 0.10, 0.20
+LOW_STOP = 0.10
+FEW_STOP = 0.02  # a page with a smaller share is taken to be in another language
 
 # Elements by their part in a page.
 BLOCK_TAGS = frozenset(
@@ -157,11 +160,19 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-GOOD, BAD, SHORT = 1, 0, -1
+GOOD, BAD, SHORT, NEAR = 1, 0, -1, -2
 
 
-def first_pass(block: Block, has_main: bool) -> int:
-    """Label by place, links, length and stop words; SHORT where the block alone does not decide."""
+def _stop_share(text: str) -> float:
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_pass(block: Block, has_main: bool, known: bool = True) -> int:
+    """Label by place, links, length and stop words; SHORT or NEAR (middle length) where the block alone does not decide.
+
+    ``known``: the page is in a language of the stop words; without, length and links decide.
+    """
     n = len(block.text)
     if block.out or has_main and not block.main:
         return BAD
@@ -172,41 +183,42 @@ def first_pass(block: Block, has_main: bool) -> int:
         return SHORT
     if block.main:
         return GOOD
-    words = _WORD.findall(block.text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if stop >= HIGH_STOP:
-        return GOOD if n > LONG_CHARS else SHORT
-    return SHORT if stop >= LOW_STOP and n <= LONG_CHARS else GOOD if stop >= LOW_STOP else BAD
+    if known and _stop_share(block.text) < LOW_STOP:
+        return BAD
+    return GOOD if n > LONG_CHARS else NEAR
+
+
+def _sides(found: list[Block], labels: list[int]) -> list[tuple[int | None, int | None]]:
+    """Labels of the nearest decided blocks before and after each block; those out by their place are passed over."""
+    pairs = []
+    for order in (range(len(found)), range(len(found) - 1, -1, -1)):
+        last: int | None = None
+        one: list[int | None] = [None] * len(found)
+        for i in order:
+            one[i] = last
+            if labels[i] in (GOOD, BAD) and not found[i].out:
+                last = labels[i]
+        pairs.append(one)
+    return list(zip(*pairs))
 
 
 def second_pass(found: list[Block], labels: list[int]) -> list[int]:
     """Undecided blocks take the label of their nearest decided neighbours; blocks of other parts of the page are no neighbours."""
-    out = list(labels)
-    near = GOOD if any(b.main for b in found) else BAD
-    before: list[int | None] = []
-    last: int | None = None
-    for b, label in zip(found, labels):
-        if label != SHORT:
-            last = label if not b.out else (None if b.main else BAD)
-        before.append(last)
-    last = None
-    for i in range(len(found) - 1, -1, -1):
-        if labels[i] != SHORT:
-            last = labels[i] if not found[i].out else (None if found[i].main else BAD)
-            continue
-        sides = {x for x in (before[i], last) if x is not None}
-        if found[i].main:
-            out[i] = GOOD if GOOD in sides or not sides or near == GOOD else BAD
-        else:
-            out[i] = GOOD if sides == {GOOD} or GOOD in sides and found[i].heading and last == GOOD else BAD
-    return out
+    out = [(GOOD if GOOD in sides else BAD) if label == NEAR else label for label, sides in zip(labels, _sides(found, labels))]
+    final = list(out)
+    for i, (before, after) in enumerate(_sides(found, out)):
+        if out[i] == SHORT:
+            sides = {before, after} - {None}
+            final[i] = GOOD if found[i].main or sides == {GOOD} or found[i].heading and after == GOOD else BAD
+    return final
 
 
 def main_text(page: str) -> str:
     """Good blocks of the page joined by one space; empty if there is none."""
     found = blocks(page)
     has_main = any(b.main and not b.out for b in found)
-    labels = second_pass(found, [first_pass(b, has_main) for b in found])
+    known = _stop_share(" ".join(b.text for b in found if not b.out)) >= FEW_STOP
+    labels = second_pass(found, [first_pass(b, has_main, known) for b in found])
     return " ".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 
