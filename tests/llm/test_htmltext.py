@@ -41,6 +41,16 @@ def test_other_languages_are_judged_by_length_and_links():
     assert htmltext.main_text(f"<nav>Start</nav><p>{text}</p><div><a href=/a>{text}</a></div>") == text.strip()
 
 
+def test_article_is_a_prior_not_the_decision():
+    long = (PROSE * 4).strip()
+    cards = "".join(f"<article><h3>More {i}</h3><p><a href=/{i}>{PROSE}</a></p></article>" for i in range(3))
+    # The main text is in a div, the articles are teasers of other pages.
+    assert htmltext.main_text(f"<div><p>{PROSE}</p><p>{long}</p><p>{long}</p></div><div><a href=/all>All of it</a></div>{cards}") == f"{PROSE.strip()} {long} {long}"
+    # Long text beside the article stays, short blocks and link lists there do not.
+    page = f"<div>Top of the site</div><article><h1>A title</h1><p>{long}</p><p>Short.</p></article><div><a href=/x>{PROSE}</a></div><div>{long}</div><div><a href=/y>More</a> Of the site</div>"
+    assert htmltext.main_text(page) == f"A title {long} Short. {long}"
+
+
 def gold(page):
     inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
     return " ".join(html.unescape(re.sub(r"<[a-zA-Z/!][^>]*>", " ", inner)).split())

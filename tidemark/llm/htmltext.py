@@ -5,8 +5,12 @@ A page is cut into blocks at block-level tags. The first pass classifies a block
 and its density of stop words (its length alone where the page has hardly any stop word of the four languages). Short blocks without links and blocks
 of middle length with stop words stay undecided. The second pass gives undecided blocks the label of the nearest decided neighbours: middle ones are
 good beside one good block, then short ones if both agree; otherwise in the article that of the good one, elsewhere that of the bad one.
-Blocks that are out by their place are no neighbours. Inside an ``article`` or ``main`` element
-a block needs no stop words; where a page has such an element, blocks outside of it are out.
+Blocks that are out by their place are no neighbours.
+
+An ``article`` or ``main`` element is a prior: its blocks need no stop words and its short ones are good. It holds only while
+these elements have at least as much unlinked text as the good blocks outside of them; otherwise (teaser cards) their blocks are judged
+as any others. Blocks outside are judged by the two passes among themselves, so long text with stop words outside stays;
+short blocks there need a good one on both sides.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -163,21 +167,23 @@ def blocks(page: str) -> list[Block]:
 GOOD, BAD, SHORT, NEAR = 1, 0, -1, -2
 
 
+def _linked(block: Block) -> bool:
+    n = len(block.text)
+    return min(block.linked, n) / n > LINK_DENSITY
+
+
 def _stop_share(text: str) -> float:
     words = _WORD.findall(text.lower())
     return sum(w in STOP_WORDS for w in words) / max(1, len(words))
 
 
-def first_pass(block: Block, has_main: bool, known: bool = True) -> int:
+def first_pass(block: Block, known: bool = True) -> int:
     """Label by place, links, length and stop words; SHORT or NEAR (middle length) where the block alone does not decide.
 
     ``known``: the page is in a language of the stop words; without, length and links decide.
     """
     n = len(block.text)
-    if block.out or has_main and not block.main:
-        return BAD
-    density = min(block.linked, n) / n
-    if density > LINK_DENSITY:
+    if block.out or _linked(block):
         return BAD
     if n < SHORT_CHARS:
         return SHORT
@@ -189,15 +195,15 @@ def first_pass(block: Block, has_main: bool, known: bool = True) -> int:
 
 
 def _sides(found: list[Block], labels: list[int]) -> list[tuple[int | None, int | None]]:
-    """Labels of the nearest decided blocks before and after each block; those out by their place are passed over."""
+    """Labels of the nearest decided blocks before and after each block; those out by their place or on the other side of a main element's edge are passed over."""
     pairs = []
     for order in (range(len(found)), range(len(found) - 1, -1, -1)):
-        last: int | None = None
+        last: dict[bool, int] = {}
         one: list[int | None] = [None] * len(found)
         for i in order:
-            one[i] = last
+            one[i] = last.get(found[i].main)
             if labels[i] in (GOOD, BAD) and not found[i].out:
-                last = labels[i]
+                last[found[i].main] = labels[i]
         pairs.append(one)
     return list(zip(*pairs))
 
@@ -205,10 +211,11 @@ def _sides(found: list[Block], labels: list[int]) -> list[tuple[int | None, int
 def second_pass(found: list[Block], labels: list[int]) -> list[int]:
     """Undecided blocks take the label of their nearest decided neighbours; blocks of other parts of the page are no neighbours."""
     out = [(GOOD if GOOD in sides else BAD) if label == NEAR else label for label, sides in zip(labels, _sides(found, labels))]
+    prior = any(b.main for b in found)
     final = list(out)
     for i, (before, after) in enumerate(_sides(found, out)):
         if out[i] == SHORT:
-            sides = {before, after} - {None}
+            sides = {before, after} - (set() if prior else {None})
             final[i] = GOOD if found[i].main or sides == {GOOD} or found[i].heading and after == GOOD else BAD
     return final
 
@@ -216,9 +223,14 @@ def second_pass(found: list[Block], labels: list[int]) -> list[int]:
 def main_text(page: str) -> str:
     """Good blocks of the page joined by one space; empty if there is none."""
     found = blocks(page)
-    has_main = any(b.main and not b.out for b in found)
     known = _stop_share(" ".join(b.text for b in found if not b.out)) >= FEW_STOP
-    labels = second_pass(found, [first_pass(b, has_main, known) for b in found])
+    labels = [first_pass(b, known) for b in found]
+    inside = sum(len(b.text) for b in found if b.main and not b.out and not _linked(b))
+    outside = sum(len(b.text) for b, label in zip(found, labels) if not b.main and label == GOOD)
+    if inside < outside:  # the main text is elsewhere
+        found = [replace(b, main=False) for b in found]
+        labels = [first_pass(b, known) for b in found]
+    labels = second_pass(found, labels)
     return " ".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 
