@@ -63,6 +63,14 @@ def test_keep_good_keeps_columns_and_rows(spark):
     assert {r["doc_id"] for r in kept.collect()} == want
 
 
+def test_sample_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "en", "s", 1) for i in range(20)] + [(3, f"shared id {i}", "en", "s", 1) for i in range(300)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    one, two = (linear.training_rows(d, labels, "quality", F.lit(True), quality.features, per_class=10) for d in (docs.repartition(7), docs.coalesce(1)))
+    assert sorted(one[1]) == [0] * 10 + [1] * 10
+    assert all(np.array_equal(a, b) for a, b in zip(one[0], two[0])) and np.array_equal(one[1], two[1])
+
+
 def test_features_do_not_cross_rows_or_depend_on_neighbours():
     texts = ["Mentpa Mentpa Mentpa the end", "", "THE!! end 12|x", "é ü 漢字 the", "the end"]
     for module in (quality, toxicity):

@@ -186,7 +186,8 @@ def fit(x: Rows, y: np.ndarray, row_weight: np.ndarray, dims: int, unit: bool, c
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, features: Features, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> tuple[Rows, np.ndarray, np.ndarray]:
     """Feature sets, classes and weights of the sample: of each class the ``per_class`` smallest hashed ids that ``keep`` admits.
 
-    An id labelled twice has its larger label; a null id or label is left out; an id that several rows share brings each of them.
+    An id labelled twice has its larger label; a null id or label is left out; an id that several rows share brings the one
+    with the smallest hashed text, so at most ``per_class`` rows of a class reach the driver.
     """
     ids = labels.where(keep & F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
     totals = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -210,6 +211,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
         return pa.array(out, pa.binary())
 
     rows = docs.select(quoted(id_col).alias("sample_id"), quoted(text_col).cast("string").alias("t")).join(F.broadcast(sample), "sample_id")
+    rows = rows.groupBy("sample_id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
     got = rows.select("sample_id", "y", encode("t").alias("f")).toArrow()
     buffers = [f.as_buffer() for f in got["f"]]
     ids = got["sample_id"].to_pylist()
