@@ -51,8 +51,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "tidemark", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet under the shared folder and read it back.
+def materialize(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet (with writer ``options``) under the shared folder and read it back.
 
     Used for a frame several consumers share (the weekly spine). Unlike an
     eager RDD checkpoint it is computed once, and each consumer's read is a
@@ -61,7 +61,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**(options or {})).parquet(path)
     return spark.read.parquet(path)
 
 
