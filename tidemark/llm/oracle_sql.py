@@ -27,6 +27,18 @@ copies AS (SELECT doc_id, source, text, n_copies, unnest(range(1, n_copies + 1))
 # Matches of a backslash or a control string of the chat template: each costs one escape character.
 _ESCAPED = r"(\\|<\|im_start\|>|<\|im_end\|>|<\|endoftext\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>)"
 
+_ENCODED = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_ENCODED.format(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# DuckDB has no crc32: a fold over the digits of the id, eight shifts of the reversed polynomial for each.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))))"""
+_TAMPERED = f"(CASE WHEN doc_id IS NOT NULL AND {_CRC32} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END)"
+
 ORACLE_SQL: dict[str, str] = {
     "op9_chat": f"""
 WITH turns AS (
@@ -67,4 +79,37 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(a.n_hit, 0)::BIGINT AS n_
 FROM words d
 LEFT JOIN hit_words a ON d.doc_id IS NOT DISTINCT FROM a.doc_id AND d.h = a.h
 LEFT JOIN hit_items b ON d.doc_id IS NOT DISTINCT FROM b.doc_id AND d.h = b.h""",
+    "op13_merkle": f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf, {_leaf(_TAMPERED)} AS shown FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM rows),
+tree AS (
+  SELECT source, 0 AS lvl, i, n, leaf AS node FROM leaves
+  UNION ALL
+  SELECT source, lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY source, lvl, n, i // 16),
+subroots AS (SELECT source, node AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, i, n, subroot AS node FROM subroots
+  UNION ALL
+  SELECT lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(node, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY lvl, n, i // 16),
+runs AS (SELECT source, lvl, i // 16 AS up, list(node ORDER BY i) AS run FROM tree WHERE n > 1 GROUP BY source, lvl, i // 16),
+top_runs AS (SELECT lvl, i // 16 AS up, list(node ORDER BY i) AS run FROM top WHERE n > 1 GROUP BY lvl, i // 16),
+walk AS (
+  SELECT doc_id, source, leaf, i AS place, i, n, 0 AS lvl, shown AS node, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.source, w.leaf, w.place, w.i // 16, (w.n + 15) // 16, w.lvl + 1,
+    sha256(array_to_string(r.run[1 : w.i % 16], '') || w.node || array_to_string(r.run[w.i % 16 + 2 :], '')),
+    w.proof || array_to_string(r.run[1 : w.i % 16], '') || array_to_string(r.run[w.i % 16 + 2 :], '')
+  FROM walk w JOIN runs r ON w.source IS NOT DISTINCT FROM r.source AND w.lvl = r.lvl AND w.i // 16 = r.up WHERE w.n > 1),
+top_walk AS (
+  SELECT w.doc_id, w.source, w.leaf, w.place, s.subroot, s.i, s.n, 0 AS lvl, w.node, w.proof
+  FROM walk w JOIN subroots s ON w.source IS NOT DISTINCT FROM s.source WHERE w.n = 1
+  UNION ALL
+  SELECT w.doc_id, w.source, w.leaf, w.place, w.subroot, w.i // 16, (w.n + 15) // 16, w.lvl + 1,
+    sha256(array_to_string(r.run[1 : w.i % 16], '') || w.node || array_to_string(r.run[w.i % 16 + 2 :], '')),
+    w.proof || array_to_string(r.run[1 : w.i % 16], '') || array_to_string(r.run[w.i % 16 + 2 :], '')
+  FROM top_walk w JOIN top_runs r ON w.lvl = r.lvl AND w.i // 16 = r.up WHERE w.n > 1)
+SELECT w.doc_id, w.leaf, w.subroot, t.node AS root, sha256(w.proof) AS proof_sha256, w.node AS folded_root, w.node = t.node AS verified
+FROM top_walk w, (SELECT node FROM top WHERE n = 1) t WHERE w.n = 1""",
 }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontaminate, gru, htmltext, mixing, perplexity, quality, sharding, simhash, toxicity
+from tidemark.llm import align, chat, decontaminate, gru, htmltext, jaccard, merkle, mixing, perplexity, quality, sharding, simhash, toxicity
 from tidemark.llm.common import read
 
 
@@ -67,6 +67,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(read(spark, sf_dir, "documents"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents, checked against texts of which every fifth id's is lower-cased."""
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.manifest(read(spark, sf_dir, "documents"), claimed={"text": F.when(tampered, lower).otherwise(F.col("text"))})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_sharding": op2_sharding,
@@ -78,4 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_chat": op9_chat,
     "op10_quality": op10_quality,
+    "op11_alignment": op11_alignment,
+    "op12_jaccard_join": op12_jaccard_join,
+    "op13_merkle": op13_merkle,
 }
