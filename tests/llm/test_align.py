@@ -14,6 +14,14 @@ def models():
     return align.ByteLevel(align.tokenizer_path("byte_bpe_50k.json")), align.Pieces(align.tokenizer_path("piece_bpe_32k.model"))
 
 
+def test_plain_files_give_the_ids_of_the_tokenizer_library(models):
+    path = align.tokenizer_path("byte_bpe_50k.json")
+    texts = [r[1] or "" for r in awkward_rows()] + [t for _, t in SPECIAL]
+    texts += [f" a{chr(c)}b 1{chr(c)}2 {chr(c)}{chr(c)}'{chr(c)}s  {chr(c)}\n" for c in range(0x3000) if not 0xD800 <= c < 0xE000]
+    for got, want in zip(align.ByteLevel(path).encode(texts), align.ByteLevel(path, plain=False).encode(texts)):
+        assert np.array_equal(got, want)
+
+
 def spans(model, text, prefix):
     """(start, end, id) of the tokens, or None if their bytes are not the text's."""
     out, at = [], 0
