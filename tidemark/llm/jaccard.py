@@ -165,13 +165,14 @@ def _links(lists: DataFrame, percent: int, rounds: int) -> DataFrame:
         rank = F.struct("pos", "n", "cls") if r == 0 else F.struct(F.xxhash64("cls", F.lit(r)).alias("h"), F.col("n"), F.col("cls"))
         row = F.struct("cls", "n", "pos", "short", "after", "comp")
         pivots = with_comp.groupBy("gram").agg(F.min_by(row, rank).alias("p"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-        pivots = pivots.where("low <> high").select("gram", "p.*")
+        pivots = materialize(pivots.where("low <> high").select("gram", "p.*"), "jaccard-pivots")
         met = with_comp.alias("x").join(pivots.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.comp") != F.col("y.comp")) & _may_link("x", "y", percent))
         found = _verified(met.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")), lists, percent)
         links = materialize(found if links is None else links.unionByName(found), "jaccard-links")
     rows = materialize(_with_component(rows, links), "jaccard-components")
     held = rows.groupBy("gram", "comp").agg(F.count("*").alias("held"))
     main = held.groupBy("gram").agg(F.max_by("comp", F.struct("held", "comp")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1").select("gram", "main")
+    main = materialize(main, "jaccard-main")
     mixed = materialize(rows.join(main, "gram"), "jaccard-mixed")
     rest = mixed.where("comp <> main")
     once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.cls") < F.col("y.cls"))
@@ -214,6 +215,7 @@ def similar_components(
     sets = materialize(sets, "jaccard-alive-sets")
     grams = sets.select("cls", "n", F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    often = materialize(often, "jaccard-often")  # a written side lets Spark split the join at a frequent n-gram
     ordered = grams.join(often, "gram").groupBy("cls", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("o"))
     lists = ordered.select("cls", "n", F.col("o.gram").alias("grams")).where(f"n - size(grams) <= {spare('n', percent)}")
     lists = materialize(lists, "jaccard-lists")
