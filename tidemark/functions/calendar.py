@@ -14,7 +14,7 @@ row count was found small enough, else the join shuffles.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,83 @@ class IsoCalendar:
         return iso_week_bounds(weeks) if weeks else None
 
 
+    def week_dimension(self, spark: SparkSession) -> None:
+        """Month and as-of day are expressions of the week."""
+        return None
+
+    def week_of(self, day: Column) -> Column:
+        return iso_week_of(day)
+
+
+@dataclass(frozen=True)
+class StoredCalendar:
+    """A stored calendar whose weeks are whole runs of days: the sorted first days of its weeks with their labels.
+
+    The week of a day is a binary search in that array, an expression like the ISO week, so mapping dates to weeks
+    needs no join and no exchange. The labels may follow no formula. Days before the first week and after ``last`` have no week.
+    ``stored_calendar`` makes one of a table, or tells that the table is not of this kind.
+    """
+
+    starts: tuple[dt.date, ...]
+    labels: tuple[int, ...]
+    months: tuple[int | None, ...]
+    last: dt.date
+    kept: tuple[int, ...] | None = None
+
+    def limited(self, weeks: tuple[int, ...] | None, span: tuple[int, int] | None = None) -> StoredCalendar:
+        """The calendar with only the given weeks, or those of the inclusive span of labels."""
+        keep = weeks if weeks is not None else tuple(w for w in self.labels if span[0] <= w <= span[1]) if span is not None else None
+        return replace(self, kept=keep)
+
+    def holds(self, week: Column) -> Column:
+        return week.isNotNull() if self.kept is None else week.isin(*self.kept)
+
+    def ends(self) -> tuple[dt.date, ...]:
+        return (*(d - dt.timedelta(days=1) for d in self.starts[1:]), self.last)
+
+    def bounds(self) -> tuple[dt.date, dt.date] | None:
+        if not self.kept:
+            return None
+        days = [(a, z) for a, z, w in zip(self.starts, self.ends(), self.labels) if w in set(self.kept)]
+        return (min(a for a, _ in days), max(z for _, z in days)) if days else None
+
+    def position(self, day: Column) -> Column:
+        """Index of the last start on or before ``day``; -1 before the first. ``len(starts).bit_length()`` comparisons."""
+        epoch = dt.date(1970, 1, 1)
+        starts = F.lit([(d - epoch).days for d in self.starts])
+        steps = F.lit([1 << i for i in reversed(range(len(self.starts).bit_length()))])
+        number = F.unix_date(day)
+        further = lambda at, step: F.coalesce((at + step < F.lit(len(self.starts))) & (F.get(starts, at + step) <= number), F.lit(False))
+        return F.aggregate(steps, F.lit(-1), lambda at, step: F.when(further(at, step), at + step).otherwise(at))
+
+    def week_of(self, day: Column) -> Column:
+        return F.when((day >= F.lit(self.starts[0])) & (day <= F.lit(self.last)), F.get(F.lit(list(self.labels)), self.position(day)))
+
+    def week_dimension(self, spark: SparkSession) -> DataFrame:
+        """One row per week: (week, month_of_year, as_of)."""
+        rows = list(zip(self.labels, self.months, self.ends()))
+        return F.broadcast(spark.createDataFrame(rows, f"{WEEK} int, {MONTH} int, {AS_OF} date"))
+
+
+def stored_calendar(days: DataFrame, max_weeks: int = 20_000) -> StoredCalendar | None:
+    """The break points of a day table (``calendar_date``, week, ``month_of_year``), or None where it has to be joined.
+
+    It has to be where a week's days are not one run, a day is missing between the first and the last, two rows
+    give one day, a week has two months, or there are more than ``max_weeks`` weeks. One aggregate by week checks all of that; one row
+    per week comes to the driver.
+    """
+    weeks = days.where(F.col(CAL_DATE).isNotNull() & F.col(WEEK).isNotNull()).groupBy(WEEK).agg(
+        F.min(CAL_DATE).alias("a"), F.max(CAL_DATE).alias("z"), F.count("*").alias("n"), F.min(MONTH).alias("m"), F.max(MONTH).alias("m2"),
+    )
+    rows = weeks.limit(max_weeks + 1).collect()
+    rows.sort(key=lambda r: r["a"])
+    whole = all((r["z"] - r["a"]).days + 1 == r["n"] and r["m"] == r["m2"] for r in rows)
+    tiled = all((b["a"] - a["z"]).days == 1 for a, b in zip(rows, rows[1:]))
+    if not rows or len(rows) > max_weeks or not whole or not tiled:
+        return None
+    return StoredCalendar(tuple(r["a"] for r in rows), tuple(r[WEEK] for r in rows), tuple(r["m"] for r in rows), rows[-1]["z"])
+
+
 def generate_calendar(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """Day table of a range, for use like a stored calendar."""
     n_days = (end - start).days + 1
@@ -95,17 +172,17 @@ def normalise_calendar(df: DataFrame, date_col: str, week_col: str, month_col: s
     return F.broadcast(out) if out.count() <= BROADCAST_MAX_ROWS else out
 
 
-def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame | IsoCalendar, keep_date: str | None = None) -> DataFrame:
+def map_to_week(df: DataFrame, date_expr: Column, calendar: DataFrame | IsoCalendar | StoredCalendar, keep_date: str | None = None) -> DataFrame:
     """Events with the week of their day.
 
-    With an ``IsoCalendar`` the week is computed and only its limit filters rows;
+    With an ``IsoCalendar`` or a ``StoredCalendar`` the week is computed and only the calendar's limit filters rows;
     with a stored calendar an inner join on the day drops days that it does not hold.
     A NULL date has no week and is dropped in both forms.
     """
-    if isinstance(calendar, IsoCalendar):
+    if not isinstance(calendar, DataFrame):
         day = F.to_date(date_expr)
         extra = [day.alias(keep_date)] if keep_date else []
-        out = df.select(*[F.col(c) for c in df.columns if c != WEEK], iso_week_of(day).alias(WEEK), *extra)
+        out = df.select(*[F.col(c) for c in df.columns if c != WEEK], calendar.week_of(day).alias(WEEK), *extra)
         return out.filter(calendar.holds(F.col(WEEK)))
     cal = calendar.select(F.col(CAL_DATE).alias("__cal_d"), F.col(WEEK).alias("__cal_w"))
     # One join on the computed day and one projection (few analysed steps).

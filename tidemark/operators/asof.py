@@ -37,6 +37,24 @@ def place_as_of(df: DataFrame, date: Column, asof: DataFrame, week: str = WEEK,
     return out.select(*[F.col(c) for c in df.columns if c != week], F.col("__week").alias(week))
 
 
+def _ranked(order: list[Column], values: list[str]) -> Column:
+    return F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(v) for v in values])
+
+
+def as_of_state(
+    history: DataFrame, order: list[Column], values: list[str], state: DataFrame | None = None, account: str = ACCOUNT
+) -> DataFrame:
+    """(account, latest): one row per account, the latest row of ``history`` and of an earlier ``state``.
+
+    A stored state stands for all rows that went into it: rolling it forward reads only newer rows, and ``latest_as_of``
+    continues from it. It has one row per account, however long the history.
+    """
+    rows = history.select(account, _ranked(order, values).alias("latest"))
+    if state is not None:
+        rows = rows.unionByName(state.select(account, "latest"))
+    return rows.groupBy(account).agg(F.max("latest").alias("latest"))
+
+
 def latest_as_of(
     history: DataFrame,
     spine_keys: DataFrame,
@@ -44,15 +62,19 @@ def latest_as_of(
     values: list[str],
     account: str = ACCOUNT,
     week: str = WEEK,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """``history`` carries (account, week from ``place_as_of``, order cols…, values…).
 
     ``order`` must end with a unique tie-break; the chosen row is the maximum
     (``ORDER BY … DESC``, NULLs last). Output: spine keys that have a match,
-    with ``values``.
+    with ``values``. A ``state`` of ``as_of_state`` stands before every week, for the rows that ``history``
+    then need not hold.
     """
-    ranked = F.struct(*[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(v) for v in values])
-    weekly = history.groupBy(account, week).agg(F.max(ranked).alias("__s")).withColumn("__spine", F.lit(0))
+    weekly = history.groupBy(account, week).agg(F.max(_ranked(order, values)).alias("__s")).withColumn("__spine", F.lit(0))
+    if state is not None:
+        before = state.select(account, F.lit(None).cast("int").alias(week), F.col("latest").alias("__s"), F.lit(0).alias("__spine"))
+        weekly = weekly.unionByName(before)  # a NULL week sorts first
     spine = spine_keys.select(account, week).withColumn("__s", F.lit(None).cast(weekly.schema["__s"].dataType))
     spine = spine.withColumn("__spine", F.lit(1))
     w = Window.partitionBy(account).orderBy(week, "__spine").rowsBetween(Window.unboundedPreceding, Window.currentRow)

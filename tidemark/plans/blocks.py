@@ -16,7 +16,7 @@ from tidemark.functions.calendar import AS_OF, MONTH, IsoCalendar, map_to_week,
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank, valid_key
 from tidemark.functions.shape import clean_name as _clean
 from tidemark.functions.shape import normalise_values
-from tidemark.operators.asof import latest_as_of, place_as_of
+from tidemark.operators.asof import as_of_state, latest_as_of, place_as_of
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.encode import category_counts, discover_vocabulary, top1_pivot, weighted_counts
 from tidemark.operators.rangejoin import interval_join, window_join
@@ -313,13 +313,21 @@ def set_top_box_block(
     type_col: str,
     tie_col: str,
     excluded_types: list[str],
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Per spine (account, week), the latest installed box among boxes
     modified on or before the week's as-of date (B5, E2), excluding some box
-    types (B9, NULL type rejected)."""
+    types (B9, NULL type rejected). With a ``state`` of ``box_state``, ``boxes`` need only hold the rows modified after it."""
     src = boxes.filter(not_in(type_col, excluded_types))
     hist = place_as_of(src, F.col(modified_col), asof)
-    return latest_as_of(hist, spine_keys, [F.col(installed_col), F.col(tie_col)], [type_col])
+    return latest_as_of(hist, spine_keys, [F.col(installed_col), F.col(tie_col)], [type_col], state=state)
+
+
+def box_state(
+    boxes: DataFrame, installed_col: str, type_col: str, tie_col: str, excluded_types: list[str], state: DataFrame | None = None
+) -> DataFrame:
+    """The latest installed box of each account among ``boxes`` and those behind an earlier ``state``."""
+    return as_of_state(boxes.filter(not_in(type_col, excluded_types)), [F.col(installed_col), F.col(tie_col)], [type_col], state)
 
 
 def journey_block(

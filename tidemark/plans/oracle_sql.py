@@ -338,6 +338,15 @@ DQ_CONTINUOUS = _with(CALENDAR, "long AS (\n  " + "\n  UNION ALL ".join(
 LAST_ORDER = """last_order AS (
   SELECT c.week, max(c.calendar_date) AS as_of FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date GROUP BY c.week)"""
 
+FISCAL = """fiscal AS (
+  SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS x, a FROM (
+    SELECT min(CAST(o_orderdate AS DATE)) - 3 AS a, max(CAST(o_orderdate AS DATE)) AS z FROM orders)),
+numbered AS (SELECT x, year(a) + (x - a) // 364 AS y, (x - a) % 364 // 7 AS w FROM (SELECT x, CAST(a AS DATE) AS a FROM fiscal)),
+calendar AS (
+  SELECT x AS calendar_date, CAST(y * 100 + w + 1 AS INTEGER) AS week,
+    CAST(y * 100 + w // 13 * 3 + CASE WHEN w % 13 < 4 THEN 1 WHEN w % 13 < 8 THEN 2 ELSE 3 END AS INTEGER) AS month_of_year FROM numbered),
+week_dim AS (SELECT week, month_of_year, max(calendar_date) AS as_of FROM calendar GROUP BY week, month_of_year)"""
+
 ORACLE_SQL = {
     "week_calendar_map": _with(CALENDAR) + """SELECT c.week, count(*) AS n_orders
 FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date GROUP BY c.week""",
@@ -411,5 +420,9 @@ FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date G
         for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
     ) + "\nUNION ALL SELECT 'nation+region', true, true, (SELECT count(*) FROM nation) + (SELECT count(*) FROM region)",
     "incremental_run": _with(CALENDAR, SPINE, *_block_ctes()) + """SELECT s.*, l.* EXCLUDE (account, week), p.* EXCLUDE (account, week), CAST(1 AS BIGINT) AS n_log_rows
-FROM spine s LEFT JOIN line_speed l USING (account, week) LEFT JOIN pipeline p USING (account, week) WHERE week BETWEEN 199401 AND 200252""",
+FROM spine s LEFT JOIN line_speed l USING (account, week) LEFT JOIN pipeline p USING (account, week)""",
+    "incremental_refresh": _with(CALENDAR, SPINE, *_block_ctes()) + _mart_select().replace("SELECT *,", "SELECT *, true AS log_ok,", 1),
+    "box_state_roll": _block_query("set_top_box"),
+    "fiscal_week_blocks": _with(FISCAL, SPINE, *_block_ctes()) + """SELECT * FROM spine LEFT JOIN line_speed USING (account, week)
+LEFT JOIN pipeline USING (account, week) LEFT JOIN billing USING (account, week) LEFT JOIN set_top_box USING (account, week)""",
 }

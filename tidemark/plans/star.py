@@ -19,11 +19,14 @@ from tidemark import ACCOUNT, WEEK
 from tidemark.functions.calendar import (
     AS_OF,
     IsoCalendar,
+    StoredCalendar,
     as_of_frame,
     bounded_frame,
     day_range,
     map_to_week,
+    normalise_calendar,
     run_sequences,
+    stored_calendar,
     week_end,
     week_list,
 )
@@ -68,19 +71,26 @@ class Star:
         weeks: list[int] | None = None,
         vocab: dict[str, dict[str, list[str]]] | None = None,
         span: tuple[int, int] | None = None,
+        tables: dict[str, DataFrame] | None = None,
+        calendar: StoredCalendar | None = None,
     ):
         """``weeks`` (or the inclusive ``span`` of weeks) limits the run: every weekly block maps
         dates through the calendar, so limiting the calendar limits them
         all. As-of blocks also read earlier dates. ``vocab`` supplies stored category
-        vocabularies (same shape as ``vocab()`` returns); values that the run's own rows bring are added to them."""
+        vocabularies (same shape as ``vocab()`` returns); values that the run's own rows bring are added to them.
+        ``tables`` replaces some of the tables of ``sf_dir``; ``calendar`` is a stored calendar in place of the ISO weeks."""
         self.spark = spark
         self.sf_dir = sf_dir
         self.weeks = sorted(weeks) if weeks else None
-        self.calendar = IsoCalendar(tuple(self.weeks) if self.weeks else None, span)
+        self.tables = dict(tables or {})
+        limit = tuple(self.weeks) if self.weeks else None
+        self.calendar = IsoCalendar(limit, span) if calendar is None else calendar.limited(limit, span)
         self.stored_vocab: dict[str, dict[str, list[str]]] = dict(vocab or {})
         self._vocab: dict[str, dict[str, list[str]]] = {}
 
     def t(self, name: str) -> DataFrame:
+        if name in self.tables:
+            return self.tables[name]
         return self.spark.read.parquet(os.path.join(self.sf_dir, f"{name}.parquet"))
 
     def dated(self, df: DataFrame, col: str, before: int = 0, after: int = 0, lower: bool = True) -> DataFrame:
@@ -113,7 +123,7 @@ class Star:
     def spine(self) -> DataFrame:
         return blocks.spine(
             self.base(),
-            None,
+            self.calendar.week_dimension(self.spark),
             keep=["c_nationkey", "c_acctbal", "c_mktsegment", strip_cast("c_name", "Customer#").alias("name_number")],
             where=(F.col("c_acctbal") > 0) & F.col("c_mktsegment").isNotNull(),
         )
@@ -354,6 +364,23 @@ class Star:
             "installed_dt", "modified_dt", "box_type", "o_orderkey", EXCLUDED_BOX_TYPES,
         )
 
+    def box_state(self, upto: dt.date, since: dt.date | None = None, state: DataFrame | None = None) -> DataFrame:
+        """State of the boxes modified up to a day; with an earlier ``state`` only those after the day ``since`` are read."""
+        after = None if since is None else since + dt.timedelta(days=1)
+        orders = self.t("orders")
+        part = Star(self.spark, self.sf_dir, tables={**self.tables, "orders": orders.where(day_range(orders, "o_orderdate", after, upto))})
+        return blocks.box_state(part.boxes_src(), "installed_dt", "box_type", "o_orderkey", EXCLUDED_BOX_TYPES, state)
+
+    def set_top_box_after(self, since: dt.date, state: DataFrame, spine: DataFrame) -> DataFrame:
+        """The box block of spine weeks whose as-of days are after ``since``, from the state as of that day and the
+        boxes modified later; the scan of earlier ones is skipped."""
+        orders = self.t("orders")
+        part = Star(self.spark, self.sf_dir, tables={**self.tables, "orders": orders.where(day_range(orders, "o_orderdate", since + dt.timedelta(days=1), None))})
+        keys = spine.where(F.col(AS_OF) > F.lit(since))
+        return blocks.set_top_box_block(
+            part.boxes_src(), self.asof(keys), keys.select(ACCOUNT, WEEK), "installed_dt", "modified_dt", "box_type", "o_orderkey", EXCLUDED_BOX_TYPES, state
+        )
+
     def journey(self) -> DataFrame:
         return blocks.journey_block(
             self.journey_src(), self.t("customer"), self.calendar,
@@ -741,7 +768,7 @@ def q_incremental_run(spark, d):
     """An empty log, a run of the even weeks, a second run of all requested weeks that builds only the
     odd ones, and a third that finds nothing pending; the mart read back with each week's number of log rows."""
     mart, log = scratch_path(spark, "incremental-mart"), scratch_path(spark, "incremental-log")
-    whole = Star(spark, d, span=(WEEK_LO, WEEK_HI))
+    whole = Star(spark, d)
     weeks = materialize(whole.spine().select(WEEK).distinct(), "incremental-weeks")
 
     def build(some: list[int]) -> DataFrame:
@@ -754,6 +781,82 @@ def q_incremental_run(spark, d):
     return read_mart(spark, mart).join(logged, WEEK)
 
 
+def _arrivals(spark, d, days=(103, 100), every=16):
+    """Stand-in for sources to which rows are added after a run: one of ``every`` order keys (with its lines) of some days
+    before the last one and some events of the first day are kept back. Returns (name → rows there at first, name → late rows)."""
+    s = Star(spark, d)
+    o, li, e = s.t("orders"), s.t("lineitem"), s.t("events")
+    last = o.agg(F.max(F.to_date("o_orderdate"))).scalar()
+    late = F.to_date("o_orderdate").between(F.date_sub(last, days[0]), F.date_sub(last, days[1])) & (F.col("o_orderkey") % every == 0)
+    keys = o.where(late).select(F.col("o_orderkey").alias("l_orderkey"))
+    event = (F.to_date("ts") == e.agg(F.min(F.to_date("ts"))).scalar()) & (F.col("user_id") % 3 == 0)
+    first = {"orders": o.where(~late), "lineitem": li.join(keys, "l_orderkey", "left_anti").select(li.columns), "events": e.where(~event)}
+    return first, {"orders": o.where(late), "lineitem": li.join(keys, "l_orderkey", "left_semi").select(li.columns), "events": e.where(event)}
+
+
+def q_incremental_refresh(spark, d):
+    """A first run over sources without their late rows, a run that is killed after it wrote its rows and
+    before it is published, then the late rows and a second run over all blocks, which rebuilds the weeks whose source
+    marks differ. The published mart, with a check of each week's log times."""
+    from tidemark.plans.refresh import refresh
+    from tidemark.sources.versions import VersionedMart
+
+    root, copy = scratch_path(spark, "refresh-mart"), scratch_path(spark, "refresh-sources")
+    first, late = _arrivals(spark, d)
+    for name, rows in first.items():
+        rows.write.parquet(f"{copy}/{name}")
+    star = lambda **kw: Star(spark, d, tables={n: spark.read.parquet(f"{copy}/{n}") for n in first}, **kw)
+    digits = lambda df: _round(df, {"score_1": 6, "score_2": 6, "mean_duration": 6, "bill_total": 4, "amount_paid": 4})
+    refresh(spark, star, root, finish=digits)
+    store = VersionedMart(spark, root)
+    store.write_run(store.read().limit(1000), store.marks(), store.vocab())  # killed here: no reader follows it
+    for name, rows in late.items():
+        rows.write.mode("append").parquet(f"{copy}/{name}")
+    refresh(spark, star, root, finish=digits)
+    times = store.listing().select(WEEK, ((F.col("start_time") <= F.col("end_time")) & (F.col("elapsed_seconds") >= 0) & F.col("n_runs").isin(1, 2)).alias("log_ok"))
+    return store.read().join(times, WEEK)
+
+
+def q_box_state_roll(spark, d):
+    """The boxes of the first half of the time, a stored state as of its last day, and the second half from
+    that state and the later boxes alone."""
+    s = Star(spark, d)
+    spine = materialize(s.spine(), "spine")
+    lo, hi = spine.agg(F.min(AS_OF), F.max(AS_OF)).first()
+    if lo is None:
+        return s.set_top_box(spine)
+    mid = lo + dt.timedelta(days=(hi - lo).days // 2)
+    early = lo + dt.timedelta(days=(hi - lo).days // 4)
+    state = materialize(s.box_state(early), "box-state")
+    state = materialize(s.box_state(mid, since=early, state=state), "box-state")
+    before = spine.where(F.col(AS_OF) <= F.lit(mid))
+    return s.set_top_box(before).unionByName(s.set_top_box_after(mid, state, spine))
+
+
+def _fiscal_days(spark, d):
+    """Stand-in for a stored calendar: a day table of fiscal years of 52 weeks in quarters of 4, 4 and 5 weeks, over the order dates."""
+    lo, hi = Star(spark, d).t("orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    n = F.col("id").cast("int")
+    days = spark.range((hi - lo).days + 4).select(F.date_add(F.lit(lo - dt.timedelta(days=3)), n).alias("day"), n.alias("n"))
+    year, week = F.expr(f"{(lo - dt.timedelta(days=3)).year} + n div 364"), F.expr("n % 364 div 7 + 1")
+    place = (week - 1) % 13
+    month = F.floor((week - 1) / 13) * 3 + F.when(place < 4, 1).when(place < 8, 2).otherwise(3)
+    return days.select(F.col("day").cast("string").alias("fiscal_day"), (year * 100 + week).cast("string").alias("fiscal_week"), (year * 100 + month).cast("string").alias("fiscal_month"))
+
+
+def q_fiscal_week_blocks(spark, d):
+    """Spine and blocks by a stored 4-4-5 calendar; its weeks are found by binary search, without a join."""
+    path = scratch_path(spark, "fiscal")
+    _fiscal_days(spark, d).write.parquet(path)
+    calendar = stored_calendar(normalise_calendar(spark.read.parquet(path), "fiscal_day", "fiscal_week", "fiscal_month"))
+    if calendar is None:
+        raise ValueError("the stored calendar has gaps or overlapping weeks")
+    s = Star(spark, d, calendar=calendar)
+    sp = materialize(s.spine(), "spine")
+    asof = s.asof(sp)
+    return _round(assemble(sp, [s.line_speed(), s.pipeline(), s.billing(), s.set_top_box(sp, asof)]), {"bill_total": 4, "amount_paid": 4})
+
+
 QUERIES = {
     "week_calendar_map": q_week_calendar_map,
     "run_week_list": q_run_week_list,
@@ -798,4 +901,7 @@ QUERIES = {
     "profile_history": q_profile_history,
     "table_presence": q_table_presence,
     "incremental_run": q_incremental_run,
+    "incremental_refresh": q_incremental_refresh,
+    "box_state_roll": q_box_state_roll,
+    "fiscal_week_blocks": q_fiscal_week_blocks,
 }
