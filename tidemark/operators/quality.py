@@ -72,5 +72,56 @@ def stamp(df: DataFrame, column: str = "created_dt") -> DataFrame:
 
 
 def append_profile(df: DataFrame, path: str, week: str = WEEK) -> None:
-    """Append to the profile history, partitioned by week."""
-    df.write.mode("append").partitionBy(week).parquet(path)
+    """Append to the profile history. A run's profile is small, so it becomes a few files of about the advised size,
+    sorted by week for row-group skipping, and not a folder for each week."""
+    df.hint("rebalance").sortWithinPartitions(week).write.mode("append").parquet(path)
+
+
+def continuous_state(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFrame:
+    """Mergeable profile of numeric columns: one row (colname, week, n, mean, m2, low, high) per column and week.
+
+    ``m2`` is the sum of squared distances from the mean; ``n`` counts values that are not NULL.
+    """
+    long = df.select(week, F.explode(F.array(*[F.struct(F.lit(c).alias("colname"), F.col(c).cast("double").alias("x")) for c in cols])).alias("p"))
+    return long.groupBy(F.col("p.colname").alias("colname"), week).agg(
+        F.count("p.x").alias("n"), F.avg("p.x").alias("mean"), (F.var_pop("p.x") * F.count("p.x")).alias("m2"), F.min("p.x").alias("low"), F.max("p.x").alias("high")
+    )
+
+
+def merge_continuous(states: DataFrame, by: list[str]) -> DataFrame:
+    """The profile of each group ``by`` from states: that of all rows behind them, without reading those.
+
+    Means are weighted by their counts, and the distances of the parts' means from the whole mean join the sums of squares, so
+    nothing cancels. States of any weeks, in any number and order, give the same.
+    """
+    held = states.where("n > 0")
+    means = held.groupBy(*by).agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean_value"))
+    far = F.col("m2") + F.col("n") * (F.col("mean") - F.col("mean_value")) ** 2
+    return held.join(means, by).groupBy(*by).agg(
+        F.sum("n").alias("n_values"), F.max("high").alias("maximum_value"), F.min("low").alias("minimum_value"), F.first("mean_value").alias("mean_value"),
+        F.sqrt(F.sum(far) / F.nullif(F.sum("n") - 1, F.lit(0))).alias("standard_deviation"),
+    )
+
+
+def discrete_state(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFrame:
+    """Mergeable profile of text columns: (colname, week, unique_value, n_rows), exact, one row per value (NULL is one)."""
+    long = df.select(week, F.explode(F.array(*[F.struct(F.lit(c).alias("colname"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p"))
+    return long.groupBy(F.col("p.colname").alias("colname"), week, F.col("p.v").alias("unique_value")).agg(F.count("*").alias("n_rows"))
+
+
+def merge_discrete(states: DataFrame, by: list[str]) -> DataFrame:
+    """(by…, unique_value, n_rows, number_of_categories) of all rows behind the states."""
+    values = states.groupBy(*by, "unique_value").agg(F.sum("n_rows").alias("n_rows"))
+    counts = values.groupBy(*by).agg(F.count("*").alias("number_of_categories"))
+    return values.join(counts, by)
+
+
+def distinct_sketch(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFrame:
+    """(colname, week, sketch): a HyperLogLog sketch of each column's values, of fixed size however many there are."""
+    long = df.select(week, F.explode(F.array(*[F.struct(F.lit(c).alias("colname"), F.col(c).cast("string").alias("v")) for c in cols])).alias("p"))
+    return long.groupBy(F.col("p.colname").alias("colname"), week).agg(F.hll_sketch_agg("p.v").alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
+    """(by…, about) the estimated number of distinct values over the merged sketches."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))

@@ -425,4 +425,24 @@ FROM spine s LEFT JOIN line_speed l USING (account, week) LEFT JOIN pipeline p U
     "box_state_roll": _block_query("set_top_box"),
     "fiscal_week_blocks": _with(FISCAL, SPINE, *_block_ctes()) + """SELECT * FROM spine LEFT JOIN line_speed USING (account, week)
 LEFT JOIN pipeline USING (account, week) LEFT JOIN billing USING (account, week) LEFT JOIN set_top_box USING (account, week)""",
+    "profile_states": _with(CALENDAR, "src AS (SELECT CAST(c.week // 100 AS INTEGER) AS year, o.* FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date)",
+        """vals AS (SELECT 'o_orderstatus' AS colname, year, o_orderstatus AS unique_value, count(*) AS n_rows FROM src GROUP BY ALL
+  UNION ALL SELECT 'o_orderpriority', year, o_orderpriority, count(*) FROM src GROUP BY ALL)""") + f"""SELECT 'o_totalprice' AS colname, year, CAST(NULL AS VARCHAR) AS unique_value, count(o_totalprice) AS n_rows, CAST(NULL AS BIGINT) AS number_of_categories,
+  max(o_totalprice) AS maximum_value, min(o_totalprice) AS minimum_value, {cut('avg(o_totalprice)', 3)} AS mean_value, {cut('stddev_samp(o_totalprice)', 2)} AS standard_deviation FROM src GROUP BY year
+UNION ALL SELECT colname, year, unique_value, n_rows, count(*) OVER (PARTITION BY colname, year), NULL, NULL, NULL, NULL FROM vals""",
+    "dirty_shards": """SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+  o_orderkey % 100 + CASE WHEN o_orderkey % 3 = 2 THEN 0.5::DOUBLE ELSE 0 END AS size_code, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS o_orderpriority,
+  (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 7) AS n_bad
+FROM orders WHERE o_orderkey % 50 <> 7""",
+    "weekly_base_wide": _with(CALENDAR, """wide AS (
+  SELECT o.o_custkey AS account, o.week, w.as_of, TRY_CAST(replace(cu.c_name, 'Customer#', '') AS BIGINT) AS customer_number, CAST(floor(o.o_totalprice) AS BIGINT) AS price,
+    CAST(floor(cu.c_acctbal) AS BIGINT) AS balance, o.o_orderkey AS order_number, cu.c_nationkey AS nation, TRY_CAST(regexp_replace(o.o_orderpriority, '-.*', '') AS INTEGER) AS priority,
+    CAST(o.o_orderkey % 97 AS INTEGER) AS visits, CAST(o.o_orderkey % 24 AS INTEGER) AS term, CAST(o.o_orderkey % 80 AS DOUBLE) AS speed,
+    CASE WHEN o.o_orderkey % 13 <> 0 THEN CAST(o.o_orderkey % 7 AS INTEGER) END AS tier, o.o_custkey AS party, o.o_orderkey % 1000 * 1000 AS usage, lower(cu.c_mktsegment) AS segment,
+    CAST(o.o_orderdate AS DATE) AS contract_start_date, CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 400 AS INTEGER) AS contract_end_date,
+    CASE WHEN o.o_orderkey % 11 <> 0 THEN CAST(o.o_orderdate AS DATE) - CAST(o.o_orderkey % 400 AS INTEGER) END AS review_date
+  FROM (SELECT o.*, c.week, row_number() OVER (PARTITION BY o.o_custkey, c.week ORDER BY o.o_orderkey DESC) AS rn
+        FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date) o
+  JOIN customer cu ON cu.c_custkey = o.o_custkey JOIN (SELECT week, max(as_of) AS as_of FROM week_dim GROUP BY week) w ON w.week = o.week WHERE rn = 1)""")
+    + f"SELECT *, {_dur('contract_start_date')}, {_dur('contract_end_date')}, {_dur('review_date')} FROM wide",
 }

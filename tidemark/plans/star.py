@@ -30,14 +30,27 @@ from tidemark.functions.calendar import (
     week_end,
     week_list,
 )
+from tidemark.functions.columns import Rule, apply_map
 from tidemark.functions.predicates import not_in, not_like, present_or_not_blank
 from tidemark.functions.shape import add_durations, clean_names, drop_raw_dates, fill_strings, normalise_values, parse_dates, strip_cast
+from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.encode import discover_vocabularies, merge_vocabularies
-from tidemark.operators.quality import append_profile, classify_columns, continuous_profile, discrete_profile, stamp
+from tidemark.operators.quality import (
+    append_profile,
+    classify_columns,
+    continuous_profile,
+    continuous_state,
+    discrete_profile,
+    discrete_state,
+    merge_continuous,
+    merge_discrete,
+    stamp,
+)
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble, run
 from tidemark.session import materialize, scratch_path
 from tidemark.sources.catalog import Catalog, has_rows, read_json, star_catalog
+from tidemark.sources.shards import read_json_shards
 from tidemark.sources.sinks import read_mart, write_json, write_weeks
 
 # Fixed values of the role mapping (shared with the SQL oracles).
@@ -857,6 +870,88 @@ def q_fiscal_week_blocks(spark, d):
     return _round(assemble(sp, [s.line_speed(), s.pipeline(), s.billing(), s.set_top_box(sp, asof)]), {"bill_total": 4, "amount_paid": 4})
 
 
+def q_profile_states(spark, d):
+    """Two runs store the profile states of their weeks (even and odd ones); profiles by year come from the states."""
+    s = Star(spark, d)
+    o = map_to_week(s.t("orders").select("o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority"), F.col("o_orderdate"), s.calendar)
+    numbers, texts = scratch_path(spark, "number-states"), scratch_path(spark, "text-states")
+    for rest in (0, 1):
+        run_rows = o.where(F.col(WEEK) % 2 == rest)
+        append_profile(continuous_state(run_rows, ["o_totalprice"]), numbers)
+        append_profile(discrete_state(run_rows, ["o_orderstatus", "o_orderpriority"]), texts)
+    year = F.floor(F.col(WEEK) / 100).cast("int").alias("year")
+    by = ["colname", "year"]
+    low = merge_continuous(spark.read.parquet(numbers).withColumn("year", year), by)
+    found = merge_discrete(spark.read.parquet(texts).withColumn("year", year), by)
+    return low.select(
+        *by, F.lit(None).cast("string").alias("unique_value"), F.col("n_values").alias("n_rows"), F.lit(None).cast("bigint").alias("number_of_categories"), "maximum_value", "minimum_value",
+        _cut("mean_value", 3).alias("mean_value"), _cut("standard_deviation", 2).alias("standard_deviation"),
+    ).unionByName(found.select(*by, "unique_value", "n_rows", "number_of_categories"), allowMissingColumns=True)
+
+
+def _order_shards(spark, d) -> str:
+    """Stand-in for shards of three producers: one complete, one without the priority, one with fractions in a whole-number column;
+    some lines are cut off."""
+    o = Star(spark, d).t("orders")
+    size = F.col("o_orderkey") % 100
+    path = scratch_path(spark, "order-shards")
+    for i in range(3):
+        cols = [F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_totalprice"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+                (size + F.lit(0.5) if i == 2 else size).alias("size_code")] + ([F.col("o_orderpriority")] if i != 1 else [])
+        line = F.to_json(F.struct(*cols))
+        line = F.when(F.col("o_orderkey") % 50 == 7, F.substring(line, 1, 30)).otherwise(line)
+        o.where(F.col("o_orderkey") % 3 == i).select(line.alias("value")).write.text(f"{path}/part={i}")
+    return path
+
+
+def q_dirty_shards(spark, d):
+    """Shards with broken lines, a missing and a widened column; the good rows and the number of quarantined lines."""
+    declared = {"o_orderkey": "int", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "date", "size_code": "int", "o_orderpriority": "string"}
+    rows, bad = read_json_shards(spark, f"{_order_shards(spark, d)}/*", declared)
+    if rows.schema["size_code"].dataType.simpleString() != "double":
+        raise AssertionError("the fractions of one shard must widen the column")
+    return rows.withColumn("n_bad", bad.agg(F.count("*")).scalar())
+
+
+def _raw_base(spark, d) -> DataFrame:
+    """Stand-in for a raw weekly base: the latest order of each account and week with its customer, as text with signs and prefixes."""
+    s = Star(spark, d)
+    o = map_to_week(s.t("orders"), F.col("o_orderdate"), s.calendar)
+    latest = first_per_key(o, ["o_custkey", WEEK], [F.col("o_orderkey")], descending=True)
+    x = latest.join(s.t("customer"), latest.o_custkey == F.col("c_custkey"))
+    whole = lambda c: F.floor(c).cast("bigint").cast("string")
+    text = lambda p, c: F.concat(F.lit(p), c.cast("string"))
+    day = F.to_date("o_orderdate")
+    length = (F.col("o_orderkey") % 400).cast("int")
+    return x.select(
+        F.col("o_custkey").alias(ACCOUNT), WEEK, week_end(F.col(WEEK)).alias(AS_OF), F.col("c_name").alias("customer_text"),
+        text("£", whole(F.col("o_totalprice"))).alias("price_text"), text("GBP ", whole(F.col("c_acctbal"))).alias("balance_text"), text("ORD-", F.col("o_orderkey")).alias("order_text"),
+        text("N_", F.col("c_nationkey")).alias("nation_text"), F.col("o_orderpriority").alias("priority_text"), text("#", F.col("o_orderkey") % 97).alias("visit_text"),
+        F.concat((F.col("o_orderkey") % 24).cast("string"), F.lit(" months")).alias("term_text"), F.concat((F.col("o_orderkey") % 80).cast("string"), F.lit(" Mb/s")).alias("speed_text"),
+        F.when(F.col("o_orderkey") % 13 == 0, "not known").otherwise(text("T", F.col("o_orderkey") % 7)).alias("tier_text"), text("id:", F.col("o_custkey")).alias("party_text"),
+        F.concat(F.lit("~"), (F.col("o_orderkey") % 1000).cast("string"), F.lit(",000")).alias("usage_text"), F.col("c_mktsegment").alias("segment_text"),
+        F.date_format(day, "yyyyMMdd").alias("start_text"), F.date_format(F.date_add(day, length), "dd/MM/yyyy").alias("end_text"),
+        F.when(F.col("o_orderkey") % 11 == 0, "31/02/1999").otherwise(F.date_format(F.date_sub(day, length), "dd/MM/yyyy")).alias("review_text"),
+        F.lit("unused").alias("unused_text"),
+    )
+
+
+BASE_MAP = [
+    Rule(ACCOUNT, ACCOUNT), Rule(WEEK, WEEK), Rule(AS_OF, AS_OF),
+    Rule("customer_number", "customer_text", "strip", "Customer#"), Rule("price", "price_text", "strip", "£"), Rule("balance", "balance_text", "strip", "GBP "),
+    Rule("order_number", "order_text", "strip", "ORD-"), Rule("nation", "nation_text", "strip", "N_", "int"), Rule("priority", "priority_text", "strip", "-.*", "int"),
+    Rule("visits", "visit_text", "strip", "#", "int"), Rule("term", "term_text", "strip", " months", "int"), Rule("speed", "speed_text", "strip", " Mb/s", "double"),
+    Rule("tier", "tier_text", "strip", "T", "int"), Rule("party", "party_text", "strip", "id:"), Rule("usage", "usage_text", "strip", "[~,]"),
+    Rule("segment", "segment_text", "lower"), Rule("contract_start_date", "start_text", "date", "yyyyMMdd"), Rule("contract_end_date", "end_text", "date", "dd/MM/yyyy"),
+    Rule("review_date", "review_text", "date", "dd/MM/yyyy"),
+]
+
+
+def q_weekly_base_wide(spark, d):
+    """A raw base through its column map (twelve pattern casts, three contract dates) with durations."""
+    return add_durations(apply_map(_raw_base(spark, d), BASE_MAP), AS_OF)
+
+
 QUERIES = {
     "week_calendar_map": q_week_calendar_map,
     "run_week_list": q_run_week_list,
@@ -904,4 +999,7 @@ QUERIES = {
     "incremental_refresh": q_incremental_refresh,
     "box_state_roll": q_box_state_roll,
     "fiscal_week_blocks": q_fiscal_week_blocks,
+    "profile_states": q_profile_states,
+    "dirty_shards": q_dirty_shards,
+    "weekly_base_wide": q_weekly_base_wide,
 }
