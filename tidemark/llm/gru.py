@@ -268,20 +268,29 @@ class Trainer:
         p, H = unpacked(self.flat), HIDDEN
         grad = np.zeros_like(self.flat)
         g_ = unpacked(grad)
-        steps, states, at = [], [], []
-        for t in range(start, stop):
-            k = texts.running(t)
-            i = texts.begin[:k] + t
-            before = h[:k].copy()
-            xt, g = p["x"][texts.inp[i]], before @ p["u"]
-            z, r = _sigmoid(xt[:, :H] + g[:, :H]), _sigmoid(xt[:, H : 2 * H] + g[:, H : 2 * H])
-            new = np.tanh(xt[:, 2 * H :] + r * g[:, 2 * H :])
-            h[:k] = new + z * (before - new)
-            steps.append((k, i, before, z, r, new, g[:, 2 * H :]))
-            states.append(h[:k].copy())
-            at.append(i)
-        hs, at = np.concatenate(states), np.concatenate(at)
-        n = len(at)
+        runs = [texts.running(t) for t in range(start, stop)]
+        cuts = np.concatenate([[0], np.cumsum(runs)]).tolist()
+        n = cuts[-1]
+        at = np.concatenate([texts.begin[:k] + t for k, t in zip(runs, range(start, stop))])
+        # Rows of all steps of the window one after the other, so what does not depend on the step before is computed once for all.
+        half = np.concatenate([np.full(2 * H, 0.5), np.ones(H)]).astype(np.float32)  # sigmoid(v) = 0.5 tanh(0.5 v) + 0.5
+        xs, u = (p["x"] * half).take(texts.inp[at], axis=0), p["u"] * half
+        before, gate, gn, new, fall, hs = (np.empty((n, w), np.float32) for w in (H, 2 * H, H, H, H, H))
+        for k, a, b in zip(runs, cuts, cuts[1:]):
+            before[a:b] = h[:k]
+            g, x = h[:k] @ u, xs[a:b]
+            q = np.add(g[:, : 2 * H], x[:, : 2 * H], out=gate[a:b])
+            np.tanh(q, out=q)
+            q *= 0.5
+            q += 0.5
+            gn[a:b] = g[:, 2 * H :]
+            c = np.multiply(q[:, H:], g[:, 2 * H :], out=new[a:b])
+            c += x[:, 2 * H :]
+            np.tanh(c, out=c)
+            d = np.subtract(h[:k], c, out=fall[a:b])
+            s = np.multiply(d, q[:, :H], out=hs[a:b])
+            s += c
+            h[:k] = s
         cls, word = texts.cls[at], texts.word[at]
         # Output factors: gradient of the mean log loss.
         dc = _softmax(hs @ p["wc"] + p["bc"])
@@ -290,27 +299,39 @@ class Trainer:
         g_["wc"] += hs.T @ dc
         g_["bc"] += dc.sum(0)
         dh_all = dc @ p["wc"].T
-        for own, lo, place in _by_class(cls, word):
-            w = slice(lo, lo + CLASS_WORDS)
-            dw = _softmax(hs[own] @ p["ww"][:, w] + p["bw"][w])
-            dw[np.arange(len(own)), place] -= 1
-            dw /= n
-            g_["ww"][:, w] += hs[own].T @ dw
-            g_["bw"][w] += dw.sum(0)
-            dh_all[own] += dw @ p["ww"][:, w].T
-        ends = np.cumsum([s[0] for s in steps])
+        # The words' softmaxes: rows sorted by class, so each class is one slice and the rest is done for all rows at once.
+        own = np.argsort(cls, kind="stable")
+        edges = np.searchsorted(cls[own], np.arange(WORDS // CLASS_WORDS + 1))
+        own = own[: edges[-1]]
+        parts = [(edges[c], edges[c + 1], slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)) for c in np.flatnonzero(np.diff(edges)).tolist()]
+        hw, dw, dh_own = hs[own], np.empty((len(own), CLASS_WORDS), np.float32), np.empty((len(own), H), np.float32)
+        for a, b, w in parts:
+            np.matmul(hw[a:b], p["ww"][:, w], out=dw[a:b])
+        dw = _softmax(dw + p["bw"].reshape(-1, CLASS_WORDS)[cls[own]]) if len(own) else dw
+        dw[np.arange(len(own)), word[own] - cls[own].astype(np.int16) * CLASS_WORDS] -= 1
+        dw /= n
+        for a, b, w in parts:
+            g_["ww"][:, w] += hw[a:b].T @ dw[a:b]
+            g_["bw"][w] += dw[a:b].sum(0)
+            np.matmul(dw[a:b], p["ww"][:, w].T, out=dh_own[a:b])
+        dh_all[own] += dh_own
         carry = np.zeros_like(h)
-        dx = np.empty((n, 3 * H), np.float32)
-        for (k, _, before, z, r, new, gn), end in zip(steps[::-1], ends[::-1]):
-            dh = carry[:k] + dh_all[end - k : end]
-            dn = dh * (1 - z) * (1 - new * new)
-            dz = dh * (before - new) * z * (1 - z)
-            dr = dn * gn * r * (1 - r)
-            d = dx[end - k : end]
-            d[:, :H], d[:, H : 2 * H], d[:, 2 * H :] = dz, dr, dn
-            dg = np.concatenate([dz, dr, dn * r], axis=1)
-            g_["u"] += before.T @ dg
-            carry[:k] = dh * z + dg @ p["u"].T
+        z, r = gate[:, :H], gate[:, H:]
+        by_new = (1 - z) * (1 - new * new)
+        by_z, by_r = fall * z * (1 - z), gn * r * (1 - r)
+        dx, dg, back = np.empty((n, 3 * H), np.float32), np.empty((n, 3 * H), np.float32), np.ascontiguousarray(p["u"].T)
+        for k, a, b in zip(runs[::-1], cuts[-2::-1], cuts[:0:-1]):
+            dh = carry[:k] + dh_all[a:b]
+            d = dg[a:b]
+            np.multiply(dh, by_z[a:b], out=d[:, :H])
+            dn = np.multiply(dh, by_new[a:b], out=dx[a:b, 2 * H :])
+            np.multiply(dn, by_r[a:b], out=d[:, H : 2 * H])
+            np.multiply(dn, r[a:b], out=d[:, 2 * H :])
+            dh *= z[a:b]
+            dh += d @ back
+            carry[:k] = dh
+        dx[:, : 2 * H] = dg[:, : 2 * H]
+        g_["u"] += before.T @ dg
         ids = texts.inp[at].astype(np.int64)
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
