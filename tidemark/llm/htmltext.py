@@ -5,7 +5,8 @@ A page is cut into blocks at block-level tags. The first pass classifies a block
 and its density of stop words (its length alone where the page has hardly any stop word of the four languages). Short blocks without links and blocks
 of middle length with stop words stay undecided. The second pass gives undecided blocks the label of the nearest decided neighbours: middle ones are
 good beside one good block, then short ones if both agree; otherwise in the article that of the good one, elsewhere that of the bad one.
-Blocks that are out by their place are no neighbours.
+Blocks that are out by their place are no neighbours. On a page without any good block the longest run of undecided ones is
+good if it has the length and the stop words of one.
 
 An ``article`` or ``main`` element is a prior: its blocks need no stop words and its short ones are good. It holds only while
 these elements have at least as much unlinked text as the good blocks outside of them; otherwise (teaser cards) their blocks are judged
@@ -60,8 +61,9 @@ OUT_NAMES = frozenset(
 
 HEAD_NAMES = frozenset("header head masthead side".split())
 
-_DROP = re.compile(rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<({HIDDEN_TAGS})\b[^>]*?(?:/>|>.*?(?:</\1\s*[^>]*>|\Z))", re.S | re.I)
-_TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>)")
+_HIDDEN = re.compile(rf"<!--|<!\[CDATA\[|<({HIDDEN_TAGS})\b", re.I)
+_TAG = re.compile(r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)")
+_OUTSIDE_QUOTES = re.compile(r"[^<\"']+|<|\"[^\"]*\"|'[^']*'")
 _ATTR = re.compile(r"\b(id|class|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -91,9 +93,62 @@ def _names_out(attributes: str, inside: bool) -> bool:
     return False
 
 
+def _visible(page: str) -> str:
+    """The page with a space for each comment, CDATA section and hidden element; what is left open reaches to the end.
+
+    One forward pass: an end that is missing once is not looked for again, so a page of unclosed parts takes linear time."""
+    out, at, sections = [], 0, True
+    while m := _HIDDEN.search(page, at):
+        start, after = m.start(), m.end()
+        if m[1] is None and m[0] == "<!--":
+            end = page.find("-->", after)
+            end = len(page) if end < 0 else end + 3
+        elif m[1] is None:
+            end = page.find("]]>", after) if sections else -1
+            if end < 0:  # an open section is no section: its text stays
+                sections = False
+                out.append(page[at:after])
+                at = after
+                continue
+            end += 3
+        else:
+            close = page.find(">", after)
+            if close < 0:
+                break
+            end = close + 1
+            if page[close - 1] != "/":
+                last = re.compile(f"</{m[1]}", re.I).search(page, end)
+                end = page.find(">", last.end()) + 1 if last else 0
+                end = end or len(page)
+        out += [page[at:start], " "]
+        at = end
+    return "".join(out) + page[at:]
+
+
+def _tags(page: str) -> Iterator[re.Match]:
+    """The tags of a page in order.
+
+    A tag that never ends fails after a scan to the end of the page. Every ``<`` that this scan passed outside of
+    quotes would fail on the same way, so it is not tried again; there are at most as many such scans as states of quoting."""
+    last, at, dead = page.rfind(">"), 0, set()
+    while 0 <= (at := page.find("<", at)) < last:
+        m = None if at in dead else _TAG.match(page, at)
+        if m:
+            yield m
+            at = m.end()
+            continue
+        if at not in dead and page[at + 1 : at + 3].lstrip("/")[:1].isalpha():
+            q = at
+            while piece := _OUTSIDE_QUOTES.match(page, q):
+                if piece[0] == "<":
+                    dead.add(q)
+                q = piece.end()
+        at += 1
+
+
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order; white space is one space, character references are decoded."""
-    page = _DROP.sub(" ", page)
+    page = _visible(page)
     found: list[Block] = []
     open_tags: list[tuple[str, bool, bool]] = []  # (name, out, main) of open elements that matter
     out = main = 0
@@ -117,7 +172,7 @@ def blocks(page: str) -> list[Block]:
             linked += len(piece.strip())
 
     at = 0
-    for tag in _TAG.finditer(page):
+    for tag in _tags(page):
         if tag.start() > at:
             add(page[at : tag.start()])
         at = tag.end()
@@ -209,8 +264,10 @@ def _sides(found: list[Block], labels: list[int]) -> list[tuple[int | None, int
 
 
 def second_pass(found: list[Block], labels: list[int]) -> list[int]:
-    """Undecided blocks take the label of their nearest decided neighbours; blocks of other parts of the page are no neighbours."""
-    out = [(GOOD if GOOD in sides else BAD) if label == NEAR else label for label, sides in zip(labels, _sides(found, labels))]
+    """Undecided blocks take the label of their nearest decided neighbours; blocks of other parts of the page are no neighbours.
+
+    A block of middle length that has no decided neighbour at all is good: its stop words and links say so."""
+    out = [(GOOD if GOOD in sides or sides == (None, None) else BAD) if label == NEAR else label for label, sides in zip(labels, _sides(found, labels))]
     prior = any(b.main for b in found)
     final = list(out)
     for i, (before, after) in enumerate(_sides(found, out)):
@@ -220,6 +277,22 @@ def second_pass(found: list[Block], labels: list[int]) -> list[int]:
     return final
 
 
+def _best_run(found: list[Block], labels: list[int], known: bool) -> list[int]:
+    """Labels of a page without a good block: the undecided blocks between two bad ones with the most text are good
+    if, taken together, they are long enough and have stop words."""
+    runs: list[list[int]] = [[]]
+    for i, label in enumerate(labels):
+        if label in (SHORT, NEAR):
+            runs[-1].append(i)
+        elif runs[-1]:
+            runs.append([])
+    texts = [" ".join(found[i].text for i in run) for run in runs]
+    best = max(range(len(runs)), key=lambda r: len(texts[r]))
+    if len(texts[best]) < SHORT_CHARS or known and _stop_share(texts[best]) < LOW_STOP:
+        return [BAD] * len(labels)
+    return [GOOD if i in set(runs[best]) else BAD for i in range(len(labels))]
+
+
 def main_text(page: str) -> str:
     """Good blocks of the page joined by one space; empty if there is none."""
     found = blocks(page)
@@ -230,7 +303,9 @@ def main_text(page: str) -> str:
     if inside < outside:  # the main text is elsewhere
         found = [replace(b, main=False) for b in found]
         labels = [first_pass(b, known) for b in found]
-    labels = second_pass(found, labels)
+    first, labels = labels, second_pass(found, labels)
+    if GOOD not in labels:
+        labels = _best_run(found, first, known)
     return " ".join(b.text for b, label in zip(found, labels) if label == GOOD)
 
 
