@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,3 +69,18 @@ def test_empty_table_and_clashing_columns(spark):
 def test_no_python_in_the_plan(awkward):  # noqa: F811
     plan = sharding.shard(awkward)._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_fewer_and_more_shards_than_the_stored_map(spark, scratch):
+    docs = spark.createDataFrame([(i, "x" * (i % 40)) for i in range(3000)], "doc_id bigint, text string")
+    for shards in (16, 8, 3, 9):
+        rows = sharding.shard(docs, shards=shards, map_path=scratch + "/map", carry=False).collect()
+        loads = Counter()
+        for r in rows:
+            loads[r["shard"]] += r["size"]
+        assert len(rows) == 3000 and set(loads) == set(range(shards))
+        assert max(loads.values()) - min(loads.values()) <= 0.02 * sum(loads.values())
+    sizes = {i: 1 + i % 7 for i in range(64)}
+    before = sharding.first_map(sizes, 64, 16)
+    after = sharding.edited_map(before, sizes, 8)
+    assert set(after) == set(range(8)) and all(b == a for b, a in zip(before, after) if b < 8)

@@ -55,15 +55,23 @@ def edited_map(last: list[int], sizes: dict[int, int], shards: int) -> list[int]
     """The last map with as few slots moved as bring every shard near the mean.
 
     While it makes the largest and the smallest shard more equal, the slot nearest to half their
-    difference moves from the one to the other. Works for a grown ``shards`` too.
+    difference moves from the one to the other. Works for a grown ``shards`` too. With fewer shards, the slots of
+    those that are gone move first, largest first, each to the shard with the fewest bytes.
     """
     out = list(last)
     held: list[list[int]] = [[] for _ in range(shards)]
     load = [0] * shards
+    homeless = sorted((i for i, shard in enumerate(out) if shard >= shards), key=lambda i: (-sizes.get(i, 0), i))
     for slot, shard in enumerate(out):
-        if sizes.get(slot, 0):
+        if shard < shards and sizes.get(slot, 0):
             held[shard].append(slot)
             load[shard] += sizes[slot]
+    for slot in homeless:
+        low = min(range(shards), key=lambda s: (load[s], s))
+        out[slot] = low
+        if sizes.get(slot, 0):
+            held[low].append(slot)
+            load[low] += sizes[slot]
     while True:
         big, low = max(range(shards), key=lambda s: (load[s], -s)), min(range(shards), key=lambda s: (load[s], s))
         gap = load[big] - load[low]
