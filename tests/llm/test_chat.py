@@ -66,3 +66,12 @@ def test_empty_tables(spark):
     turns = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.format_records(chat.records_of_turns(turns)).count() == 0
     assert chat.format_records(spark.createDataFrame([(1, '{"messages": []}')], "conv_id int, record string")).first()["formatted"] == ""
+
+
+def test_records_that_cannot_be_read_count_as_null(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    rows = [("a", None), ("b", "{not json"), ("c", '{"prompt": "\\ud800", "completion": "x"}'), ("d", deep), ("e", '{"a":' * 900 + "1" + "}" * 900), ("f", '{"prompt": "p", "completion": "x"}')]
+    df = spark.createDataFrame(rows, "k string, record string")
+    got = {r["k"]: r["f"] for r in df.select("k", chat.formatted(F.col("record")).alias("f")).collect()}
+    assert [got[k]["formatted"] for k in "abcde"] == [None] * 5 and got["f"]["layout"] == "prompt"
+    assert got["a"]["fingerprint"] == got["b"]["fingerprint"] == got["c"]["fingerprint"] == got["d"]["fingerprint"]

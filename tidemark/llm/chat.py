@@ -130,8 +130,21 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 _OUT = "fingerprint string, layout string, formatted string, loss array<struct<start:bigint,stop:bigint>>"
 
 
+def _formatted(value: str | None) -> dict:
+    data = json.loads(value) if value is not None else None
+    print_ = fingerprint(paths(data))
+    mapping = BY_FINGERPRINT.get(print_) if isinstance(data, dict) else None
+    if mapping is None:
+        return {"fingerprint": print_, "layout": None, "formatted": None, "loss": None}
+    text, spans = render(mapping.convert(data))
+    text.encode()  # a text with a lone surrogate is no Unicode text
+    return {"fingerprint": print_, "layout": mapping.name, "formatted": text, "loss": [{"start": a, "stop": z} for a, z in spans]}
+
+
 def formatted(record: Column) -> Column:
-    """struct(fingerprint, layout, formatted, loss) of a JSON record; layout and what follows are null for an unknown one."""
+    """struct(fingerprint, layout, formatted, loss) of a JSON record; layout and what follows are null for an unknown one.
+
+    A record that is no JSON, holds a lone surrogate or is nested too deep to be read counts as null."""
 
     @F.arrow_udf(_OUT)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -140,16 +153,9 @@ def formatted(record: Column) -> Column:
             out = []
             for value in col.to_pylist():
                 try:
-                    data = json.loads(value) if value is not None else None
-                except ValueError:
-                    data = None
-                print_ = fingerprint(paths(data))
-                mapping = BY_FINGERPRINT.get(print_) if isinstance(data, dict) else None
-                if mapping is None:
-                    out.append({"fingerprint": print_, "layout": None, "formatted": None, "loss": None})
-                    continue
-                text, spans = render(mapping.convert(data))
-                out.append({"fingerprint": print_, "layout": mapping.name, "formatted": text, "loss": [{"start": a, "stop": z} for a, z in spans]})
+                    out.append(_formatted(value))
+                except (ValueError, RecursionError):  # no JSON, a lone surrogate, or nested too deep
+                    out.append(_formatted(None))
             yield pa.array(out, kind)
 
     return run(record.cast("string"))
