@@ -110,9 +110,16 @@ def test_drop_keeps_one_row_per_component(awkward):  # noqa: F811
     got = [root[brute_fingerprint(r["text"])] for r in rows]
     assert sorted(got) == sorted(set(root.values()))
     component = {f: c for _, f, c in want}
+    assert len(got) == len(set(got))
     assert all(r["doc_id"] == component[brute_fingerprint(r["text"])] for r in rows)
 
 
+def test_an_id_of_several_components_keeps_one_row_of_each(spark):
+    a, b = "one two three four five six seven eight nine ten", "quite another text that shares no word with the first"
+    df = spark.createDataFrame([(7, a), (3, a), (7, b), (7, b), (9, b), (7, None), (8, "")], "doc_id bigint, text string")
+    assert sorted(map(str, map(tuple, simhash.drop_near_duplicates(df).collect()))) == sorted(map(str, [(3, a), (7, b), (7, None)]))
+
+
 def test_components_without_ids_and_empty_table(spark):
     same = "one two three four five six seven"
     df = spark.createDataFrame([(None, same, "a"), (None, same, "b"), (None, "lone text", None), (4, "with id here", "c")], "doc_id bigint, text string, lang string")

@@ -159,7 +159,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: every larger neighbour of a node goes to the smallest of the node and its neighbours.
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "simhash-low")  # a hub's join can be split
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = materialize(large, "simhash-large-star")
         # Small star: a node and its smaller neighbours go to the smallest of them.
@@ -180,7 +180,8 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, *
     members = materialize(ids.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = components(links(members.select("fp"), **search))
     rooted = members.join(roots, members.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    best = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the join on the root of a large component can be split.
+    best = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "simhash-least")
     return ids, rooted.join(best, "root").select("fp", "root", "component_id")
 
 
@@ -203,22 +204,25 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """``docs`` with one row of each component: that of its smallest id.
 
-    Of rows that repeat the id, and of the rows of a component without any id, the smallest text
-    stays (a null text first). All columns of ``docs`` are kept; an empty table returns no rows.
+    Rows that repeat an id may be of several components; each component keeps its own. Of the rows of one component
+    that repeat its smallest id, and of the rows of a component without any id, the smallest text stays (a null
+    text first). All columns of ``docs`` are kept; an empty table returns no rows.
     """
     ids, labels = _labelled(docs, id_col, text_col, shingle_words, **search)
-    key = spare_name(docs, "keep_id")
+    labels = materialize(labels, "simhash-labels")
+    key, fp, root = spare_name(docs, "keep_id"), spare_name(docs, "fp"), spare_name(docs, "root")
     chosen = labels.where("component_id is not null").select(F.col("component_id").alias(key)).distinct()
     again = materialize(ids.where("id is not null").groupBy("id").count().where("count > 1").select(F.col("id").alias(key)), "simhash-again")
     own = docs.join(chosen, quoted(id_col) == quoted(key), "left_semi")
     out = own
     if not again.isEmpty():
-        out = own.join(again, quoted(id_col) == quoted(key), "left_anti").unionByName(
-            _smallest_text(own.join(again, quoted(id_col) == quoted(key), "left_semi"), [id_col], text_col)
-        )
+        # The id alone does not tell which of its rows is in the component, so the fingerprint is looked at, too.
+        rows = own.join(again, quoted(id_col) == quoted(key), "left_semi").withColumn(fp, fingerprint(quoted(text_col), shingle_words))
+        at = labels.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("component_id").alias(key))
+        rows = rows.join(at, fp).where(quoted(id_col) == quoted(key))
+        out = own.join(again, quoted(id_col) == quoted(key), "left_anti").unionByName(_smallest_text(rows, [root], text_col).select(*map(quoted, docs.columns)))
     no_id = labels.where("component_id is null").select("fp", "root")
     if not ids.where("id is null").isEmpty():
-        fp, root = spare_name(docs, "fp"), spare_name(docs, "root")
         lone = docs.where(quoted(id_col).isNull()).withColumn(fp, fingerprint(quoted(text_col), shingle_words))
         lone = lone.join(no_id.select(F.col("fp").alias(fp), F.col("root").alias(root)), fp)
         out = out.unionByName(_smallest_text(lone, [root], text_col).select(*map(quoted, docs.columns)))
