@@ -85,5 +85,10 @@ def test_untampered_rows_verify_and_a_changed_row_does_not(spark):
     assert [r["doc_id"] for r in merkle.manifest(df, claimed=changed).collect() if not r["verified"]] == [7]
 
 
+def test_large_ids_beside_a_null_stay_exact(spark):
+    rows = [(9007199254740993, "a", "en", "s", 1), (-9223372036854775807, "b", "en", "s", 1), (None, "c", "en", "s", 1)]
+    assert result(spark.createDataFrame(rows, SCHEMA).coalesce(1)) == brute(rows, 16)
+
+
 def test_empty_table(spark):
     assert merkle.manifest(spark.createDataFrame([], SCHEMA)).count() == 0

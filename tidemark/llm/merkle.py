@@ -204,10 +204,12 @@ def manifest(
         })
 
     kind = docs.select(quoted(id_col).alias("id")).schema["id"].dataType.simpleString()
-    done = placed.groupBy("grp", "part").cogroup(both.groupBy("grp", "part")).applyInPandas(
-        prove, f"id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
+    # Ids travel as text: pandas would turn whole numbers beside a null into floats.
+    held = placed.withColumn("id", F.col("id").cast("string"))
+    done = held.groupBy("grp", "part").cogroup(both.groupBy("grp", "part")).applyInPandas(
+        prove, "id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
     )
-    return done.select(F.col("id").alias(id_col), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+    return done.select(F.col("id").cast(kind).alias(id_col), "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
 def placed_paths(placed: DataFrame, paths: DataFrame, fanout: int, levels: int) -> DataFrame:
