@@ -226,7 +226,6 @@ def test_discrete_profile_lists_every_value(spark):
 def test_hot_account_results_match_brute_force(spark):
     """One account holds a third of the rows; top-1 and counts stay exact."""
     import random
-
     rnd = random.Random(7)
     rows = []
     for i in range(3000):
@@ -317,3 +316,53 @@ def test_reference_download_filter_values(spark):
                           extra_filter=F.col("bytes") == COUNTED_REQUESTED_BYTES).collect()
     # 'any' mode as coded keeps a referer holding one pattern; the byte filter drops the second row
     assert [(r.genre, r.total_downloads) for r in out] == [("Drama", 1)]
+
+
+def test_dyadic_cover_is_the_range_in_few_disjoint_blocks(spark):
+    from tidemark.operators.rangejoin import dyadic_cover
+
+    ranges = [(a, b) for a in range(-19, 20, 3) for b in range(a - 1, a + 40)] + [(-70, 460), (1, 510)]
+    df = spark.createDataFrame(ranges, "a int, b int")
+    for r in df.select("a", "b", dyadic_cover(F.col("a"), F.col("b"), 10).alias("c")).collect():
+        covered = [x for n in r.c for x in range(n.node << n.level, (n.node + 1) << n.level)]
+        assert sorted(covered) == list(range(r.a, r.b + 1))
+        assert len(r.c) <= 2 * max(1, (r.b - r.a + 1)).bit_length()
+
+
+def test_long_offers_match_brute_force_and_stay_few(spark):
+    """Offers of up to ten years with ties, NULL amounts and bounds, and one account with most of them."""
+    import random
+    from tidemark.plans.blocks import offers_block
+
+    rnd = random.Random(5)
+    first = D(1995, 1, 4)
+    days = [first + dt.timedelta(days=7 * i + (i % 3 == 0)) for i in range(520)]  # as-of days differ in their place in the week
+    asof = spark.createDataFrame(list(enumerate(days)), "week int, as_of date")
+    rows = []
+    for i in range(300):
+        s = first + dt.timedelta(days=rnd.randrange(-900, 3600))
+        e = s + dt.timedelta(days=rnd.choice([-3, 0, 5, 40, 111, 112, 113, 119, 700, 3650]))
+        rows.append((1 if i % 3 else rnd.randrange(2, 6), rnd.choice("AB"), rnd.choice([None, 1.0, 2.0, 2.0, 3.5]),
+                     None if i % 97 == 0 else s, None if i % 89 == 0 else e, i))
+    offers = spark.createDataFrame(rows, "account int, t string, amount double, s date, e date, id int")
+    want = {}
+    for account, t, amount, s, e, i in rows:
+        for w, day in enumerate(days):
+            if s is not None and e is not None and s <= day <= e:
+                cell = want.setdefault((account, w), {})
+                key = (amount is not None, amount or 0.0, i)
+                cell[t] = min(cell.get(t, key), key)
+    for long_weeks in (1, 16, 10**6):
+        out = offers_block(offers, asof, "s", "e", "t", ["A", "B"], "amount", ["id"], ["id"], long_weeks=long_weeks).collect()
+        got = {(r.account, r.week): {k: v for k, v in (("A", r.a_id), ("B", r.b_id)) if v is not None} for r in out}
+        assert len(out) == len(got)
+        assert got == {k: {t: c[2] for t, c in cell.items()} for k, cell in want.items()}
+
+
+def test_offers_without_as_of_days(spark):
+    from tidemark.plans.blocks import offers_block
+
+    asof = spark.createDataFrame([], "week int, as_of date")
+    offers = spark.createDataFrame([(1, "A", 5.0, D(2000, 1, 1), D(2001, 1, 1), 1)], "account int, t string, amount double, s date, e date, id int")
+    out = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["amount"], ["id"])
+    assert out.columns == ["account", "week", "a_amount"] and out.collect() == []

@@ -58,6 +58,61 @@ def window_join(
     return ev.join(pts, cond, "inner").drop(ev[_B]).drop(pts[_B])
 
 
+def _clipped(start_col: str, end_col: str, clip: tuple[dt.date, dt.date] | None) -> tuple[Column, Column]:
+    s, e = F.col(start_col), F.col(end_col)
+    if clip is None:
+        return s, e
+    # ``greatest`` and ``least`` skip NULLs, but a NULL bound must stay one.
+    return F.when(s.isNotNull(), F.greatest(s, F.lit(clip[0]))), F.when(e.isNotNull(), F.least(e, F.lit(clip[1])))
+
+
+def dyadic_cover(first: Column, last: Column, levels: int) -> Column:
+    """Array of (level, node): the fewest aligned blocks ``[node * 2^level, (node + 1) * 2^level)`` whose union is ``first..last``.
+
+    At each level the cover has at most the block that starts the rest and the one that ends it, so a range has at most two blocks a level.
+    ``levels`` must reach the largest block: 2^(levels - 1) is at most the length of the longest range.
+    """
+    parts = []
+    for k in range(levels):
+        lo = -F.shiftright(-first, k)  # ceil(first / 2^k)
+        hi = F.shiftright(last + 1, k)  # blocks from here on end after the range
+        for node, odd in ((lo, lo), (hi - 1, hi)):
+            wanted = (lo < hi) & (odd.bitwiseAND(F.lit(1)) == 1)
+            parts.append(F.when(wanted, F.struct(F.lit(k).alias("level"), node.cast("int").alias("node"))))
+    return F.filter(F.array(*parts), lambda x: x.isNotNull())
+
+
+def inner_minimum(
+    intervals: DataFrame,
+    start_col: str,
+    end_col: str,
+    points: DataFrame,
+    point_col: str,
+    keys: list[str],
+    value: Column,
+    clip: tuple[dt.date, dt.date],
+    from_buckets: int,
+    bucket_days: int = 7,
+) -> DataFrame:
+    """Per ``keys`` and point, the smallest ``value`` (as ``value``) among long intervals that hold the point in a bucket between
+    their first and last one: the rest of an ``interval_join`` with ``ends_from=from_buckets``.
+
+    Those buckets lie wholly inside the interval, so no date is tested. Each interval is cut into the dyadic blocks of its
+    buckets, two a level at most, and the minimum is taken per block (partial before the exchange, so a hot key sends one row per block
+    and task). Only these minima are expanded to points: rows before the aggregate grow with intervals × log(points),
+    and a key has at most points × log(points) after it.
+    """
+    s, e = _clipped(start_col, end_col, clip)
+    first, last = _bucket(s, bucket_days), _bucket(e, bucket_days)
+    span = (clip[1] - clip[0]).days // bucket_days + 2
+    long = intervals.where((s <= e) & (last - first + 1 >= max(from_buckets, 2)))
+    cover = F.explode(dyadic_cover(first + 1, last - 1, span.bit_length()))
+    blocks = long.select(*keys, value.alias("value"), cover.alias("b")).groupBy(*keys, "b.level", "b.node").agg(F.min("value").alias("value"))
+    size = F.expr("shiftleft(1, level)")
+    buckets = blocks.select(*keys, "value", F.explode(F.sequence(F.col("node") * size, (F.col("node") + 1) * size - 1)).alias(_B))
+    return buckets.join(points.withColumn(_B, _bucket(F.col(point_col), bucket_days)), _B).drop(_B)
+
+
 def interval_join(
     intervals: DataFrame,
     start_col: str,
@@ -67,21 +122,26 @@ def interval_join(
     bucket_days: int = 7,
     broadcast_points: bool = False,
     clip: tuple[dt.date, dt.date] | None = None,
+    ends_from: int | None = None,
 ) -> DataFrame:
     """Rows of ``intervals`` paired with every point p where
     ``start <= p <= end``. A NULL bound never matches (B4).
 
+    With ``ends_from``, an interval of at least that many buckets meets only the points of its first and last bucket;
+    ``inner_nodes`` has the buckets between.
+
     Each interval is exploded to the buckets it covers (about one per matched
     weekly point); ``clip`` limits that to the range of requested points when
     only a few weeks are built from long intervals.
     """
-    s, e = F.col(start_col), F.col(end_col)
-    if clip is not None:
-        s = F.greatest(s, F.lit(clip[0]))
-        e = F.least(e, F.lit(clip[1]))
+    s, e = _clipped(start_col, end_col, clip)
+    first, last = _bucket(s, bucket_days), _bucket(e, bucket_days)
+    buckets = F.sequence(first, last)
+    if ends_from is not None:
+        buckets = F.when(last - first + 1 >= max(ends_from, 2), F.array(first, last)).otherwise(buckets)
     # An empty (or inverted) interval yields no buckets; ``sequence`` would
     # otherwise count downwards from start to end.
-    buckets = F.when(s <= e, F.sequence(_bucket(s, bucket_days), _bucket(e, bucket_days)))
+    buckets = F.when(s <= e, buckets)
     iv = intervals.withColumn(_B, F.explode(buckets))
     pts = points.withColumn(_B, _bucket(F.col(point_col), bucket_days))
     if broadcast_points:

@@ -19,7 +19,7 @@ from tidemark.functions.shape import normalise_values
 from tidemark.operators.asof import as_of_state, latest_as_of, place_as_of
 from tidemark.operators.dedupe import first_per_key
 from tidemark.operators.encode import category_counts, discover_vocabulary, top1_pivot, weighted_counts
-from tidemark.operators.rangejoin import interval_join, window_join
+from tidemark.operators.rangejoin import inner_minimum, interval_join, window_join
 
 KEYS = [ACCOUNT, WEEK]
 
@@ -46,6 +46,8 @@ REFERER_PATTERNS = [
     "%Mosaic Tile%",
 ]
 COUNTED_REQUESTED_BYTES = 188
+# Offers of this many weeks or more are reduced per block of weeks before they are expanded.
+LONG_OFFER_WEEKS = 16
 
 
 def weekly_aggregate(df: DataFrame, calendar: DataFrame | IsoCalendar, date_expr: Column, aggs: list[Column]) -> DataFrame:
@@ -293,15 +295,28 @@ def offers_block(
     amount_col: str,
     attrs: list[str],
     tie_cols: list[str],
+    long_weeks: int = LONG_OFFER_WEEKS,
 ) -> DataFrame:
     """Offers active at each week's as-of date (B4, interval join C11),
     then per (account, week) and type the cheapest offer's attributes as
-    ``<type>_<attr>`` columns (F3, E3). Intervals are clipped to the range of the as-of days,
-    so an open-ended offer gives about one row per as-of week."""
-    clip = asof.agg(F.min(AS_OF), F.max(AS_OF)).first()
-    active = interval_join(offers, start_col, end_col, asof.select(WEEK, AS_OF), AS_OF, clip=None if clip[0] is None else tuple(clip))
+    ``<type>_<attr>`` columns (F3, E3). Intervals are clipped to the range of the as-of days.
+
+    An offer of fewer than ``long_weeks`` weeks gives a row per week. A longer one gives rows for its first and last week; between them
+    the cheapest of the long offers is found per dyadic block of weeks, and only the winners are expanded to weeks. ``offers`` is read
+    twice for that, so it should be a table or a cheap frame."""
+    points = asof.select(WEEK, AS_OF)
     order = [F.col(amount_col)] + [F.col(c) for c in tie_cols]
-    return top1_pivot(active, KEYS, type_col, vocab, order, attrs)
+    cols = list(dict.fromkeys([ACCOUNT, type_col, amount_col, *tie_cols, *attrs]))
+    lo, hi = asof.agg(F.min(AS_OF), F.max(AS_OF)).first()
+    if lo is None:
+        none = offers.where(F.lit(False)).withColumn(WEEK, F.lit(None).cast(asof.schema[WEEK].dataType))
+        return top1_pivot(none, KEYS, type_col, vocab, order, attrs)
+    active = interval_join(offers, start_col, end_col, points, AS_OF, clip=(lo, hi), ends_from=long_weeks).select(WEEK, *cols)
+    kept = list(dict.fromkeys([amount_col, *tie_cols, *attrs]))
+    first = F.struct(*kept)  # the order's columns lead, so its minimum is the first row
+    inner = inner_minimum(offers, start_col, end_col, points, AS_OF, [ACCOUNT, type_col], first, (lo, hi), long_weeks)
+    inner = inner.select(WEEK, ACCOUNT, type_col, *[F.col("value")[c].alias(c) for c in kept])
+    return top1_pivot(active.unionByName(inner), KEYS, type_col, vocab, order, attrs)
 
 
 def set_top_box_block(

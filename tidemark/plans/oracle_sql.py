@@ -161,7 +161,7 @@ OFFERS_ACTIVE = f"""SELECT l.l_orderkey, l.l_linenumber, a.week, a.as_of
 FROM lineitem l JOIN week_asof a ON a.as_of BETWEEN CAST(l.l_shipdate AS DATE) AND {OFFER_END}"""
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-OFFER_ATTRS = ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"]
+OFFER_ATTRS = ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual", "offer_end_modified", "last_modified_dt"]
 OFFERS = f"""SELECT account, week,
   """ + ",\n  ".join(
     f"max(CASE WHEN p_type = '{t}' THEN {a} END) AS {t.lower()}_{a}" for t in TYPES for a in OFFER_ATTRS
@@ -170,6 +170,7 @@ FROM (
   SELECT o.o_custkey AS account, a.week, p.p_type,
          l.l_extendedprice AS offer_amount, l.l_discount AS percent_value, l.l_linestatus AS offer_status,
          CAST(l.l_shipdate AS DATE) AS offer_start_dt_actual, {OFFER_END} AS offer_end_dt_actual,
+         {OFFER_END} + l.l_linenumber AS offer_end_modified, CAST(l.l_shipdate AS DATE) - l.l_linenumber AS last_modified_dt,
          row_number() OVER (PARTITION BY o.o_custkey, a.week, p.p_type
                             ORDER BY l.l_extendedprice ASC NULLS FIRST, l.l_orderkey, l.l_linenumber) AS rn
   FROM lineitem l
@@ -179,6 +180,24 @@ FROM (
 WHERE rn = 1
 GROUP BY account, week"""
 
+OFFERS_LONG = """SELECT week,
+  """ + ",\n  ".join(
+    f"""count(*) FILTER (p_type = '{t}' AND offer_amount IS NOT NULL) AS {t.lower()}_accounts,
+  min(offer_amount) FILTER (p_type = '{t}') AS {t.lower()}_lowest, max(offer_amount) FILTER (p_type = '{t}') AS {t.lower()}_highest,
+  count(*) FILTER (p_type = '{t}' AND offer_status = 'F') AS {t.lower()}_finished"""
+    for t in TYPES
+) + """
+FROM (
+  SELECT a.week, p.p_type, l.l_extendedprice AS offer_amount, l.l_linestatus AS offer_status,
+         row_number() OVER (PARTITION BY o.o_custkey, a.week, p.p_type
+                            ORDER BY l.l_extendedprice ASC NULLS FIRST, l.l_orderkey, l.l_linenumber) AS rn
+  FROM lineitem l
+  JOIN part p ON p.p_partkey = l.l_partkey
+  JOIN orders o ON o.o_orderkey = l.l_orderkey
+  JOIN week_asof a ON a.as_of BETWEEN CAST(l.l_shipdate AS DATE) AND CAST(l.l_shipdate AS DATE) + 73 * CAST(trunc(l.l_quantity) AS INTEGER))
+WHERE rn = 1
+GROUP BY week"""
+
 SET_TOP_BOX = """SELECT account, week, box_type FROM (
   SELECT s.account, s.week, o.o_orderpriority AS box_type,
          row_number() OVER (PARTITION BY s.account, s.week
@@ -254,7 +273,7 @@ def _block_query(name: str) -> str:
 
 
 MART_DATE_COLS = ["tenure_start_date"] + [
-    f"{t.lower()}_{a}" for t in TYPES for a in ("offer_start_dt_actual", "offer_end_dt_actual")
+    f"{t.lower()}_{a}" for t in TYPES for a in ("offer_start_dt_actual", "offer_end_dt_actual", "last_modified_dt")  # F6 goes by the name
 ]
 
 
@@ -377,6 +396,7 @@ FROM (SELECT o_orderkey, CASE WHEN o_orderpriority = '3-MEDIUM' THEN NULL ELSE o
     "billing_block": _block_query("billing"),
     "offers_active": _with(CALENDAR, SPINE) + OFFERS_ACTIVE,
     "offers_block": _block_query("offers"),
+    "offers_long": _with(CALENDAR, SPINE) + OFFERS_LONG,
     "set_top_box_block": _block_query("set_top_box"),
     "journey_block": _block_query("journey"),
     "clean_names": """SELECT p_partkey AS partkey, p_brand AS msbrand, p_type AS typegroup, p_size AS xsize,

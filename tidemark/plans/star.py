@@ -57,6 +57,7 @@ from tidemark.sources.sinks import read_mart, write_json, write_weeks
 STAR_REFERER_PATTERNS = ["%small%", "%ring%"]
 NAME_PATTERNS = ["%red%", "%bolt%"]
 RETURN_FLAGS = ["A", "N", "R", "X"]
+OFFER_ATTRS = ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual", "offer_end_modified", "last_modified_dt"]
 EXCLUDED_BOX_TYPES = ["5-LOW"]
 PRIORITY_SPELLINGS = {"1-URGENT": "HIGH", "2-HIGH": "HIGH", "4-NOT SPECIFIED": "LOW", "5-LOW": "LOW"}
 ACCOUNT_NAME_FORMAT = "Customer#%09d"
@@ -248,6 +249,8 @@ class Star:
             F.col("l_linestatus").alias("offer_status"),
             start.alias("offer_start_dt_actual"),
             F.date_add(start, F.col("l_quantity").try_cast("int")).alias("offer_end_dt_actual"),
+            F.date_add(start, F.col("l_quantity").try_cast("int") + F.col("l_linenumber")).alias("offer_end_modified"),
+            F.date_sub(start, F.col("l_linenumber")).alias("last_modified_dt"),
             "l_orderkey",
             "l_linenumber",
         )
@@ -362,11 +365,12 @@ class Star:
         )
 
     def offers(self, spine: DataFrame | None = None, asof: DataFrame | None = None, lines: DataFrame | None = None) -> DataFrame:
+        src = materialize(self.offers_src(), "offers") if lines is None else self.offers_src(lines)
         return blocks.offers_block(
-            self.offers_src(lines), self.asof(spine) if asof is None else asof, "offer_start_dt_actual", "offer_end_dt_actual", "p_type",
+            src, self.asof(spine) if asof is None else asof, "offer_start_dt_actual", "offer_end_dt_actual", "p_type",
             self.part_types(),
             "offer_amount",
-            ["offer_amount", "percent_value", "offer_status", "offer_start_dt_actual", "offer_end_dt_actual"],
+            OFFER_ATTRS,
             ["l_orderkey", "l_linenumber"],
         )
 
@@ -569,6 +573,22 @@ def q_offers_block(spark, d):
     return Star(spark, d).offers()
 
 
+def q_offers_long(spark, d):
+    """Contracts of up to ten years: per week and type, the accounts that hold one and the bounds of their cheapest amounts."""
+    s = Star(spark, d)
+    src = s.offers_src().withColumn("offer_end_dt_actual", F.date_add("offer_start_dt_actual", 73 * F.datediff("offer_end_dt_actual", "offer_start_dt_actual")))
+    block = blocks.offers_block(
+        materialize(src, "offers-long"), s.asof(), "offer_start_dt_actual", "offer_end_dt_actual", "p_type", s.part_types(), "offer_amount",
+        ["offer_amount", "offer_status"], ["l_orderkey", "l_linenumber"],
+    )
+    aggs = []
+    for t in map(str.lower, s.part_types()):
+        amount = F.col(f"{t}_offer_amount")
+        aggs += [F.count(amount).alias(f"{t}_accounts"), F.min(amount).alias(f"{t}_lowest"), F.max(amount).alias(f"{t}_highest"),
+                 F.count_if(F.col(f"{t}_offer_status") == "F").alias(f"{t}_finished")]
+    return block.groupBy(WEEK).agg(*aggs)
+
+
 def q_set_top_box_block(spark, d):
     return Star(spark, d).set_top_box()
 
@@ -973,6 +993,7 @@ QUERIES = {
     "billing_block": q_billing_block,
     "offers_active": q_offers_active,
     "offers_block": q_offers_block,
+    "offers_long": q_offers_long,
     "set_top_box_block": q_set_top_box_block,
     "journey_block": q_journey_block,
     "clean_names": q_clean_names,
