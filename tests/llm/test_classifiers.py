@@ -110,3 +110,83 @@ def test_platt_restores_the_classes_shares():
     margin = rng.normal(np.where(y == 1, 1, -1), 1.0)
     a, b = linear.platt(margin, y, np.where(y == 1, 9.0, 1.0))
     assert abs(a - 2) < 0.3 and abs(b - np.log(9)) < 0.3
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    rng = np.random.default_rng(8)
+    words = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    docs = spark.createDataFrame([(i, " ".join(rng.choice(words, 40 if i % 2 else 4)), "en", "s", 1) for i in range(60)], SCHEMA)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+
+    def sample(**limits):
+        return linear.training_rows(docs, labels, "quality", F.lit(True), quality.features, **limits)
+
+    whole, part, least = sample(), sample(max_bytes=2000), sample(max_bytes=0)
+    assert len(whole[1]) == 60 and sorted(least[1]) == [0, 1]
+    for c in (0, 1):
+        size = sum(len(f) * 4 for f, y in zip(part[0], part[1]) if y == c)
+        assert 0 < size <= 1000 or (part[1] == c).sum() == 1
+        assert np.isclose(part[2][part[1] == c].sum(), 30)  # the weights restore the classes
+    assert {f.tobytes() for f in part[0]} <= {f.tobytes() for f in whole[0]} and len(part[1]) < 60
+
+
+def naive_grams(module, text):
+    """The n-grams of a text as strings, by the docstrings of the two modules."""
+    import re
+
+    if module is toxicity:
+        low = re.sub(r"[A-Z]", lambda m: m[0].lower(), text)
+        low = re.sub(r"[ \t\n\v\f\r]+", " ", low)
+        return {low[i : i + n] for n in (4, 5, 6) for i in range(len(low) - n + 1)}
+    words = [w for w in re.split(r"[ \t\n\v\f\r]+", text) if w]
+    read = ["again words" if i and w == words[i - 1] else w for i, w in enumerate(words)]
+    shapes = [re.sub(r"[0-9]+", "0", re.sub(r"[a-z\u0080-\U0010ffff]+", "a", re.sub(r"[A-Z]+", "A", w))) for w in words]
+    out = {("w", *g) for n in (1, 2) for g in zip(*[read[i:] for i in range(n)])}
+    return out | {("s", *g) for n in (1, 2, 3) for g in zip(*[shapes[i:] for i in range(n)])}
+
+
+@pytest.mark.parametrize("module,label,fold,parts", [(quality, "quality", 2, 4), (toxicity, "toxic", 0, 5)])
+def test_scores_match_a_naive_model_of_string_grams(spark, module, label, fold, parts):
+    """Log-count ratios, dual coordinate descent and margins over dictionaries of n-gram strings, against the hashed ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("length(text) between 1 and 900")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", label).collect()
+    train = sorted({r["doc_id"]: r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % parts != fold}.values(), key=lambda r: r["doc_id"])
+    sets = [naive_grams(module, r["text"]) for r in train]
+    y = np.array([r[label] for r in train])
+    counts = [{}, {}]
+    for g, c in zip(sets, y):
+        for x in g:
+            counts[c][x] = counts[c].get(x, 0) + 1
+    size = [(y == c).sum() + 2 for c in (0, 1)]
+    ratio = {}
+    for x in {*counts[0], *counts[1]}:
+        n0, n1 = counts[0].get(x, 0), counts[1].get(x, 0)
+        r = np.log((n1 + 1) / size[1]) - np.log((n0 + 1) / size[0])
+        if n0 + n1 >= linear.MIN_ROWS and abs(r) >= module.MIN_RATIO:
+            ratio[x] = r
+    unit = module is quality
+    x = [{g: ratio[g] for g in s if g in ratio} for s in sets]
+    scale = [1 / np.sqrt(sum(v * v for v in s.values()) + 1) if unit else 1.0 for s in x]
+    top = [module.COST * len(y) / (2 * (y == c).sum()) for c in (0, 1)]
+    w, bias, dual, rng = {}, 0.0, np.zeros(len(y)), np.random.default_rng(1)
+    for _ in range(module.PASSES):
+        for i in rng.permutation(len(y)):
+            sign = 1 if y[i] else -1
+            slope = sign * scale[i] * (sum(w.get(g, 0.0) * v for g, v in x[i].items()) + bias) - 1
+            q = scale[i] ** 2 * (sum(v * v for v in x[i].values()) + 1)
+            new = min(max(dual[i] - slope / q, 0.0), top[y[i]])
+            step, dual[i] = (new - dual[i]) * sign * scale[i], new
+            bias += step
+            for g, v in x[i].items():
+                w[g] = w.get(g, 0.0) + step * v
+    model = module.train(docs, labels)
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", module.score(model, F.col("text")).alias("s")).collect()}
+    want, have = [], []
+    for r in rows:
+        own = {g: ratio[g] for g in naive_grams(module, r["text"]) if g in ratio}
+        m = sum(w.get(g, 0.0) * v for g, v in own.items()) + bias
+        m = m / np.sqrt(sum(v * v for v in own.values()) + 1) if unit else m
+        want.append(1 / (1 + np.exp(-(model.a * m + model.b))))
+        have.append(got[r["doc_id"]])
+    assert np.abs(np.array(want) - np.array(have)).max() < 0.03 and np.abs(np.array(want) - np.array(have)).mean() < 0.005

@@ -1,9 +1,9 @@
 """Linear models over hashed n-gram indicators scaled by naive Bayes log-count ratios.
 
 Used by the quality and toxicity classifiers. Training takes a bounded sample of the
-labelled rows (``PER_CLASS`` of each class, those with the smallest hashed id); the texts of the
-sample are reduced to feature sets in Spark tasks, and only these sets reach the driver, where the
-model is fitted. Scoring is one Arrow UDF over whole texts with a weight table of fixed size.
+labelled rows (``PER_CLASS`` of each class and ``MAX_BYTES`` of feature sets, those with the smallest hashed id); the texts of the
+sample are reduced to feature sets in Spark tasks. Spark counts the rows of each feature, and only features of ``MIN_ROWS`` rows or more
+reach the driver, where the model is fitted; the others have ratio 0 and would not change it. Scoring is one Arrow UDF over whole texts with a weight table of fixed size.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import per_slice, quoted, text_slices
+from tidemark.session import materialize
 
 PER_CLASS = 2500  # most training rows of each class
+MAX_BYTES = 256 << 20  # most bytes of feature sets (4 a feature) that the driver takes, half of them for each class
 MIN_ROWS = 3  # an n-gram of fewer training texts has ratio 0
 
 #: (bytes, row offsets) -> (row, feature) pairs, unique and sorted by row.
@@ -183,11 +185,37 @@ def fit(x: Rows, y: np.ndarray, row_weight: np.ndarray, dims: int, unit: bool, c
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column, features: Features, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS) -> tuple[Rows, np.ndarray, np.ndarray]:
+def frequent(sets: DataFrame, min_rows: int = MIN_ROWS) -> np.ndarray:
+    """Flags of the features that ``min_rows`` rows or more of ``sets`` (binary column ``f``) have, as far as the last such feature."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0, np.int64)
+        for batch in batches:
+            for one in batch.column(0):
+                f = np.frombuffer(one.as_buffer(), np.uint32)
+                if len(f):
+                    total = np.pad(total, (0, max(0, int(f.max()) + 1 - len(total))))
+                    total[f] += 1  # a row has each feature once
+        at = np.flatnonzero(total)
+        for i in range(0, len(at), 1 << 16):
+            part = at[i : i + (1 << 16)]
+            yield pa.record_batch([pa.array(part, pa.int64()), pa.array(total[part], pa.int64())], names=["feature", "n"])
+
+    counts = sets.select("f").mapInArrow(counted, "feature bigint, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= min_rows).select("feature").toArrow()["feature"].to_numpy()
+    used = np.zeros(int(found.max()) + 1 if len(found) else 0, bool)
+    used[found] = True
+    return used
+
+
+def training_rows(
+    docs: DataFrame, labels: DataFrame, label: str, keep: Column, features: Features, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES
+) -> tuple[Rows, np.ndarray, np.ndarray]:
     """Feature sets, classes and weights of the sample: of each class the ``per_class`` smallest hashed ids that ``keep`` admits.
 
     An id labelled twice has its larger label; a null id or label is left out; an id that several rows share brings the one
-    with the smallest hashed text, so at most ``per_class`` rows of a class reach the driver.
+    with the smallest hashed text, so at most ``per_class`` rows of a class reach the driver. The sets hold the features of
+    ``MIN_ROWS`` sample rows or more. Where those of a class exceed half of ``max_bytes``, its sample ends before (one row stays).
     """
     ids = labels.where(keep & F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(id_col).agg(F.max(label).cast("int").alias("y"))
     totals = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
@@ -198,7 +226,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
         bound = int((1 << 52) * min(1.0, (1.25 * per_class + 200) / max(1, totals.get(y, 0))))
         return ids.where((F.col("y") == y) & (hashed < bound)).orderBy(hashed, id_col).limit(per_class)
 
-    sample = smallest(1).unionByName(smallest(0)).select(F.col(id_col).alias("sample_id"), "y")
+    sample = smallest(1).unionByName(smallest(0)).select(F.col(id_col).alias("sample_id"), "y", hashed.alias("place"))
 
     @F.arrow_udf("binary")
     def encode(col: pa.Array) -> pa.Array:
@@ -211,8 +239,25 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, keep: Column,
         return pa.array(out, pa.binary())
 
     rows = docs.select(quoted(id_col).alias("sample_id"), quoted(text_col).cast("string").alias("t")).join(F.broadcast(sample), "sample_id")
-    rows = rows.groupBy("sample_id", "y").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
-    got = rows.select("sample_id", "y", encode("t").alias("f")).toArrow()
+    rows = rows.groupBy("sample_id", "y", "place").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    rows = materialize(rows.select("sample_id", "y", "place", encode("t").alias("f")), "linear-sample")
+    used = frequent(rows)
+
+    @F.arrow_udf("binary")
+    def reduced(col: pa.Array) -> pa.Array:
+        sets = [np.frombuffer(one.as_buffer(), np.uint32) for one in col]
+        sets = [f[f < len(used)] for f in sets]
+        return pa.array([f[used[f]].tobytes() for f in sets], pa.binary())
+
+    rows = materialize(rows.select("sample_id", "y", "place", reduced("f").alias("f")), "linear-sets")
+    sizes = sorted(map(tuple, rows.select("y", "place", F.length("f")).collect()))
+    admitted = F.lit(False)
+    for c in (0, 1):
+        own = [(place, size) for y, place, size in sizes if y == c]
+        if own:
+            fits = int(np.searchsorted(np.cumsum([size for _, size in own]), max_bytes // 2, "right"))
+            admitted = admitted | ((F.col("y") == c) & (F.col("place") <= own[max(1, fits) - 1][0]))
+    got = rows.where(admitted).select("sample_id", "y", "f").toArrow()
     buffers = [f.as_buffer() for f in got["f"]]
     ids = got["sample_id"].to_pylist()
     order = sorted(range(len(ids)), key=lambda i: (ids[i], xxhash.xxh64_intdigest(buffers[i])))
