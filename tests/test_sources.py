@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 import random
 import statistics
@@ -15,9 +16,11 @@ from tidemark.operators.quality import (
     merge_continuous,
     merge_discrete,
     merge_sketches,
+    stored_ranges,
 )
 from tidemark.plans.star import BASE_MAP, _raw_base
 from tidemark.sources.shards import read_json_shards, widen
+from tidemark.sources.sinks import write_weeks
 
 
 def _write(path, name, lines):
@@ -94,3 +97,50 @@ def test_a_run_appends_few_files(spark, tmp_path):
         append_profile(continuous_state(df, ["x"]), str(tmp_path / "p"))
     files = list((tmp_path / "p").glob("**/*.parquet"))
     assert len(files) <= 4 and spark.read.parquet(str(tmp_path / "p")).count() == 700
+
+
+def _by_key(df):
+    return {(r["colname"], r["week"]): tuple(r)[2:] for r in df.collect()}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_ranges_equal_the_scan_with_null_weeks_and_nan(spark, scratch):
+    rng = random.Random(4)
+    rows = [(202401 + i % 3, rng.randint(-9, 9), None if i % 3 == 1 else i, float("nan") if i == 4 else i / 7, f"v{i % 5}", dt.date(2024, 1, 1 + i % 28)) for i in range(400)]
+    schema = "week int, a int, holes bigint, x double, t string, day date"
+    write_weeks(spark.createDataFrame(rows, schema), scratch)
+    cols = ["a", "holes", "x", "t", "day"]
+    got = _by_key(stored_ranges(spark, scratch, cols))
+    names = schema.replace(",", "").split()[::2]
+    assert len(got) == 15
+    for (c, w), (n, values, low, high) in got.items():
+        mine = [r[names.index(c)] for r in rows if r[0] == w]
+        held = [v for v in mine if v is not None]
+        assert (n, values) == (len(mine), len(held))
+        if c == "x":
+            big = [v for v in held if not math.isnan(v)]
+            assert float(low) == min(big) and (math.isnan(float(high)) if len(big) < len(held) else float(high) == max(big))
+        else:
+            assert (low, high) == ((str(min(held)), str(max(held))) if held else (None, None))
+
+
+def test_ranges_of_whole_columns_come_from_footers(spark, scratch):
+    rows = spark.range(300).select((F.col("id") % 2 + 202401).cast("int").alias("week"), "id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("holes"))
+    write_weeks(rows, scratch)
+    whole = _plan(stored_ranges(spark, scratch, ["id"]))
+    assert "PushedAggregation: [COUNT(*), COUNT(id)]" in whole and "PushedAggregation: [MIN(id), MAX(id)]" in whole
+    holes = _plan(stored_ranges(spark, scratch, ["id", "holes"]))
+    assert "MIN(id), MAX(id)]" in holes and "MIN(holes)" not in holes and "COUNT(holes)" in holes
+    # The caller's own session keeps its Parquet source.
+    assert "PushedAggregation" not in _plan(spark.read.parquet(scratch).groupBy("week").agg(F.max("id")))
+
+
+def test_stored_ranges_over_several_files_and_no_columns(spark, scratch):
+    for start in (0, 100, 200):
+        part = spark.range(start, start + 50).select(F.lit(202401).alias("week"), F.col("id").alias("key_id"))
+        part.write.mode("append").partitionBy("week").parquet(scratch)
+    assert stored_ranges(spark, scratch, []).collect() == []
+    assert _by_key(stored_ranges(spark, scratch, ["key_id"])) == {("key_id", 202401): (150, 150, "0", "249")}

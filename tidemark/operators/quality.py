@@ -6,10 +6,11 @@ unpivoted and profiled together by narrow aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
+    DateType,
     DecimalType,
     DoubleType,
     FloatType,
@@ -21,6 +22,8 @@ from pyspark.sql.types import (
 
 from tidemark import ACCOUNT, WEEK
 
+# Types whose maximum and minimum Parquet footers hold exactly; fractions are left out because of NaN.
+_FOOTER = (ByteType, ShortType, IntegerType, LongType, DateType)
 _NUMERIC = (ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, DecimalType)
 
 
@@ -125,3 +128,38 @@ def distinct_sketch(df: DataFrame, cols: list[str], week: str = WEEK) -> DataFra
 def merge_sketches(sketches: DataFrame, by: list[str]) -> DataFrame:
     """(by…, about) the estimated number of distinct values over the merged sketches."""
     return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))
+
+
+def stored_ranges(spark: SparkSession, path: str, cols: list[str], week: str = WEEK) -> DataFrame:
+    """J3/A7 on a written mart: (colname, week, n_rows, n_values, minimum_value, maximum_value) per column and week, from the footers of its Parquet files.
+
+    ``path`` is a table in folders by ``week``. Counts always come from the footers, so does the range of a whole-number or date column
+    without NULLs; no page of those columns is read. A column with NULLs has its range scanned, because a row group of NULLs alone has none in its
+    footer; so has one of another type. Values are text. A column that is NULL throughout a week has a NULL range; an empty list of columns gives no rows.
+    The plan is made in a session of its own, whose Parquet source takes aggregates.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    table = own.read.parquet(path)
+    own.conf.unset("spark.sql.sources.useV1SourceList")
+    scanned = own.read.parquet(path)  # an ordinary scan, to which no aggregate is pushed
+    if not cols:
+        return table.select(F.lit("").alias("colname"), week, *[F.lit(0).cast(t).alias(n) for n, t in _RANGE_FIELDS]).where(F.lit(False))
+    tag = {c: f"c{i}" for i, c in enumerate(cols)}
+    counts = table.groupBy(week).agg(F.count("*").alias("n_rows"), *[F.count(c).alias(f"{tag[c]}_n") for c in cols])
+    holes = counts.agg(*[F.coalesce(F.bool_or(F.col(f"{tag[c]}_n") < F.col("n_rows")), F.lit(False)).alias(tag[c]) for c in cols]).first()
+    kept = [c for c in cols if isinstance(table.schema[c].dataType, _FOOTER) and not holes[tag[c]]]
+    ends = lambda cs: [f(c).alias(f"{tag[c]}_{e}") for c in cs for e, f in (("lo", F.min), ("hi", F.max))]
+    wide = counts
+    for source, part in ((table, kept), (scanned, [c for c in cols if c not in kept])):
+        if part:
+            wide = wide.join(source.groupBy(week).agg(*ends(part)).withColumnRenamed(week, "own_week"), F.col(week).eqNullSafe(F.col("own_week"))).drop("own_week")
+    row = lambda c: F.struct(
+        F.lit(c).alias("colname"), F.col(week), F.col("n_rows"), F.col(f"{tag[c]}_n").alias("n_values"),
+        F.col(f"{tag[c]}_lo").cast("string").alias("minimum_value"), F.col(f"{tag[c]}_hi").cast("string").alias("maximum_value"),
+    )
+    return wide.select(F.explode(F.array(*[row(c) for c in cols])).alias("r")).select("r.*")
+
+
+_RANGE_FIELDS = (("n_rows", "bigint"), ("n_values", "bigint"), ("minimum_value", "string"), ("maximum_value", "string"))

@@ -366,6 +366,18 @@ calendar AS (
     CAST(y * 100 + w // 13 * 3 + CASE WHEN w % 13 < 4 THEN 1 WHEN w % 13 < 8 THEN 2 ELSE 3 END AS INTEGER) AS month_of_year FROM numbered),
 week_dim AS (SELECT week, month_of_year, max(calendar_date) AS as_of FROM calendar GROUP BY week, month_of_year)"""
 
+# The weekly base of 16 mapped columns, shared by two queries.
+_WIDE = """wide AS (
+  SELECT o.o_custkey AS account, o.week, w.as_of, TRY_CAST(replace(cu.c_name, 'Customer#', '') AS BIGINT) AS customer_number, CAST(floor(o.o_totalprice) AS BIGINT) AS price,
+    CAST(floor(cu.c_acctbal) AS BIGINT) AS balance, o.o_orderkey AS order_number, cu.c_nationkey AS nation, TRY_CAST(regexp_replace(o.o_orderpriority, '-.*', '') AS INTEGER) AS priority,
+    CAST(o.o_orderkey % 97 AS INTEGER) AS visits, CAST(o.o_orderkey % 24 AS INTEGER) AS term, CAST(o.o_orderkey % 80 AS DOUBLE) AS speed,
+    CASE WHEN o.o_orderkey % 13 <> 0 THEN CAST(o.o_orderkey % 7 AS INTEGER) END AS tier, o.o_custkey AS party, o.o_orderkey % 1000 * 1000 AS usage, lower(cu.c_mktsegment) AS segment,
+    CAST(o.o_orderdate AS DATE) AS contract_start_date, CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 400 AS INTEGER) AS contract_end_date,
+    CASE WHEN o.o_orderkey % 11 <> 0 THEN CAST(o.o_orderdate AS DATE) - CAST(o.o_orderkey % 400 AS INTEGER) END AS review_date
+  FROM (SELECT o.*, c.week, row_number() OVER (PARTITION BY o.o_custkey, c.week ORDER BY o.o_orderkey DESC) AS rn
+        FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date) o
+  JOIN customer cu ON cu.c_custkey = o.o_custkey JOIN (SELECT week, max(as_of) AS as_of FROM week_dim GROUP BY week) w ON w.week = o.week WHERE rn = 1)"""
+
 ORACLE_SQL = {
     "week_calendar_map": _with(CALENDAR) + """SELECT c.week, count(*) AS n_orders
 FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date GROUP BY c.week""",
@@ -454,15 +466,10 @@ UNION ALL SELECT colname, year, unique_value, n_rows, count(*) OVER (PARTITION B
   o_orderkey % 100 + CASE WHEN o_orderkey % 3 = 2 THEN 0.5::DOUBLE ELSE 0 END AS size_code, CASE WHEN o_orderkey % 3 <> 1 THEN o_orderpriority END AS o_orderpriority,
   (SELECT count(*) FROM orders WHERE o_orderkey % 50 = 7) AS n_bad
 FROM orders WHERE o_orderkey % 50 <> 7""",
-    "weekly_base_wide": _with(CALENDAR, """wide AS (
-  SELECT o.o_custkey AS account, o.week, w.as_of, TRY_CAST(replace(cu.c_name, 'Customer#', '') AS BIGINT) AS customer_number, CAST(floor(o.o_totalprice) AS BIGINT) AS price,
-    CAST(floor(cu.c_acctbal) AS BIGINT) AS balance, o.o_orderkey AS order_number, cu.c_nationkey AS nation, TRY_CAST(regexp_replace(o.o_orderpriority, '-.*', '') AS INTEGER) AS priority,
-    CAST(o.o_orderkey % 97 AS INTEGER) AS visits, CAST(o.o_orderkey % 24 AS INTEGER) AS term, CAST(o.o_orderkey % 80 AS DOUBLE) AS speed,
-    CASE WHEN o.o_orderkey % 13 <> 0 THEN CAST(o.o_orderkey % 7 AS INTEGER) END AS tier, o.o_custkey AS party, o.o_orderkey % 1000 * 1000 AS usage, lower(cu.c_mktsegment) AS segment,
-    CAST(o.o_orderdate AS DATE) AS contract_start_date, CAST(o.o_orderdate AS DATE) + CAST(o.o_orderkey % 400 AS INTEGER) AS contract_end_date,
-    CASE WHEN o.o_orderkey % 11 <> 0 THEN CAST(o.o_orderdate AS DATE) - CAST(o.o_orderkey % 400 AS INTEGER) END AS review_date
-  FROM (SELECT o.*, c.week, row_number() OVER (PARTITION BY o.o_custkey, c.week ORDER BY o.o_orderkey DESC) AS rn
-        FROM orders o JOIN calendar c ON CAST(o.o_orderdate AS DATE) = c.calendar_date) o
-  JOIN customer cu ON cu.c_custkey = o.o_custkey JOIN (SELECT week, max(as_of) AS as_of FROM week_dim GROUP BY week) w ON w.week = o.week WHERE rn = 1)""")
+    "weekly_base_wide": _with(CALENDAR, _WIDE)
     + f"SELECT *, {_dur('contract_start_date')}, {_dur('contract_end_date')}, {_dur('review_date')} FROM wide",
+    "stored_ranges": _with(CALENDAR, _WIDE) + " UNION ALL ".join(
+        f"SELECT '{c}' AS colname, week, count(*) AS n_rows, count({c}) AS n_values, CAST(min({c}) AS VARCHAR) AS minimum_value, CAST(max({c}) AS VARCHAR) AS maximum_value FROM wide GROUP BY week"
+        for c in ("customer_number", "price", "order_number", "nation", "visits", "tier", "segment", "contract_start_date", "contract_end_date", "review_date")
+    ),
 }

@@ -45,6 +45,7 @@ from tidemark.operators.quality import (
     merge_continuous,
     merge_discrete,
     stamp,
+    stored_ranges,
 )
 from tidemark.plans import blocks, runlog
 from tidemark.plans.mart import assemble, run
@@ -972,6 +973,16 @@ def q_weekly_base_wide(spark, d):
     return add_durations(apply_map(_raw_base(spark, d), BASE_MAP), AS_OF)
 
 
+RANGE_COLUMNS = ["customer_number", "price", "order_number", "nation", "visits", "tier", "segment", "contract_start_date", "contract_end_date", "review_date"]
+
+
+def q_stored_ranges(spark, d):
+    """Counts and ranges of the columns of a written weekly base; those without NULLs from the Parquet footers."""
+    path = scratch_path(spark, "ranges")
+    write_weeks(apply_map(_raw_base(spark, d), BASE_MAP), path)
+    return stored_ranges(spark, path, RANGE_COLUMNS)
+
+
 QUERIES = {
     "week_calendar_map": q_week_calendar_map,
     "run_week_list": q_run_week_list,
@@ -1023,4 +1034,5 @@ QUERIES = {
     "profile_states": q_profile_states,
     "dirty_shards": q_dirty_shards,
     "weekly_base_wide": q_weekly_base_wide,
+    "stored_ranges": q_stored_ranges,
 }
