@@ -116,6 +116,20 @@ def test_training_beats_the_counts_on_held_out_texts(spark):
     assert r[0] > r[1]
 
 
+def test_scores_do_not_depend_on_the_layout_and_beat_the_counts_without_copies(spark, monkeypatch):
+    monkeypatch.setattr(gru, "SHARD_TOKENS", 40_000)  # three shards a round
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    taught = docs.where(F.crc32(F.col("doc_id").cast("string")) % 5 != 1).select("text").distinct()
+    runs = []
+    for parts in (1, 8):
+        got = gru.score_texts(docs.orderBy("text" if parts == 1 else "doc_id").repartition(parts)).where("held_out")
+        runs.append({r["doc_id"]: r for r in got.join(docs.join(taught, "text", "left_anti").select("doc_id"), "doc_id").collect()})
+    one, eight = runs
+    assert len(one) > 100 and one.keys() == eight.keys()
+    assert all(math.isclose(one[i]["score"], eight[i]["score"], rel_tol=1e-4) for i in one)
+    assert sum(r["score"] for r in one.values()) > sum(r["base_score"] for r in one.values())
+
+
 def test_rounds_cover_every_training_document_once(awkward, monkeypatch):  # noqa: F811
     rounds = []
 

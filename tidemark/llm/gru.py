@@ -6,9 +6,10 @@ then the token within the class. The ``WORDS`` most frequent tokens form classes
 less frequent words lie in frequency bins, and all words beyond the ``HEAD_WORDS`` most frequent in one rare
 class, where the second factor is the word's share of the class's count (an unseen word counts as one half).
 
-Training is data-parallel: in every round each task runs truncated back-propagation in numpy over its partition's
-training documents of the round, and the parameters are averaged in Spark, weighted by tokens. A hash of id and text deals
-the training documents to the ``ROUNDS`` rounds, so each is trained on once and copies are spread over the rounds. Scoring runs all texts of a batch in step, longest first, in windows;
+Training is data-parallel: in every round each task runs truncated back-propagation in numpy over one shard of the
+round's training documents, and the parameters are averaged in Spark, weighted by tokens. Hashes of id and text deal
+the training documents to the ``ROUNDS`` rounds, to shards of about ``SHARD_TOKENS`` tokens and to their order there. So each is trained on once, copies are spread, and
+the model does not depend on files, partitions or cores. Scoring runs all texts of a batch in step, longest first, in windows;
 the state is carried from window to window, so the score is that of the complete text.
 
 Counts of rare words are joined by shuffle: each text sends its distinct words beyond the broadcast
@@ -33,6 +34,7 @@ CLASS_WORDS = 16
 BINS = 7
 HEAD_WORDS = 1 << 18
 ROUNDS = 3  # together they train on every training document once
+SHARD_TOKENS = 1 << 20  # training tokens of a shard, of which a round has as many as the corpus fills
 RATE = 0.01
 WINDOW = 32
 BATCH = 96
@@ -452,8 +454,11 @@ def fit(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: st
     vocab = Vocabulary(head["h"].to_numpy(np.int64).view(np.uint64), head["n"].to_numpy(np.int64), int(whole["n"] or 0), int(whole["v"]))
     flat = initial(vocab)
     turn = F.pmod(F.xxhash64(quoted(id_col), quoted(text_col), F.lit("share")), F.lit(ROUNDS))
+    place = F.xxhash64(quoted(id_col), quoted(text_col), F.lit("place"))
+    shards = max(1, -(-vocab.total // (ROUNDS * SHARD_TOKENS)))
     for r in range(ROUNDS):
-        flat = train_round(docs.where(turn == r), vocab, flat, RATE / (r + 1), text_col)
+        part = docs.where(turn == r).select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), place.alias("place"))
+        flat = train_round(part.repartition(shards, "place").sortWithinPartitions("place"), vocab, flat, RATE / (r + 1))
     return vocab, flat
 
 
