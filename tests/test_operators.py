@@ -366,3 +366,35 @@ def test_offers_without_as_of_days(spark):
     offers = spark.createDataFrame([(1, "A", 5.0, D(2000, 1, 1), D(2001, 1, 1), 1)], "account int, t string, amount double, s date, e date, id int")
     out = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["amount"], ["id"])
     assert out.columns == ["account", "week", "a_amount"] and out.collect() == []
+
+
+def test_segment_join_holds_the_pairs_of_the_interval_join(spark):
+    from tidemark.operators.rangejoin import HI, LO, POINTS, SEGMENT, point_segments, segment_join
+
+    first = D(2000, 1, 2)
+    points = spark.createDataFrame([(i, first + dt.timedelta(days=5 * i)) for i in range(60)] + [(99, None)], "week int, as_of date")
+    rows = [(i, None if i == 7 else first + dt.timedelta(days=3 * i - 40), None if i == 8 else first + dt.timedelta(days=3 * i - 40 + 17 * (i % 9) - 5)) for i in range(80)]
+    rows += rows[:5]
+    offers = spark.createDataFrame(rows, "id int, s date, e date")
+    clip = tuple(points.agg(F.min("as_of"), F.max("as_of")).first())
+    joined = segment_join(offers, "s", "e", point_segments(points, "as_of", ["week"], 28), "as_of", clip, 28)
+    assert joined.groupBy("id", SEGMENT).count().agg(F.max("count")).first()[0] <= 2  # a row per interval and segment; some come twice
+    got = joined.join(point_segments(points, "as_of", ["week"], 28), SEGMENT).select("id", F.explode(F.slice(POINTS, F.col(LO) + 1, F.col(HI) - F.col(LO))).alias("p")).select("id", "p.week")
+    want = interval_join(offers, "s", "e", points, "as_of", clip=clip).select("id", "week")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_offers_are_exchanged_by_segment_and_not_by_week(spark):
+    import re
+    from tidemark.plans.blocks import offers_block
+
+    first = D(2000, 1, 2)
+    asof = spark.createDataFrame([(i, first + dt.timedelta(weeks=i)) for i in range(64)], "week int, as_of date")
+    offers = spark.createDataFrame([(i, "A", 5.0, first, first + dt.timedelta(weeks=63), i) for i in range(50)], "account int, t string, amount double, s date, e date, id int")
+    out = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["amount"], ["id"])
+    assert out.count() == 50 * 64
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"Exchange hashpartitioning\(account#\d+, week#", plan)
+    keys = spark.createDataFrame([(3, 5), (3, 40), (7, 63), (99, 1), (None, 2)], "account int, week int")
+    some = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["amount"], ["id"], spine_keys=keys)
+    assert sorted((r.account, r.week, r.a_amount) for r in some.collect()) == [(3, 5, 5.0), (3, 40, 5.0), (7, 63, 5.0)]
