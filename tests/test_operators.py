@@ -398,3 +398,18 @@ def test_offers_are_exchanged_by_segment_and_not_by_week(spark):
     keys = spark.createDataFrame([(3, 5), (3, 40), (7, 63), (99, 1), (None, 2)], "account int, week int")
     some = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["amount"], ["id"], spine_keys=keys)
     assert sorted((r.account, r.week, r.a_amount) for r in some.collect()) == [(3, 5, 5.0), (3, 40, 5.0), (7, 63, 5.0)]
+
+
+def test_continuous_profile_unpivots_only_values(spark):
+    from tidemark.operators.quality import continuous_profile
+
+    rows = [(1, 1.0, None, None), (1, 3.0, None, 7), (2, None, None, None), (None, 5.0, None, 2)]
+    df = spark.createDataFrame(rows, "week int, a double, b double, c int")
+    out = continuous_profile(df, ["a", "b", "c"])
+    got = {(r.colname, r.week): (r.maximum_value, r.minimum_value, r.mean_value, r.standard_deviation) for r in out.collect()}
+    none = (None,) * 4
+    assert got == {
+        ("a", 1): (3.0, 1.0, 2.0, 2.0**0.5), ("b", 1): none, ("c", 1): (7.0, 7.0, 7.0, None),
+        ("a", 2): none, ("b", 2): none, ("c", 2): none, ("a", None): (5.0, 5.0, 5.0, None), ("b", None): none, ("c", None): (2.0, 2.0, 2.0, None),
+    }
+    assert "Generate explode(filter(" in out._jdf.queryExecution().executedPlan().toString()
