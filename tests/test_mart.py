@@ -7,6 +7,7 @@ from tidemark import ACCOUNT, WEEK
 from tidemark.plans import runlog
 from tidemark.plans.mart import assemble, run
 from tidemark.plans.star import Star
+from tidemark.session import materialize
 from tidemark.sources.sinks import read_mart, write_weeks
 
 W1, W2 = 199606, 199607
@@ -190,3 +191,29 @@ def test_cli_builds_pending_weeks_once(spark, scratch):
     assert mart.select(WEEK).distinct().count() == 6
     n = {r[WEEK]: r["n"] for r in mart.groupBy(WEEK).agg(F.count("channel_click").alias("n")).collect()}
     assert n[202401] > 0 and n[199601] == 0
+
+
+def test_joins_of_the_assembly_carry_one_column_per_block(spark):
+    spine = spark.createDataFrame([(1, W1, dt.date(1996, 2, 11)), (2, W1, dt.date(1996, 2, 11))], "account bigint, week int, as_of date")
+    wide = [spark.range(1).select(F.lit(1).cast("bigint").alias("account"), F.lit(W1).alias("week"), *[F.lit(i).alias(f"b{n}_{i}") for i in range(30)]) for n in range(3)]
+    out = assemble(spine, [*wide, wide[0].select(ACCOUNT, WEEK)])
+    widths = []
+
+    def walk(node):
+        if node.nodeName() == "Join":
+            widths.append(node.output().size())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(out._jdf.queryExecution().optimizedPlan())
+    assert widths and max(widths) <= 3 + 3 + 2 * 3
+    rows = {r.account: r for r in out.collect()}
+    assert set(rows) == {1, 2} and rows[1].b2_29 == 29 and rows[1].b0_0 == 0
+    assert rows[2].b0_0 is None and rows[2].b2_29 is None
+
+
+def test_genre_of_a_title_is_made_before_its_lines(spark):
+    s = Star(spark, SF_SMALL)
+    lines = materialize(s.lines(), "t-lines")
+    plan = s.lineitem_pass(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "lower(" not in plan and "p_name" not in plan

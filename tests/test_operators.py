@@ -413,3 +413,32 @@ def test_continuous_profile_unpivots_only_values(spark):
         ("a", 2): none, ("b", 2): none, ("c", 2): none, ("a", None): (5.0, 5.0, 5.0, None), ("b", None): none, ("c", None): (2.0, 2.0, 2.0, None),
     }
     assert "Generate explode(filter(" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_segment_join_of_timestamps_tests_the_time_of_day(spark):
+    from tidemark.operators.rangejoin import HI, LO, POINTS, SEGMENT, point_segments, segment_join
+
+    points = spark.createDataFrame([(i, D(2000, 1, 2) + dt.timedelta(days=7 * i)) for i in range(9)], "week int, as_of date")
+    at = lambda d, h: dt.datetime(2000, 1, 2) + dt.timedelta(days=d, hours=h)
+    rows = [(i, at(a, h), at(z, k)) for i, (a, h, z, k) in enumerate([(7, 0, 14, 0), (7, 1, 14, 1), (27, 23, 28, 0), (0, 12, 56, 0), (6, 23, 6, 23), (-90, 5, 90, 5)])]
+    offers = spark.createDataFrame(rows, "id int, s timestamp, e timestamp")
+    clip = tuple(points.agg(F.min("as_of"), F.max("as_of")).first())
+    segments = point_segments(points, "as_of", ["week"], 28)
+    joined = segment_join(offers.withColumn("s", F.col("s")), "s", "e", segments, "as_of", clip, 28).join(segments, SEGMENT)
+    got = joined.select("id", F.explode(F.slice(POINTS, F.col(LO) + 1, F.col(HI) - F.col(LO))).alias("p")).select("id", "p.week")
+    want = offers.join(points, (F.col("as_of") >= F.col("s")) & (F.col("as_of") <= F.col("e"))).select("id", "week")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_offers_of_a_spine_keep_one_exchange_by_account_and_segment(spark):
+    import re
+    from tidemark.plans.blocks import offers_block
+
+    asof = spark.createDataFrame([(i, D(2000, 1, 2) + dt.timedelta(days=7 * i)) for i in range(40)], "week int, as_of date")
+    offers = spark.createDataFrame([(1, "A", 5.0, D(2000, 1, 1), D(2000, 3, 1), 1), (2, "A", 4.0, D(2000, 1, 1), D(2000, 9, 1), 2), (1, "A", 6.0, D(2000, 2, 1), D(2000, 5, 1), 3)],
+                                   "account int, t string, amount double, s date, e date, id int")
+    spine = spark.createDataFrame([(1, 3), (1, 30), (2, 39), (3, 1), (1, 11)], "account int, week int")
+    out = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["amount"], ["id"], spine_keys=spine)
+    assert sorted(map(tuple, out.collect())) == [(1, 3, 5.0), (1, 11, 6.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(account#\d+, __segment#\d+, code#", plan)
