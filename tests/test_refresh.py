@@ -92,6 +92,15 @@ def test_a_run_without_changes_publishes_nothing(spark, runs):
     assert refresh(spark, star, root) == [] and store.latest() == 1
 
 
+def test_a_run_joins_lines_and_builds_the_spine_once(spark, monkeypatch):
+    made = {"lines": 0, "spine": 0}
+    for name in made:
+        old = getattr(Star, name)
+        monkeypatch.setattr(Star, name, lambda self, old=old, name=name: (made.__setitem__(name, made[name] + 1), old(self))[1])
+    assert refresh(spark, lambda **kw: Star(spark, SF_SMALL, **kw), scratch_path(spark, "t-once"))
+    assert made == {"lines": 1, "spine": 1}
+
+
 def test_two_runs_cannot_publish_one_version(spark, scratch):
     store = VersionedMart(spark, scratch)
     with pytest.raises(ValueError):
