@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -82,6 +83,48 @@ def test_state_is_carried_and_batches_do_not_matter(monkeypatch):
     assert np.allclose(gru.log_likelihoods(flat, alone), whole[begin : begin + size], atol=1e-3)
 
 
+def plain_log_probs(p, inp, cls, word):
+    """One text token by token in float64: update and reset gate, candidate, class, word."""
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    h, out = np.zeros(gru.HIDDEN), []
+    for i, c, w in zip(inp, cls, word):
+        z, r = (1 / (1 + np.exp(-(p["x"][j, i] + h @ p["u"][j + 1]))) for j in (0, 1))
+        new = np.tanh(p["x"][2, i] + r * (h @ p["u"][0]))
+        h = z * h + (1 - z) * new
+        v = h @ p["wc"] + p["bc"]
+        out.append(v[c] - np.log(np.exp(v).sum()))
+        if w >= 0:
+            v = h @ p["ww"][c] + p["bw"][c]
+            out[-1] += v[w % gru.CLASS_WORDS] - np.log(np.exp(v).sum())
+    return np.array(out)
+
+
+@pytest.mark.parametrize("rows", [gru.ROWS, 7])
+def test_scores_equal_a_plain_network_in_blocks_of_any_size(monkeypatch, rows):
+    monkeypatch.setattr(gru, "ROWS", rows)
+    monkeypatch.setattr(gru, "STATES", 300)
+    vocab, texts = setup(words=600)
+    flat = gru.initial(vocab) + np.random.default_rng(4).normal(0, 0.3, gru.PARAMETERS).astype(np.float32)
+    got = gru.log_likelihoods(flat, texts)
+    for begin, size in zip(texts.begin.tolist(), texts.size.tolist()):
+        own = slice(begin, begin + min(size, 200))
+        want = plain_log_probs(gru.unpacked(flat), texts.inp[own], texts.cls[own], texts.word[own]) + texts.fixed[own]
+        assert np.allclose(got[own], want, atol=2e-3)
+
+
+def test_scoring_and_a_window_stay_small_whatever_the_group():
+    # A step's and a window's arrays follow ROWS, not the number of texts of the group.
+    vocab, _ = setup()
+    n, size = 20_000, 40
+    ranks = np.random.default_rng(6).integers(0, len(vocab.counts), n * size).astype(np.int32)
+    texts = gru.Texts(ranks, np.full(n, size), vocab)
+    tracemalloc.start()
+    out = gru.log_likelihoods(gru.initial(vocab), texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == n * size and peak < 40 << 20  # before the blocks of texts: 322 MB
+
+
 def test_gradient_matches_differences():
     vocab, texts = setup(n=6)
     rng = np.random.default_rng(3)

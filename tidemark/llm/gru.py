@@ -9,7 +9,7 @@ class, where the second factor is the word's share of the class's count (an unse
 Training is data-parallel: in every round each task runs truncated back-propagation in numpy over one shard of the
 round's training documents, and the parameters are averaged in Spark, weighted by tokens. Hashes of id and text deal
 the training documents to the ``ROUNDS`` rounds, to shards of about ``SHARD_TOKENS`` tokens and to their order there. So each is trained on once, copies are spread, and
-the model does not depend on files, partitions or cores. Scoring runs all texts of a batch in step, longest first, in windows;
+the model does not depend on files, partitions or cores. Scoring runs ``ROWS`` texts of a batch in step, longest first, in windows;
 the state is carried from window to window, so the score is that of the complete text.
 
 Counts of rare words are joined by shuffle: each text sends its distinct words beyond the broadcast
@@ -39,6 +39,8 @@ RATE = 0.01
 WINDOW = 32
 BATCH = 96
 GROUP_TOKENS = 1 << 21  # tokens of the texts scored in step
+ROWS = 1024  # texts scored in step at a time
+STATES = 1 << 15  # states kept before their tokens are scored, if a window of ROWS texts has no more
 PENDING = 1 << 20  # distinct words a task holds before it sends their counts
 HELD_OUT_FOLD, FOLDS = 1, 5
 
@@ -127,11 +129,19 @@ class Vocabulary:
         return np.where(self.sorted[i] == u, self.rank[i], np.int32(-1))[inv]
 
 
-SHAPES = {"x": (INPUTS, 3 * HIDDEN), "u": (HIDDEN, 3 * HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (HIDDEN, WORDS), "bw": (WORDS,)}
+# The cell's parts one after the other, each a matrix of its own: of ``x`` update, reset, candidate; of ``u`` candidate, update, reset.
+# So the gradients of both are neighbouring matrices of one array.
+SHAPES = {
+    "x": (3, INPUTS, HIDDEN), "u": (3, HIDDEN, HIDDEN), "wc": (HIDDEN, CLASSES), "bc": (CLASSES,),
+    "ww": (WORDS // CLASS_WORDS, HIDDEN, CLASS_WORDS), "bw": (WORDS // CLASS_WORDS, CLASS_WORDS),
+}
 PARAMETERS = sum(int(np.prod(s)) for s in SHAPES.values())
+X_SIGNS, U_SIGNS = (np.array(f, np.float32)[:, None, None] for f in ((-1, -1, 1), (1, -1, -1)))  # sigmoid(v) = 1 / (1 + exp(-v))
+ONE = np.float32(1)
 
 
 def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
+    """Views of the parameters by name."""
     out, at = {}, 0
     for name, shape in SHAPES.items():
         n = int(np.prod(shape))
@@ -145,29 +155,31 @@ def initial(vocab: Vocabulary) -> np.ndarray:
     rng = np.random.default_rng(7)
     flat = np.zeros(PARAMETERS, np.float32)
     p = unpacked(flat)
-    p["x"][:] = rng.normal(0, 0.1, p["x"].shape)
-    p["u"][:] = rng.normal(0, 0.5 / np.sqrt(HIDDEN), p["u"].shape)
+    p["x"][:] = rng.normal(0, 0.1, (INPUTS, 3, HIDDEN)).transpose(1, 0, 2)
+    p["u"][[1, 2, 0]] = rng.normal(0, 0.5 / np.sqrt(HIDDEN), (HIDDEN, 3, HIDDEN)).transpose(1, 0, 2)
     p["wc"][:] = rng.normal(0, 0.02, p["wc"].shape)
-    p["ww"][:] = rng.normal(0, 0.02, p["ww"].shape)
+    p["ww"][:] = rng.normal(0, 0.02, (HIDDEN, WORDS // CLASS_WORDS, CLASS_WORDS)).transpose(1, 0, 2)
     p["bc"][:] = np.where(vocab.class_mass > 0, np.log(np.maximum(vocab.class_mass, 1e-9) / max(1.0, vocab.class_mass.sum())), NEVER)
     cut = min(WORDS, len(vocab.counts))
     p["bw"][:] = NEVER
-    p["bw"][:cut] = np.log(vocab.counts[:cut] / np.maximum(vocab.class_mass[vocab.classes[:cut]], 1))
+    p["bw"].reshape(-1)[:cut] = np.log(vocab.counts[:cut] / np.maximum(vocab.class_mass[vocab.classes[:cut]], 1))
     return flat
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * np.tanh(0.5 * x) + 0.5
-
-
 def _log_total(x: np.ndarray) -> np.ndarray:
     """log of the sum of exponentials of each row."""
     top = max(0.0, float(x.max()) - 60.0) if x.size else 0.0  # of use only for weights that have run away
     return np.log(np.exp(x - top if top else x) @ np.ones(x.shape[1], x.dtype)) + top
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    return np.exp(x - _log_total(x)[:, None])
+def _softmax(x: np.ndarray, of: int) -> np.ndarray:
+    """Softmax of each row in place, divided by ``of``."""
+    top = max(0.0, float(x.max()) - 60.0) if x.size else 0.0
+    if top:
+        x -= top
+    np.exp(x, out=x)
+    x *= (1 / (x @ np.full(x.shape[1], of, x.dtype)))[:, None]
+    return x
 
 
 class Texts:
@@ -194,61 +206,86 @@ class Texts:
     def running(self, t: int) -> int:
         return int(np.searchsorted(self.falling, -t, side="left"))
 
+    def steps(self, start: int, stop: int, first: int = 0, most: int | None = None) -> tuple[np.ndarray, list[int]]:
+        """Tokens of the steps from ``start`` to ``stop``, one step after the other, of at most ``most`` texts from ``first``; and where each step begins."""
+        runs = np.searchsorted(self.falling, -np.arange(start, stop), side="left") - first
+        runs = np.minimum(runs[runs > 0], len(self.falling) if most is None else most)
+        ends = np.cumsum(runs)
+        row = np.arange(ends[-1]) - np.repeat(ends - runs, runs)
+        return self.begin[first:].take(row) + np.repeat(np.arange(start, start + len(runs)), runs), [0, *ends.tolist()]
+
+
+def _step(h: np.ndarray, u: np.ndarray, x: np.ndarray, g: np.ndarray, new: np.ndarray, fall: np.ndarray, out: np.ndarray) -> None:
+    """One step of the cell for all rows, from state ``h`` to ``out``; ``u`` and ``x`` have the signs above. ``g`` keeps the candidate's share of ``h`` and both gates."""
+    np.matmul(h, u, out=g)
+    gates = g[1:]
+    gates += x[:2]
+    np.exp(gates, out=gates)
+    gates += ONE
+    np.reciprocal(gates, out=gates)
+    np.multiply(g[2], g[0], out=new)
+    new += x[2]
+    np.tanh(new, out=new)
+    np.subtract(h, new, out=fall)
+    np.multiply(fall, g[1], out=out)
+    out += new
+
+
+def _own_words(p: dict[str, np.ndarray], h: np.ndarray, cls: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]], np.ndarray]:
+    """Of the words with a softmax of their own, by class: token numbers, states, (class, begin, end) of each class that occurs, and logits."""
+    own = np.flatnonzero(word >= 0)
+    c = cls[own]
+    order = np.argsort(c, kind="stable")
+    own, c = own[order], c[order]
+    sizes = np.bincount(c, minlength=WORDS // CLASS_WORDS)
+    ends = np.cumsum(sizes)
+    parts = [(k, int(ends[k] - sizes[k]), int(ends[k])) for k in np.flatnonzero(sizes).tolist()]
+    hw, x = h.take(own, axis=0), np.empty((len(own), CLASS_WORDS), np.float32)
+    for k, a, b in parts:
+        np.matmul(hw[a:b], p["ww"][k], out=x[a:b])
+    x += p["bw"].take(c, axis=0)
+    return own, hw, parts, x
+
 
 def token_log_probs(p: dict[str, np.ndarray], h: np.ndarray, cls: np.ndarray, word: np.ndarray) -> np.ndarray:
     """log p(class | state), plus log p(word | class, state) for words with a softmax of their own."""
-    x = h @ p["wc"]
-    x += p["bc"]
-    out = (x[np.arange(len(cls)), cls] - _log_total(x)).astype(np.float64)
-    for at, lo, own in _by_class(cls, word):
-        x = h[at] @ p["ww"][:, lo : lo + CLASS_WORDS]
-        x += p["bw"][lo : lo + CLASS_WORDS]
-        out[at] += x[np.arange(len(at)), own] - _log_total(x)
+    out = np.empty(len(cls))
+    for a in range(0, len(cls), ROWS):
+        x, c = h[a : a + ROWS] @ p["wc"], cls[a : a + ROWS]
+        x += p["bc"]
+        out[a : a + ROWS] = x[np.arange(len(c)), c] - _log_total(x)
+    own, _, _, x = _own_words(p, h, cls, word)
+    out[own] += x[np.arange(len(own)), word[own] % CLASS_WORDS] - _log_total(x)
     return out
 
 
-def _by_class(cls: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, int, np.ndarray]]:
-    """(token numbers, first word of the class, place of the word in it) for each softmax class that occurs."""
-    order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(WORDS // CLASS_WORDS + 1))
-    for c in np.flatnonzero(np.diff(cuts)):
-        at = order[cuts[c] : cuts[c + 1]]
-        yield at, c * CLASS_WORDS, word[at] - c * CLASS_WORDS
-
-
+@np.errstate(over="ignore")  # exp(-v) may be infinite: its gate is 0
 def log_likelihoods(flat: np.ndarray, texts: Texts) -> np.ndarray:
     """Natural log probability of every token of the group (rare words: of their class only)."""
     p = unpacked(flat)
-    n2 = 2 * HIDDEN
-    half = np.concatenate([np.full(n2, 0.5), np.ones(HIDDEN)]).astype(np.float32)  # sigmoid(v) = 0.5 tanh(0.5 v) + 0.5
-    x, u = p["x"] * half, p["u"] * half
+    xs, u = p["x"] * X_SIGNS, p["u"] * U_SIGNS
     out = texts.fixed.astype(np.float64)
     h = np.zeros((len(texts.size), HIDDEN), np.float32)
+    # What a step needs of ROWS texts stays in the processor's cache; the states of a window follow one another in ``hs``.
+    x_, g_, new_ = (np.empty(w * ROWS * HIDDEN, np.float32) for w in (3, 3, 1))
     longest = int(texts.size[0]) if len(texts.size) else 0
     start = 0
     while start < longest:
-        stop = min(longest, start + max(WINDOW, (1 << 16) // max(1, texts.running(start))))
-        states, at = [], []
-        for t in range(start, stop):
-            k = texts.running(t)
-            i = texts.begin[:k] + t
-            hk = h[:k]
-            xt = x.take(texts.inp.take(i), axis=0)
-            g = hk @ u
-            gate = np.tanh(xt[:, :n2] + g[:, :n2])
-            gate *= 0.5
-            gate += 0.5
-            new = g[:, n2:]
-            new *= gate[:, HIDDEN:]
-            new += xt[:, n2:]
-            np.tanh(new, out=new)
-            hk -= new
-            hk *= gate[:, :HIDDEN]
-            hk += new
-            states.append(hk.copy())
-            at.append(i)
-        at = np.concatenate(at)
-        out[at] += token_log_probs(p, np.concatenate(states), texts.cls[at], texts.word[at])
+        running = texts.running(start)
+        stop = min(longest, start + max(WINDOW, STATES // min(ROWS, running)))
+        for first in range(0, running, ROWS):
+            at, cuts = texts.steps(start, stop, first, ROWS)
+            hs, ids = np.empty((len(at), HIDDEN), np.float32), texts.inp.take(at).astype(np.intp)
+            last = h[first : first + ROWS]
+            for a, b in zip(cuts, cuts[1:]):
+                k = b - a
+                x, g, new = (v[: w * k * HIDDEN].reshape(w, k, HIDDEN) for v, w in ((x_, 3), (g_, 3), (new_, 1)))
+                xs.take(ids[a:b], axis=1, out=x, mode="clip")
+                s = hs[a:b]
+                _step(last[:k], u, x, g, new[0], s, s)
+                last = s
+            h[first : first + len(last)] = last
+            out[at] += token_log_probs(p, hs, texts.cls[at], texts.word[at])
         start = stop
     return out
 
@@ -260,6 +297,7 @@ class Trainer:
         self.flat, self.rate = flat.astype(np.float32).copy(), rate
         self.m, self.v, self.steps, self.seen = np.zeros_like(self.flat), np.zeros_like(self.flat), 0, 0
 
+    @np.errstate(over="ignore")
     def train(self, texts: Texts) -> None:
         h = np.zeros((len(texts.size), HIDDEN), np.float32)
         longest = int(texts.size[0]) if len(texts.size) else 0
@@ -267,77 +305,61 @@ class Trainer:
             h = self._window(texts, h, start, min(longest, start + WINDOW))
 
     def _window(self, texts: Texts, h: np.ndarray, start: int, stop: int) -> np.ndarray:
-        p, H = unpacked(self.flat), HIDDEN
+        """Trains on the steps of a window; returns the states of the texts that run at its last step."""
+        p = unpacked(self.flat)
         grad = np.zeros_like(self.flat)
         g_ = unpacked(grad)
-        runs = [texts.running(t) for t in range(start, stop)]
-        cuts = np.concatenate([[0], np.cumsum(runs)]).tolist()
-        n = cuts[-1]
-        at = np.concatenate([texts.begin[:k] + t for k, t in zip(runs, range(start, stop))])
+        at, cuts = texts.steps(start, stop)
+        n, spans = cuts[-1], list(zip(cuts, cuts[1:]))
         # Rows of all steps of the window one after the other, so what does not depend on the step before is computed once for all.
-        half = np.concatenate([np.full(2 * H, 0.5), np.ones(H)]).astype(np.float32)  # sigmoid(v) = 0.5 tanh(0.5 v) + 0.5
-        xs, u = (p["x"] * half).take(texts.inp[at], axis=0), p["u"] * half
-        before, gate, gn, new, fall, hs = (np.empty((n, w), np.float32) for w in (H, 2 * H, H, H, H, H))
-        for k, a, b in zip(runs, cuts, cuts[1:]):
-            before[a:b] = h[:k]
-            g, x = h[:k] @ u, xs[a:b]
-            q = np.add(g[:, : 2 * H], x[:, : 2 * H], out=gate[a:b])
-            np.tanh(q, out=q)
-            q *= 0.5
-            q += 0.5
-            gn[a:b] = g[:, 2 * H :]
-            c = np.multiply(q[:, H:], g[:, 2 * H :], out=new[a:b])
-            c += x[:, 2 * H :]
-            np.tanh(c, out=c)
-            d = np.subtract(h[:k], c, out=fall[a:b])
-            s = np.multiply(d, q[:, :H], out=hs[a:b])
-            s += c
-            h[:k] = s
+        ids = texts.inp[at]
+        xs, u = (p["x"] * X_SIGNS).take(ids, axis=1), p["u"] * U_SIGNS
+        g = np.empty((3, n, HIDDEN), np.float32)
+        before, new, fall, hs = (np.empty((n, HIDDEN), np.float32) for _ in range(4))
+        for a, b in spans:
+            before[a:b] = h[: b - a]
+            h = hs[a:b]
+            _step(before[a:b], u, xs[:, a:b], g[:, a:b], new[a:b], fall[a:b], h)
         cls, word = texts.cls[at], texts.word[at]
         # Output factors: gradient of the mean log loss.
-        dc = _softmax(hs @ p["wc"] + p["bc"])
-        dc[np.arange(n), cls] -= 1
-        dc /= n
-        g_["wc"] += hs.T @ dc
-        g_["bc"] += dc.sum(0)
+        dc = hs @ p["wc"]
+        dc += p["bc"]
+        _softmax(dc, n)[np.arange(n), cls] -= np.float32(1 / n)
+        np.matmul(hs.T, dc, out=g_["wc"])
+        np.matmul(np.ones(n, np.float32), dc, out=g_["bc"])
         dh_all = dc @ p["wc"].T
         # The words' softmaxes: rows sorted by class, so each class is one slice and the rest is done for all rows at once.
-        own = np.argsort(cls, kind="stable")
-        edges = np.searchsorted(cls[own], np.arange(WORDS // CLASS_WORDS + 1))
-        own = own[: edges[-1]]
-        parts = [(edges[c], edges[c + 1], slice(c * CLASS_WORDS, (c + 1) * CLASS_WORDS)) for c in np.flatnonzero(np.diff(edges)).tolist()]
-        hw, dw, dh_own = hs[own], np.empty((len(own), CLASS_WORDS), np.float32), np.empty((len(own), H), np.float32)
-        for a, b, w in parts:
-            np.matmul(hw[a:b], p["ww"][:, w], out=dw[a:b])
-        dw = _softmax(dw + p["bw"].reshape(-1, CLASS_WORDS)[cls[own]]) if len(own) else dw
-        dw[np.arange(len(own)), word[own] - cls[own].astype(np.int16) * CLASS_WORDS] -= 1
-        dw /= n
-        for a, b, w in parts:
-            g_["ww"][:, w] += hw[a:b].T @ dw[a:b]
-            g_["bw"][w] += dw[a:b].sum(0)
-            np.matmul(dw[a:b], p["ww"][:, w].T, out=dh_own[a:b])
+        own, hw, parts, dw = _own_words(p, hs, cls, word)
+        _softmax(dw, n)[np.arange(len(own)), word[own] % CLASS_WORDS] -= np.float32(1 / n)
+        dh_own = np.empty((len(own), HIDDEN), np.float32)
+        for k, a, b in parts:
+            d = dw[a:b]
+            np.matmul(hw[a:b].T, d, out=g_["ww"][k])
+            np.matmul(d, p["ww"][k].T, out=dh_own[a:b])
+        if parts:
+            g_["bw"][[k for k, _, _ in parts]] = np.add.reduceat(dw, [a for _, a, _ in parts], axis=0)
         dh_all[own] += dh_own
-        carry = np.zeros_like(h)
-        z, r = gate[:, :H], gate[:, H:]
-        by_new = (1 - z) * (1 - new * new)
-        by_z, by_r = fall * z * (1 - z), gn * r * (1 - r)
-        dx, dg, back = np.empty((n, 3 * H), np.float32), np.empty((n, 3 * H), np.float32), np.ascontiguousarray(p["u"].T)
-        for k, a, b in zip(runs[::-1], cuts[-2::-1], cuts[:0:-1]):
-            dh = carry[:k] + dh_all[a:b]
-            d = dg[a:b]
-            np.multiply(dh, by_z[a:b], out=d[:, :H])
-            dn = np.multiply(dh, by_new[a:b], out=dx[a:b, 2 * H :])
-            np.multiply(dn, by_r[a:b], out=d[:, H : 2 * H])
-            np.multiply(dn, r[a:b], out=d[:, 2 * H :])
-            dh *= z[a:b]
-            dh += d @ back
-            carry[:k] = dh
-        dx[:, : 2 * H] = dg[:, : 2 * H]
-        g_["u"] += before.T @ dg
-        ids = texts.inp[at].astype(np.int64)
+        # What a state's gradient is multiplied with: candidate's share of the state before, update, reset; and the candidate.
+        z, r = g[1], g[2]
+        by = np.empty((4, n, HIDDEN), np.float32)
+        np.multiply(1 - z, 1 - new * new, out=by[3])
+        np.multiply(by[3], r, out=by[0])
+        np.multiply(fall, z * (1 - z), out=by[1])
+        np.multiply(by[0], g[0] * (1 - r), out=by[2])
+        back, carry = np.ascontiguousarray(p["u"].transpose(0, 2, 1)), None
+        for a, b in spans[::-1]:
+            dh, d = dh_all[a:b], by[:3, a:b]
+            if carry is not None:
+                dh[: len(carry)] += carry
+            d *= dh
+            carry = (d @ back).sum(0)
+            carry += dh * z[a:b]
+        by[3] *= dh_all
+        np.matmul(before.T, by[:3], out=g_["u"])
         order = np.argsort(ids, kind="stable")
-        first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-        g_["x"][ids[order][first]] += np.add.reduceat(dx[order], first, axis=0)
+        ids = ids[order]
+        first = np.flatnonzero(np.diff(ids, prepend=np.int16(-1)))
+        g_["x"][:, ids[first]] = np.add.reduceat(by[1:].take(order, axis=1), first, axis=1)
         norm = float(np.sqrt(grad @ grad))
         if norm > 1:
             grad /= norm
@@ -345,9 +367,10 @@ class Trainer:
         self.seen += n
         self.m += 0.1 * (grad - self.m)
         self.v += 0.01 * (grad * grad - self.v)
-        m, v = self.m / (1 - 0.9**self.steps), self.v / (1 - 0.99**self.steps)
+        by_root = np.sqrt(self.v / (1 - 0.99**self.steps))
+        by_root += 1e-6
         # A window in which few texts still run moves the weights less.
-        self.flat -= self.rate * min(1.0, n / (WINDOW * BATCH)) * m / (np.sqrt(v) + 1e-6)
+        self.flat -= self.rate * min(1.0, n / (WINDOW * BATCH)) / (1 - 0.9**self.steps) * self.m / by_root
         return h
 
 
