@@ -442,3 +442,34 @@ def test_offers_of_a_spine_keep_one_exchange_by_account_and_segment(spark):
     assert sorted(map(tuple, out.collect())) == [(1, 3, 5.0), (1, 11, 6.0)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"hashpartitioning\(account#\d+, __segment#\d+, code#", plan)
+
+
+def test_offers_without_a_spine_are_exchanged_once_for_all_segments(spark):
+    import re
+    from tidemark.plans.blocks import offers_block
+
+    first = D(2000, 1, 2)
+    asof = spark.createDataFrame([(i, first + dt.timedelta(weeks=i)) for i in range(64)], "week int, as_of date")
+    rows = [(a, "A", float(a + i), first + dt.timedelta(weeks=i), first + dt.timedelta(weeks=i + 30), i) for a in range(4) for i in range(20)]
+    offers = spark.createDataFrame(rows, "account int, t string, amount double, s date, e date, id int")
+    out = offers_block(offers, asof, "s", "e", "t", ["A"], "amount", ["id"], ["id"])
+    got = {(r.account, r.week): r.a_id for r in out.collect()}
+    assert got == {(a, w): max(0, w - 30) for a in range(4) for w in range(50)}
+    exchanged = re.findall(r"Exchange hashpartitioning\((account)#\d+(?:, (\w+)#\d+)?", out._jdf.queryExecution().executedPlan().toString())
+    assert exchanged and all(keys in (("account", "code"), ("account", "")) for keys in exchanged)
+
+
+def test_point_ranges_hold_the_points_between_the_bounds(spark):
+    from tidemark.operators.rangejoin import point_ranges, points_below
+
+    days = [D(2000, 1, 3) + dt.timedelta(days=x) for x in (0, 7, 7, 9, 20, 41)]
+    points = spark.createDataFrame([(x,) for x in [*days, None]], "p date")
+    at = lambda d, h: dt.datetime(2000, 1, 3) + dt.timedelta(days=d, hours=h)
+    rows = [(i, s, e) for i, (s, e) in enumerate([(at(0, 0), at(41, 0)), (at(0, 1), at(40, 23)), (at(7, 0), at(7, 0)), (at(7, 1), at(9, 0)), (at(10, 0), at(8, 0)),
+                                                  (at(-900, 0), at(-1, 23)), (at(41, 1), at(999, 0)), (None, at(9, 0)), (at(9, 0), None), (at(-900, 0), at(900, 0))])]
+    below = points_below(points, "p", days[0], 42)
+    low, high = point_ranges("s", "e", below, days[0], 42)
+    midnight = [dt.datetime.combine(x, dt.time()) for x in days]
+    for r in spark.createDataFrame(rows, "id int, s timestamp, e timestamp").select("id", "s", "e", low.alias("low"), high.alias("high")).collect():
+        want = [i for i, x in enumerate(midnight) if r.s is not None and r.e is not None and r.s <= x <= r.e]
+        assert list(range(r.low, r.high)) == want if r.low is not None and r.high is not None else want == []
