@@ -1,6 +1,7 @@
 import bisect
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tidemark.functions.calendar import AS_OF, CAL_DATE, MONTH, map_to_week, nor
 from tidemark.operators.asof import as_of_state, latest_as_of
 from tidemark.plans.refresh import SINCE, UNTIL, marks, refresh, touched_weeks
 from tidemark.plans.star import Star, _arrivals, _fiscal_days
-from tidemark.session import scratch_path
+from tidemark.session import SHUFFLE_CLEANUP, materialize, scratch_path
 from tidemark.sources.versions import VersionConflict, VersionedMart
 
 D = dt.date(2024, 1, 7)
@@ -101,6 +102,57 @@ def test_a_run_joins_lines_and_builds_the_spine_once(spark, monkeypatch):
     assert made == {"lines": 1, "spine": 1}
 
 
+def test_a_run_builds_the_box_block_once(spark, monkeypatch):
+    made, given, old = [], {}, Star.set_top_box
+    monkeypatch.setattr(Star, "set_top_box", lambda self, *a, **kw: (made.append(1), old(self, *a, **kw))[1])
+    monkeypatch.setattr(Star, "mart", lambda self, **kw: (given.update(kw), kw["spine"])[1])
+    assert refresh(spark, lambda **kw: Star(spark, SF_SMALL, **kw), scratch_path(spark, "t-boxes"))
+    assert len(made) == 1 and given["boxes"].columns == [ACCOUNT, WEEK, "box_type"]
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    rows = spark.range(5000).groupBy((F.col("id") % 997).alias("k")).agg(F.sum("id").alias("n"))
+    rows.write.format("noop").mode("overwrite").save()
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    seen = _shuffle_files(spark)
+    out = materialize(rows, "t-shuffles")
+    until = time.time() + 20
+    while _shuffle_files(spark) - seen and time.time() < until:  # they are removed without waiting for it
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - seen
+    assert out.count() == 997 and spark.conf.get(SHUFFLE_CLEANUP, "false") == before
+
+
+def test_late_rows_are_split_off_without_an_exchange_of_the_lines(spark):
+    first, late = _arrivals(spark, SF_SMALL, (150, 100), 8)
+    for part in (first, late):
+        plan = part["lineitem"]._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    whole = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    assert first["lineitem"].unionByName(late["lineitem"]).exceptAll(whole).isEmpty() and late["lineitem"].count() > 0
+    assert first["lineitem"].count() + late["lineitem"].count() == whole.count()
+
+
+def test_bills_of_joined_lines_equal_those_of_the_scan(spark):
+    day = lambda d: dt.datetime(1997, 1, d)
+    orders = [(1, 3, "F", 10.0, day(2), "1-URGENT"), (1, 3, "F", 10.0, day(2), "1-URGENT"), (1, 4, "F", 11.0, day(3), "1-URGENT"), (2, 3, "O", None, day(4), "1-URGENT"),
+              (3, 5, "F", 9.0, day(5), "2-HIGH"), (None, 6, "F", 7.0, day(6), "1-URGENT"), (4, None, "F", 7.0, day(6), "1-URGENT"), (5, 7, "F", 8.0, None, "1-URGENT")]
+    names = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+    lines = [(k, n, 1, 1.0, 1.0, 0.0, 0.0, "A", "F", d) for k, n, d in [(1, 1, day(9)), (1, 2, day(12)), (1, 2, None), (2, 1, None), (None, 1, day(8)), (5, 1, day(7)), (9, 1, day(7))]]
+    tables = {
+        "orders": spark.createDataFrame(orders, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string"),
+        "lineitem": spark.createDataFrame(lines, ", ".join(f"{n} {t}" for n, t in zip(names, ["bigint", "int", "bigint", *["double"] * 4, "string", "string", "timestamp"]))),
+    }
+    s = Star(spark, SF_SMALL, tables=tables)
+    got, want = (sorted(map(str, df.collect())) for df in (s.bills_src(s.lines()), s.bills_src()))
+    assert got == want and len(got) == 5
+
+
 def test_two_runs_cannot_publish_one_version(spark, scratch):
     store = VersionedMart(spark, scratch)
     with pytest.raises(ValueError):
